@@ -48,3 +48,67 @@ def risk_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("daily_mart")
 def daily_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.daily_mart(risk.risk_signal(fact(spark, sf_dir)))
+
+
+# --- E: descriptive investigation, I: profiling ------------------------------------
+from .operators import explore  # noqa: E402
+
+
+def mtx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapter.model_transactions(events(spark, sf_dir))
+
+
+@register("investigate_period")
+def q_period(spark, sf_dir):
+    return explore.period(mtx(spark, sf_dir))
+
+
+@register("investigate_label_balance")
+def q_label_balance(spark, sf_dir):
+    return explore.label_balance(mtx(spark, sf_dir))
+
+
+@register("investigate_missingness")
+def q_missingness(spark, sf_dir):
+    return explore.missingness(mtx(spark, sf_dir))
+
+
+@register("investigate_currency_totals")
+def q_currency_totals(spark, sf_dir):
+    return explore.currency_totals(mtx(spark, sf_dir))
+
+
+@register("investigate_format_label_rate")
+def q_format_rate(spark, sf_dir):
+    return explore.format_label_rate(mtx(spark, sf_dir))
+
+
+@register("investigate_top_usd_senders")
+def q_top_usd(spark, sf_dir):
+    return explore.top_usd_senders(mtx(spark, sf_dir))
+
+
+@register("investigate_busiest_hours")
+def q_busiest(spark, sf_dir):
+    return explore.busiest_hours(mtx(spark, sf_dir))
+
+
+@register("investigate_usd_spikes")
+def q_spikes(spark, sf_dir):
+    return explore.usd_spikes(mtx(spark, sf_dir))
+
+
+@register("profile_columns")
+def q_profile_columns(spark, sf_dir):
+    return explore.column_overview(mtx(spark, sf_dir))
+
+
+@register("profile_label_distribution")
+def q_profile_labels(spark, sf_dir):
+    return explore.label_distribution(mtx(spark, sf_dir), "is_laundering")
+
+
+@register("profile_amount_stats")
+def q_profile_amounts(spark, sf_dir):
+    s = explore.amount_stats(mtx(spark, sf_dir), "amount_paid")
+    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
