@@ -112,3 +112,36 @@ def q_profile_labels(spark, sf_dir):
 def q_profile_amounts(spark, sf_dir):
     s = explore.amount_stats(mtx(spark, sf_dir), "amount_paid")
     return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+
+
+# --- A: contract, classification, quarantine, manifest counts, raw IDs -------------
+from .operators import classify as cls  # noqa: E402
+
+
+def classified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = adapter.csv_lines(events(spark, sf_dir))
+    return cls.classify(cls.parse_lines(lines))
+
+
+@register("ingest_records")
+def q_ingest_records(spark, sf_dir):
+    c = classified_lines(spark, sf_dir)
+    return c.select("file_id", "source_row_number", "validation_status",
+                    F.array_join("reason_codes", ",").alias("reason_codes"), "record_hash")
+
+
+@register("ingest_quarantine")
+def q_quarantine(spark, sf_dir):
+    q = cls.quarantine(classified_lines(spark, sf_dir))
+    return q.withColumn("reason_codes", F.array_join("reason_codes", ","))
+
+
+@register("ingest_manifest_counts")
+def q_manifest_counts(spark, sf_dir):
+    return cls.manifest_counts(classified_lines(spark, sf_dir))
+
+
+@register("ingest_raw_ids")
+def q_raw_ids(spark, sf_dir):
+    lines = adapter.csv_lines(events(spark, sf_dir)).select("file_id", "source_row_number")
+    return cls.with_raw_ids(lines)
