@@ -39,33 +39,39 @@ def ranged_snapshot(df: DataFrame, order: Sequence[str | Column],
 
 
 def grouped_cumsum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
-                   value_col: str, out_col: str, inclusive: bool = True,
+                   value_col: str | Sequence[str], out_col: str | Sequence[str], inclusive: bool = True,
                    num_partitions: int | None = None) -> DataFrame:
-    """Running sum of ``value_col`` per group in ``order_cols`` order (ROWS frame).
+    """Running sums of value column(s) per group in ``order_cols`` order (ROWS frame).
 
     ``order_cols`` should be unique within a group (e.g. one row per distinct key),
     otherwise ties are broken arbitrarily, as in any ROWS frame.
     """
+    values = [value_col] if isinstance(value_col, str) else list(value_col)
+    outs = [out_col] if isinstance(out_col, str) else list(out_col)
     group_cols = list(group_cols)
     order_cols = list(order_cols)
     ranged = ranged_snapshot(df, [*group_cols, *order_cols], num_partitions)
     local_w = (Window.partitionBy(_PID, *group_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn(_LOCAL, F.sum(value_col).over(local_w))
-    totals = ranged.groupBy(_PID, *group_cols).agg(F.sum(value_col).alias(_TOTAL))
+    local = ranged.select("*", *[F.sum(v).over(local_w).alias(f"{_LOCAL}{i}") for i, v in enumerate(values)])
+    totals = ranged.groupBy(_PID, *group_cols).agg(
+        *[F.sum(v).alias(f"{_TOTAL}{i}") for i, v in enumerate(values)])
     before = (Window.partitionBy(*group_cols).orderBy(_PID)
               .rowsBetween(Window.unboundedPreceding, -1)) if group_cols else \
         Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn(_OFFSET, F.coalesce(F.sum(_TOTAL).over(before), F.lit(0))) \
-        .drop(_TOTAL)
+    offsets = totals.select(_PID, *group_cols, *[
+        F.coalesce(F.sum(f"{_TOTAL}{i}").over(before), F.lit(0)).alias(f"{_OFFSET}{i}")
+        for i in range(len(values))])
     keys = [_PID, *group_cols]
-    o = offsets.alias("o")
-    joined = local.alias("l").join(o, _null_safe_on(local.alias("l"), o, keys), "inner")
-    running = F.col(f"l.{_LOCAL}") + F.col(f"o.{_OFFSET}")
-    if not inclusive:
-        running = running - F.col(f"l.{value_col}")
-    out = joined.select(*[F.col(f"l.{c}") for c in df.columns], running.alias(out_col))
-    return out
+    lo, o = local.alias("l"), offsets.alias("o")
+    joined = lo.join(o, _null_safe_on(lo, o, keys), "inner")
+    outs_cols = []
+    for i, (v, name) in enumerate(zip(values, outs)):
+        running = F.col(f"l.{_LOCAL}{i}") + F.col(f"o.{_OFFSET}{i}")
+        if not inclusive:
+            running = running - F.col(f"l.{v}")
+        outs_cols.append(running.alias(name))
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns], *outs_cols)
 
 
 def assign_ids(df: DataFrame, order_cols: Sequence[str], out_col: str, start_after: int = 0,

@@ -145,3 +145,141 @@ def q_manifest_counts(spark, sf_dir):
 def q_raw_ids(spark, sf_dir):
     lines = adapter.csv_lines(events(spark, sf_dir)).select("file_id", "source_row_number")
     return cls.with_raw_ids(lines)
+
+
+# --- F: features, scoring, metrics ---------------------------------------------------
+from pyspark.sql.types import DoubleType  # noqa: E402
+
+from .operators import features as feat  # noqa: E402
+from .operators import metrics as met  # noqa: E402
+from .operators.model import LogisticModel, extreme_coefficients  # noqa: E402
+
+# Split days for the driver data (30 days): train before day 21, validation day 21, test after.
+TRAIN_END, VALIDATION_END = "2024-01-21", "2024-01-22"
+BANDS = {"early_test": ("2024-01-22", "2024-01-26"), "late_test": ("2024-01-26", "2024-01-31")}
+
+
+def r9(df: DataFrame) -> DataFrame:
+    """Presentation for cross-engine comparison: doubles rounded to 9 decimals, -0.0 as 0.0."""
+    return df.select(*[(F.round(F.col(f.name), 9) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, DoubleType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def feature_frame(spark, sf_dir) -> DataFrame:
+    return feat.with_split(feat.features(mtx(spark, sf_dir)), TRAIN_END, VALIDATION_END)
+
+
+def fixed_scores(spark, sf_dir) -> DataFrame:
+    f = feature_frame(spark, sf_dir)
+    model = LogisticModel.fixed(f.filter(F.col("data_split") == "train"))
+    return model.score(f)
+
+
+@register("model_features")
+def q_model_features(spark, sf_dir):
+    return r9(feat.features(mtx(spark, sf_dir)))
+
+
+@register("model_numeric_features")
+def q_numeric(spark, sf_dir):
+    return r9(feat.numeric_features(feat.features(mtx(spark, sf_dir))))
+
+
+@register("model_split_counts")
+def q_split_counts(spark, sf_dir):
+    return feature_frame(spark, sf_dir).groupBy("data_split").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_laundering") == 1).alias("positives"))
+
+
+@register("model_standardizer")
+def q_standardizer(spark, sf_dir):
+    f = feature_frame(spark, sf_dir)
+    return r9(feat.standardizer_long(f.filter(F.col("data_split") == "train")))
+
+
+@register("model_vocabulary")
+def q_vocab(spark, sf_dir):
+    return feat.vocabulary(feature_frame(spark, sf_dir).filter(F.col("data_split") == "train"))
+
+
+@register("model_class_weights")
+def q_class_weights(spark, sf_dir):
+    return r9(feat.class_weights(feature_frame(spark, sf_dir).filter(F.col("data_split") == "train")))
+
+
+@register("model_scores")
+def q_model_scores(spark, sf_dir):
+    return r9(fixed_scores(spark, sf_dir).select("transaction_id", "review_score", "data_split", "model_version"))
+
+
+@register("model_score_integrity")
+def q_score_integrity(spark, sf_dir):
+    return met.score_integrity(mtx(spark, sf_dir), fixed_scores(spark, sf_dir).select("transaction_id"))
+
+
+@register("evaluate_test")
+def q_evaluate_test(spark, sf_dir):
+    s = fixed_scores(spark, sf_dir).filter(F.col("data_split") == "test")
+    return r9(met.evaluate(s))
+
+
+@register("evaluate_splits")
+def q_evaluate_splits(spark, sf_dir):
+    s = fixed_scores(spark, sf_dir).filter(F.col("data_split") != "train")
+    return r9(met.evaluate(s, ["data_split"]))
+
+
+@register("rule_baselines")
+def q_rule_baselines(spark, sf_dir):
+    s = met.rule_scores(fixed_scores(spark, sf_dir).filter(F.col("data_split") == "test"))
+    return r9(met.compare_methods(s, {"model": "review_score", "amount_to_history": "amount_to_history_score",
+                                      "prior_frequency": "prior_frequency_score"}))
+
+
+@register("evaluate_slices")
+def q_slices(spark, sf_dir):
+    s = fixed_scores(spark, sf_dir).filter(F.col("data_split") == "test")
+    return r9(met.slices(s, {"date": F.to_date("transaction_time"), "payment_currency": F.col("payment_currency"),
+                             "payment_format": F.col("payment_format")}))
+
+
+@register("shortlist_mix")
+def q_shortlist(spark, sf_dir):
+    return met.shortlist_mix(fixed_scores(spark, sf_dir).filter(F.col("data_split") == "test"), 1000)
+
+
+@register("period_diagnostic")
+def q_period_diag(spark, sf_dir):
+    return r9(met.period_diagnostic(fixed_scores(spark, sf_dir).filter(F.col("data_split") == "test"), BANDS))
+
+
+@register("precision_loss")
+def q_precision_loss(spark, sf_dir):
+    return met.precision_loss(mtx(spark, sf_dir))
+
+
+@register("rounded_control_compare")
+def q_rounded_compare(spark, sf_dir):
+    t = mtx(spark, sf_dir)
+    a = feat.features(t)
+    b = feat.features(met.rounded_control(t))
+    return r9(met.compare_runs(a, b, "transaction_id", ["amount_paid", "prior_average_amount"],
+                               by="payment_currency"))
+
+
+@register("queue_overlap")
+def q_queue_overlap(spark, sf_dir):
+    t = mtx(spark, sf_dir)
+    full = feat.with_split(feat.features(t), TRAIN_END, VALIDATION_END)
+    rounded = feat.with_split(feat.features(met.rounded_control(t)), TRAIN_END, VALIDATION_END)
+    model = LogisticModel.fixed(full.filter(F.col("data_split") == "train"))
+    sa = model.score(full).filter(F.col("data_split") == "test")
+    sb = model.score(rounded).filter(F.col("data_split") == "test")
+    return r9(met.queue_overlap(sa, sb))
+
+
+@register("model_train_coefficients")
+def q_train(spark, sf_dir):
+    f = feature_frame(spark, sf_dir)
+    model = LogisticModel.fit(f.filter(F.col("data_split") == "train"))
+    return extreme_coefficients(model.coefficients(spark))
