@@ -283,3 +283,200 @@ def q_train(spark, sf_dir):
     f = feature_frame(spark, sf_dir)
     model = LogisticModel.fit(f.filter(F.col("data_split") == "train"))
     return extreme_coefficients(model.coefficients(spark))
+
+
+# --- B: promotion, C: reconciliation / publication, D: data tests -----------------------
+from .operators import promotion as pro  # noqa: E402
+from .operators import reconcile as rec  # noqa: E402
+
+BATCH = 1000
+
+
+def staged_world(spark, sf_dir) -> DataFrame:
+    """Typed staging rows: every event is an accepted raw record (raw ID = event_id XOR 63)."""
+    t = txn(spark, sf_dir)
+    return t.select("raw_record_id", F.col("file_id").alias("source_file_id"), "event_time",
+                    F.col("from_bank").alias("from_bank_code"), F.col("from_account").alias("from_account_code"),
+                    F.col("to_bank").alias("to_bank_code"), F.col("to_account").alias("to_account_code"),
+                    "amount_received", "receiving_currency", "amount_paid", "payment_currency", "payment_format",
+                    (F.col("is_laundering") == 1).alias("is_laundering"))
+
+
+def corrections_world(spark, sf_dir) -> DataFrame:
+    c = adapter.corrections(events(spark, sf_dir))
+    return c.select("correction_id", "target_raw_record_id", "event_time",
+                    F.col("from_bank").alias("from_bank_code"), F.col("from_account").alias("from_account_code"),
+                    F.col("to_bank").alias("to_bank_code"), F.col("to_account").alias("to_account_code"),
+                    "amount_received", "receiving_currency", "amount_paid", "payment_currency", "payment_format",
+                    (F.col("is_laundering") == 1).alias("is_laundering"))
+
+
+def dims_world(spark, sf_dir):
+    s, c = staged_world(spark, sf_dir), corrections_world(spark, sf_dir)
+    banks = pro.upsert_banks(None, s, c)
+    accounts = pro.upsert_accounts(None, banks, s, c)
+    return s, c, banks, accounts
+
+
+def fact_current_world(spark, sf_dir):
+    s, c, banks, accounts = dims_world(spark, sf_dir)
+    fact = pro.insert_fact(s, banks, accounts)
+    latest = pro.with_account_keys(pro.latest_correction(c), banks, accounts)
+    return s, c, banks, accounts, pro.apply_corrections(fact, latest)
+
+
+def fact_with_codes(fact: DataFrame, banks: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Fact rows with sender/receiver codes, the input shape of the risk rules."""
+    lk = pro.account_lookup(banks, accounts)
+    f = lk.select(F.col("account_key").alias("from_account_key"), F.col("bank_code").alias("from_bank"),
+                  F.col("account_code").alias("from_account"))
+    t = lk.select(F.col("account_key").alias("to_account_key"), F.col("bank_code").alias("to_bank"),
+                  F.col("account_code").alias("to_account"))
+    return (fact.join(f, "from_account_key").join(t, "to_account_key")
+            .select(F.col("source_raw_record_id").alias("transaction_key"), "source_file_id", "event_time",
+                    "from_bank", "from_account", "to_bank", "to_account", "amount_paid", "payment_currency",
+                    "payment_format", F.col("is_laundering").cast("int").alias("is_laundering"),
+                    "current_correction_id"))
+
+
+@register("promote_raw_window")
+def q_raw_window(spark, sf_dir):
+    s = staged_world(spark, sf_dir).withColumn("validation_status", F.lit("accepted"))
+    return pro.raw_window(s, 0, BATCH)
+
+
+@register("promote_correction_window")
+def q_corr_window(spark, sf_dir):
+    s = staged_world(spark, sf_dir).withColumn("validation_status", F.lit("accepted"))
+    first = pro.raw_window(s, 0, BATCH).collect()[0]["raw_through"]
+    second = pro.raw_window(s, first, BATCH).select(F.col("raw_through").alias("_rt"))
+    fact_before = s.filter(F.col("raw_record_id") <= first).select(F.col("raw_record_id").alias("source_raw_record_id"))
+    pending = corrections_world(spark, sf_dir).crossJoin(second)
+    return pro.correction_window(pending, fact_before, 0, F.col("_rt"), BATCH)
+
+
+@register("promote_bank_dim")
+def q_bank_dim(spark, sf_dir):
+    return dims_world(spark, sf_dir)[2]
+
+
+@register("promote_account_dim")
+def q_account_dim(spark, sf_dir):
+    return dims_world(spark, sf_dir)[3]
+
+
+@register("promote_fact")
+def q_fact(spark, sf_dir):
+    s, c, banks, accounts = dims_world(spark, sf_dir)
+    return pro.insert_fact(s, banks, accounts).withColumn("is_laundering", F.col("is_laundering").cast("int"))
+
+
+@register("promote_latest_correction")
+def q_latest(spark, sf_dir):
+    return pro.latest_correction(corrections_world(spark, sf_dir)).select(
+        "target_raw_record_id", "correction_id", "event_time", "amount_paid", "payment_currency")
+
+
+@register("promote_fact_current")
+def q_fact_current(spark, sf_dir):
+    return fact_current_world(spark, sf_dir)[4].withColumn("is_laundering", F.col("is_laundering").cast("int"))
+
+
+@register("promote_orphan_corrections")
+def q_orphans(spark, sf_dir):
+    s, c, banks, accounts = dims_world(spark, sf_dir)
+    fact = pro.insert_fact(s, banks, accounts)
+    return pro.orphan_corrections(c, fact).agg(F.count(F.lit(1)).alias("orphan_corrections"))
+
+
+@register("promote_late_rows")
+def q_late_rows(spark, sf_dir):
+    return pro.late_rows_by_batch(staged_world(spark, sf_dir), 100)
+
+
+@register("promote_state")
+def q_state(spark, sf_dir):
+    return pro.advance_state(staged_world(spark, sf_dir), corrections_world(spark, sf_dir))
+
+
+@register("reconcile_rows")
+def q_reconcile_rows(spark, sf_dir):
+    raw = cls.with_raw_ids(classified_lines(spark, sf_dir))
+    manifest = cls.manifest_counts(raw)
+    staged = pro.stage(raw)
+    return rec.row_reconciliation(manifest, raw, staged, staged, manifest)
+
+
+@register("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    manifest = cls.manifest_counts(classified_lines(spark, sf_dir))
+    return rec.quality_gate(manifest, manifest)
+
+
+@register("reconcile_amounts")
+def q_reconcile_amounts(spark, sf_dir):
+    s, c, banks, accounts, fact = fact_current_world(spark, sf_dir)
+    raw_acc = s.select(F.col("source_file_id").alias("file_id"), "payment_currency", "amount_paid")
+    files = raw_acc.select("file_id")
+    return rec.amount_reconciliation(raw_acc, s, pro.latest_correction(c), fact, files)
+
+
+def published_signal(spark, sf_dir) -> DataFrame:
+    s, c, banks, accounts, fact = fact_current_world(spark, sf_dir)
+    return risk.risk_signal(fact_with_codes(fact, banks, accounts))
+
+
+@register("publish_currency_diff")
+def q_currency_diff(spark, sf_dir):
+    s, c, banks, accounts, fact = fact_current_world(spark, sf_dir)
+    sig = risk.risk_signal(fact_with_codes(fact, banks, accounts))
+    return rec.currency_diff(fact, risk.daily_mart(sig))
+
+
+@register("publish_daily_metrics")
+def q_daily_metrics(spark, sf_dir):
+    s, c, banks, accounts, fact = fact_current_world(spark, sf_dir)
+    sig = risk.risk_signal(fact_with_codes(fact, banks, accounts))
+    mart = risk.daily_mart(sig).join(banks.withColumnRenamed("bank_code", "from_bank"), "from_bank") \
+        .withColumnRenamed("bank_key", "from_bank_key").drop("from_bank")
+    return rec.daily_metrics(mart, banks)
+
+
+@register("risk_alerts")
+def q_risk_alerts(spark, sf_dir):
+    return rec.risk_alerts(published_signal(spark, sf_dir)).select(
+        "transaction_key", "event_date", "payment_currency", "amount_paid", "risk_score",
+        "high_amount_for_currency_day", "high_hourly_velocity", "repeated_counterparty", "current_correction_id")
+
+
+@register("risk_evaluation")
+def q_risk_evaluation(spark, sf_dir):
+    return rec.risk_evaluation(published_signal(spark, sf_dir))
+
+
+@register("data_checks")
+def q_data_checks(spark, sf_dir):
+    s, c, banks, accounts, fact = fact_current_world(spark, sf_dir)
+    sig = risk.risk_signal(fact_with_codes(fact, banks, accounts))
+    mart = risk.daily_mart(sig)
+    ev = rec.risk_evaluation(sig)
+    checks = [
+        rec.check_unique(fact, ["source_raw_record_id"], "fact_unique_source"),
+        rec.check_not_null(fact, "from_account_key", "fact_from_account_not_null"),
+        rec.check_unique(banks, ["bank_code"], "bank_code_unique"),
+        rec.check_unique(accounts, ["bank_key", "account_code"], "account_unique"),
+        rec.check_fk(fact, "from_account_key", accounts, "account_key", "fact_from_account_fk"),
+        rec.check_fk(fact, "to_account_key", accounts, "account_key", "fact_to_account_fk"),
+        rec.check_fk(accounts, "bank_key", banks, "bank_key", "account_bank_fk"),
+        rec.check_fk(sig, "transaction_key", fact, "source_raw_record_id", "signal_transaction_fk"),
+        rec.check_counts_equal(mart.agg(F.sum("transaction_count").alias("a")),
+                               fact.agg(F.count(F.lit(1)).alias("b")), "daily_count_matches_core"),
+        rec.check_counts_equal(sig.agg(F.count(F.lit(1)).alias("a")),
+                               fact.agg(F.count(F.lit(1)).alias("b")), "risk_covers_core"),
+        rec.evaluation_diff(ev, sig).agg(F.count(F.lit(1)).alias("failures"))
+           .select(F.lit("risk_evaluation_reconciles").alias("check_name"), "failures"),
+    ]
+    out = checks[0]
+    for ch in checks[1:]:
+        out = out.unionByName(ch)
+    return out
