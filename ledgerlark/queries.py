@@ -480,3 +480,160 @@ def q_data_checks(spark, sf_dir):
     for ch in checks[1:]:
         out = out.unionByName(ch)
     return out
+
+
+# --- G: review queue and case browsing, H: exports and report measures -------------------
+from .operators import queue as qu  # noqa: E402
+from .operators import report as rp  # noqa: E402
+
+
+def cases_frame(spark, sf_dir, n: int = 10_000) -> DataFrame:
+    """Queue cases with the spike rule (no explanation arrays)."""
+    t = mtx(spark, sf_dir)
+    f = feature_frame(spark, sf_dir)
+    model = LogisticModel.fixed(f.filter(F.col("data_split") == "train"))
+    q = qu.review_queue(model.score(f), n)
+    c = qu.queue_cases(q, t, f)
+    ratio = F.when(F.col("prior_average_amount") > 0, F.col("feature_amount_paid") / F.col("prior_average_amount"))
+    return c.withColumn("amount_spike_rule", F.coalesce((F.col("prior_transaction_count") >= 5) & (ratio >= 10),
+                                                        F.lit(False)))
+
+
+@register("review_queue")
+def q_review_queue(spark, sf_dir):
+    c = cases_frame(spark, sf_dir)
+    return r9(c.select("review_rank", "transaction_id", "review_score", "data_split", "model_version",
+                       "transaction_time", "from_bank", "from_account", "to_bank", "to_account", "amount_paid",
+                       "payment_currency", "payment_format", "prior_transaction_count", "prior_average_amount",
+                       "is_laundering", "amount_spike_rule"))
+
+
+@register("case_explanations")
+def q_case_explanations(spark, sf_dir):
+    t = mtx(spark, sf_dir)
+    f = feature_frame(spark, sf_dir)
+    model = LogisticModel.fixed(f.filter(F.col("data_split") == "train"))
+    cases = qu.queue_cases(qu.review_queue(model.score(f), 10_000), t, f)
+    e = qu.explain(cases, model)
+    return r9(e.select("review_rank", "transaction_id", "model_reason_1", "reason_1_effect", "model_reason_2",
+                       "reason_2_effect", "model_reason_3", "reason_3_effect", "amount_spike_rule", "rule_reason",
+                       "score_reconstruction_gap"))
+
+
+@register("case_filter")
+def q_case_filter(spark, sf_dir):
+    c = qu.filter_cases(cases_frame(spark, sf_dir), rank_max=2000, currency="Euro", search="a3")
+    return r9(c.select("review_rank", "transaction_id", "from_bank", "from_account", "payment_currency"))
+
+
+@register("case_cards")
+def q_case_cards(spark, sf_dir):
+    return qu.case_cards(cases_frame(spark, sf_dir))
+
+
+@register("case_top_categories")
+def q_case_top(spark, sf_dir):
+    c = cases_frame(spark, sf_dir)
+    a = qu.top_categories(c, "payment_format").withColumn("field", F.lit("payment_format"))
+    b = qu.top_categories(c, "from_bank").withColumn("field", F.lit("from_bank"))
+    return a.unionByName(b)
+
+
+@register("case_timeline")
+def q_case_timeline(spark, sf_dir):
+    c = cases_frame(spark, sf_dir)
+    return qu.timeline(c, qu.filter_cases(c, fmt="ACH"))
+
+
+@register("case_page")
+def q_case_page(spark, sf_dir):
+    return r9(qu.page(cases_frame(spark, sf_dir), 2).select("review_rank", "transaction_id", "review_score"))
+
+
+def published(spark, sf_dir):
+    sig = published_signal(spark, sf_dir)
+    return sig, risk.daily_mart(sig)
+
+
+@register("report_totals")
+def q_report_totals(spark, sf_dir):
+    return rp.totals(published(spark, sf_dir)[1])
+
+
+@register("report_daily_export")
+def q_report_daily(spark, sf_dir):
+    return rp.daily_export(published(spark, sf_dir)[1])
+
+
+@register("report_alert_export")
+def q_report_alerts(spark, sf_dir):
+    return rp.alert_export(published(spark, sf_dir)[0])
+
+
+@register("report_fact_daily")
+def q_report_fact_daily(spark, sf_dir):
+    sig, mart = published(spark, sf_dir)
+    return rp.daily_with_hits(mart, sig)
+
+
+@register("report_alert_sample")
+def q_report_sample(spark, sf_dir):
+    return rp.alert_sample(published(spark, sf_dir)[0])
+
+
+@register("report_controls")
+def q_report_controls(spark, sf_dir):
+    return rp.controls(published(spark, sf_dir)[1])
+
+
+@register("report_recon_export")
+def q_report_recon(spark, sf_dir):
+    return rp.recon_export(q_reconcile_amounts(spark, sf_dir))
+
+
+@register("report_calendar")
+def q_report_calendar(spark, sf_dir):
+    return rp.calendar(published(spark, sf_dir)[1])
+
+
+@register("report_measures_by_currency")
+def q_report_measures(spark, sf_dir):
+    sig, mart = published(spark, sf_dir)
+    return r9(rp.measures(rp.daily_with_hits(mart, sig), ["payment_currency"]))
+
+
+@register("report_daily_change")
+def q_report_change(spark, sf_dir):
+    return r9(rp.daily_change(published(spark, sf_dir)[1], ["payment_currency"]))
+
+
+@register("report_format_share")
+def q_report_share(spark, sf_dir):
+    return r9(rp.format_share(published(spark, sf_dir)[1]))
+
+
+@register("report_rule_hits")
+def q_report_rule_hits(spark, sf_dir):
+    sig, mart = published(spark, sf_dir)
+    return rp.rule_hits_by_selector(rp.daily_with_hits(mart, sig))
+
+
+@register("report_alert_quality")
+def q_report_alert_quality(spark, sf_dir):
+    return r9(rp.alert_quality(rec.risk_evaluation(published(spark, sf_dir)[0]), ["payment_currency"]))
+
+
+@register("report_currency_leaders")
+def q_report_leaders(spark, sf_dir):
+    return rp.currency_leaders(published(spark, sf_dir)[1])
+
+
+@register("report_recent_days")
+def q_report_recent(spark, sf_dir):
+    return rp.recent_days(published(spark, sf_dir)[1])
+
+
+@register("report_rule_bounds")
+def q_report_bounds(spark, sf_dir):
+    sig, mart = published(spark, sf_dir)
+    return rp.rule_bounds_violations(rp.daily_with_hits(mart, sig)).agg(F.count(F.lit(1)).alias("violations"))
