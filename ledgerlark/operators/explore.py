@@ -23,7 +23,7 @@ def _blank(c: str) -> Column:
 
 def _share(count: Column, total: Column, digits: int) -> Column:
     """100 * count / total, exact decimal, rounded half-up."""
-    return F.round(count.cast("decimal(38,6)") * F.lit(100) / total, digits).cast(f"decimal(20,{digits})")
+    return F.round(count.cast("decimal(20,0)") * F.lit(100) / total, digits).cast(f"decimal(20,{digits})")
 
 
 def period(t: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def rank_metrics(df: DataFrame, by: Sequence[str] = (), score: str = "review_sco
     c = score_curve(df, by, score, label)
     tot = c.groupBy(*by).agg(F.sum("n").alias("_rows"), F.sum("tp").alias("_pos"))
     j = c.join(tot, by) if by else c.crossJoin(tot)
-    ap_term = (F.col("tp") / F.col("_pos")) * (F.col("ctp") / F.col("cn"))
+    ap_term = F.try_divide(F.col("tp"), F.col("_pos")) * (F.col("ctp") / F.col("cn"))
     auc_term = (F.col("n") - F.col("tp")) * ((F.col("ctp") - F.col("tp")) + F.col("tp") / 2.0)
     agg = j.groupBy(*by).agg(F.first("_rows").alias("rows"), F.first("_pos").alias("positives"),
                              F.sum(ap_term).alias("_ap"), F.sum(auc_term).alias("_auc"))
@@ -55,7 +55,7 @@ def rank_metrics(df: DataFrame, by: Sequence[str] = (), score: str = "review_sco
     return agg.select(*by, "rows", "positives",
                       F.when(F.col("positives") > 0, F.col("_ap")).otherwise(F.lit(0.0)).alias("average_precision"),
                       F.when((F.col("positives") > 0) & (neg > 0),
-                             F.col("_auc") / (F.col("positives") * neg)).alias("roc_auc"))
+                             F.try_divide(F.col("_auc"), F.col("positives") * neg)).alias("roc_auc"))
 
 
 def ranking_at_k(df: DataFrame, by: Sequence[str] = (), ks: Sequence[int] = C.RANKING_KS,
