@@ -225,3 +225,32 @@ def queue_overlap(a: DataFrame, b: DataFrame, ks: Sequence[int] = C.RANKING_KS,
     shared = kdf.join(both, (F.col("ra._r") <= F.col("k")) & (F.col("rb._r") <= F.col("k")), "left") \
         .groupBy("k").agg(F.count(F.col(key)).alias("shared"))
     return shared.select("k", "shared", (F.col("shared") / (2 * F.col("k") - F.col("shared"))).alias("jaccard"))
+
+
+def binding_checks(features: DataFrame, scores: DataFrame, train_end: str, validation_end: str,
+                   key: str = "transaction_id", time_col: str = "transaction_time") -> DataFrame:
+    """score IDs unique, every evaluation-period feature row scored, and each score's
+    split agrees with its feature timestamp (all three counts should be 0)."""
+    dup = (scores.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+           .agg(F.count(F.lit(1)).alias("duplicate_score_ids")))
+    ev = features.filter(F.col(time_col) >= F.lit(train_end).cast("timestamp_ntz")).select(key, time_col)
+    missing = ev.join(scores.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("missing_scores"))
+    expected = F.when(F.col(time_col) < F.lit(validation_end).cast("timestamp_ntz"), F.lit("validation")) \
+        .otherwise(F.lit("test"))
+    mismatch = (ev.join(scores.select(key, "data_split"), key)
+                .agg(F.count_if(F.col("data_split") != expected).alias("split_mismatches")))
+    return dup.crossJoin(missing).crossJoin(mismatch)
+
+
+def artifact_digest(df: DataFrame) -> DataFrame:
+    """order-free content digest (row count and a decimal sum of 64-bit row hashes),
+    carried with metrics so that scores and features can be bound to what was evaluated."""
+    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").alias("digest"))
+
+
+def check_lineage(expected: dict, actual: DataFrame) -> None:
+    """raise when an artifact no longer matches the digest recorded with its metrics."""
+    row = actual.collect()[0]
+    if row["rows"] != expected["rows"] or str(row["digest"]) != str(expected["digest"]):
+        raise ValueError("artifact does not match the digest bound to the metrics")

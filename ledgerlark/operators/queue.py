@@ -111,6 +111,19 @@ def explain(cases: DataFrame, model: LogisticModel, k: int = 3) -> DataFrame:
             .withColumn("rule_reason", F.when(F.col("amount_spike_rule"), F.lit(C.SPIKE_REASON)).otherwise(F.lit(""))))
 
 
+def check_model_shape(model: LogisticModel) -> None:
+    """Numeric features in the fixed order, and every category block ends in UNKNOWN."""
+    names = model.feature_names
+    if tuple(names[:len(C.NUMERIC_FEATURES)]) != C.NUMERIC_FEATURES:
+        raise ValueError("numeric feature order does not match the model")
+    if len(model.weights) != len(names):
+        raise ValueError("weight count does not match the feature names")
+    for column in model.vocab.values:
+        block = [n for n in names if n.startswith(f"{column}=")]
+        if not block or block[-1] != f"{column}={C.UNKNOWN_CATEGORY}":
+            raise ValueError(f"last category of {column} is not {C.UNKNOWN_CATEGORY}")
+
+
 def reconstruction_gate(explained: DataFrame, tolerance: float = 1e-5) -> None:
     """Raise when contributions do not reconstruct the saved scores."""
     gap = explained.agg(F.max("score_reconstruction_gap")).collect()[0][0]

@@ -195,7 +195,7 @@ class Pipeline:
             raw = self.store.read("raw")
             accepted = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
                 F.col("raw_record_id").alias("target_raw_record_id"))
-            missing = parsed.join(accepted, "target_raw_record_id", "left_anti").limit(1).collect()
+            missing = parsed.join(accepted, "target_raw_record_id", "left_anti").limit(1).collect()  # A16
             if missing:
                 raise ValueError(f"correction target {missing[0]['target_raw_record_id']} is not an accepted row")
             start = self._max("corrections", "correction_id")
@@ -518,3 +518,49 @@ class Pipeline:
             status = "PUBLISHED"
         agg["status"] = status
         return agg
+
+    def verify_run(self, min_source_rows: int = 1) -> DataFrame:
+        """D3: full-run verification as (check_name, passed) rows; the run passes if all pass."""
+        m = self.manifest().agg(
+            F.coalesce(F.sum("total_rows"), F.lit(0)).alias("source_rows"),
+            F.coalesce(F.sum("accepted_rows"), F.lit(0)).alias("accepted"),
+            F.coalesce(F.sum("rejected_rows"), F.lit(0)).alias("rejected"),
+            F.coalesce(F.sum("duplicate_candidates"), F.lit(0)).alias("duplicates"),
+            F.count_if(F.col("status") != "completed").alias("incomplete")).collect()[0]
+        raw, staging, fact = self.store.read("raw"), self.store.read("staging"), self.fact_current()
+        n = lambda df: 0 if df is None else df.count()
+        signal, mart = self.read_published("signal"), self.read_published("mart")
+        mart_rows = 0 if mart is None else mart.agg(F.coalesce(F.sum("transaction_count"), F.lit(0))).collect()[0][0]
+        files = self.manifest().filter(F.col("status") == "completed")
+        unbalanced = amount_bad = 0
+        if raw is not None and staging is not None and fact is not None:
+            base = self.store.read("fact")
+            unbalanced = rec.row_reconciliation(files, raw, staging, base, files) \
+                .filter(~F.col("is_balanced")).count()
+            fc = self.store.read("fact_corrections")
+            latest = pro.latest_correction(fc) if fc is not None else self.spark.createDataFrame(
+                [], "target_raw_record_id long, payment_currency string, amount_paid decimal(24,6)")
+            raw_acc = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
+                "file_id", F.col("payload.payment_currency").alias("payment_currency"),
+                contract.amount_value(F.col("payload.amount_paid")).alias("amount_paid"))
+            amount_bad = rec.amount_reconciliation(raw_acc, staging, latest, fact, files).filter(
+                (F.col("raw_staging_delta") != 0) | (F.col("effective_core_delta") != 0)).count()
+        st = self.state()
+        pending = 0 if raw is None else raw.filter((F.col("validation_status") == C.ACCEPTED)
+                                                   & (F.col("raw_record_id") > st["last_raw_record_id"])).count()
+        n_core = n(fact)
+        checks = [
+            ("minimum_source_rows", m["source_rows"] >= min_source_rows),
+            ("all_files_completed", m["incomplete"] == 0),
+            ("manifest_arithmetic", m["source_rows"] == m["accepted"] + m["rejected"] + m["duplicates"]),
+            ("manifest_to_raw", m["source_rows"] == n(raw)),
+            ("accepted_to_staging", m["accepted"] == n(staging)),
+            ("staging_to_core", n(staging) == n_core),
+            ("core_to_risk", n_core == n(signal)),
+            ("core_to_mart", n_core == mart_rows),
+            ("row_reconciliation", unbalanced == 0),
+            ("amount_reconciliation", amount_bad == 0),
+            ("no_pending_accepted_rows", pending == 0),
+            ("publication_caught_up", self.store.current_version(PUBLISHED) is not None),
+        ]
+        return self.spark.createDataFrame([(k, bool(v)) for k, v in checks], "check_name string, passed boolean")

@@ -217,6 +217,13 @@ def q_score_integrity(spark, sf_dir):
     return met.score_integrity(mtx(spark, sf_dir), fixed_scores(spark, sf_dir).select("transaction_id"))
 
 
+@register("model_binding_checks")
+def q_binding(spark, sf_dir):
+    scores = fixed_scores(spark, sf_dir).filter(F.col("data_split") != "train") \
+        .select("transaction_id", "review_score", "data_split")
+    return met.binding_checks(feature_frame(spark, sf_dir), scores, TRAIN_END, VALIDATION_END)
+
+
 @register("evaluate_test")
 def q_evaluate_test(spark, sf_dir):
     s = fixed_scores(spark, sf_dir).filter(F.col("data_split") == "test")
@@ -421,6 +428,23 @@ def q_reconcile_amounts(spark, sf_dir):
     return rec.amount_reconciliation(raw_acc, s, pro.latest_correction(c), fact, files)
 
 
+@register("reconcile_data_tests")
+def q_recon_tests(spark, sf_dir):
+    """Amount groups with a non-zero delta; completed files missing from the row
+    reconciliation or unbalanced."""
+    amounts = q_reconcile_amounts(spark, sf_dir)
+    d9 = amounts.filter((F.col("raw_staging_delta") != 0) | (F.col("effective_core_delta") != 0)) \
+        .agg(F.count(F.lit(1)).alias("failures")).select(F.lit("amount_delta_nonzero").alias("check_name"), "failures")
+    raw = cls.with_raw_ids(classified_lines(spark, sf_dir))
+    manifest = cls.manifest_counts(raw)
+    rows = rec.row_reconciliation(manifest, raw, pro.stage(raw), pro.stage(raw), manifest)
+    missing = manifest.select("file_id").join(rows.select("file_id"), "file_id", "left_anti")
+    bad = rows.filter(~F.col("is_balanced")).select("file_id").unionByName(missing)
+    d10 = bad.agg(F.count(F.lit(1)).alias("failures")) \
+        .select(F.lit("file_missing_or_unbalanced").alias("check_name"), "failures")
+    return d9.unionByName(d10)
+
+
 def published_signal(spark, sf_dir) -> DataFrame:
     s, c, banks, accounts, fact = fact_current_world(spark, sf_dir)
     return risk.risk_signal(fact_with_codes(fact, banks, accounts))

@@ -17,7 +17,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan a driver table. A small input stored as one row group arrives as one split,
+    which would run every per-row stage in one task; such an input (fewer splits than
+    the default parallelism) is spread round-robin. Large inputs keep their splits."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df
 
 
 def _k() -> Column:

@@ -41,6 +41,7 @@ def brute_ap_auc(scores, labels):
 
 
 def test_rank_metrics_match_brute_force(spark):
+    """F14/F15 checked independently."""
     rnd = random.Random(7)
     rows = [(i, round(rnd.random(), 1), int(rnd.random() < 0.2), i % 3) for i in range(500)]
     df = spark.createDataFrame(rows, "transaction_id long, review_score double, is_laundering int, g int")
@@ -181,3 +182,23 @@ def test_generator_and_csv_round_trip(spark):
                                                 F.monotonically_increasing_id().alias("source_row_number"),
                                                 "raw_text")
     assert cls.parse_lines(text).filter(F.size("reason_codes") > 0).count() == 0
+
+
+def test_artifact_digest_binds_lineage(spark):
+    df = spark.createDataFrame([(i, float(i) / 3) for i in range(100)], "transaction_id long, review_score double")
+    d = met.artifact_digest(df).collect()[0].asDict()
+    met.check_lineage(d, met.artifact_digest(df.orderBy(F.desc("transaction_id"))))   # order-free
+    with pytest.raises(ValueError):
+        met.check_lineage(d, met.artifact_digest(df.filter("transaction_id > 0")))
+
+
+def test_model_shape_check():
+    from ledgerlark.operators.features import Vocab
+    from ledgerlark.operators.model import LogisticModel
+    from ledgerlark.operators.queue import check_model_shape
+    vocab = Vocab({"payment_currency": ["Euro"], "receiving_currency": ["Euro"], "payment_format": ["ACH"]})
+    n = len(vocab.feature_names())
+    good = LogisticModel([0.0] * 11, [1.0] * 11, vocab, [0.0] * n, 0.0)
+    check_model_shape(good)
+    with pytest.raises(ValueError):
+        check_model_shape(LogisticModel([0.0] * 11, [1.0] * 11, vocab, [0.0] * (n - 1), 0.0))

@@ -26,6 +26,7 @@ def write(path, lines, bom=True):
 
 
 def test_recovery_scenario(spark, tmp_path):
+    """Load, replay, correct, block a publication, repair."""
     p = Pipeline(spark, str(tmp_path / "store"))
     land = tmp_path / "land"
     land.mkdir()
@@ -90,6 +91,9 @@ def test_recovery_scenario(spark, tmp_path):
     mart = ok.read_published("mart")
     assert mart.agg({"transaction_count": "sum"}).collect()[0][0] == 65
     assert ok.health()["status"] == "PUBLISHED"
+    # D3: every full-run check passes after the repair.
+    checks = {r["check_name"]: r["passed"] for r in ok.verify_run(min_source_rows=60).collect()}
+    assert len(checks) == 12 and all(checks.values()), checks
 
 
 def test_header_mismatch_fails_file(spark, tmp_path):
