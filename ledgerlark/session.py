@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Local sessions only: let one mid-sized file split across all cores (CPU-heavy parse).
+    "spark.sql.files.openCostInBytes": str(1 << 20),
 }
 
 
