@@ -274,7 +274,10 @@ class Pipeline:
                 return {"status": "skipped", **bounds}                                    # B4
             window = raw.filter(pro.in_range("raw_record_id", raw_after, raw_through))
             staged_all = self.store.read("staging")
-            new_staged = pro.stage(window, staged_all)
+            # Idempotency joins only need existing rows inside the window's ID range.
+            in_win = lambda df, col: None if df is None else df.filter(
+                pro.in_range(col, raw_after, raw_through))
+            new_staged = pro.stage(window, in_win(staged_all, "raw_record_id"))
             self.store.append("staging", new_staged)
             staged_all = self.store.read("staging")
             staged_win = staged_all.filter(pro.in_range("raw_record_id", raw_after, raw_through))
@@ -296,7 +299,8 @@ class Pipeline:
             self.store.append("account_dim", new_accounts)
             accounts = self.store.read("account_dim")
             fact = self.store.read("fact")
-            self.store.append("fact", pro.insert_fact(staged_win, banks, accounts, fact))
+            self.store.append("fact", pro.insert_fact(staged_win, banks, accounts,
+                                                      in_win(fact, "source_raw_record_id")))
             fact = self.store.read("fact")
             n_fact = fact.filter(pro.in_range("source_raw_record_id", raw_after, raw_through)).count()
             if n_fact != n_stg:                                                           # B11
@@ -310,7 +314,8 @@ class Pipeline:
                     "correction_id", "target_raw_record_id", *pro.FACT_VALUE_COLS)
                 prior = self.store.read("fact_corrections")
                 if prior is not None:
-                    keyed = keyed.join(prior.select("correction_id"), "correction_id", "left_anti")
+                    keyed = keyed.join(prior.filter(pro.in_range("correction_id", corr_after, corr_through))
+                                       .select("correction_id"), "correction_id", "left_anti")
                 current = self.fact_current()
                 applied = pro.corrected_count(current, pro.latest_correction(keyed)).collect()[0][0]
                 self.store.append("fact_corrections", keyed)
@@ -431,10 +436,11 @@ class Pipeline:
             files = self.spark.createDataFrame([(f,) for f in file_list], "file_id long")
             on_days = F.to_date("event_time").isin([F.lit(d).cast("date") for d in day_list])
             signal = risk.risk_signal(self._fact_rows(fact.filter(on_days)), self.risk_cfg)
-            mart = risk.daily_mart(signal, self.risk_cfg)
             self.store.write_version_table(PUBLISHED, "signal", pub_id, signal, ["event_date"])
-            self.store.write_version_table(PUBLISHED, "mart", pub_id, mart, ["event_date"])
             w_signal = self.spark.read.parquet(self.store.version_path(PUBLISHED, "signal", pub_id))
+            # The mart is built from the written signal: no second pass over the rules.
+            mart = risk.daily_mart(w_signal, self.risk_cfg)
+            self.store.write_version_table(PUBLISHED, "mart", pub_id, mart, ["event_date"])
             w_mart = self.spark.read.parquet(self.store.version_path(PUBLISHED, "mart", pub_id))
             raw_acc = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
                 "file_id", F.col("payload.payment_currency").alias("payment_currency"),
