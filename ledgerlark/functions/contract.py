@@ -19,7 +19,9 @@ STRIP_CHARS = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0     "
 # with a quote (a quote later in an unquoted field is legal), or empty.
 FIELD = r'(?:"(?:[^"]|"")*"|[^",][^,]*|)'
 STRICT_LINE = rf"^{FIELD}(?:,{FIELD})*$"
-FIELD_EXTRACT = r'(?:^|,)("(?:[^"]|"")*"|[^",][^,]*|)'
+# Applied to "," + line: every field is preceded by a comma, so each match consumes at
+# least that comma (an empty first field cannot hide the next delimiter).
+FIELD_EXTRACT = r',("(?:[^"]|"")*"|[^",][^,]*|)'
 # Decimal text after stripping and removing digit-group underscores.
 DECIMAL_TEXT = r"^[+-]?(?:(\d+)(?:\.(\d*))?|\.(\d+))(?:[eE]([+-]?\d+))?$"
 TIMESTAMP_FORMATS = (("^\\d{4}/", "y/M/d H:m"), ("^\\d{4}-", "y-M-d H:m:s"))
@@ -41,7 +43,7 @@ def split_fields(line: Column) -> Column:
     Lines without a quote use a plain split; quoted lines use a field regex, then
     the quotes are removed and doubled quotes collapsed.
     """
-    quoted = F.regexp_extract_all(line, F.lit(FIELD_EXTRACT), 1)
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(FIELD_EXTRACT), 1)
     unquote = F.transform(quoted, lambda x: F.when(
         x.startswith('"'), F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
     ).otherwise(x))
