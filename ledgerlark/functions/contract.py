@@ -25,6 +25,8 @@ FIELD_EXTRACT = r',("(?:[^"]|"")*"|[^",][^,]*|)'
 # Decimal text after stripping and removing digit-group underscores.
 DECIMAL_TEXT = r"^[+-]?(?:(\d+)(?:\.(\d*))?|\.(\d+))(?:[eE]([+-]?\d+))?$"
 TIMESTAMP_FORMATS = (("^\\d{4}/", "y/M/d H:m"), ("^\\d{4}-", "y-M-d H:m:s"))
+# A zero mantissa: the value is 0 whatever the exponent (a cast would overflow on 0E+174).
+ZERO_TEXT = r"^[+-]?0*\.?0*(?:[eE][+-]?\d+)?$"
 # ---------------------------------------------------------------------------------
 
 
@@ -89,14 +91,16 @@ def amount_valid(text: Column, currency: Column) -> Column:
     """
     t = amount_text(text)
     value = t.try_cast("decimal(38,6)")
+    in_range = value.isNotNull() & (value >= 0) & (value < F.lit(C.AMOUNT_LIMIT).cast("decimal(38,6)"))
     return F.coalesce(
         t.rlike(DECIMAL_TEXT) & (written_exponent(text) >= -amount_scale(currency))
-        & value.isNotNull() & (value >= 0) & (value < F.lit(C.AMOUNT_LIMIT).cast("decimal(38,6)")),
+        & (t.rlike(ZERO_TEXT) | in_range),
         F.lit(False))
 
 
 def amount_value(text: Column) -> Column:
-    return amount_text(text).try_cast("decimal(24,6)")
+    t = amount_text(text)
+    return F.when(t.rlike(ZERO_TEXT), F.lit(0).cast("decimal(24,6)")).otherwise(t.try_cast("decimal(24,6)"))
 
 
 def field(values: Column, i: int) -> Column:
@@ -110,8 +114,9 @@ def amount_checks(t: Column, currency: Column) -> Column:
     exp = F.coalesce(F.nullif(m(t, DECIMAL_TEXT, 4), F.lit("")).try_cast("decimal(38,0)"), F.lit(0))
     value = t.try_cast("decimal(38,6)")
     scale = F.when(currency == C.HIGH_SCALE_CURRENCY, C.HIGH_SCALE).otherwise(C.DEFAULT_SCALE)
-    return F.coalesce(t.rlike(DECIMAL_TEXT) & (exp - frac >= -scale) & value.isNotNull()
-                      & (value >= 0) & (value < F.lit(C.AMOUNT_LIMIT).cast("decimal(38,6)")), F.lit(False))
+    in_range = value.isNotNull() & (value >= 0) & (value < F.lit(C.AMOUNT_LIMIT).cast("decimal(38,6)"))
+    return F.coalesce(t.rlike(DECIMAL_TEXT) & (exp - frac >= -scale) & (t.rlike(ZERO_TEXT) | in_range),
+                      F.lit(False))
 
 
 def parse_frame(df: DataFrame, text_col: str = "raw_text") -> DataFrame:

@@ -31,3 +31,27 @@ def test_strict_split_matches_python(spark, lines):
         assert ok == (expected is not None), repr(line)
         if expected is not None:
             assert list(values) == expected, repr(line)
+
+
+def python_amount_ok(text, currency):
+    from decimal import Decimal, InvalidOperation
+    try:
+        amount = Decimal(text.strip())
+    except InvalidOperation:
+        return False
+    try:
+        scale = 6 if currency.strip() == "Bitcoin" else 2
+        return not (not amount.is_finite() or amount < 0 or amount.as_tuple().exponent < -scale
+                    or amount >= Decimal("1e18"))
+    except InvalidOperation:
+        return False
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.text(alphabet="0123456789._-+eE ", max_size=8),
+                          st.sampled_from(["US Dollar", "Bitcoin", " Bitcoin "])), min_size=300, max_size=300))
+def test_amount_rule_matches_python_decimal(spark, cases):
+    df = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(cases)], "i int, t string, c string")
+    got = {r["i"]: r["ok"] for r in df.select("i", contract.amount_valid(F.col("t"), F.col("c")).alias("ok")).collect()}
+    for i, (t, c) in enumerate(cases):
+        assert got[i] == python_amount_ok(t, c), (t, c)
