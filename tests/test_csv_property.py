@@ -55,3 +55,35 @@ def test_amount_rule_matches_python_decimal(spark, cases):
     got = {r["i"]: r["ok"] for r in df.select("i", contract.amount_valid(F.col("t"), F.col("c")).alias("ok")).collect()}
     for i, (t, c) in enumerate(cases):
         assert got[i] == python_amount_ok(t, c), (t, c)
+
+
+def python_ts_ok(text):
+    import datetime as dt
+    for fmt in ("%Y/%m/%d %H:%M", "%Y-%m-%d %H:%M:%S"):
+        try:
+            dt.datetime.strptime(text.strip(), fmt)
+            return True
+        except ValueError:
+            pass
+    return False
+
+
+TS = st.builds(lambda y, sep, mo, d, ws, h, mi, s, tail: (
+    f"{y}{sep}{mo}{sep}{d}{ws}{h}:{mi}" + (f":{s}" if sep == "-" else "") + tail),
+    st.sampled_from(["2022", "2024", "1999", "22", "20224"]), st.sampled_from(["/", "-"]),
+    st.sampled_from(["1", "01", "9", "09", "12", "13", "0", "00"]),
+    st.sampled_from(["1", "01", "29", "30", "31", "32", "0"]),
+    st.sampled_from([" ", "  ", "\t", "", "T"]),
+    st.sampled_from(["0", "00", "9", "23", "24"]), st.sampled_from(["0", "05", "5", "59", "60"]),
+    st.sampled_from(["0", "00", "7", "59", "60"]), st.sampled_from(["", " ", ":00", "x"]))
+
+
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.large_base_example])
+@given(st.lists(TS, min_size=300, max_size=300))
+def test_timestamp_rule_matches_strptime(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    ok, _ = contract.parse_timestamp(F.col("t"))
+    got = {r["i"]: r["ok"] for r in df.select("i", ok.alias("ok")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == python_ts_ok(t), repr(t)
