@@ -108,6 +108,7 @@ def test_header_mismatch_fails_file(spark, tmp_path):
 
 def test_backfill_range_checks(spark, tmp_path):
     p = Pipeline(spark, str(tmp_path / "store"))
+    assert p.health()["status"] == "NO DATA"
     p.ingest_file(write(tmp_path / "y_Trans.csv", [HEADER, *rows(10)]))
     with pytest.raises(ValueError):
         p.promote(mode="incremental", backfill=(0, 5))
@@ -120,3 +121,4 @@ def test_backfill_range_checks(spark, tmp_path):
     # Backfill does not move the incremental cursor; the next incremental run is idempotent.
     r2 = p.promote()
     assert r2["staged_rows"] == 10 and p.fact_current().count() == 10
+    assert p.health()["status"] == "AWAITING PUBLICATION"
