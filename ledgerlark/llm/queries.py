@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, secrets, simhash
-from .common import ship, table
+from . import bpe, lengths, mixing, quality, secrets, simhash, tokenfiles
+from .common import scratch, ship, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -33,6 +33,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "token-files")
+    tokenfiles.write(table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return tokenfiles.checksums(tokenfiles.read(spark, folder))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents"), byte_ranks(), pieces_pattern())
+    return lengths.histogram(ids.select((F.octet_length("ids") / 4).cast("long").alias("n_tokens")))
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.chosen(table(spark, sf_dir, "documents"), mixing.Plan()).drop("text_key")
 
@@ -53,4 +64,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_scan, op5_simhash, op8_mix, op9_byte_bpe, op10_quality, pipeline)}
+    op1_secret_scan, op5_simhash, op6_token_files, op7_token_counts, op8_mix, op9_byte_bpe, op10_quality, pipeline)}
