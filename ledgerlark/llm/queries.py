@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lengths, mixing, quality, secrets, simhash, tokenfiles
+from . import bpe, covertree, lengths, mixing, postings, quality, secrets, simhash, tokenfiles
 from .common import scratch, ship, table
 
 
@@ -28,6 +28,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -64,4 +72,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_scan, op5_simhash, op6_token_files, op7_token_counts, op8_mix, op9_byte_bpe, op10_quality, pipeline)}
+    op1_secret_scan, op3_cover_tree, op4_nearest, op5_simhash, op6_token_files, op7_token_counts, op8_mix, op9_byte_bpe, op10_quality, pipeline)}
