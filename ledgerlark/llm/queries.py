@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, covertree, lengths, mixing, postings, quality, secrets, simhash, tokenfiles
+from . import bpe, covertree, lengths, mixing, postings, quality, secrets, simhash, suffixes, tokenfiles
 from .common import scratch, ship, table
 
 
@@ -28,6 +28,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(suffixes.remove(table(spark, sf_dir, "documents"), least=50))
+
+
 def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
@@ -72,4 +76,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_scan, op3_cover_tree, op4_nearest, op5_simhash, op6_token_files, op7_token_counts, op8_mix, op9_byte_bpe, op10_quality, pipeline)}
+    op1_secret_scan, op2_repeated_passages, op3_cover_tree, op4_nearest, op5_simhash, op6_token_files, op7_token_counts, op8_mix, op9_byte_bpe, op10_quality, pipeline)}
