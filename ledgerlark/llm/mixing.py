@@ -87,7 +87,7 @@ def budgets(slim: DataFrame, plan: Plan) -> DataFrame:
         given = shared_out(nodes, parents, key, "__budget").select(*TREE[:depth + 1], "given", "leaf_tokens")
         if depth + 1 < len(TREE):
             given = given.drop("leaf_tokens")
-    return given.select(*TREE, "leaf_tokens", F.floor("given").cast("long").alias("budget"))
+    return given.select(*TREE, "leaf_tokens", F.floor(F.col("given") + 1e-6).cast("long").alias("budget"))
 
 
 def chosen(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
