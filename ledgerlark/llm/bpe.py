@@ -48,48 +48,51 @@ class PerfectHash:
         keys = sorted(tokens)
         n = self.n = len(keys)
         self.buckets = max(1, n // 3)
-        h = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
-        self.prime = next(p for p in range(n, 2 * n + 2) if p > 1 and all(p % q for q in range(2, int(p**0.5) + 1)))
-        base, step = h >> np.uint64(33), (h & np.uint64(0x7FFFFFFF)) % np.uint64(max(1, self.prime - 1)) + np.uint64(1)
+        self.prime = next(p for p in range(max(n, 5), 2 * n + 6) if all(p % q for q in range(2, int(p**0.5) + 1)))
+        for self.seed in range(1000):  # a seed fails if two keys always go to the same slot
+            slot_of = self._placed(np.array([xxhash.xxh3_64_intdigest(k, self.seed) for k in keys], np.uint64))
+            if slot_of is not None:
+                break
+        else:
+            raise ValueError("no seed separates the tokens")
+        self.keys: list = [b""] * n
+        self.ids = [0] * n
+        for k, s in zip(keys, slot_of.tolist()):
+            self.keys[s], self.ids[s] = k, tokens[k]
+        self.shift = self.shift.tolist()
+
+    def _placed(self, h: np.ndarray) -> np.ndarray | None:
+        """Slot of each key for these hashes; sets ``shift``."""
+        n = self.n
+        base, step = h >> np.uint64(33), (h & np.uint64(0x7FFFFFFF)) % np.uint64(self.prime - 1) + np.uint64(1)
         bucket = (h % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         groups = np.split(order, np.cumsum(np.bincount(bucket, minlength=self.buckets))[:-1])
         free, self.shift = np.arange(self.prime) < n, np.zeros(self.buckets, np.int64)
         slot_of = np.zeros(n, np.int64)
         for b in sorted(range(self.buckets), key=lambda i: -len(groups[i])):
-            g = groups[b]
-            if len(g) < 2:
-                break
-            d = 0
-            while True:
+            g, d, placed = groups[b], 0, len(groups[b]) < 2
+            while not placed and d < self.prime + 256:
                 tries = np.arange(d, d + 256, dtype=np.uint64)
                 at = ((base[g][None] + tries[:, None] * step[g][None]) % np.uint64(self.prime)).astype(np.int64)
-                ok = free[at].all(axis=1)
-                for i in np.flatnonzero(ok):
+                for i in np.flatnonzero(free[at].all(axis=1)):
                     if len({*at[i].tolist()}) == len(g):
                         free[at[i]] = False
-                        slot_of[g], self.shift[b] = at[i], d + int(i)
+                        slot_of[g], self.shift[b], placed = at[i], d + int(i), True
                         break
-                else:
-                    d += 256
-                    if d > 1 << 24:
-                        raise ValueError("two tokens have the same hash")
-                    continue
-                break
+                d += 256
+            if not placed:
+                return None
         left = iter(np.flatnonzero(free).tolist())
         for b in range(self.buckets):
             if len(groups[b]) == 1:
                 s = next(left)
                 slot_of[groups[b]], self.shift[b] = s, -s - 1
-        self.keys: list = [b""] * n
-        self.ids = np.zeros(n, np.int64)
-        for i, k in enumerate(keys):
-            self.keys[slot_of[i]], self.ids[slot_of[i]] = k, tokens[k]
-        self.shift, self.ids = self.shift.tolist(), self.ids.tolist()
+        return slot_of
 
     def get(self, key: bytes) -> int | None:
         """The key's id, or None."""
-        h = xxhash.xxh3_64_intdigest(key)
+        h = xxhash.xxh3_64_intdigest(key, self.seed)
         d = self.shift[h % self.buckets]
         s = -d - 1 if d < 0 else ((h >> 33) + d * ((h & 0x7FFFFFFF) % (self.prime - 1) + 1)) % self.prime
         return self.ids[s] if s < self.n and self.keys[s] == key else None

@@ -58,6 +58,12 @@ def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def keyed(documents: DataFrame) -> DataFrame:
+    """(row, id, key): whole rows as a struct, so that no name clashes, with their ID and text hash."""
+    return documents.select(F.struct(*(f"`{c}`" for c in documents.columns)).alias("row")).select(
+        "row", F.col("row.doc_id").alias("id"), F.xxhash64(text_or_empty("row.text")).alias("key"))
+
+
 def small_slices(batches: Iterator[pa.RecordBatch], column: str,
                  max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``max_bytes`` of ``column`` (one row at least)."""

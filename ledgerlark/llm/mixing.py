@@ -111,10 +111,8 @@ def chosen(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
 def select(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """The chosen documents, whole, once per epoch. Rows that share ID and text are chosen together."""
-    times = (chosen(documents, plan).groupBy("doc_id", "text_key").agg((F.max("epoch") + 1).alias("__times"))
-             .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__times"))
-    rows = documents.join(times.hint("shuffle_hash"), documents["doc_id"].eqNullSafe(F.col("__id"))
-                          & (F.xxhash64(common.text_or_empty(documents["text"])) == F.col("__key")))
+    times = (chosen(documents, plan).groupBy("doc_id", "text_key").agg((F.max("epoch") + 1).alias("times")))
+    rows = common.keyed(documents).join(times.hint("shuffle_hash"), F.expr("id <=> doc_id and key = text_key"))
     if plan.max_epochs > 1:
-        rows = rows.withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return rows.select(*[documents[c] for c in documents.columns])
+        rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return rows.select("row.*")

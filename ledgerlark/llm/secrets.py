@@ -140,23 +140,17 @@ def report(documents: DataFrame) -> DataFrame:
 
 def redact(documents: DataFrame, rules=RULES, mask: str = "[secret]") -> DataFrame:
     """The documents with each run of overlapping spans replaced by ``mask``; n_chars follows, where there is one."""
-    spans = scan(documents, rules).filter(F.size("spans") > 0).distinct().select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
-    rows = documents.join(spans.hint("shuffle_hash"), (documents["doc_id"].eqNullSafe(F.col("__id")))
-                          & (F.xxhash64(common.text_or_empty(documents["text"])) == F.col("__key")), "left")
-    text = documents["text"]
-    walked = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.struct(
+    spans = scan(documents, rules).filter(F.size("spans") > 0).distinct()
+    rows = common.keyed(documents).join(spans.hint("shuffle_hash"), F.expr("id <=> doc_id and key = text_key"), "left")
+    text = F.col("row.text")
+    walked = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.struct(
         F.greatest(acc["at"], s["stop"]).alias("at"),
         F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)))
         .otherwise(acc["out"]).alias("out")))
     clean = F.transform(F.array(walked), lambda w: F.concat(w["out"], F.substring(text, w["at"] + 1, F.length(text))))[0]
-    out = rows.withColumn("__text", F.when(F.col("__spans").isNull(), text).otherwise(clean))
-    cols = []
-    for c in documents.columns:
-        if c == "text":
-            cols.append(F.col("__text").alias(c))
-        elif c == "n_chars":
-            cols.append(F.when(F.col("__spans").isNull(), documents[c]).otherwise(F.length("__text")).cast(documents.schema[c].dataType).alias(c))
-        else:
-            cols.append(documents[c])
-    return out.select(*cols)
+    out = rows.select("row", F.when(F.col("spans").isNull(), text).otherwise(clean).alias("text"), F.col("spans").isNotNull().alias("changed"))
+    new = {"text": F.col("text")}
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        new["n_chars"] = F.when(F.col("changed"), F.length("text").cast(kind)).otherwise(F.col("row.n_chars"))
+    return out.select(*(new.get(c, F.col("row")[c]).alias(c) for c in documents.columns))

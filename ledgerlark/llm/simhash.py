@@ -116,10 +116,9 @@ def deduplicate(documents: DataFrame, shingle: int = 3, radius: int = 2) -> Data
     groups = near_duplicates(documents, shingle, radius)
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
     first = groups.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_key")
-    d = documents.withColumn("__key", F.struct(F.col("doc_id"), F.xxhash64(common.text_or_empty()).alias("text_key")))
-    stay = d.join(first.select(F.struct("doc_id", "text_key").alias("__first")),
-                  F.expr("__key <=> __first"), "left_semi")
-    return stay.dropDuplicates(["__key"]).drop("__key")
+    stay = common.keyed(documents).join(first.select(F.col("doc_id").alias("first"), "text_key"),
+                                        F.expr("id <=> first and key = text_key"), "left_semi")
+    return stay.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def hex_digits(fp: Column) -> Column:
