@@ -12,6 +12,7 @@ import xxhash
 
 from ledgerlark.llm import bpe, lengths, mixing, secrets, simhash, suffixes, tokenfiles, trigrams
 from ledgerlark.llm.queries import byte_ranks, tokenizer_path
+from odd_cases import none, odd, texts  # noqa: F401
 
 
 def got(df):
