@@ -19,6 +19,9 @@ def row_reconciliation(manifest: DataFrame, raw: DataFrame, staged: DataFrame, f
     """C14: per affected file: manifest vs raw vs staging vs core counts; a file with no
     raw rows still appears; is_balanced is the AND of the six equalities."""
     s = F.col("validation_status")
+    wanted = files.select("file_id").distinct()
+    of_files = lambda df, c: df.join(wanted.withColumnRenamed("file_id", c), c, "left_semi")
+    raw, staged, fact = of_files(raw, "file_id"), of_files(staged, "source_file_id"), of_files(fact, "source_file_id")
     raw_c = raw.groupBy("file_id").agg(
         F.count(F.lit(1)).alias("raw_total"), F.count_if(s == C.ACCEPTED).alias("raw_accepted"),
         F.count_if(s == C.REJECTED).alias("raw_rejected"),
@@ -34,10 +37,12 @@ def row_reconciliation(manifest: DataFrame, raw: DataFrame, staged: DataFrame, f
     j = j.select("file_id", "manifest_total", "manifest_accepted", "manifest_rejected",
                  "manifest_duplicate_candidates", z("raw_total"), z("raw_accepted"), z("raw_rejected"),
                  z("raw_duplicate_candidates"), z("staged_count"), z("core_count"))
-    bal = ((F.col("manifest_total") == F.col("raw_total")) & (F.col("manifest_accepted") == F.col("raw_accepted"))
-           & (F.col("manifest_rejected") == F.col("raw_rejected"))
-           & (F.col("manifest_duplicate_candidates") == F.col("raw_duplicate_candidates"))
-           & (F.col("raw_accepted") == F.col("staged_count")) & (F.col("staged_count") == F.col("core_count")))
+    # null-safe: a file without manifest counts (it never completed) is not balanced
+    bal = F.lit(True)
+    for a, b in (("manifest_total", "raw_total"), ("manifest_accepted", "raw_accepted"), ("manifest_rejected", "raw_rejected"),
+                 ("manifest_duplicate_candidates", "raw_duplicate_candidates"), ("raw_accepted", "staged_count"),
+                 ("staged_count", "core_count")):
+        bal = bal & F.col(a).eqNullSafe(F.col(b))
     return j.withColumn("is_balanced", bal)
 
 
@@ -93,7 +98,7 @@ def quality_gate(manifest: DataFrame, files: DataFrame, max_rejected_fraction: f
 
 def gate_failures(row_recon: DataFrame, amount_recon: DataFrame, quality: DataFrame) -> DataFrame:
     """C17: named failing gates (empty frame = publish may proceed)."""
-    a = row_recon.filter(~F.col("is_balanced")).select(F.lit("row reconciliation failed").alias("gate"), "file_id")
+    a = row_recon.filter(~F.coalesce("is_balanced", F.lit(False))).select(F.lit("row reconciliation failed").alias("gate"), "file_id")
     b = amount_recon.filter((F.col("raw_staging_delta") != 0) | (F.col("effective_core_delta") != 0)) \
         .select(F.lit("amount reconciliation failed").alias("gate"), "file_id")
     c = quality.filter(~F.col("passes_quality_policy")) \

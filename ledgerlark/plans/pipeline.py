@@ -41,7 +41,9 @@ PUB_SCHEMA = ("publication_id long, raw_cursor long, correction_cursor long, las
               "affected_days long, affected_files long, signal_rows long, mart_rows long, "
               "status string, error string, seq long")
 PUBLISHED = "published"
-MAX_CATCH_UP = 10_000
+BANK_SCHEMA = "bank_key long, bank_code string"
+ACCOUNT_SCHEMA = "account_key long, bank_key long, account_code string"
+RECONCILIATIONS = ("row_reconciliation", "amount_reconciliation")
 
 
 def _seq() -> int:
@@ -70,6 +72,20 @@ class Pipeline:
     def manifest(self, table: str = "manifest") -> DataFrame:
         return _latest(self.store.read(table, MANIFEST_SCHEMA), "file_id")
 
+    def _visible(self, table: str, manifest: str, key: str) -> DataFrame | None:
+        """Rows of completed files only: what a failed or unfinished load left behind is never read."""
+        df = self.store.read(table)
+        if df is None:
+            return None
+        done = self.manifest(manifest).filter(F.col("status") == "completed")
+        return df.join(done.select(F.col("file_id").alias(key)), key, "left_semi")
+
+    def raw(self) -> DataFrame | None:
+        return self._visible("raw", "manifest", "file_id")
+
+    def corrections(self) -> DataFrame | None:
+        return self._visible("corrections", "correction_manifest", "correction_file_id")
+
     def _max(self, table: str, col: str) -> int:
         df = self.store.read(table)
         if df is None:
@@ -128,7 +144,7 @@ class Pipeline:
             data = lines.filter(F.col("line_number") >= 2).select(
                 F.lit(file_id).cast("long").alias("file_id"),
                 F.col("line_number").alias("source_row_number"), "raw_text")
-            raw = self.store.read("raw")
+            raw = self.raw()
             accepted = None
             if raw is not None:
                 accepted = raw.filter((F.col("validation_status") == C.ACCEPTED)
@@ -200,10 +216,12 @@ class Pipeline:
                 .orderBy("line_number").limit(1).collect()
             if bad:
                 raise ValueError(f"correction row {bad[0]['line_number']}: {bad[0]['e']}")
-            raw = self.store.read("raw")
+            raw = self.raw()
+            if raw is None:
+                raise ValueError("no transaction file is loaded yet")
             accepted = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
                 F.col("raw_record_id").alias("target_raw_record_id"))
-            missing = parsed.join(accepted, "target_raw_record_id", "left_anti").limit(1).collect()  # A16
+            missing = parsed.join(accepted, "target_raw_record_id", "left_anti").orderBy("line_number").limit(1).collect()  # A16
             if missing:
                 raise ValueError(f"correction target {missing[0]['target_raw_record_id']} is not an accepted row")
             start = self._max("corrections", "correction_id")
@@ -237,9 +255,11 @@ class Pipeline:
             return base
         return pro.apply_corrections(base, pro.latest_correction(fc))
 
-    def promote(self, mode: str = "incremental", raw_limit: int | None = 100_000,
-                correction_limit: int | None = 100_000, backfill: tuple[int, int] | None = None) -> dict:
-        """Promote one window of accepted raw rows and corrections."""
+    def promote(self, mode: str = "incremental", raw_limit: int | None = None,
+                correction_limit: int | None = None, backfill: tuple[int, int] | None = None) -> dict:
+        """Promote one window of accepted raw rows and corrections (None: all that is pending)."""
+        if any(limit is not None and limit <= 0 for limit in (raw_limit, correction_limit)):
+            raise ValueError("limits must be positive")
         if mode not in ("incremental", "backfill"):
             raise ValueError("mode must be incremental or backfill")
         if mode == "incremental" and backfill is not None:
@@ -247,7 +267,7 @@ class Pipeline:
         st = self.state()
         bounds = {"raw_after": None, "raw_through": None, "correction_after": None, "correction_through": None}
         try:
-            raw = self.store.read("raw")
+            raw = self.raw()
             if raw is None:
                 return {"status": "skipped"}
             if mode == "backfill":
@@ -260,7 +280,7 @@ class Pipeline:
                 w = pro.raw_window(raw, st["last_raw_record_id"], raw_limit).collect()[0]
                 raw_after, raw_through = w["raw_after"], w["raw_through"]
                 corr_after, corr_through = st["last_correction_id"], st["last_correction_id"]
-                corr_raw = self.store.read("corrections")
+                corr_raw = self.corrections()
                 fact = self.store.read("fact")
                 if corr_raw is not None:
                     fact_ids = fact if fact is not None else self.spark.createDataFrame(
@@ -277,6 +297,8 @@ class Pipeline:
             # Idempotency joins only need existing rows inside the window's ID range.
             in_win = lambda df, col: None if df is None else df.filter(
                 pro.in_range(col, raw_after, raw_through))
+            had = lambda table, col: 0 if (df := in_win(self.store.read(table), col)) is None else df.count()
+            had_staged, had_fact = had("staging", "raw_record_id"), had("fact", "source_raw_record_id")
             new_staged = pro.stage(window, in_win(staged_all, "raw_record_id"))
             self.store.append("staging", new_staged)
             staged_all = self.store.read("staging")
@@ -287,7 +309,7 @@ class Pipeline:
                 raise RuntimeError(f"raw->staging count mismatch: {n_acc} != {n_stg}")
             corr_win = None
             if corr_through > corr_after:
-                cr = self.store.read("corrections").filter(
+                cr = self.corrections().filter(
                     pro.in_range("correction_id", corr_after, corr_through))
                 corr_win = pro.stage_corrections(cr)
             banks = self.store.read("bank_dim")
@@ -333,7 +355,7 @@ class Pipeline:
                    "last_raw_record_id": raw_through if incremental else st["last_raw_record_id"],
                    "last_correction_id": corr_through if incremental else st["last_correction_id"],
                    "max_event_time": new_max if incremental else wm,
-                   "staged_rows": n_stg, "fact_rows": n_fact, "corrections_applied": applied,
+                   "staged_rows": n_stg - had_staged, "fact_rows": n_fact - had_fact, "corrections_applied": applied,
                    "new_accounts": new_accounts.count(), "late_arriving_rows": late, "status": "promoted"}
             self._log("promotion_runs", run, RUN_SCHEMA)                                  # B17
             return run
@@ -343,29 +365,27 @@ class Pipeline:
             raise
 
     def catch_up(self, **kw) -> list[dict]:
-        """Promote until a run is skipped (at most MAX_CATCH_UP runs)."""
+        """Promote until a run is skipped. Cursors only advance, so this ends; by default in one window."""
         out = []
-        for _ in range(MAX_CATCH_UP):
-            r = self.promote(**kw)
-            out.append(r)
-            if r["status"] == "skipped":
-                return out
-        raise RuntimeError("catch-up did not finish")
+        while not out or out[-1]["status"] != "skipped":
+            out.append(self.promote(**kw))
+        return out
 
     # --- C: publish ---------------------------------------------------------------------
     def _publications(self) -> DataFrame:
         return self.store.read("publication_log", PUB_SCHEMA)
 
-    def published_days(self) -> dict[str, int]:
+    def _published(self, what: str) -> dict[str, int]:
         v = self.store.current_version(PUBLISHED)
-        if v is None:
-            return {}
-        info = self.store.read_pointer(PUBLISHED, v)
-        return info.get("days", {})
+        return {} if v is None else self.store.read_pointer(PUBLISHED, v).get(what, {})
+
+    def published_days(self) -> dict[str, int]:
+        return self._published("days")
 
     def read_published(self, table: str) -> DataFrame | None:
-        """Current published table: each day read from the run that last wrote it."""
-        days = self.published_days()
+        """Current published table: each day (reconciliations: each file) from the run that last wrote it."""
+        by_file = table in RECONCILIATIONS
+        days = self._published("files") if by_file else self.published_days()
         if not days:
             return None
         by_run: dict[int, list[str]] = {}
@@ -374,8 +394,9 @@ class Pipeline:
         parts = []
         for run, ds in sorted(by_run.items()):
             base = self.store.version_path(PUBLISHED, table, run)
-            parts.append(self.spark.read.parquet(base)
-                         .filter(F.col("event_date").isin([F.lit(d).cast("date") for d in ds])))
+            own = F.col("file_id").isin([int(d) for d in ds]) if by_file else \
+                F.col("event_date").isin([F.lit(d).cast("date") for d in ds])
+            parts.append(self.spark.read.parquet(base).filter(own))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -383,13 +404,26 @@ class Pipeline:
 
     def _fact_rows(self, fact: DataFrame) -> DataFrame:
         from ..queries import fact_with_codes
-        return fact_with_codes(fact, self.store.read("bank_dim"), self.store.read("account_dim"))
+        return fact_with_codes(fact, self.store.read("bank_dim", BANK_SCHEMA), self.store.read("account_dim", ACCOUNT_SCHEMA))
+
+    def _stored(self, table: str, pub_id: int, df: DataFrame) -> DataFrame:
+        """Write a reconciliation under the publication and check the written rows."""
+        self.store.write_version_table(PUBLISHED, table, pub_id, df)
+        return self.spark.read.schema(df.schema).parquet(self.store.version_path(PUBLISHED, table, pub_id))
+
+    def _unpublished(self) -> tuple[dict | None, DataFrame, DataFrame]:
+        """(last publication, promotion runs since it, files completed since it)."""
+        last = self._publications().filter(F.col("status") == "published").orderBy(F.col("seq").desc()).limit(1).collect()
+        prev = last[0] if last else None
+        since = F.lit(prev["seq"] if prev else 0)
+        runs = self._runs().filter((F.col("status") == "promoted") & (F.col("seq") > since))
+        files = self.manifest().filter((F.col("status") == "completed") & (F.col("seq") > since))
+        return prev, runs, files
 
     def publish(self) -> dict:
         """Refresh affected days, run every gate on the written data, then commit."""
         st = self.state()
-        raw = self.store.read("raw")
-        corr = self.store.read("corrections")
+        raw, corr = self.raw(), self.corrections()
         pending_raw = 0 if raw is None else raw.filter(
             (F.col("validation_status") == C.ACCEPTED)
             & (F.col("raw_record_id") > st["last_raw_record_id"])).limit(1).count()
@@ -398,27 +432,31 @@ class Pipeline:
         if pending_raw or pending_corr:                                                   # C1
             raise RuntimeError("promotion pending: promote before publishing")
         manifest = self.manifest()
-        if manifest.filter(F.col("status") == "started").limit(1).count():                # C2
-            raise RuntimeError("a file is still loading")
-        pubs = self._publications().filter(F.col("status") == "published")
-        last = pubs.orderBy(F.col("seq").desc()).limit(1).collect()
+        for m in (manifest, self.manifest("correction_manifest")):
+            if m.filter(F.col("status") == "started").limit(1).count():                   # C2
+                raise RuntimeError("a file is still loading")
+        prev, runs, new_files = self._unpublished()
         last_file = self._max("manifest", "file_id")
-        prev = last[0] if last else None
-        if prev is not None and prev["raw_cursor"] == st["last_raw_record_id"] \
-                and prev["correction_cursor"] == st["last_correction_id"] and prev["last_file_id"] == last_file:
-            return {"status": "skipped", "publication_id": prev["publication_id"]}         # C3
-        raw_cur = prev["raw_cursor"] if prev else 0
-        corr_cur = prev["correction_cursor"] if prev else 0
-        file_cur = prev["last_file_id"] if prev else 0
+        if raw is None or (not runs.limit(1).count() and not new_files.limit(1).count()):
+            return {"status": "skipped", "publication_id": prev["publication_id"] if prev else None}  # C3
         pub_id = self.store.next_version(PUBLISHED)
         try:
+            none = raw.limit(0)
             staging = self.store.read("staging")
-            new_staged = staging.filter(F.col("raw_record_id") > raw_cur)
+            staging = pro.stage(none) if staging is None else staging
+            # Rows that any run since the last publication promoted, backfills included.
+            raw_bounds = rec.merged_bounds(runs, "raw_after", "raw_through")
+            corr_bounds = rec.merged_bounds(runs, "correction_after", "correction_through")
+            new_staged = staging.filter(rec.in_bounds("raw_record_id", raw_bounds))
             fc = self.store.read("fact_corrections")
             base = self.store.read("fact")
+            if base is None:
+                base = pro.insert_fact(pro.stage(none), self.spark.createDataFrame([], BANK_SCHEMA),
+                                       self.spark.createDataFrame([], ACCOUNT_SCHEMA))
             fact = self.fact_current()
+            fact = base if fact is None else fact
             if fc is not None:
-                new_corr = fc.filter(F.col("correction_id") > corr_cur)
+                new_corr = fc.filter(rec.in_bounds("correction_id", corr_bounds))
                 all_corr = fc
             else:
                 new_corr = all_corr = self.spark.createDataFrame([], "correction_id long, target_raw_record_id long, "
@@ -426,8 +464,7 @@ class Pipeline:
             days = rec.affected_days(new_staged, new_corr, base, all_corr)                # C4
             day_list = [str(r[0]) for r in days.collect() if r[0] is not None]
             targets = new_corr.select(F.col("target_raw_record_id").alias("source_raw_record_id"))
-            files = (manifest.filter((F.col("status") == "completed") & (F.col("file_id") > file_cur))
-                     .select("file_id")
+            files = (new_files.select("file_id")
                      .unionByName(new_staged.select(F.col("source_file_id").alias("file_id")))
                      .unionByName(base.join(targets, "source_raw_record_id", "left_semi")
                                   .select(F.col("source_file_id").alias("file_id")))
@@ -437,25 +474,28 @@ class Pipeline:
             on_days = F.to_date("event_time").isin([F.lit(d).cast("date") for d in day_list])
             signal = risk.risk_signal(self._fact_rows(fact.filter(on_days)), self.risk_cfg)
             self.store.write_version_table(PUBLISHED, "signal", pub_id, signal, ["event_date"])
-            w_signal = self.spark.read.parquet(self.store.version_path(PUBLISHED, "signal", pub_id))
+            w_signal = self.spark.read.schema(signal.schema).parquet(self.store.version_path(PUBLISHED, "signal", pub_id))
             # The mart is built from the written signal: no second pass over the rules.
             mart = risk.daily_mart(w_signal, self.risk_cfg)
             self.store.write_version_table(PUBLISHED, "mart", pub_id, mart, ["event_date"])
-            w_mart = self.spark.read.parquet(self.store.version_path(PUBLISHED, "mart", pub_id))
+            w_mart = self.spark.read.schema(mart.schema).parquet(self.store.version_path(PUBLISHED, "mart", pub_id))
             raw_acc = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
                 "file_id", F.col("payload.payment_currency").alias("payment_currency"),
                 contract.amount_value(F.col("payload.amount_paid")).alias("amount_paid"))
             latest = pro.latest_correction(fc) if fc is not None else None
             rows_r = rec.row_reconciliation(manifest, raw, staging, base, files)           # C14
+            rows_r = self._stored("row_reconciliation", pub_id, rows_r)
             if latest is not None:
                 amounts = rec.amount_reconciliation(raw_acc, staging, latest, fact, files)  # C15/C16
             else:
                 empty = self.spark.createDataFrame([], "target_raw_record_id long, payment_currency string, "
                                                    "amount_paid decimal(24,6)")
                 amounts = rec.amount_reconciliation(raw_acc, staging, empty, fact, files)
+            amounts = self._stored("amount_reconciliation", pub_id, amounts)
             quality = rec.quality_gate(manifest, files, self.policy.max_rejected_fraction)
-            failures = [f"{r['gate']} (file {r['file_id']})"
-                        for r in rec.gate_failures(rows_r, amounts, quality).limit(20).collect()]  # C17
+            failures = [f"{r['gate']} ({r['n']} in all, first file {r['file_id']})" for r in
+                        rec.gate_failures(rows_r, amounts, quality).groupBy("gate")
+                        .agg(F.count(F.lit(1)).alias("n"), F.min("file_id").alias("file_id")).orderBy("gate").collect()]  # C17
             core_rows = fact.filter(on_days).count()
             sig_rows = w_signal.count()
             if core_rows != sig_rows:                                                      # C18
@@ -464,12 +504,15 @@ class Pipeline:
             if mart_rows != sig_rows:                                                      # C19
                 failures.append(f"mart count: {mart_rows} != {sig_rows}")
             diff = rec.currency_diff(fact.filter(on_days), w_mart)
-            bad_cur = diff.filter(F.col("amount_delta") != 0).limit(5).collect()          # C20
-            failures += [f"mart amount differs for {r['payment_currency']}" for r in bad_cur]
+            bad_cur = diff.filter(F.col("amount_delta") != 0).agg(
+                F.count(F.lit(1)).alias("n"), F.min("payment_currency").alias("c")).collect()[0]         # C20
+            if bad_cur["n"]:
+                failures.append(f"mart amount differs for {bad_cur['n']} currencies, first {bad_cur['c']}")
             if failures:
                 raise RuntimeError("; ".join(failures))
             merged = {**self.published_days(), **{d: pub_id for d in day_list}}
-            self.store.commit_version(PUBLISHED, pub_id, {"days": merged})                 # C22
+            merged_files = {**self._published("files"), **{str(f): pub_id for f in file_list}}
+            self.store.commit_version(PUBLISHED, pub_id, {"days": merged, "files": merged_files})  # C22
             out = {"publication_id": pub_id, "raw_cursor": st["last_raw_record_id"],
                    "correction_cursor": st["last_correction_id"], "last_file_id": last_file,
                    "affected_days": len(day_list), "affected_files": len(file_list),
@@ -493,38 +536,38 @@ class Pipeline:
                     F.coalesce(F.sum("rejected_rows"), F.lit(0)).alias("rejected_rows"),
                     F.coalesce(F.sum("duplicate_candidates"), F.lit(0)).alias("duplicate_candidates")
                     ).collect()[0].asDict()
+        cm = self.manifest("correction_manifest").agg(
+            F.count(F.lit(1)).alias("files"), F.count_if(F.col("status") == "failed").alias("failed"),
+            F.count_if(F.col("status") == "started").alias("loading")).collect()[0]
+        agg |= {"correction_files": cm["files"], "failed_correction_files": cm["failed"], "loading_correction_files": cm["loading"]}
         st = self.state()
-        raw = self.store.read("raw")
-        corr = self.store.read("corrections")
+        raw, corr = self.raw(), self.corrections()
         agg["pending_raw"] = 0 if raw is None else raw.filter(
             (F.col("validation_status") == C.ACCEPTED)
             & (F.col("raw_record_id") > st["last_raw_record_id"])).count()
         agg["pending_corrections"] = 0 if corr is None else corr.filter(
             F.col("correction_id") > st["last_correction_id"]).count()
         runs, pubs = self._runs(), self._publications()
-
-        def newer_failure(log: DataFrame, ok: str) -> bool:
-            last_ok = log.filter(F.col("status") == ok).agg(F.max("seq")).collect()[0][0]
-            last_bad = log.filter(F.col("status") == "failed").agg(F.max("seq")).collect()[0][0]
-            return last_bad is not None and (last_ok is None or last_bad > last_ok)
-
-        sig = self.read_published("signal")
-        agg["published_rows"] = 0 if sig is None else sig.count()
+        last = lambda log, status: log.filter(F.col("status") == status).agg(
+            F.coalesce(F.max("seq"), F.lit(0))).collect()[0][0]
+        published = last(pubs, "published")
+        mart = self.read_published("mart")
+        agg["published_rows"] = 0 if mart is None else mart.agg(
+            F.coalesce(F.sum("transaction_count"), F.lit(0))).collect()[0][0]
         agg["publication_id"] = self.store.current_version(PUBLISHED)
-        last_pub = pubs.filter(F.col("status") == "published").orderBy(F.col("seq").desc()).limit(1).collect()
-        stale = not last_pub or last_pub[0]["raw_cursor"] != st["last_raw_record_id"] \
-            or last_pub[0]["correction_cursor"] != st["last_correction_id"]
-        if agg["failed_files"]:
+        prev, new_runs, new_files = self._unpublished()
+        stale = bool(new_runs.limit(1).count() or new_files.limit(1).count())
+        if agg["failed_files"] or cm["failed"]:
             status = "FAILED FILES"
-        elif agg["loading_files"]:
+        elif agg["loading_files"] or cm["loading"]:
             status = "LOADING"
-        elif newer_failure(pubs, "published"):
+        elif last(pubs, "failed") > published:
             status = "PUBLICATION FAILED"
-        elif newer_failure(runs, "promoted"):
+        elif last(runs, "failed") > max(last(runs, "promoted"), published):
             status = "PROMOTION FAILED"
         elif agg["pending_raw"] or agg["pending_corrections"]:
             status = "AWAITING PROMOTION"
-        elif agg["accepted_rows"] and stale:
+        elif stale:
             status = "AWAITING PUBLICATION"
         elif not agg["publication_id"]:
             status = "NO DATA" if not agg["files"] else "NO PUBLICATION"
@@ -533,6 +576,11 @@ class Pipeline:
         agg["status"] = status
         return agg
 
+    def _caught_up(self) -> bool:
+        """The last publication covers every completed file and every promotion run."""
+        prev, runs, files = self._unpublished()
+        return prev is not None and not runs.limit(1).count() and not files.limit(1).count()
+
     def verify_run(self, min_source_rows: int = 1) -> DataFrame:
         """D3: full-run verification as (check_name, passed) rows; the run passes if all pass."""
         m = self.manifest().agg(
@@ -541,7 +589,7 @@ class Pipeline:
             F.coalesce(F.sum("rejected_rows"), F.lit(0)).alias("rejected"),
             F.coalesce(F.sum("duplicate_candidates"), F.lit(0)).alias("duplicates"),
             F.count_if(F.col("status") != "completed").alias("incomplete")).collect()[0]
-        raw, staging, fact = self.store.read("raw"), self.store.read("staging"), self.fact_current()
+        raw, staging, fact = self.raw(), self.store.read("staging"), self.fact_current()
         n = lambda df: 0 if df is None else df.count()
         signal, mart = self.read_published("signal"), self.read_published("mart")
         mart_rows = 0 if mart is None else mart.agg(F.coalesce(F.sum("transaction_count"), F.lit(0))).collect()[0][0]
@@ -550,7 +598,7 @@ class Pipeline:
         if raw is not None and staging is not None and fact is not None:
             base = self.store.read("fact")
             unbalanced = rec.row_reconciliation(files, raw, staging, base, files) \
-                .filter(~F.col("is_balanced")).count()
+                .filter(~F.coalesce("is_balanced", F.lit(False))).count()
             fc = self.store.read("fact_corrections")
             latest = pro.latest_correction(fc) if fc is not None else self.spark.createDataFrame(
                 [], "target_raw_record_id long, payment_currency string, amount_paid decimal(24,6)")
@@ -575,6 +623,6 @@ class Pipeline:
             ("row_reconciliation", unbalanced == 0),
             ("amount_reconciliation", amount_bad == 0),
             ("no_pending_accepted_rows", pending == 0),
-            ("publication_caught_up", self.store.current_version(PUBLISHED) is not None),
+            ("publication_caught_up", self._caught_up()),
         ]
         return self.spark.createDataFrame([(k, bool(v)) for k, v in checks], "check_name string, passed boolean")

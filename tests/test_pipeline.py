@@ -80,7 +80,9 @@ def test_recovery_scenario(spark, tmp_path):
     after = p.read_published("signal")
     assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
     assert len(before_rows) == 60
-    assert p.health()["status"] == "PUBLICATION FAILED"
+    assert p.health()["status"] == "FAILED FILES"  # the refused correction file outranks the refused publication
+    recon = {r["file_id"]: r["is_balanced"] for r in p.read_published("row_reconciliation").collect()}
+    assert recon and all(recon.values())
 
     # Repair: publish with the default policy (1 of 7 rows rejected is above 5 %, so relax it).
     ok = Pipeline(spark, str(tmp_path / "store"), policy=C.QualityPolicy(max_rejected_fraction=0.2))
@@ -90,7 +92,8 @@ def test_recovery_scenario(spark, tmp_path):
     assert sig.count() == 65
     mart = ok.read_published("mart")
     assert mart.agg({"transaction_count": "sum"}).collect()[0][0] == 65
-    assert ok.health()["status"] == "PUBLISHED"
+    assert ok.health()["status"] == "FAILED FILES" and ok.health()["failed_correction_files"] == 1
+    assert ok.read_published("amount_reconciliation").filter("effective_core_delta <> 0 or raw_staging_delta <> 0").count() == 0
     # D3: every full-run check passes after the repair.
     checks = {r["check_name"]: r["passed"] for r in ok.verify_run(min_source_rows=60).collect()}
     assert len(checks) == 12 and all(checks.values()), checks
@@ -120,5 +123,47 @@ def test_backfill_range_checks(spark, tmp_path):
     assert r["staged_rows"] == 4
     # Backfill does not move the incremental cursor; the next incremental run is idempotent.
     r2 = p.promote()
-    assert r2["staged_rows"] == 10 and p.fact_current().count() == 10
+    assert r2["staged_rows"] == r2["fact_rows"] == 6 and p.fact_current().count() == 10
     assert p.health()["status"] == "AWAITING PUBLICATION"
+
+
+def test_failed_load_is_never_read(spark, tmp_path, monkeypatch):
+    p = Pipeline(spark, str(tmp_path / "store"))
+    f = write(tmp_path / "z_Trans.csv", [HEADER, *rows(5)])
+    monkeypatch.setattr(Pipeline, "_assert_unchanged", lambda *a: (_ for _ in ()).throw(RuntimeError("source_changed_during_load")))
+    with pytest.raises(RuntimeError, match="changed"):
+        p.ingest_file(f)
+    monkeypatch.undo()
+    assert p.promote()["status"] == "skipped" and p.publish()["status"] == "skipped"
+    assert p.health()["status"] == "FAILED FILES"
+    # the same rows in another file are no duplicates of the failed load, and the failed file can be loaded again
+    assert p.ingest_file(write(tmp_path / "w_Trans.csv", [HEADER, *rows(4)]))["accepted_rows"] == 4
+    assert p.ingest_file(f)["duplicate_candidates"] == 4
+    p.catch_up()
+    assert p.fact_current().count() == 5
+    assert p.publish()["status"] == "published" and p.publish()["status"] == "skipped"
+
+
+def test_publish_on_unusual_stores(spark, tmp_path):
+    p = Pipeline(spark, str(tmp_path / "store"), policy=C.QualityPolicy(max_rejected_fraction=1.0))
+    assert p.publish()["status"] == "skipped"
+    bad = [",".join(["x"] * 11)] * 2
+    p.ingest_file(write(tmp_path / "a_Trans.csv", [HEADER, *bad]))
+    assert p.promote()["status"] == "skipped"
+    with pytest.raises(RuntimeError, match="quality policy"):
+        Pipeline(spark, str(tmp_path / "store")).publish()
+    assert p.publish()["signal_rows"] == 0
+    p.ingest_file(write(tmp_path / "b_Trans.csv", [HEADER, *rows(3)]))
+    with pytest.raises(ValueError):
+        p.promote(raw_limit=0)
+    p.catch_up(raw_limit=2)
+    assert p.publish()["signal_rows"] == 3
+    # a file of duplicates only
+    p.ingest_file(write(tmp_path / "c_Trans.csv", [HEADER, *rows(3), ""]))
+    p.catch_up()
+    assert p.health()["status"] == "AWAITING PUBLICATION"
+    assert p.publish()["affected_days"] == 0 and p.read_published("signal").count() == 3
+    assert p.health()["status"] == "PUBLISHED" and p.read_published("row_reconciliation").count() == 3
+    # a backfill leads to a publication
+    p.promote(mode="backfill", backfill=(2, 5))
+    assert p.publish()["affected_days"] >= 1
