@@ -24,7 +24,8 @@ STRICT_LINE = rf"^{FIELD}(?:,{FIELD})*$"
 FIELD_EXTRACT = r',("(?:[^"]|"")*"|[^",][^,]*|)'
 # Decimal text after stripping and removing digit-group underscores.
 DECIMAL_TEXT = r"^[+-]?(?:(\d+)(?:\.(\d*))?|\.(\d+))(?:[eE]([+-]?\d+))?$"
-TIMESTAMP_FORMATS = (("^\\d{4}/", "y/M/d H:m"), ("^\\d{4}-", "y-M-d H:m:s"))
+TIMESTAMP_FORMATS = ((r"^(?!0000)\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}$", "y/M/d H:m"),
+                     (r"^(?!0000)\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "y-M-d H:m:s"))
 # A zero mantissa: the value is 0 whatever the exponent (a cast would overflow on 0E+174).
 ZERO_TEXT = r"^[+-]?0*\.?0*(?:[eE][+-]?\d+)?$"
 # ---------------------------------------------------------------------------------

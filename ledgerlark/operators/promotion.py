@@ -8,12 +8,13 @@ numbers after the current maximum, assigned with the distributed ID helper.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import contract
-from .scale import assign_ids
+from ..session import ensure_checkpoint_dir
+from .scale import assign_ids, running_max_before
 
 FACT_VALUE_COLS = ("event_time", "from_account_key", "to_account_key", "amount_received", "receiving_currency",
                    "amount_paid", "payment_currency", "payment_format", "is_laundering")
@@ -113,13 +114,14 @@ def upsert_accounts(dim: DataFrame | None, banks: DataFrame, staged: DataFrame,
 
 
 def account_lookup(banks: DataFrame, accounts: DataFrame) -> DataFrame:
-    """(bank_code, account_code) -> account_key."""
-    return accounts.join(banks, "bank_key").select("bank_code", "account_code", "account_key")
+    """(bank_code, account_code) -> account_key; pinned once, as every side of fact and corrections reads it."""
+    ensure_checkpoint_dir(accounts.sparkSession)
+    return accounts.join(banks, "bank_key").select("bank_code", "account_code", "account_key").checkpoint(eager=True)
 
 
-def with_account_keys(df: DataFrame, banks: DataFrame, accounts: DataFrame) -> DataFrame:
+def with_account_keys(df: DataFrame, banks: DataFrame, accounts: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """Map both sides' (bank, account) codes to account keys (4 equi joins collapse to 2)."""
-    lk = account_lookup(banks, accounts)
+    lk = account_lookup(banks, accounts) if lookup is None else lookup
     f = lk.select(F.col("bank_code").alias("from_bank_code"), F.col("account_code").alias("from_account_code"),
                   F.col("account_key").alias("from_account_key"))
     t = lk.select(F.col("bank_code").alias("to_bank_code"), F.col("account_code").alias("to_account_code"),
@@ -187,11 +189,10 @@ def late_rows(staged_batch: DataFrame, watermark: Column) -> DataFrame:
 
 def late_rows_by_batch(staged: DataFrame, batch_size: int) -> DataFrame:
     """B15 for a sequence of ID-ordered batches: late rows per batch against the running
-    max event time of all earlier batches (one row per batch in the window)."""
+    max event time of all earlier batches (a running maximum over range slices)."""
     b = staged.withColumn("batch", F.floor((F.col("raw_record_id") - 1) / batch_size).cast("long"))
     per = b.groupBy("batch").agg(F.max("event_time").alias("_bmax"))
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
-    wm = per.withColumn("watermark", F.max("_bmax").over(w)).select("batch", "watermark")
+    wm = running_max_before(per, "batch", "_bmax", "watermark").select("batch", "watermark")
     return (b.join(wm, "batch").groupBy("batch")
             .agg(F.count(F.lit(1)).alias("staged_rows"),
                  F.count_if(F.col("event_time") < F.col("watermark")).alias("late_arriving_rows")))

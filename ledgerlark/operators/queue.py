@@ -42,8 +42,11 @@ def queue_cases(queue: DataFrame, transactions: DataFrame, features: DataFrame)
 
 
 def display_amount(x: Column) -> Column:
-    """Thousands separators, trailing zeros stripped, no rounding to cents."""
-    return F.call_function("format_number", x.cast("double"), F.lit("#,##0.###############"))
+    """Thousands separators, trailing zeros stripped, no rounding: the digits come from the exact decimal."""
+    text = x.cast("decimal(38,18)").cast("string")
+    whole = F.regexp_replace(F.substring_index(text, ".", 1), r"(?<=\d)(?=(?:\d{3})+$)", ",")
+    part = F.regexp_replace(F.substring_index(text, ".", -1), "0+$", "")
+    return F.when(part == "", whole).otherwise(F.concat(whole, F.lit("."), part))
 
 
 def _yes_no(c: str) -> Column:
@@ -74,7 +77,7 @@ def reason_text(name: Column) -> Column:
             .when(name == "has_prior_history", F.concat(F.lit("Earlier sender history: "), _yes_no("has_prior_history")))
             .when(name == "Time of day", F.format_string("Time of day: %02d:00 hour", F.col("transaction_hour")))
             .when(name == "Day of week", F.concat(F.lit("Day of week: "), weekday))
-            .when(F.instr(name, "=") > 0, F.concat(cat_label, F.lit(": "), F.substring_index(name, "=", -1)))
+            .when(F.instr(name, "=") > 0, F.concat(cat_label, F.lit(": "), F.regexp_replace(name, "^[^=]*=", "")))
             .otherwise(F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))))
 
 

@@ -80,9 +80,15 @@ def rule_hits(signal: DataFrame) -> DataFrame:
         F.count_if("repeated_counterparty").alias("counterparty_hits"))
 
 
-def daily_with_hits(mart: DataFrame, signal: DataFrame) -> DataFrame:
-    """H6 + H7 joined on the grain."""
-    return fact_daily(mart).join(rule_hits(signal), ["event_date", "payment_currency", "payment_format"])
+def daily_with_hits(signal: DataFrame, alert_score: int = 2) -> DataFrame:
+    """H6 + H7 from one pass over the signal: counts, alerts, labels and rule hits per date x currency x format."""
+    return signal.groupBy("event_date", "payment_currency", "payment_format").agg(
+        F.count(F.lit(1)).alias("transaction_count"),
+        F.count_if(F.col("risk_score") >= alert_score).alias("risk_alert_count"),
+        F.count_if(F.col("is_laundering").cast("int") == 1).alias("labelled_laundering_count"),
+        F.count_if("high_amount_for_currency_day").alias("amount_hits"),
+        F.count_if("high_hourly_velocity").alias("velocity_hits"),
+        F.count_if("repeated_counterparty").alias("counterparty_hits"))
 
 
 def pseudonym(key: Column) -> Column:
@@ -252,20 +258,22 @@ def selection(daily_hits: DataFrame, date: str | None = None, currency: str | No
 
 
 def currency_leaders(daily: DataFrame) -> DataFrame:
-    """Per currency, the format with the most transactions and the one with the highest alert rate."""
-    per = daily.groupBy("payment_currency", "payment_format").agg(
-        F.sum("transaction_count").alias("t"), F.sum("risk_alert_count").alias("a"))
+    """The currency with the most alerts and the one with the highest alert rate (ties: the first name)."""
+    per = daily.groupBy("payment_currency").agg(F.sum("transaction_count").alias("t"), F.sum("risk_alert_count").alias("a"))
     per = per.withColumn("rate", F.try_divide(F.col("a").cast("double"), F.nullif("t", F.lit(0))))
-    return per.groupBy("payment_currency").agg(
-        F.max_by("payment_format", F.struct("t", F.col("payment_format"))).alias("top_format_by_count"),
-        F.max_by("payment_format", F.struct("rate", F.col("payment_format"))).alias("top_format_by_alert_rate"))
+    best = lambda c: F.min_by("payment_currency", F.struct((-F.col(c)).alias("v"), "payment_currency"))
+    return per.filter("rate is not null").agg(best("a").alias("most_alerts"), best("rate").alias("highest_alert_rate"))
 
 
 def rule_bounds_violations(daily_hits: DataFrame) -> DataFrame:
-    """Rows where alerts fall outside [max, sum] of the two 2-point rule hit counts."""
+    """Rows where alerts fall outside [max, sum] of the two 2-point rule hit counts, or where alerts or
+    any rule's hits fall outside [0, transactions]."""
     hi = F.col("amount_hits") + F.col("velocity_hits")
     lo = F.greatest("amount_hits", "velocity_hits")
-    return daily_hits.filter((F.col("risk_alert_count") < lo) | (F.col("risk_alert_count") > hi))
+    n = F.col("transaction_count")
+    most = F.greatest("risk_alert_count", "amount_hits", "velocity_hits", "counterparty_hits")
+    least = F.least("risk_alert_count", "amount_hits", "velocity_hits", "counterparty_hits")
+    return daily_hits.filter((F.col("risk_alert_count") < lo) | (F.col("risk_alert_count") > hi) | (most > n) | (least < 0))
 
 
 def identifier_columns(df: DataFrame) -> list[str]:

@@ -68,18 +68,26 @@ def amount_percent_rank(fact: DataFrame) -> DataFrame:
                     pr.alias("amount_percent_rank")))
 
 
+def high_amount_cutoff(fact: DataFrame, cfg: RiskConfig = RiskConfig()) -> DataFrame:
+    """C10/C11 as one number per date x currency: percent_rank grows with the amount, so the high-amount
+    rule holds exactly from the smallest amount that reaches it. Groups that are too small have no row."""
+    ranks = amount_percent_rank(fact).filter(
+        (F.col("currency_day_count") >= cfg.high_amount_min_rows)
+        & (F.col("amount_percent_rank") >= cfg.high_amount_percent_rank))
+    return ranks.groupBy("event_date", "payment_currency").agg(F.min("amount_paid").alias("_cutoff"))
+
+
 def risk_signal(fact: DataFrame, cfg: RiskConfig = RiskConfig()) -> DataFrame:
     """Rule flags and 0..5 score per transaction. The label is carried, never used."""
     base = with_event_date(fact)
     f = base.withColumn("activity_hour", event_hour())
     hourly = hourly_velocity(base)
     pair = counterparty_count(base)
-    ranks = amount_percent_rank(base)
+    cutoff = high_amount_cutoff(base, cfg)
     joined = (f.join(hourly, ["event_date", "from_bank", "from_account", "activity_hour", "payment_currency"])
                .join(pair, ["event_date", "from_bank", "from_account", "to_bank", "to_account", "payment_currency"])
-               .join(ranks, ["event_date", "payment_currency", "amount_paid"]))
-    high_amount = ((F.col("currency_day_count") >= cfg.high_amount_min_rows)
-                   & (F.col("amount_percent_rank") >= cfg.high_amount_percent_rank))
+               .join(cutoff, ["event_date", "payment_currency"], "left"))
+    high_amount = F.coalesce(F.col("amount_paid") >= F.col("_cutoff"), F.lit(False))
     velocity = F.col("hourly_outgoing_count") >= cfg.velocity_min
     repeat = F.col("daily_counterparty_count") >= cfg.counterparty_min
     score = (F.when(high_amount, cfg.high_amount_points).otherwise(0)

@@ -76,7 +76,25 @@ def grouped_cumsum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
 
 def assign_ids(df: DataFrame, order_cols: Sequence[str], out_col: str, start_after: int = 0,
                num_partitions: int | None = None) -> DataFrame:
-    """Dense consecutive IDs ``start_after + 1 ..`` in ``order_cols`` order (keys unique)."""
+    """Dense consecutive IDs ``start_after + 1 ..`` in ``order_cols`` order (keys unique).
+
+    The numbered rows are pinned too: dimensions are read many times downstream, and each
+    use is then one scan instead of the offset join again.
+    """
     one = df.withColumn("_ll_one", F.lit(1).cast("long"))
     numbered = grouped_cumsum(one, [], order_cols, "_ll_one", out_col, True, num_partitions)
-    return numbered.withColumn(out_col, F.col(out_col) + F.lit(start_after)).drop("_ll_one")
+    return numbered.withColumn(out_col, F.col(out_col) + F.lit(start_after)).drop("_ll_one").checkpoint(eager=True)
+
+
+def running_max_before(df: DataFrame, order_col: str, value_col: str, out_col: str) -> DataFrame:
+    """Adds the largest value of all rows before this one in ``order_col`` order (unique keys; null for the first).
+
+    As in ``grouped_cumsum`` every range slice runs on its own, and takes the maximum of earlier slices.
+    """
+    ranged = ranged_snapshot(df, [order_col])
+    local = Window.partitionBy(_PID).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    slices = ranged.groupBy(_PID).agg(F.max(value_col).alias(_TOTAL))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    offsets = slices.select(_PID, F.max(_TOTAL).over(before).alias(_OFFSET))
+    joined = ranged.withColumn(_LOCAL, F.max(value_col).over(local)).join(offsets, _PID)
+    return joined.withColumn(out_col, F.greatest(_LOCAL, _OFFSET)).drop(_PID, _LOCAL, _OFFSET)

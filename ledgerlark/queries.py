@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import risk
+from .session import ensure_checkpoint_dir
 from .sources import adapter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -333,7 +334,11 @@ def fact_current_world(spark, sf_dir):
 
 
 def fact_with_codes(fact: DataFrame, banks: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Fact rows with sender/receiver codes, the input shape of the risk rules."""
+    """Fact rows with sender/receiver codes, the input shape of the risk rules.
+
+    Pinned: the rules read them once per count and once per row, and the joins should run once.
+    """
+    ensure_checkpoint_dir(fact.sparkSession)
     lk = pro.account_lookup(banks, accounts)
     f = lk.select(F.col("account_key").alias("from_account_key"), F.col("bank_code").alias("from_bank"),
                   F.col("account_code").alias("from_account"))
@@ -343,7 +348,7 @@ def fact_with_codes(fact: DataFrame, banks: DataFrame, accounts: DataFrame) -> D
             .select(F.col("source_raw_record_id").alias("transaction_key"), "source_file_id", "event_time",
                     "from_bank", "from_account", "to_bank", "to_account", "amount_paid", "payment_currency",
                     "payment_format", F.col("is_laundering").cast("int").alias("is_laundering"),
-                    "current_correction_id"))
+                    "current_correction_id").checkpoint(eager=True))
 
 
 @register("promote_raw_window")
@@ -364,7 +369,7 @@ def q_corr_window(spark, sf_dir):
 
 @register("promote_bank_dim")
 def q_bank_dim(spark, sf_dir):
-    return dims_world(spark, sf_dir)[2]
+    return pro.upsert_banks(None, staged_world(spark, sf_dir), corrections_world(spark, sf_dir))
 
 
 @register("promote_account_dim")
@@ -597,7 +602,7 @@ def q_report_alerts(spark, sf_dir):
 @register("report_fact_daily")
 def q_report_fact_daily(spark, sf_dir):
     sig, mart = published(spark, sf_dir)
-    return rp.daily_with_hits(mart, sig)
+    return rp.daily_with_hits(sig)
 
 
 @register("report_alert_sample")
@@ -623,7 +628,7 @@ def q_report_calendar(spark, sf_dir):
 @register("report_measures_by_currency")
 def q_report_measures(spark, sf_dir):
     sig, mart = published(spark, sf_dir)
-    return r9(rp.measures(rp.daily_with_hits(mart, sig), ["payment_currency"]))
+    return r9(rp.measures(rp.daily_with_hits(sig), ["payment_currency"]))
 
 
 @register("report_daily_change")
@@ -639,7 +644,7 @@ def q_report_share(spark, sf_dir):
 @register("report_rule_hits")
 def q_report_rule_hits(spark, sf_dir):
     sig, mart = published(spark, sf_dir)
-    return rp.rule_hits_by_selector(rp.daily_with_hits(mart, sig))
+    return rp.rule_hits_by_selector(rp.daily_with_hits(sig))
 
 
 @register("report_alert_quality")
@@ -660,4 +665,4 @@ def q_report_recent(spark, sf_dir):
 @register("report_rule_bounds")
 def q_report_bounds(spark, sf_dir):
     sig, mart = published(spark, sf_dir)
-    return rp.rule_bounds_violations(rp.daily_with_hits(mart, sig)).agg(F.count(F.lit(1)).alias("violations"))
+    return rp.rule_bounds_violations(rp.daily_with_hits(sig)).agg(F.count(F.lit(1)).alias("violations"))

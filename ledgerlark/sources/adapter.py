@@ -17,14 +17,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a driver table. A small input stored as one row group arrives as one split,
-    which would run every per-row stage in one task; such an input (fewer splits than
-    the default parallelism) is spread round-robin. Large inputs keep their splits."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+    """Scan a driver table; split sizes are the session's."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -127,10 +121,10 @@ def csv_lines(events: DataFrame) -> DataFrame:
     text = (F.when(r == 6, short)
             .when(r == 7, F.concat(F.lit('"'), full))
             .otherwise(full))
-    base = t.select("file_id", (F.col("event_id") + 2).alias("source_row_number"),
+    base = t.select("file_id", (F.col("event_id") * 2 + 2).alias("source_row_number"),
                     text.alias("raw_text"), "event_id")
     copies = (base.filter(F.col("event_id") % 13 == 0)
-              .withColumn("source_row_number", F.col("source_row_number") + F.lit(1_000_000_000)))
+              .withColumn("source_row_number", F.col("source_row_number") + 1))
     return base.unionByName(copies).drop("event_id")
 
 
