@@ -266,9 +266,15 @@ def q_precision_loss(spark, sf_dir):
     return met.precision_loss(mtx(spark, sf_dir))
 
 
+def fine_amounts(spark, sf_dir) -> DataFrame:
+    """The modelling table with amounts below a cent, so that rounding to two decimals changes something."""
+    more = ((F.col("transaction_id") % 7) * F.lit("0.001234").cast("decimal(8,6)")).cast("decimal(38,12)")
+    return mtx(spark, sf_dir).withColumn("amount_paid", (F.col("amount_paid") + more).cast("decimal(38,12)"))
+
+
 @register("rounded_control_compare")
 def q_rounded_compare(spark, sf_dir):
-    t = mtx(spark, sf_dir)
+    t = fine_amounts(spark, sf_dir)
     a = feat.features(t)
     b = feat.features(met.rounded_control(t))
     return r9(met.compare_runs(a, b, "transaction_id", ["amount_paid", "prior_average_amount"],
@@ -277,7 +283,7 @@ def q_rounded_compare(spark, sf_dir):
 
 @register("queue_overlap")
 def q_queue_overlap(spark, sf_dir):
-    t = mtx(spark, sf_dir)
+    t = fine_amounts(spark, sf_dir)
     full = feat.with_split(feat.features(t), TRAIN_END, VALIDATION_END)
     rounded = feat.with_split(feat.features(met.rounded_control(t)), TRAIN_END, VALIDATION_END)
     model = LogisticModel.fixed(full.filter(F.col("data_split") == "train"))
