@@ -417,12 +417,23 @@ def q_state(spark, sf_dir):
     return pro.advance_state(staged_world(spark, sf_dir), corrections_world(spark, sf_dir))
 
 
+def faulty_layers(spark, sf_dir):
+    """Manifest, raw, staging and core of the rendered files, with planted faults: file 1 lost core rows, file 2
+    counts a row too many, file 3 lost staged rows, file 99 never finished loading."""
+    raw = cls.with_raw_ids(classified_lines(spark, sf_dir))
+    counts = cls.manifest_counts(raw)
+    started = spark.createDataFrame([(99,)], "file_id long").select(
+        *[F.col(c) if c == "file_id" else F.lit(None).cast("long").alias(c) for c in counts.columns])
+    manifest = counts.withColumn("total_rows", F.col("total_rows") + (F.col("file_id") == 2).cast("long")).unionByName(started)
+    staged = pro.stage(raw).filter(~((F.col("source_file_id") == 3) & F.col("record_hash").startswith("00")))
+    core = staged.filter(~((F.col("source_file_id") == 1) & F.col("record_hash").startswith("ff")))
+    return manifest, raw, staged, core
+
+
 @register("reconcile_rows")
 def q_reconcile_rows(spark, sf_dir):
-    raw = cls.with_raw_ids(classified_lines(spark, sf_dir))
-    manifest = cls.manifest_counts(raw)
-    staged = pro.stage(raw)
-    return rec.row_reconciliation(manifest, raw, staged, staged, manifest)
+    manifest, raw, staged, core = faulty_layers(spark, sf_dir)
+    return rec.row_reconciliation(manifest, raw, staged, core, manifest)
 
 
 @register("quality_gate")
@@ -433,22 +444,22 @@ def q_quality_gate(spark, sf_dir):
 
 @register("reconcile_amounts")
 def q_reconcile_amounts(spark, sf_dir):
+    """With planted faults: cents added to some raw amounts of file 1, core rows of file 2 lost."""
     s, c, banks, accounts, fact = fact_current_world(spark, sf_dir)
-    raw_acc = s.select(F.col("source_file_id").alias("file_id"), "payment_currency", "amount_paid")
-    files = raw_acc.select("file_id")
-    return rec.amount_reconciliation(raw_acc, s, pro.latest_correction(c), fact, files)
+    cent = F.when((F.col("source_file_id") == 1) & (F.col("raw_record_id") % 500 == 0), F.lit("0.01").cast("decimal(24,6)")).otherwise(0)
+    raw_acc = s.select(F.col("source_file_id").alias("file_id"), "payment_currency", (F.col("amount_paid") + cent).alias("amount_paid"))
+    core = fact.filter(~((F.col("source_file_id") == 2) & (F.col("source_raw_record_id") % 700 == 0)))
+    return rec.amount_reconciliation(raw_acc, s, pro.latest_correction(c), core, raw_acc.select("file_id"))
 
 
 @register("reconcile_data_tests")
 def q_recon_tests(spark, sf_dir):
-    """Amount groups with a non-zero delta; completed files missing from the row
-    reconciliation or unbalanced."""
+    """Amount groups with a non-zero delta; files missing from the row reconciliation or unbalanced."""
     amounts = q_reconcile_amounts(spark, sf_dir)
     d9 = amounts.filter((F.col("raw_staging_delta") != 0) | (F.col("effective_core_delta") != 0)) \
         .agg(F.count(F.lit(1)).alias("failures")).select(F.lit("amount_delta_nonzero").alias("check_name"), "failures")
-    raw = cls.with_raw_ids(classified_lines(spark, sf_dir))
-    manifest = cls.manifest_counts(raw)
-    rows = rec.row_reconciliation(manifest, raw, pro.stage(raw), pro.stage(raw), manifest)
+    manifest, raw, staged, core = faulty_layers(spark, sf_dir)
+    rows = rec.row_reconciliation(manifest, raw, staged, core, manifest.filter("file_id <> 4"))  # file 4 is missing
     missing = manifest.select("file_id").join(rows.select("file_id"), "file_id", "left_anti")
     bad = rows.filter(~F.col("is_balanced")).select("file_id").unionByName(missing)
     d10 = bad.agg(F.count(F.lit(1)).alias("failures")) \
@@ -672,3 +683,46 @@ def q_report_recent(spark, sf_dir):
 def q_report_bounds(spark, sf_dir):
     sig, mart = published(spark, sf_dir)
     return rp.rule_bounds_violations(rp.daily_with_hits(sig)).agg(F.count(F.lit(1)).alias("violations"))
+
+
+@register("report_quality_rollup")
+def q_report_rollup(spark, sf_dir):
+    return rp.quality_rollup(q_reconcile_rows(spark, sf_dir), q_reconcile_amounts(spark, sf_dir))
+
+
+@register("report_row_balance")
+def q_report_balance(spark, sf_dir):
+    return rp.row_balance(q_reconcile_rows(spark, sf_dir))
+
+
+@register("report_quality_status")
+def q_report_status(spark, sf_dir):
+    """The status over all files, over the balanced file, and over none."""
+    rows, amounts = q_reconcile_rows(spark, sf_dir), q_reconcile_amounts(spark, sf_dir)
+    parts = [rp.quality_status(rows.filter(keep), amounts.filter(keep)).withColumn("files", F.lit(name))
+             for name, keep in (("all", "true"), ("balanced", "file_id = 4"), ("none", "false"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("report_export_checks")
+def q_report_export_checks(spark, sf_dir):
+    """The assertions on a sound export, and on one that holds the cash rows twice."""
+    sig, mart = published(spark, sf_dir)
+    daily, ctrl = rp.daily_with_hits(sig), rp.controls(mart)
+    twice = daily.unionByName(daily.filter("payment_format = 'Cash'"))
+    return rp.check_export(daily, ctrl).withColumn("export", F.lit("sound")).unionByName(
+        rp.check_export(twice, ctrl).withColumn("export", F.lit("doubled")))
+
+
+@register("report_selection")
+def q_report_selection(spark, sf_dir):
+    daily = rp.daily_with_hits(published(spark, sf_dir)[0])
+    picks = (("Euro", "Cheque"), ("US Dollar", None), ("Not present", None))
+    parts = [r9(rp.selection(daily, currency=c, fmt=f)).withColumn("picked", F.lit(f"{c}/{f or 'any'}")) for c, f in picks]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("report_captions")
+def q_report_captions(spark, sf_dir):
+    sig, mart = published(spark, sf_dir)
+    return rp.captions(mart, rp.alert_sample(sig).count(), 1)
