@@ -533,7 +533,7 @@ from .operators import queue as qu  # noqa: E402
 from .operators import report as rp  # noqa: E402
 
 
-def cases_frame(spark, sf_dir, n: int = 10_000) -> DataFrame:
+def cases_frame(spark, sf_dir, n: int = 1_500) -> DataFrame:
     """Queue cases with the spike rule (no explanation arrays)."""
     t = mtx(spark, sf_dir)
     f = feature_frame(spark, sf_dir)
@@ -559,7 +559,7 @@ def q_case_explanations(spark, sf_dir):
     t = mtx(spark, sf_dir)
     f = feature_frame(spark, sf_dir)
     model = LogisticModel.fixed(f.filter(F.col("data_split") == "train"))
-    cases = qu.queue_cases(qu.review_queue(model.score(f), 10_000), t, f)
+    cases = qu.queue_cases(qu.review_queue(model.score(f), 1_500), t, f)
     e = qu.explain(cases, model)
     return r9(e.select("review_rank", "transaction_id", "model_reason_1", "reason_1_effect", "model_reason_2",
                        "reason_2_effect", "model_reason_3", "reason_3_effect", "amount_spike_rule", "rule_reason",
@@ -568,7 +568,7 @@ def q_case_explanations(spark, sf_dir):
 
 @register("case_filter")
 def q_case_filter(spark, sf_dir):
-    c = qu.filter_cases(cases_frame(spark, sf_dir), rank_max=2000, currency="Euro", search="a3")
+    c = qu.filter_cases(cases_frame(spark, sf_dir), rank_max=1000, currency="Euro", search="a3")
     return r9(c.select("review_rank", "transaction_id", "from_bank", "from_account", "payment_currency"))
 
 
@@ -608,12 +608,12 @@ def q_report_totals(spark, sf_dir):
 
 @register("report_daily_export")
 def q_report_daily(spark, sf_dir):
-    return rp.daily_export(published(spark, sf_dir)[1])
+    return rp.daily_export(published(spark, sf_dir)[1], 300)
 
 
 @register("report_alert_export")
 def q_report_alerts(spark, sf_dir):
-    return rp.alert_export(published(spark, sf_dir)[0])
+    return rp.alert_export(published(spark, sf_dir)[0], 50)
 
 
 @register("report_fact_daily")
