@@ -23,6 +23,27 @@ def parse_lines(lines: DataFrame, text_col: str = "raw_text") -> DataFrame:
     return contract.parse_frame(lines, text_col)
 
 
+def parse_corrections(lines: DataFrame, text_col: str = "raw_text") -> DataFrame:
+    """Correction lines split once, then tested in contract order: CSV form, width, target, the 11 fields.
+    Adds target_raw_record_id, payload, record_hash and ``error`` (null for a good row)."""
+    line, width = F.col(text_col), len(C.HEADERS) + 1
+    rows = lines.withColumn("_strict_line", contract.is_strict_csv(line))
+    rows = rows.withColumn("_fields", F.when(F.col("_strict_line"), contract.split_fields(line)))
+    whole = F.size("_fields") == width
+    quoted = F.transform(F.slice("_fields", 2, width - 1), lambda x: F.when(
+        x.rlike('[",]'), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x))
+    target = contract.strip(F.get(F.col("_fields"), F.lit(0)))
+    number = F.when(target.rlike(r"^[+-]?\d+(?:_\d+)*$"), F.replace(target, F.lit("_"), F.lit("")).try_cast("long"))
+    rows = rows.withColumn("_rest", F.when(whole, F.concat_ws(",", quoted)).otherwise(F.lit(""))) \
+        .withColumn("target_raw_record_id", F.when(whole, number))
+    parsed = parse_lines(rows, "_rest")
+    error = (F.when(~F.col("_strict_line"), F.lit(C.MALFORMED_REASON))
+             .when(F.size("_fields") != width, F.lit("wrong_column_count"))
+             .when(F.coalesce(F.col("target_raw_record_id"), F.lit(0)) <= 0, F.lit("invalid_target_id"))
+             .when(F.size("reason_codes") > 0, F.array_join("reason_codes", ",")))
+    return parsed.withColumn("error", error).drop("_strict_line", "_fields", "_rest", "reason_codes")
+
+
 def classify(parsed: DataFrame, accepted_hashes: DataFrame | None = None,
              order_cols: tuple[str, ...] = ("file_id", "source_row_number")) -> DataFrame:
     """A10: validation_status and final reason codes for one incoming batch."""

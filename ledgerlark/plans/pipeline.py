@@ -198,21 +198,14 @@ class Pipeline:
             first = lines.filter(F.col("line_number") == 1).collect()
             if not first:
                 raise ValueError("empty_correction_file")
-            expected = ",".join((C.CORRECTION_TARGET_HEADER, *C.HEADERS))
-            if first[0]["raw_text"] != expected:
+            head = lines.filter(F.col("line_number") == 1)
+            expected = F.array(*[F.lit(h) for h in (C.CORRECTION_TARGET_HEADER, *C.HEADERS)])
+            good = contract.is_strict_csv(F.col("raw_text")) & (contract.split_fields(F.col("raw_text")) == expected)
+            if not head.filter(good).count():
                 raise ValueError("correction_header_mismatch")
             rows = lines.filter(F.col("line_number") >= 2)
-            strict = contract.is_strict_csv(F.col("raw_text"))
-            target_text = F.regexp_extract("raw_text", r"^([^,]*),", 1)
-            rest = F.regexp_extract("raw_text", r"^[^,]*,(.*)$", 1)
-            parsed = cls.parse_lines(rows.select(
-                "line_number", "raw_text", strict.alias("_line_ok"),
-                F.trim(target_text).try_cast("long").alias("target_raw_record_id"),
-                rest.alias("_rest")), "_rest")
-            err = (F.when(~F.col("_line_ok"), F.lit(C.MALFORMED_REASON))
-                   .when(F.coalesce(F.col("target_raw_record_id"), F.lit(0)) <= 0, F.lit("invalid_target_id"))
-                   .when(F.size("reason_codes") > 0, F.array_join("reason_codes", ",")))
-            bad = parsed.filter(err.isNotNull()).select("line_number", err.alias("e")) \
+            parsed = cls.parse_corrections(rows.select("line_number", "raw_text"))
+            bad = parsed.filter(F.col("error").isNotNull()).select("line_number", F.col("error").alias("e")) \
                 .orderBy("line_number").limit(1).collect()
             if bad:
                 raise ValueError(f"correction row {bad[0]['line_number']}: {bad[0]['e']}")

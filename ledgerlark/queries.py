@@ -726,3 +726,25 @@ def q_report_selection(spark, sf_dir):
 def q_report_captions(spark, sf_dir):
     sig, mart = published(spark, sf_dir)
     return rp.captions(mart, rp.alert_sample(sig).count(), 1)
+
+
+@register("correction_errors")
+def q_correction_errors(spark, sf_dir):
+    """Correction lines rendered from the events, with a fault by ID: error and parsed target of each."""
+    c = adapter.corrections(events(spark, sf_dir))
+    r = F.col("correction_id") % 9
+    cents = lambda x: F.col(x).cast("decimal(18,2)").cast("string")
+    target = F.col("target_raw_record_id").cast("string")
+    fields = [
+        F.when(r == 1, F.lit("0")).when(r == 3, F.lit("x1")).when(r == 5, F.concat(F.lit('"'), target, F.lit('"')))
+        .when(r == 7, F.concat(F.lit(" +"), target)).otherwise(target),
+        F.when(r == 6, F.lit("2024/02/30 10:00")).otherwise(F.date_format("event_time", "yyyy/MM/dd HH:mm")),
+        F.col("from_bank"), F.when(r == 6, F.lit(" ")).otherwise(F.col("from_account")), F.col("to_bank"), F.col("to_account"),
+        cents("amount_received"), F.col("receiving_currency"), cents("amount_paid"), F.col("payment_currency"),
+        F.when(r == 8, F.concat(F.lit('"'), F.col("payment_format"), F.lit(', again"'))).otherwise(F.col("payment_format")),
+    ]
+    label = F.col("is_laundering").cast("int").cast("string")
+    text = F.concat_ws(",", *fields, F.when(~r.isin(2, 3), label))
+    lines = c.select("correction_id", F.when(r == 4, F.concat(F.lit('"'), text)).otherwise(text).alias("raw_text"))
+    return cls.parse_corrections(lines).select("correction_id", "target_raw_record_id", "error",
+                                               F.col("payload.payment_format").alias("payment_format"))
