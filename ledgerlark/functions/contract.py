@@ -67,10 +67,6 @@ def parse_timestamp(text: Column) -> tuple[Column, Column]:
     return valid, value
 
 
-def amount_scale(currency: Column) -> Column:
-    return F.when(strip(currency) == C.HIGH_SCALE_CURRENCY, C.HIGH_SCALE).otherwise(C.DEFAULT_SCALE)
-
-
 def amount_text(text: Column) -> Column:
     return F.replace(strip(text), F.lit("_"), F.lit(""))
 
@@ -84,21 +80,6 @@ def written_exponent(text: Column) -> Column:
     return exp - frac
 
 
-def amount_valid(text: Column, currency: Column) -> Column:
-    """Finite, >= 0, < 1e18 and written with at most 2 (Bitcoin: 6) decimals.
-
-    The written scale is the exponent of the text (fraction digits minus the
-    exponent), so '1.000' is too precise for dollars although it equals 1.
-    """
-    t = amount_text(text)
-    value = t.try_cast("decimal(38,6)")
-    in_range = value.isNotNull() & (value >= 0) & (value < F.lit(C.AMOUNT_LIMIT).cast("decimal(38,6)"))
-    return F.coalesce(
-        t.rlike(DECIMAL_TEXT) & (written_exponent(text) >= -amount_scale(currency))
-        & (t.rlike(ZERO_TEXT) | in_range),
-        F.lit(False))
-
-
 def amount_value(text: Column) -> Column:
     t = amount_text(text)
     return F.when(t.rlike(ZERO_TEXT), F.lit(0).cast("decimal(24,6)")).otherwise(t.try_cast("decimal(24,6)"))
@@ -109,7 +90,11 @@ def field(values: Column, i: int) -> Column:
 
 
 def amount_checks(t: Column, currency: Column) -> Column:
-    """Validity of an already stripped, underscore-free amount text (see amount_valid)."""
+    """Finite, >= 0, < 1e18 and written with at most 2 (Bitcoin: 6) decimals; for a stripped, underscore-free text.
+
+    The written scale is the exponent of the text (fraction digits minus the
+    exponent), so '1.000' is too precise for dollars although it equals 1.
+    """
     m = F.regexp_extract
     frac = F.length(F.coalesce(F.nullif(m(t, DECIMAL_TEXT, 2), F.lit("")), m(t, DECIMAL_TEXT, 3)))
     exp = F.coalesce(F.nullif(m(t, DECIMAL_TEXT, 4), F.lit("")).try_cast("decimal(38,0)"), F.lit(0))
@@ -158,27 +143,6 @@ def parse_frame(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
     return s5.withColumn("record_hash", record_hash(F.col("payload")))
 
 
-def reason_codes(values: Column) -> Column:
-    """Ordered reason codes for a split row (single-expression form, for small inputs)."""
-    v = lambda i: strip(field(values, i))
-    ts_ok, _ = parse_timestamp(v(0))
-    checks = [F.when(~ts_ok, F.lit("invalid_timestamp"))]
-    for idx, name in ((1, "from_bank"), (2, "from_account"), (3, "to_bank"), (4, "to_account"),
-                      (6, "receiving_currency"), (8, "payment_currency"), (9, "payment_format")):
-        checks.append(F.when(F.length(v(idx)) == 0, F.lit(f"missing_{name}")))
-    checks.append(F.when(~amount_valid(v(5), v(6)), F.lit("invalid_amount_received")))
-    checks.append(F.when(~amount_valid(v(7), v(8)), F.lit("invalid_amount_paid")))
-    checks.append(F.when(~v(10).isin("0", "1"), F.lit("invalid_laundering_label")))
-    return (F.when(F.size(values) != len(C.HEADERS), F.array(F.lit(C.WIDTH_REASON)))
-            .otherwise(F.array_compact(F.array(*checks))))
-
-
-def payload(values: Column) -> Column:
-    """Stripped values by key; keys beyond the row width are absent (null)."""
-    return F.struct(*[F.when(F.size(values) > i, strip(field(values, i))).alias(k)
-                      for i, k in enumerate(C.KEYS)])
-
-
 def record_hash(payload_col: Column) -> Column:
     """SHA-256 of the compact, sorted-key JSON of the payload (absent keys omitted)."""
     sorted_struct = F.struct(*[payload_col.getField(k).alias(k) for k in sorted(C.KEYS)])
