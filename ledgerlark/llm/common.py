@@ -48,6 +48,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` written as a table in buckets of ``key`` (as many as shuffle partitions): joins and groups on
+    ``key`` then move the other side only. The files are in the shared folder, the name in the session's catalog."""
+    spark = df.sparkSession
+    table_name = f"ledgerlark_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).option("path", scratch(spark, name)).format("parquet").saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -64,6 +74,17 @@ def keyed(documents: DataFrame) -> DataFrame:
         "row", F.col("row.doc_id").alias("id"), F.xxhash64(text_or_empty("row.text")).alias("key"))
 
 
+_KEPT: dict = {}
+
+
+def kept(name: str, build: Callable):
+    """What this Python worker keeps from task to task: the tables of one operator, built anew after another's."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = build()
+    return _KEPT[name]
+
+
 def small_slices(batches: Iterator[pa.RecordBatch], column: str,
                  max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``max_bytes`` of ``column`` (one row at least)."""
