@@ -21,6 +21,7 @@ ordered by text hash. An empty table gives empty files. Other columns, whatever
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -102,33 +103,60 @@ def unpack(payload: bytes, starts: np.ndarray) -> np.ndarray:
     return grid[full]
 
 
+#: The parts of a tokenizers file that ``WordEncoder`` can run word by word itself; others go through the library.
+PLAIN_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PLAIN_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in shown else next(spare)) for b in range(256)]
+
+
 class WordEncoder:
-    """Texts -> ids of a tokenizers file whose splitter drops white space (little-endian 32-bit bytes)."""
+    """Texts -> ids of a tokenizers file whose splitter drops white space (little-endian 32-bit bytes).
+
+    Words below U+0300 need no composition, so lower-casing and the file's own split pattern are all
+    that its normalizer and splitter do to them; the model is always the library's.
+    """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
         self.tool = Tokenizer.from_file(path)
+        plan = json.loads(self.tool.to_str())
+        cuts = (plan.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.cut = None
+        if ((plan.get("normalizer") or {}).get("normalizers") == PLAIN_NORMALIZER and len(cuts) == 2 and cuts[1] == PLAIN_BYTES
+                and cuts[0].get("type") == "Split" and cuts[0].get("behavior") == "Removed" and cuts[0].get("invert")):
+            self.cut = regex.compile(cuts[0]["pattern"]["Regex"]).findall
+        self.letters = dict(enumerate(byte_letters()))
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
-        self.pieces = Memo(lambda p: b"".join(t.id.to_bytes(4, "little") for t in self.tool.model.tokenize(p)), 1 << 20)
+        self.starts = {a[0] for a in self.added}
+        self.pieces = Memo(lambda p: self._ids(p.encode().decode("latin-1").translate(self.letters)), 1 << 20)
         self.words = Memo(self._word)
 
+    def _ids(self, piece: str) -> bytes:
+        return b"".join(t.id.to_bytes(4, "little") for t in self.tool.model.tokenize(piece))
+
     def _word(self, word: str) -> bytes:
-        if any(a in word for a in self.added):
+        if not self.starts.isdisjoint(word) and any(a in word for a in self.added):
             return np.array(self.tool.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if self.cut and max(word) < "\u0300":
+            return b"".join(map(self.pieces.__getitem__, self.cut(word.lower())))
         cut = self.tool.pre_tokenizer.pre_tokenize_str(self.tool.normalizer.normalize_str(word))
-        return b"".join([self.pieces[p] for p, _ in cut])
+        return b"".join([self._ids(p) for p, _ in cut])
 
     def encode(self, text: str | None) -> bytes:
+        if text and any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python, but not to the library
+            return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.words.__getitem__, (text or "").split()))
 
 
-_WORKER: dict = {}
-
-
 def _encoder(path: str) -> WordEncoder:
-    if path not in _WORKER:
-        _WORKER[path] = WordEncoder(path)
-    return _WORKER[path]
+    return common.kept(f"words:{path}", lambda: WordEncoder(path))
 
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
