@@ -15,8 +15,8 @@ Hot passages. A string that several documents of one batch hold is folded there:
 lose it at once, and one entry goes on. A shard folds again before it sorts. So a passage in a third of
 all documents is one entry per batch, whatever its minimizer.
 
-Documents are packed once into compressed batches of about ``BATCH`` bytes in the shared folder, which
-later steps read by batch number. Spans come back per batch.
+Documents are packed once into compressed batches of about ``BATCH`` bytes, a table in the shared folder in
+buckets of the batch number. Hits and spans come back per batch; the texts themselves are never shuffled.
 
 Edge cases. Null and empty texts have no bytes; texts shorter than ``least`` lose nothing. Rows that
 share an ID are not earlier than one another. Null IDs count as later than all others, and not earlier
@@ -257,7 +257,7 @@ def candidates(batches: DataFrame, hits: DataFrame, least: int, shards: int) ->
                          pa.concat_arrays([spans.column(2), pa.array([o[1] for o in out], pa.binary())])], names=["kind", "key", "batch", "blob"])
 
     found = hits.groupBy("batch").agg(F.collect_list("hits").alias("hits"))  # at most the batch's own minimizers
-    return batches.join(found, "batch").mapInArrow(emit, "kind int, key long, batch long, blob binary")
+    return batches.join(found.hint("merge"), "batch").mapInArrow(emit, "kind int, key long, batch long, blob binary")
 
 
 def repeated(shard: Strings, least: int) -> tuple[np.ndarray, ...]:
@@ -305,29 +305,32 @@ def repeated(shard: Strings, least: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def sorted_shards(strings: DataFrame, least: int) -> DataFrame:
-    """Span blobs (kind, key, blob) from the strings of all shards."""
+def all_spans(found: DataFrame, least: int) -> DataFrame:
+    """Span blobs per batch (kind 0, key, blob): those settled within a batch, and those from the sorted shards.
+
+    Both kinds go through one exchange, so the strings are moved once and written nowhere else.
+    """
     wide = 2 * least - GRAM
 
     def run(table: pa.Table) -> pa.Table:
+        if table.column("kind")[0].as_py() == 0:
+            return table.select(["kind", "key", "blob"])
         parts = [Strings.unpack(blob, batch, wide) for blob, batch in zip(table.column("blob").to_pylist(), table.column("batch").to_pylist())]
         shard = Strings(*(np.concatenate([getattr(p, c) for p in parts]) for c in ("minimizer", "order", "batch", "doc", "at", "size", "grid")))
         return pa.Table.from_batches([_spans(*repeated(shard, least))])
 
-    return strings.groupBy("key").applyInArrow(run, "kind int, key long, blob binary")
+    return found.groupBy("kind", "key").applyInArrow(run, "kind int, key long, blob binary")
 
 
 def remove(documents: DataFrame, least: int = 50) -> DataFrame:
     """Per row: doc_id, n_bytes, spans (array of start, stop: maximal removed runs of bytes), kept (binary)."""
     spark = documents.sparkSession
     common.ship(spark)
-    batches = common.written(packed(documents), "passages")
+    batches = common.bucketed(packed(documents), "passages", "batch")
     total = batches.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD))
     hits = shared_minimizers(batches, least, shards)
-    found = common.written(candidates(batches, hits, least, shards), "passages")
-    spans = found.filter("kind = 0").select("key", "blob").unionByName(
-        sorted_shards(found.filter("kind = 1").select("key", "batch", "blob"), least).select("key", "blob"))
+    spans = all_spans(candidates(batches, hits, least, shards), least)
     spans = spans.groupBy(F.col("key").alias("batch")).agg(F.collect_list("blob").alias("spans"))  # of one batch
 
     kind = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
@@ -357,7 +360,7 @@ def remove(documents: DataFrame, least: int = 50) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(row["sizes"], pa.int64()),
                                                   pa.array(runs_of, pa.list_(kind)), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
-    return batches.join(spans, "batch", "left").mapInArrow(
+    return batches.join(spans.hint("merge"), "batch", "left").mapInArrow(
         cut, "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
 
 
