@@ -209,16 +209,10 @@ class Encoder:
             return b"".join((self._all(units[0]), *map(self.rest.__getitem__, units[1:-1]), self._all(" " + units[-1])))
 
 
-_WORKER: dict = {}
-
-
 def _encoder(shared) -> Encoder:
     """This worker's lookup tables, kept from task to task for one vocabulary."""
     name, bpe = shared.value
-    if name not in _WORKER:
-        _WORKER.clear()
-        _WORKER[name] = Encoder(bpe)
-    return _WORKER[name]
+    return common.kept(f"bpe:{name}", lambda: Encoder(bpe))
 
 
 def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:

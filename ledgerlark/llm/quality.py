@@ -24,15 +24,15 @@ import operator
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 DIMS = 1 << 18
-MEMO = 1 << 19
+MEMO = 1 << 18
+SHIFT = 20  # two slots are kept as one number
 GRADES = 3
 
 
@@ -57,10 +57,10 @@ def _shape(word: str) -> str:
     return "".join(out)
 
 
-def word_slots(word: str) -> tuple[int, int]:
-    """Features of a word: its bare lower-case form and its letter shape."""
+def word_slots(word: str) -> int:
+    """Features of a word: its bare lower-case form and its letter shape (two slots in one number)."""
     bare = word.strip("".join(c for c in {*word[:8], *word[-8:]} if not c.isalnum())).lower()
-    return _slot("w:" + bare), _slot("s:" + _shape(word))
+    return _slot("w:" + bare) << SHIFT | _slot("s:" + _shape(word))
 
 
 def page_slots(words: list[str], distinct: int, lines: list[str]) -> list[int]:
@@ -93,10 +93,9 @@ def text_slots(text: str | None, memo: dict) -> np.ndarray:
     text = text or ""
     words = text.split()
     own = {*words}
-    found = {*page_slots(words, len(own), text.split("\n"))}
-    for pair in map(memo.__getitem__, own):
-        found.update(pair)
-    return np.fromiter(sorted(found), np.int32, len(found))
+    pairs = np.fromiter(map(memo.__getitem__, own), np.int64, len(own))
+    page = np.array(page_slots(words, len(own), text.split("\n")), np.int64)
+    return np.unique(np.concatenate([pairs >> SHIFT, pairs & (1 << SHIFT) - 1, page])).astype(np.int32)
 
 
 class OrdinalModel:
@@ -171,26 +170,21 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 8000, seed: int
     return OrdinalModel.fit(slots, grades) if len({*grades.tolist()}) > 1 else None
 
 
-_MEMOS: dict = {}
-
-
-def scorer(documents: DataFrame, model: OrdinalModel) -> Column:
-    """Struct column (expected_grade, p_good) over ``text``; the weights (1 MB) are broadcast once."""
+def _scored(documents: DataFrame, model: OrdinalModel):
+    """Function from a batch of texts to (expected grade, tail probability of the top grade); the weights
+    (1 MB) are broadcast once, and a worker keeps its word table from task to task."""
+    common.ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
-    @F.pandas_udf("struct<expected_grade double, p_good double>")
-    def score(texts: pd.Series) -> pd.DataFrame:
+    def score(texts) -> tuple[np.ndarray, np.ndarray]:
         weights, cuts = shared.value
-        tag = zlib.crc32(weights.tobytes())  # a worker keeps its memo from task to task, for one model
-        if tag not in _MEMOS:
-            _MEMOS.clear()
-            _MEMOS[tag] = Words(word_slots)
-        own, memo = OrdinalModel(weights, cuts), _MEMOS[tag]
-        at = [text_slots(x, memo) for x in texts]
-        tails = own.tails(np.array([weights[s].sum(dtype=np.float64) for s in at]))
-        return pd.DataFrame({"expected_grade": tails.sum(axis=1), "p_good": tails[:, -1]})
+        tag = zlib.crc32(weights.tobytes())
+        memo = common.kept(f"quality:{tag}", lambda: Words(word_slots))
+        sums = np.array([weights[text_slots(x.as_py(), memo)].sum(dtype=np.float64) for x in texts])
+        tails = OrdinalModel(weights, cuts).tails(sums)
+        return tails.sum(axis=1), tails[:, -1]
 
-    return score(F.col("text"))
+    return score
 
 
 def classify(documents: DataFrame, model: OrdinalModel | None, floor: float = 0.5) -> DataFrame:
@@ -198,12 +192,25 @@ def classify(documents: DataFrame, model: OrdinalModel | None, floor: float = 0.
     if model is None:
         return documents.select("doc_id", F.lit(None).cast("double").alias("expected_grade"), F.lit(1.0).alias("p_good"),
                                 F.lit(True).alias("selected"))
-    got = documents.select("doc_id", "text").select("doc_id", scorer(documents, model).alias("s"))
-    return got.select("doc_id", "s.expected_grade", "s.p_good", (F.col("s.p_good") >= floor).alias("selected"))
+    score = _scored(documents, model)
+
+    def run(batches):
+        for b in common.small_slices(batches, "text"):
+            grade, good = score(b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(grade), pa.array(good), pa.array(good >= floor)],
+                                             names=["doc_id", "expected_grade", "p_good", "selected"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, expected_grade double, p_good double, selected boolean")
 
 
 def select(documents: DataFrame, model: OrdinalModel | None, floor: float = 0.5) -> DataFrame:
     """The documents whose tail probability reaches ``floor``, with their own columns only."""
     if model is None:
         return documents
-    return documents.filter(scorer(documents, model)["p_good"] >= floor)
+    score = _scored(documents, model)
+
+    def run(batches):
+        for b in common.small_slices(batches, "text"):
+            yield b.filter(pa.array(score(b.column("text"))[1] >= floor))
+
+    return documents.mapInArrow(run, documents.schema)
