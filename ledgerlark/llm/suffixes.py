@@ -12,8 +12,13 @@ that share ``least`` bytes form the groups of equal windows; a window goes if it
 smallest of its group.
 
 Hot passages. A string that several documents of one batch hold is folded there: later documents
-lose it at once, and one entry goes on. A shard folds again before it sorts. So a passage in a third of
-all documents is one entry per batch, whatever its minimizer.
+lose it at once, and one entry goes on. A shard folds again before it sorts. At the edges of a shared
+passage the strings reach outside it and differ from document to document, so folding leaves them and
+one minimizer may have a string per document. Strings are therefore counted per minimizer first. One with
+more than ``HOT`` is hot everywhere: what folding leaves of its strings is cut into single windows, which
+are folded again and dealt by a hash of all their bytes. Equal windows still meet, compared byte by byte;
+a window has one entry per chunk of a batch, and no minimizer brings a shard more than ``HOT`` strings.
+(Places of equal strings in rows that share the least ID are all sent: none of them is later.)
 
 Documents are packed once into compressed batches of about ``BATCH`` bytes, a table in the shared folder in
 buckets of the batch number. Hits and spans come back per batch; the texts themselves are never shuffled.
@@ -36,9 +41,10 @@ from pyspark.sql import functions as F
 
 from . import common, induced
 
-BATCH, SLICE, GRAM, SHARD = 4 << 20, 1 << 20, 16, 16 << 20
+BATCH, SLICE, GRAM, SHARD, HOT = 4 << 20, 1 << 20, 16, 16 << 20, 1 << 12
 LATE = np.iinfo(np.int64).max  # stands for a null ID
 BITS = np.uint64((1 << 48) - 1)  # of a minimizer, where only its identity matters; a clash costs time only
+FLAG = np.uint64(63)  # the bit of a hit that says hot
 PACKED = "batch long, doc_ids array<long>, sizes array<long>, n_bytes long, data binary"
 
 
@@ -135,8 +141,9 @@ def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[i]]), order[i:j]
 
 
-def shared_minimizers(batches: DataFrame, least: int, shards: int) -> DataFrame:
-    """(batch, hits): 48-bit minimizers of a batch that another document also has, as blobs."""
+def shared_minimizers(batches: DataFrame, least: int, shards: int, hot: int = HOT) -> DataFrame:
+    """(batch, hits): 48-bit minimizers of a batch that another document also has, as blobs; those with more
+    than ``hot`` strings in all are flagged."""
     def emit(it):
         for b in it:
             for row in b.to_pylist():
@@ -148,30 +155,33 @@ def shared_minimizers(batches: DataFrame, least: int, shards: int) -> DataFrame:
                 first = np.flatnonzero(np.append(True, m[1:] != m[:-1])) if len(m) else np.empty(0, np.int64)
                 last = np.append(first[1:], len(m)) - 1 if len(m) else first
                 value, twice = m[first], doc[first] != doc[last]
+                count = (np.minimum(last - first + 1, 0x7FFF) | twice.astype(np.int64) << 15).astype("<u2")
                 key = (value % np.uint64(shards)).astype(np.int64)
-                out = [(k, value[rows].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), np.packbits(twice[rows]).tobytes()) for k, rows in _by(key)]
+                out = [(k, value[rows].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), count[rows].tobytes()) for k, rows in _by(key)]
                 yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([row["batch"]] * len(out), pa.int64()),
                                                   pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary())],
-                                                 names=["shard", "batch", "minimizers", "twice"])
+                                                 names=["shard", "batch", "minimizers", "counts"])
 
     def meet(table: pa.Table) -> pa.Table:
-        values, flags, owner = [], [], []
-        for i, (blob, twice) in enumerate(zip(table.column("minimizers").to_pylist(), table.column("twice").to_pylist())):
+        values, counts, owner = [], [], []
+        for i, (blob, numbers) in enumerate(zip(table.column("minimizers").to_pylist(), table.column("counts").to_pylist())):
             v = np.zeros((len(blob) // 6, 8), np.uint8)
             v[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
             values.append(v.view(np.uint64)[:, 0])
-            flags.append(np.unpackbits(np.frombuffer(twice, np.uint8), count=len(v)).astype(bool))
+            counts.append(np.frombuffer(numbers, "<u2"))
             owner.append(np.full(len(v), i))
-        value, flag, owner = np.concatenate(values), np.concatenate(flags), np.concatenate(owner)
+        value, strings, owner = np.concatenate(values), np.concatenate(counts), np.concatenate(owner)
         _, group, count = np.unique(value, return_inverse=True, return_counts=True)
         some = np.zeros(len(count), bool)
-        some[group[flag]] = True
+        some[group[strings >> 15 == 1]] = True
         hit = np.flatnonzero(some[group] | (count[group] > 1))
+        many = np.bincount(group, strings & 0x7FFF) > min(hot, 0x7FFE)
+        value = value | many[group].astype(np.uint64) << FLAG
         numbers = table.column("batch").to_pylist()
         out = [(numbers[i], value[hit[rows]].tobytes()) for i, rows in _by(owner[hit])]
         return pa.table({"batch": pa.array([o[0] for o in out], pa.int64()), "hits": pa.array([o[1] for o in out], pa.binary())})
 
-    sent = batches.select("batch", "sizes", "n_bytes", "data").mapInArrow(emit, "shard int, batch long, minimizers binary, twice binary")
+    sent = batches.select("batch", "sizes", "n_bytes", "data").mapInArrow(emit, "shard int, batch long, minimizers binary, counts binary")
     return sent.groupBy("shard").applyInArrow(meet, "batch long, hits binary")
 
 
@@ -186,12 +196,29 @@ class Strings:
     def take(self, rows) -> Strings:
         return Strings(*(c[rows] for c in (self.minimizer, self.order, self.batch, self.doc, self.at, self.size, self.grid)))
 
-    def folded(self) -> tuple[Strings, np.ndarray, np.ndarray]:
-        """(strings ordered so that equal ones follow one another, group number, least order of each group)."""
+    def keys(self) -> np.ndarray:
+        """A hash of each string."""
         key = self.size.astype(np.uint64)
         for a in range(self.grid.shape[1]):
             key = key * np.uint64(0xBF58476D1CE4E5B9) + (self.grid[:, a].astype(np.uint64) + np.uint64(1)) * self.WORDS[a]
-        own = self.take(np.lexsort((self.order, key)))
+        return key ^ (key >> np.uint64(29))
+
+    def windows(self, least: int) -> Iterator[Strings]:
+        """Each window as a string of its own whose minimizer is a hash of it, chunk by chunk."""
+        for a in range(0, len(self.size), 1 << 13):
+            own = self.take(slice(a, a + (1 << 13)))
+            times = own.size - least + 1
+            step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row = np.repeat(np.arange(len(times)), times)
+            grid = np.zeros((len(row), own.grid.shape[1]), np.uint8)
+            grid[:, :least] = np.lib.stride_tricks.sliding_window_view(own.grid, least, axis=1)[row, step]
+            out = Strings(own.minimizer[row], own.order[row], own.batch[row], own.doc[row], own.at[row] + step, np.full(len(row), least), grid)
+            out.minimizer = out.keys()
+            yield out
+
+    def folded(self) -> tuple[Strings, np.ndarray, np.ndarray]:
+        """(strings ordered so that equal ones follow one another, group number, least order of each group)."""
+        own = self.take(np.lexsort((self.order, self.keys())))
         new = np.append(True, (own.size[1:] != own.size[:-1]) | (own.grid[1:] != own.grid[:-1]).any(axis=1))[:len(own.size)]
         group = np.cumsum(new) - 1
         return own, group, np.minimum.reduceat(own.order, np.flatnonzero(new)) if len(group) else own.order
@@ -216,6 +243,15 @@ class Strings:
         return Strings(minimizer, order, np.full(n, batch), doc.astype(np.int64), at, size, grid)
 
 
+def _joined(own: Strings) -> Strings:
+    """Strings of one batch and size, those at successive bytes of a document as one (for their places only)."""
+    own = own.take(np.lexsort((own.at, own.doc)))
+    first = np.flatnonzero(np.append(True, (own.doc[1:] != own.doc[:-1]) | (own.at[1:] != own.at[:-1] + 1))[:len(own.at)])
+    out = own.take(first)
+    out.size = out.size + np.diff(np.append(first, len(own.at))) - 1
+    return out
+
+
 def _spans(batch, doc, at, size) -> pa.RecordBatch:
     """Span blobs per batch: document number, first byte within it, size."""
     out = []
@@ -233,7 +269,9 @@ def candidates(batches: DataFrame, hits: DataFrame, least: int, shards: int) ->
     def emit(it):
         for b in it:
             for row in b.to_pylist():
-                known = np.unique(np.concatenate([np.frombuffer(h, np.uint64) for h in row["hits"]]))
+                known = np.concatenate([np.frombuffer(h, np.uint64) for h in row["hits"]])
+                known = known[np.argsort(known & BITS)]
+                hot, known = known >> FLAG == 1, known & BITS
                 x, bounds = _unpacked(row)
                 ids = np.array([LATE if i is None else i for i in row["doc_ids"]], np.int64)
                 m, doc, at, size = _whole(x, bounds, least)
@@ -243,18 +281,28 @@ def candidates(batches: DataFrame, hits: DataFrame, least: int, shards: int) ->
                     part = rows[a:a + (1 << 16)]
                     grid = x[np.minimum(at[part][:, None] + np.arange(wide), len(x) - 1)]
                     grid[np.arange(wide)[None] >= size[part][:, None]] = 0
-                    own, group, low = Strings(m[part], ids[doc[part]], np.full(len(part), row["batch"]), doc[part],
-                                              at[part] - bounds[doc[part]], size[part], grid).folded()
-                    late = own.order > low[group] if len(group) else np.empty(0, bool)
-                    gone = own.take(late)
-                    spans = _spans(gone.batch, gone.doc, gone.at, gone.size)
-                    rest = own.take(~late)
-                    out = [(k, rest.take(r).pack()) for k, r in _by(((rest.minimizer >> np.uint64(8)) % np.uint64(shards)).astype(np.int64))]
-                    n = len(out)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.concat_arrays([spans.column(0), pa.array([1] * n, pa.int32())]), pa.concat_arrays([spans.column(1), pa.array([o[0] for o in out], pa.int64())]),
-                         pa.array([None] * spans.num_rows + [row["batch"]] * n, pa.int64()),
-                         pa.concat_arrays([spans.column(2), pa.array([o[1] for o in out], pa.binary())])], names=["kind", "key", "batch", "blob"])
+                    gone, rest = settled(Strings(m[part], ids[doc[part]], np.full(len(part), row["batch"]), doc[part],
+                                                 at[part] - bounds[doc[part]], size[part], grid))
+                    cut = hot[np.searchsorted(known, rest.minimizer & BITS)]
+                    yield sent(row["batch"], gone, rest.take(~cut))
+                    for own in rest.take(cut).windows(least):
+                        gone, rest_of = settled(own)
+                        yield sent(row["batch"], _joined(gone), rest_of)
+
+    def settled(own: Strings) -> tuple[Strings, Strings]:
+        """(strings that an earlier document of these holds, the others)."""
+        own, group, low = own.folded()
+        late = own.order > low[group] if len(group) else np.empty(0, bool)
+        return own.take(late), own.take(~late)
+
+    def sent(batch: int, gone: Strings, rest: Strings) -> pa.RecordBatch:
+        spans = _spans(gone.batch, gone.doc, gone.at, gone.size)
+        out = [(k, rest.take(r).pack()) for k, r in _by(((rest.minimizer >> np.uint64(8)) % np.uint64(shards)).astype(np.int64))]
+        n = len(out)
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([spans.column(0), pa.array([1] * n, pa.int32())]), pa.concat_arrays([spans.column(1), pa.array([o[0] for o in out], pa.int64())]),
+             pa.array([None] * spans.num_rows + [batch] * n, pa.int64()),
+             pa.concat_arrays([spans.column(2), pa.array([o[1] for o in out], pa.binary())])], names=["kind", "key", "batch", "blob"])
 
     found = hits.groupBy("batch").agg(F.collect_list("hits").alias("hits"))  # at most the batch's own minimizers
     return batches.join(found.hint("merge"), "batch").mapInArrow(emit, "kind int, key long, batch long, blob binary")
@@ -322,14 +370,14 @@ def all_spans(found: DataFrame, least: int) -> DataFrame:
     return found.groupBy("kind", "key").applyInArrow(run, "kind int, key long, blob binary")
 
 
-def remove(documents: DataFrame, least: int = 50) -> DataFrame:
+def remove(documents: DataFrame, least: int = 50, hot: int = HOT) -> DataFrame:
     """Per row: doc_id, n_bytes, spans (array of start, stop: maximal removed runs of bytes), kept (binary)."""
     spark = documents.sparkSession
     common.ship(spark)
     batches = common.bucketed(packed(documents), "passages", "batch")
     total = batches.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD))
-    hits = shared_minimizers(batches, least, shards)
+    hits = shared_minimizers(batches, least, shards, hot)
     spans = all_spans(candidates(batches, hits, least, shards), least)
     spans = spans.groupBy(F.col("key").alias("batch")).agg(F.collect_list("blob").alias("spans"))  # of one batch
 

@@ -164,6 +164,29 @@ def test_repeated_passages(odd, none, texts, least):
     assert suffixes.remove(none, least).count() == 0
 
 
+def test_no_minimizer_brings_a_shard_many_strings(spark):
+    """A passage in most documents: the strings at its edges differ in every one of them."""
+    import random
+    rnd = random.Random(3)
+    line = lambda k: "".join(rnd.choice("abcdefgh ") for _ in range(k))
+    passage, least, hot = line(150), 50, 20
+    texts = [(i // 2 if i < 20 else None if i % 17 == 0 else i, line(90) + passage[:rnd.choice([150, 120])] + line(90)) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    batches = suffixes.packed(docs)
+
+    def most(limit):
+        hits = suffixes.shared_minimizers(batches, least, 8, limit)
+        sent = suffixes.candidates(batches, hits, least, 8).filter("kind = 1").collect()
+        return max(Counter(m for r in sent for m in suffixes.Strings.unpack(bytes(r.blob), 0, 2 * least - 16).minimizer.tolist()).values())
+
+    assert most(1 << 14) > 100  # at the edges
+    assert most(hot) <= hot
+    want = Counter(brute_removed(texts, least))
+    assert sum(n for k, n in want.items() if k[2]) > 250
+    for limit in (suffixes.HOT, hot, 0):
+        assert got(suffixes.digests(suffixes.remove(docs, least, limit))) == want
+
+
 def test_induced_sorting_against_brute_force():
     import random
     from ledgerlark.llm import induced
