@@ -13,15 +13,16 @@ The centroids and their graph are broadcast: at most ``MOST_LISTS`` of them (a d
 
 Edge cases. Vectors that are null, empty, zero, or hold null or non-finite components, and rows
 with a null ID, take no part; nor do vectors whose length is not the most frequent one (ties: the
-smaller). Rows that share ID and vector count once, and no row of the query's own ID is a candidate.
-Ties go to the smaller ID. Fewer candidates than ``k``: all that were found. An empty table gives an
+smaller). Rows that share ID and vector are folded first. Of different vectors under one ID the best score
+counts, before any cut to ``k``, and no row of the query's own ID is a candidate. A query whose lists hold fewer
+than ``k`` other IDs, though the table has more, searches all lists in a second round. Ties go to the smaller ID. Fewer candidates than ``k``: all that were found. An empty table gives an
 empty result. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +96,8 @@ class Centroids:
         """Lists of a query: best-first walk over the graph, then the distance ratio."""
         n = len(self.points)
         most, least = max(1, int(np.ceil(plan.most * n))), max(1, int(np.ceil(plan.least * n)))
+        if least == n:
+            return np.arange(n)
         q = np.append(q, 0.0)
         seen = np.zeros(n, bool)
         dist = np.full(n, np.inf)
@@ -137,7 +140,8 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
     schema = "query_id long, rank int, vec_id long, score double"
     vec = F.transform("embedding", lambda x: x.cast("double"))
     rows = embeddings.filter(vectors.usable() & F.col("vec_id").isNotNull()).select("vec_id", vec.alias("vec"), is_query.alias("asks"))
-    rows = rows.withColumn("h", F.xxhash64("vec_id", "vec"))
+    rows = rows.groupBy("vec_id", "vec").agg(F.bool_or(F.coalesce("asks", F.lit(False))).alias("asks"))
+    rows = common.pinned(rows.withColumn("h", F.xxhash64("vec_id", "vec")))
     sizes = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if sizes is None:
         return spark.createDataFrame([], schema)
@@ -145,7 +149,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
     rows = rows.filter(F.size("vec") == dim)
     shared = spark.sparkContext.broadcast(fit(rows, sizes["count"], dim))
 
-    def deal(batches, ask):
+    def deal(batches, plan, ask):
         own = shared.value
         for b in batches:
             x = np.asarray(b.column("vec").flatten()).reshape(-1, dim)
@@ -160,8 +164,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
                                               b.column("vec").take(pa.array(row))], names=["list", "vec_id", "h", "vec"])
 
     posted = "list int, vec_id long, h long, vec array<double>"
-    lists = rows.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(it, False), posted)
-    asked = rows.filter(F.coalesce("asks", F.lit(False))).select("vec_id", "h", "vec").mapInArrow(lambda it: deal(it, True), posted)
+    lists = rows.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(it, plan, False), posted)
 
     def block(table: pa.Table) -> pa.Table:
         x = np.asarray(table.column("vec").combine_chunks().flatten(), "<f8")
@@ -174,8 +177,6 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
         dealt = posts.join(parts, "list").withColumn("__part", F.pmod(F.xxhash64("vec_id", "h"), F.col("__parts")))
         return dealt.groupBy("list", "__part").applyInArrow(block, "list int, ids binary, vecs binary")
 
-    met = (blocks(lists, PART).join(blocks(asked, QUERIES).select("list", F.col("ids").alias("qids"), F.col("vecs").alias("qvecs")), "list"))
-
     def top(batches):
         for b in batches:
             for row in b.to_pylist():
@@ -183,19 +184,39 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
                 qids, q = np.frombuffer(row["qids"], "<i8"), vectors.matrix(row["qvecs"], dim, "<f8")
                 s = q @ x.T
                 s[qids[:, None] == ids[None]] = -np.inf
-                cut = np.partition(s, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
+                order = np.argsort(ids, kind="stable")
+                first = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+                by_id = s if len(first) == len(ids) else np.maximum.reduceat(s[:, order], first, axis=1)
+                cut = np.partition(by_id, -k, axis=1)[:, -k] if len(first) > k else np.full(len(q), -np.inf)
                 out = []
                 for i in range(len(q)):
                     at = np.flatnonzero((s[i] >= cut[i] - 1e-9 * abs(cut[i])) & (s[i] > -np.inf)) if np.isfinite(cut[i]) else np.flatnonzero(s[i] > -np.inf)
                     score = (x[at] * q[i]).sum(axis=1)  # the same sum wherever the pair meets
-                    best = np.lexsort((ids[at], -score))[:4 * k]
+                    best = np.lexsort((ids[at], -score))
                     _, first = np.unique(ids[at][best], return_index=True)
                     best = best[np.sort(first)][:k]
                     out.append(list(zip((-score[best]).tolist(), ids[at][best].tolist())))
                 found = pa.array([[{"s": s, "id": v} for s, v in o] for o in out], pa.list_(pa.struct([("s", pa.float64()), ("id", pa.int64())])))
                 yield pa.RecordBatch.from_arrays([pa.array(qids), found], names=["query_id", "found"])
 
-    found = met.mapInArrow(top, "query_id long, found array<struct<s:double,id:long>>")
-    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), 1, k).alias("best"))
+    own_lists = blocks(lists, PART)
+
+    def answers(asking: DataFrame, plan: Plan) -> DataFrame:
+        """(query_id, best): the best ``k`` distinct IDs in the lists that ``plan`` takes."""
+        asked = asking.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(it, plan, True), posted)
+        met = own_lists.join(blocks(asked, QUERIES).select("list", F.col("ids").alias("qids"), F.col("vecs").alias("qvecs")), "list")
+        found = met.mapInArrow(top, "query_id long, found array<struct<s:double,id:long>>")
+        ranked = found.groupBy("query_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("ranked"))
+        ranked = ranked.select("query_id", "ranked", F.slice(F.array_distinct("ranked.id"), 1, k).alias("ids"))  # an ID stands where its best score does
+        score = lambda i: F.element_at("ranked.s", F.array_position("ranked.id", i).cast("int"))
+        return common.pinned(ranked.select("query_id", F.transform("ids", lambda i: F.struct(score(i).alias("s"), i.alias("id"))).alias("best")))
+
+    asking = rows.filter("asks")
+    best = answers(asking, plan)
+    others = rows.select("vec_id").distinct().limit(k + 1).count() - 1
+    full = best.filter(F.size("best") >= min(k, others)).select("query_id")
+    short = asking.join(full, F.col("vec_id") == F.col("query_id"), "left_anti")
+    if not short.isEmpty():
+        best = best.join(full, "query_id", "left_semi").unionByName(answers(short, replace(plan, least=1.0, most=1.0)))
     return best.select("query_id", F.posexplode("best").alias("r", "b")).select(
         "query_id", (F.col("r") + 1).cast("int").alias("rank"), F.col("b.id").alias("vec_id"), (-F.col("b.s")).alias("score"))

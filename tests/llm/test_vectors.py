@@ -91,3 +91,25 @@ def test_nearest_of_few_and_none(spark):
     rows = [tuple(r) for r in postings.nearest(few, F.pmod("vec_id", F.lit(20)) == 0, k=20).orderBy("query_id", "rank").collect()]
     assert rows == [(0, 1, 20, 0.5), (0, 2, 3, 0.0), (20, 1, 3, 1.0), (20, 2, 0, 0.5)]
     assert postings.nearest(few.limit(0), F.pmod("vec_id", F.lit(20)) == 0).count() == 0
+
+
+@pytest.mark.parametrize("plan", [postings.Plan(), postings.Plan(least=1.0, most=1.0)])
+@pytest.mark.parametrize("size", [400, 25])
+def test_nearest_beside_an_id_that_comes_often(spark, monkeypatch, size, plan):
+    """One ID a hundred times with one vector, another with a hundred different ones, both nearer than all others."""
+    monkeypatch.setattr(postings, "LIST", size)
+    rnd = np.random.default_rng(6)
+    q = np.array([3.0, 0.0, 0.0, 0.0])
+    rows = [(0, q.tolist())] + [(i, rnd.normal(size=4).tolist()) for i in range(1, 60)]
+    rows += [(100, [9.0, 0.0, 0.0, 0.0])] * 100 + [(101, [8.0, float(y), 0.0, 0.0]) for y in rnd.normal(size=100)] + [(102, [7.0 - i / 100, 0.0, 0.0, 0.0]) for i in range(100)]
+    use = {(i, tuple(np.array(e, "f4").astype(float))) for i, e in rows}
+    score = {}
+    for i, e in use - {(0, tuple(q))}:
+        score[i] = max(score.get(i, -np.inf), float(np.array(e) @ q))
+    want = sorted(((-s, i) for i, s in score.items()))[:20]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    mine = sorted((r["rank"], r.vec_id, r.score) for r in postings.nearest(df, F.col("vec_id") == 0, k=20, plan=plan).collect())
+    assert [m[0] for m in mine] == list(range(1, 21)) and len({m[1] for m in mine}) == 20
+    assert all(abs(score[i] - s) < 1e-9 for _, i, s in mine)
+    if size == 400 or plan.least == 1:
+        assert [m[1] for m in mine] == [i for _, i in want]
