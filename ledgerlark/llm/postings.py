@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from . import common, vectors
 
 LIST, PART, QUERIES, SAMPLE, MOST_LISTS = 400, 2048, 256, 1 << 16, 1 << 14
+CELLS = 1 << 20  # of rows x lists at once, and of vector components in one batch that is dealt
 
 
 @dataclass(frozen=True)
@@ -133,6 +134,26 @@ def fit(rows: DataFrame, n: int, dim: int) -> Centroids:
     return Centroids(x, lists, longest)
 
 
+def deal(own: Centroids, batches, plan: Plan, ask: bool):
+    """Postings of vectors (or of queries), in batches of about CELLS components whatever comes in."""
+    for whole in batches:
+        if not whole.num_rows:
+            continue
+        n, dim = len(own.points), own.points.shape[1] - 1
+        wide = dim * max(1, int(np.ceil(max(plan.least, plan.most) * n))) if ask else max(n, dim * plan.replicas)
+        step = max(1, CELLS // wide)
+        for a in range(0, whole.num_rows, step):
+            b = whole.slice(a, step)
+            x = np.asarray(b.column("vec").flatten()).reshape(-1, dim)
+            if ask:
+                chosen = [own.search(q, plan) for q in x]
+                row, at = np.repeat(np.arange(len(x)), [len(c) for c in chosen]), np.concatenate(chosen)
+            else:
+                row, at = own.lists_of(x, plan)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), b.column("vec_id").take(pa.array(row)), b.column("h").take(pa.array(row)),
+                                              b.column("vec").take(pa.array(row))], names=["list", "vec_id", "h", "vec"])
+
+
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = Plan()) -> DataFrame:
     """Per query: query_id, rank (from 1), vec_id, score of the nearest found."""
     spark = embeddings.sparkSession
@@ -149,22 +170,8 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
     rows = rows.filter(F.size("vec") == dim)
     shared = spark.sparkContext.broadcast(fit(rows, sizes["count"], dim))
 
-    def deal(batches, plan, ask):
-        own = shared.value
-        for b in batches:
-            x = np.asarray(b.column("vec").flatten()).reshape(-1, dim)
-            if not len(x):
-                continue
-            if ask:
-                chosen = [own.search(q, plan) for q in x]
-                row, at = np.repeat(np.arange(len(x)), [len(c) for c in chosen]), np.concatenate(chosen)
-            else:
-                row, at = own.lists_of(x, plan)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), b.column("vec_id").take(pa.array(row)), b.column("h").take(pa.array(row)),
-                                              b.column("vec").take(pa.array(row))], names=["list", "vec_id", "h", "vec"])
-
     posted = "list int, vec_id long, h long, vec array<double>"
-    lists = rows.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(it, plan, False), posted)
+    lists = rows.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(shared.value, it, plan, False), posted)
 
     def block(table: pa.Table) -> pa.Table:
         x = np.asarray(table.column("vec").combine_chunks().flatten(), "<f8")
@@ -203,7 +210,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
 
     def answers(asking: DataFrame, plan: Plan) -> DataFrame:
         """(query_id, best): the best ``k`` distinct IDs in the lists that ``plan`` takes."""
-        asked = asking.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(it, plan, True), posted)
+        asked = asking.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(shared.value, it, plan, True), posted)
         met = own_lists.join(blocks(asked, QUERIES).select("list", F.col("ids").alias("qids"), F.col("vecs").alias("qvecs")), "list")
         found = met.mapInArrow(top, "query_id long, found array<struct<s:double,id:long>>")
         ranked = found.groupBy("query_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("ranked"))

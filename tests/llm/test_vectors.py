@@ -1,6 +1,7 @@
 """Operators on vectors against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,18 @@ def test_nearest_beside_an_id_that_comes_often(spark, monkeypatch, size, plan):
     assert all(abs(score[i] - s) < 1e-9 for _, i, s in mine)
     if size == 400 or plan.least == 1:
         assert [m[1] for m in mine] == [i for _, i in want]
+
+
+def test_dealt_batches_are_bounded(monkeypatch):
+    """10,000 rows in one batch, 40 lists: what is expanded at once stays near CELLS."""
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(size=(10_000, 4))
+    own = postings.Centroids(x[:1000], 40, float(np.linalg.norm(x, axis=1).max()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(x))), pa.array(range(len(x))), pa.array(x.tolist())], names=["vec_id", "h", "vec"])
+    for ask in (False, True):
+        monkeypatch.setattr(postings, "CELLS", 1 << 40)
+        want = [*postings.deal(own, [batch, batch.slice(0, 0)], postings.Plan(), ask)]
+        monkeypatch.setattr(postings, "CELLS", 4096)
+        got = [*postings.deal(own, [batch, batch.slice(0, 0)], postings.Plan(), ask)]
+        assert len(want) == 1 and max(b.num_rows * 4 for b in got) <= 4096
+        assert pa.Table.from_batches(got).equals(pa.Table.from_batches(want))
