@@ -213,10 +213,10 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, plan: Plan = P
         asked = asking.select("vec_id", "h", "vec").mapInArrow(lambda it: deal(shared.value, it, plan, True), posted)
         met = own_lists.join(blocks(asked, QUERIES).select("list", F.col("ids").alias("qids"), F.col("vecs").alias("qvecs")), "list")
         found = met.mapInArrow(top, "query_id long, found array<struct<s:double,id:long>>")
-        ranked = found.groupBy("query_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("ranked"))
-        ranked = ranked.select("query_id", "ranked", F.slice(F.array_distinct("ranked.id"), 1, k).alias("ids"))  # an ID stands where its best score does
-        score = lambda i: F.element_at("ranked.s", F.array_position("ranked.id", i).cast("int"))
-        return common.pinned(ranked.select("query_id", F.transform("ids", lambda i: F.struct(score(i).alias("s"), i.alias("id"))).alias("best")))
+        held = lambda kept, x: (F.size(kept) >= k) | F.exists(kept, lambda y: y["id"] == x["id"])
+        best = F.aggregate(F.array_sort(F.flatten(F.collect_list("found"))), F.array().cast("array<struct<s:double,id:long>>"),
+                           lambda kept, x: F.when(held(kept, x), kept).otherwise(F.concat(kept, F.array(x))))
+        return common.pinned(found.groupBy("query_id").agg(best.alias("best")))
 
     asking = rows.filter("asks")
     best = answers(asking, plan)
