@@ -147,10 +147,13 @@ class OrdinalModel:
 
 
 def sample_slots(documents: DataFrame, grades: DataFrame, max_rows: int, seed: int) -> tuple[list, np.ndarray]:
-    """Features and grades of at most ``max_rows`` labelled documents."""
+    """Features and grades of at most ``max_rows`` labelled documents; of rows that share an ID, the one whose
+    text has the smallest hash, so that no ID counts twice or brings more rows to the driver."""
     some = grades.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(max_rows)
     rows = (documents.select("doc_id", common.text_or_empty().alias("text"))
             .join(F.broadcast(some.select("doc_id", "grade")), "doc_id"))  # at most max_rows pairs of numbers
+    one = F.min(F.struct(F.xxhash64("text", F.lit(seed)).alias("h"), "text", "grade")).alias("one")
+    rows = rows.groupBy("doc_id").agg(one).select("doc_id", "one.text", "one.grade")
 
     def run(batches):
         memo = Words(word_slots)

@@ -43,6 +43,18 @@ def test_same_model_at_any_partitioning(spark):
     assert a.thresholds[0] < a.thresholds[1]
 
 
+def test_an_id_in_many_rows_counts_once(spark):
+    ship(spark)
+    rows = [(i, f"text {i}") for i in range(40)] + [(3, f"other text {i}") for i in range(200)] + [(4, "text 4")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = quality.graded(spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int"))
+    slots, grades = quality.sample_slots(docs.repartition(4), labels, 20, 17)
+    assert len(slots) == len(grades) == 20
+    again, same = quality.sample_slots(docs.repartition(7), labels, 20, 17)
+    assert all((a == b).all() for a, b in zip(slots, again)) and (grades == same).all()
+    assert len(quality.sample_slots(docs, labels, 1000, 17)[0]) == 30
+
+
 def test_gradient():
     """Fitted on clear data, the ranks follow the grades; thresholds ascend."""
     rnd = np.random.default_rng(1)
