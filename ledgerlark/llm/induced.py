@@ -1,4 +1,4 @@
-"""Suffix and common-prefix arrays by external induced sorting.
+"""Suffix and common-prefix arrays by induced sorting, with queues on disk beyond a memory bound.
 
 The text is a sequence of strings over non-negative integers; every string ends with a separator
 (0). Separators are smaller than all else, differ from one another (the earlier is smaller), and
@@ -12,6 +12,9 @@ appends its predecessor to the queue of the predecessor's character. Queues hand
 (all suffixes that are already in order), carry the common prefix with the queue's previous entry -
 one more than the least value passed since that entry's source - and keep their tuples on disk beyond
 a memory bound. Common prefixes are cut off at ``most``.
+
+Only waiting blocks are on disk: the text, its types, the entries handed out and the result stay in memory,
+about 80 bytes per position in all, whatever ``MEMORY`` says. A text must fit in memory.
 """
 
 from __future__ import annotations

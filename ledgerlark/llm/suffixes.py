@@ -6,8 +6,8 @@ Equal windows have equal minimizers, so the runs of windows with one minimizer (
 one document has cannot belong to a repeat; they are found first, from hashes alone, and their
 strings are never moved.
 
-A shard is suffix-sorted by external induced sorting (``induced``): queues of suffix tuples on disk,
-recursion on the names of the pieces between S* suffixes, common prefixes carried along. Neighbours
+A shard is suffix-sorted in memory by induced sorting (``induced``): queues of suffix tuples, the waiting ones on
+disk, recursion on the names of the pieces between S* suffixes, common prefixes carried along. Neighbours
 that share ``least`` bytes form the groups of equal windows; a window goes if its document is not the
 smallest of its group.
 
