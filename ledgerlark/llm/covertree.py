@@ -1,8 +1,10 @@
 """Embedding near-duplicates: exact cosine threshold pairs by a dual traversal of cover trees.
 
 Vectors of one label (and dimension) form a tree over the unit sphere, where a cosine threshold is a
-distance. Levels are nested nets with halving radii; every node knows its center and the radius that
-covers all vectors below it. Two nodes whose centers are farther apart than both covering radii and
+distance. Every node knows its center and the radius that covers all vectors below it. A level's centers are
+at most ``FAN`` vectors picked farthest first from a sample, until they cover it within the level's radius if so few suffice;
+they need not be among the next level's. So this is a ball tree with measured covering radii, not a strict cover
+tree (nested nets, radii halved each level): bounds hold for any choice of centers, and a bounded fan keeps a round small. Two nodes whose centers are farther apart than both covering radii and
 the threshold distance hold no pair, and are pruned with everything below them.
 
 The upper levels are built by Spark jobs, one level a round, until a node holds at most ``LEAF``
