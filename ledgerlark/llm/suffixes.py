@@ -17,7 +17,7 @@ passage the strings reach outside it and differ from document to document, so fo
 one minimizer may have a string per document. Strings are therefore counted per minimizer first. One with
 more than ``HOT`` is hot everywhere: what folding leaves of its strings is cut into single windows, which
 are folded again and dealt by a hash of all their bytes. Equal windows still meet, compared byte by byte;
-a window has one entry per chunk of a batch, and no minimizer brings a shard more than ``HOT`` strings.
+a window has one entry per chunk of a batch, and no minimizer brings a shard more than ``HOT`` distinct strings.
 (Places of equal strings in rows that share the least ID are all sent: none of them is later.)
 
 Documents are packed once into compressed batches of about ``BATCH`` bytes, a table in the shared folder in
