@@ -79,4 +79,25 @@ SELECT doc_id, domain, lang, source, CAST(e.epoch AS INTEGER) AS epoch, CAST(tok
        CAST(CASE WHEN e.epoch < whole THEN tokens ELSE least(tokens, room) END AS BIGINT) AS taken
 FROM summed, unnest(range(0, whole + CASE WHEN room > 0 THEN 1 ELSE 0 END)) AS e(epoch)"""
 
-SQL: dict[str, str] = {"op1_secret_scan": OP1, "op3_cover_tree": OP3, "op8_mix": OP8}
+OP12 = """
+WITH r AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor, r.vec_id AS other, a.label = r.label AS same,
+         CAST(list_inner_product(a.c, r.c) AS BIGINT) AS score
+  FROM r AS a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor, other, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+       s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other)
+QUALIFY row_number() OVER w <= 10
+"""
+
+SQL: dict[str, str] = {"op1_secret_scan": OP1, "op3_cover_tree": OP3, "op8_mix": OP8, "op12_hard_negatives": OP12}
