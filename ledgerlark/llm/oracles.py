@@ -81,11 +81,11 @@ FROM summed, unnest(range(0, whole + CASE WHEN room > 0 THEN 1 ELSE 0 END)) AS e
 
 OP12 = """
 WITH r AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c,
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c,
          CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT a.vec_id AS anchor, r.vec_id AS other, a.label = r.label AS same,
          CAST(list_inner_product(a.c, r.c) AS BIGINT) AS score
