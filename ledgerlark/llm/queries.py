@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, covertree, lengths, mixing, negatives, postings, quality, secrets, simhash, suffixes,
+from . import (bpe, covertree, langid, lengths, mixing, negatives, postings, quality, secrets, simhash, suffixes,
                tokenfiles)
 from .common import scratch, ship, table
 
@@ -70,6 +70,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.fit(docs.filter(~langid.held_out())))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
@@ -84,4 +90,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_secret_scan, op2_repeated_passages, op3_cover_tree, op4_nearest, op5_simhash, op6_token_files, op7_token_counts, op8_mix, op9_byte_bpe, op10_quality,
-    op12_hard_negatives, pipeline)}
+    op11_language, op12_hard_negatives, pipeline)}
