@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, covertree, langid, lengths, mixing, negatives, postings, quality, secrets, simhash, suffixes,
-               tokenfiles)
+from . import (bpe, covertree, langid, lengths, mixing, negatives, postings, quality, secrets, simhash, spelling,
+               suffixes, tokenfiles)
 from .common import scratch, ship, table
 
 
@@ -82,6 +82,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows.select("vec_id", "embedding", moved.alias("label")), F.pmod("vec_id", F.lit(100)) == 0)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(spelling.count_words(table(spark, sf_dir, "documents"), least_length=5, least_count=3, modulus=97))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     ship(spark)
@@ -90,4 +94,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_secret_scan, op2_repeated_passages, op3_cover_tree, op4_nearest, op5_simhash, op6_token_files, op7_token_counts, op8_mix, op9_byte_bpe, op10_quality,
-    op11_language, op12_hard_negatives, pipeline)}
+    op11_language, op12_hard_negatives, op13_spelling, pipeline)}
