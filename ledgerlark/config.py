@@ -17,7 +17,6 @@ KEYS = (
     "amount_received", "receiving_currency", "amount_paid", "payment_currency",
     "payment_format", "is_laundering",
 )
-SCHEMA_VERSION = "ibm-aml-hi-small-v2"
 CORRECTION_TARGET_HEADER = "Target Raw Record ID"
 # Currency written with six decimals; every other currency has two.
 HIGH_SCALE_CURRENCY = "Bitcoin"
@@ -37,7 +36,7 @@ NUMERIC_FEATURES = (
 )
 CATEGORICAL_FEATURES = ("payment_currency", "receiving_currency", "payment_format")
 UNKNOWN_CATEGORY = "UNKNOWN"
-MODEL_VERSION = "spark_logistic_v1"
+MODEL_VERSION = "chunked_adagrad_v1"
 WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 RANKING_KS = (100, 500, 1000, 5000)
 SPIKE_REASON = "Amount at least 10x earlier average after 5+ earlier payments"
@@ -65,7 +64,7 @@ class QualityPolicy:
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """Weighted logistic regression settings."""
+    """Weighted logistic regression: AdaGrad over ordered chunks of rows."""
     epochs: int = 3
     learning_rate: float = 0.15
     l2: float = 1e-5

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .scale import grouped_cumsum
 
 SENDER = ("from_bank", "from_account", "payment_currency")
 
@@ -122,69 +122,69 @@ def standardizer_long(train: DataFrame) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def category(column: str) -> Column:
+    """A categorical input as text; null is the text UNKNOWN, which training may see like any other."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(C.UNKNOWN_CATEGORY))
+
+
 def vocabulary(train: DataFrame, columns: Sequence[str] = C.CATEGORICAL_FEATURES) -> DataFrame:
-    """sorted distinct train values per column (NULL -> UNKNOWN), index from 0."""
-    parts = [train.select(F.lit(c).alias("column_name"),
-                          F.coalesce(F.col(c).cast("string"), F.lit(C.UNKNOWN_CATEGORY)).alias("value"))
-             for c in columns]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    d = u.distinct()
-    w = Window.partitionBy("column_name").orderBy("value")
-    return d.withColumn("category_index", (F.row_number().over(w) - 1).cast("int"))
+    """sorted distinct train values per column (NULL -> UNKNOWN), index from 0.
+
+    One pass gathers (column, value) pairs; the index is a distributed running count, so no task holds a column.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), category(c).alias("value")) for c in columns]))
+    d = train.select(pairs.alias("p")).select("p.*").distinct().withColumn("_one", F.lit(1).cast("long"))
+    ranked = grouped_cumsum(d, ["column_name"], ["value"], "_one", "_rank")
+    return ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("category_index"))
 
 
 def class_weights(train: DataFrame, label: str = "is_laundering") -> DataFrame:
-    """balanced weights n / (2 * n_class) for labels 0 and 1."""
+    """balanced weights n / (2 * n_class) for labels 0 and 1; null for a class without rows."""
     return train.agg(F.count(F.lit(1)).alias("n"),
                      F.count_if(F.col(label) == 1).alias("positives")).select(
         "n", "positives",
-        (F.col("n") / (2 * (F.col("n") - F.col("positives")))).alias("negative_weight"),
-        (F.col("n") / (2 * F.col("positives"))).alias("positive_weight"))
-
-
-@dataclass
-class Vocab:
-    """Driver-side vocabularies, size-checked before they are used as literals."""
-    values: dict[str, list[str]]
-
-    @staticmethod
-    def collect(train: DataFrame, columns: Sequence[str] = C.CATEGORICAL_FEATURES,
-                max_values: int = 10_000) -> "Vocab":
-        v = vocabulary(train, columns)
-        n = v.count()
-        if n > max_values:
-            raise ValueError(f"vocabulary has {n} values; above the {max_values} literal bound")
-        out: dict[str, list[str]] = {c: [] for c in columns}
-        for r in v.orderBy("column_name", "category_index").collect():
-            out[r["column_name"]].append(r["value"])
-        return Vocab(out)
-
-    def feature_names(self) -> list[str]:
-        names = list(C.NUMERIC_FEATURES)
-        for c, vals in self.values.items():
-            names += [f"{c}={v}" for v in vals] + [f"{c}={C.UNKNOWN_CATEGORY}"]
-        return names
-
-    def index(self, column: str) -> Column:
-        """Category slot of a value; unseen values go to the extra unknown slot."""
-        vals = self.values[column]
-        value = F.coalesce(F.col(column).cast("string"), F.lit(C.UNKNOWN_CATEGORY))
-        if not vals:
-            return F.lit(0)
-        m = F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(v), F.lit(i))])
-        return F.coalesce(F.element_at(m, value), F.lit(len(vals)))
-
-
-def design(f: DataFrame, stats: DataFrame, vocab: Vocab) -> DataFrame:
-    """F8: z-scored numerics and one-hot categories as one array<double> column."""
+        F.try_divide(F.col("n"), 2 * (F.col("n") - F.col("positives"))).alias("negative_weight"),
+        F.try_divide(F.col("n"), 2 * F.col("positives")).alias("positive_weight"))
+
+
+def category_sizes(vocab: DataFrame, columns: Sequence[str] = C.CATEGORICAL_FEATURES) -> dict[str, int]:
+    """Number of trained values per column (one number each on the driver)."""
+    got = {r["column_name"]: r["n"] for r in vocab.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {c: got.get(c, 0) for c in columns}
+
+
+def category_offsets(sizes: dict[str, int]) -> dict[str, int]:
+    """First slot of each column: blocks follow the numeric inputs, and the last slot of a block is for unseen values."""
+    out, at = {}, len(C.NUMERIC_FEATURES)
+    for c, n in sizes.items():
+        out[c], at = at, at + n + 1
+    return out
+
+
+def join_categories(f: DataFrame, table: DataFrame, columns: Sequence[str], extra: Sequence[str]) -> DataFrame:
+    """``f`` with ``_ll_<extra>_<column>`` of the row of ``table`` (column_name, value, extra...) that a categorical
+    value has; null for an unseen value. The vocabulary is a joined table of any size, never literals."""
+    out = f
+    for c in columns:
+        own = table.filter(F.col("column_name") == c).select(
+            F.col("value").alias(f"_ll_value_{c}"), *[F.col(x).alias(f"_ll_{x}_{c}") for x in extra])
+        out = out.join(own, category(c) == F.col(f"_ll_value_{c}"), "left").drop(f"_ll_value_{c}")
+    return out
+
+
+def standardized(stats: DataFrame | None = None, means: Sequence[float] = (), scales: Sequence[float] = ()) -> list[Column]:
+    """F8: the z-scored numeric inputs, from a joined one-row ``stats`` frame or from numbers."""
     cols = numeric_columns()
-    s = f.crossJoin(F.broadcast(stats))
-    z = [((cols[n] - F.col(f"{n}__mean")) / F.col(f"{n}__scale")) for n in C.NUMERIC_FEATURES]
-    onehots = []
-    for c, vals in vocab.values.items():
-        idx = vocab.index(c)
-        onehots += [F.when(idx == i, F.lit(1.0)).otherwise(F.lit(0.0)) for i in range(len(vals) + 1)]
-    keep = [c for c in f.columns]
-    return s.select(*keep, F.array(*z, *onehots).alias("design"))
+    if stats is not None:
+        return [(cols[n] - F.col(f"{n}__mean")) / F.col(f"{n}__scale") for n in C.NUMERIC_FEATURES]
+    return [(cols[n] - F.lit(m)) / F.lit(s) for n, m, s in zip(C.NUMERIC_FEATURES, means, scales)]
+
+
+def design(f: DataFrame, stats: DataFrame, vocab: DataFrame, sizes: dict[str, int] | None = None) -> DataFrame:
+    """F8: the design matrix in sparse form: ``f`` plus ``z`` (z-scored numerics, slots 0..10) and ``slots`` (the
+    active one-hot slot of each categorical column; an unseen value takes the last slot of its block)."""
+    sizes = category_sizes(vocab) if sizes is None else sizes
+    offsets = category_offsets(sizes)
+    j = join_categories(f, vocab, list(sizes), ["category_index"]).crossJoin(F.broadcast(stats))  # one row
+    slots = [F.coalesce(F.col(f"_ll_category_index_{c}"), F.lit(n)) + F.lit(offsets[c]) for c, n in sizes.items()]
+    return j.select(*f.columns, F.array(*standardized(stats)).alias("z"), F.array(*slots).alias("slots"))

@@ -85,7 +85,7 @@ def explain(cases: DataFrame, model: LogisticModel, k: int = 3) -> DataFrame:
     """Contributions, reconstruction gap, grouped top-k positive reasons, spike rule."""
     # model terms read feature columns by their feature-frame names
     base = cases.withColumn("amount_paid_case", F.col("amount_paid")).withColumn("amount_paid", F.col("feature_amount_paid"))
-    contrib = base.withColumn("_contrib", model.contributions())
+    contrib = model.with_terms(base).withColumn("_contrib", model.contributions())
     grouped_names = F.transform(F.col("_contrib"), lambda s: F.struct(
         F.coalesce(F.element_at(F.create_map(*[x for kv in TIME_GROUPS.items() for x in map(F.lit, kv)]),
                                 s["name"]), s["name"]).alias("name"), s["value"].alias("value")))
@@ -115,16 +115,18 @@ def explain(cases: DataFrame, model: LogisticModel, k: int = 3) -> DataFrame:
 
 
 def check_model_shape(model: LogisticModel) -> None:
-    """Numeric features in the fixed order, and every category block ends in UNKNOWN."""
-    names = model.feature_names
-    if tuple(names[:len(C.NUMERIC_FEATURES)]) != C.NUMERIC_FEATURES:
-        raise ValueError("numeric feature order does not match the model")
-    if len(model.weights) != len(names):
-        raise ValueError("weight count does not match the feature names")
-    for column in model.vocab.values:
-        block = [n for n in names if n.startswith(f"{column}=")]
-        if not block or block[-1] != f"{column}={C.UNKNOWN_CATEGORY}":
-            raise ValueError(f"last category of {column} is not {C.UNKNOWN_CATEGORY}")
+    """One mean, scale and weight per numeric input; the categorical columns in design order, each with its slot
+    for unseen values; the trained values of a column numbered 0..n-1 in order, each once."""
+    if any(len(x) != len(C.NUMERIC_FEATURES) for x in (model.means, model.scales, model.numeric)):
+        raise ValueError("weight count does not match the numeric features")
+    if tuple(model.unknown) != C.CATEGORICAL_FEATURES:
+        raise ValueError("categorical columns do not match the model")
+    strange = model.categories.filter(~F.col("column_name").isin(list(model.unknown)) | F.col("value").isNull()
+                                      | F.col("weight").isNull())
+    order = Window.partitionBy("column_name").orderBy("value")
+    uneven = model.categories.withColumn("_k", F.row_number().over(order) - 1).filter("category_index <> _k")
+    if not strange.isEmpty() or not uneven.isEmpty():
+        raise ValueError("category slots do not match the sorted values of their column")
 
 
 def reconstruction_gate(explained: DataFrame, tolerance: float = 1e-5) -> None:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import config as C
 from .operators import risk
 from .session import ensure_checkpoint_dir
 from .sources import adapter
@@ -292,11 +294,43 @@ def q_queue_overlap(spark, sf_dir):
     return r9(met.queue_overlap(sa, sb))
 
 
+def three_chunks(f: DataFrame) -> C.TrainConfig:
+    """The trainer's settings with a third of the rows per chunk, so that the order of the steps shows."""
+    return replace(C.TrainConfig(), chunk_rows=max(1, -(-f.count() // 3)))
+
+
+def trained(spark, sf_dir) -> tuple[DataFrame, LogisticModel]:
+    ensure_checkpoint_dir(spark)
+    f = feature_frame(spark, sf_dir).checkpoint(eager=True)  # read once per pass of the trainer
+    return f, LogisticModel.fit(f, F.col("data_split") == "train", three_chunks(f))
+
+
 @register("model_train_coefficients")
 def q_train(spark, sf_dir):
-    f = feature_frame(spark, sf_dir)
-    model = LogisticModel.fit(f.filter(F.col("data_split") == "train"))
-    return extreme_coefficients(model.coefficients(spark))
+    return r9(extreme_coefficients(trained(spark, sf_dir)[1].coefficients(spark)))
+
+
+@register("model_trained_scores")
+def q_trained_scores(spark, sf_dir):
+    f, model = trained(spark, sf_dir)
+    return model.score(f).select("transaction_id", F.round("review_score", 6).alias("review_score"), "data_split", "model_version")
+
+
+def many_categories(spark, sf_dir) -> DataFrame:
+    """The features with thousands of payment formats: some null, some that training never sees."""
+    n = F.col("transaction_id")
+    fmt = F.when(n % 89 != 0, F.concat("payment_format", F.lit(" "), (n % 3001).cast("string")))
+    return feature_frame(spark, sf_dir).withColumn("payment_format", fmt)
+
+
+@register("model_design")
+def q_design(spark, sf_dir):
+    """F8: the active slots of each row and the sum of its z-scored inputs."""
+    f = many_categories(spark, sf_dir)
+    train = f.filter(F.col("data_split") == "train")
+    d = feat.design(f, feat.standardizer(train), feat.vocabulary(train))
+    return d.select("transaction_id", F.array_join(F.transform("slots", lambda x: x.cast("string")), ",").alias("slots"),
+                    F.round(F.aggregate("z", F.lit(0.0), lambda s, x: s + x), 6).alias("z_sum"))
 
 
 # --- B: promotion, C: reconciliation / publication, D: data tests -----------------------

@@ -190,15 +190,3 @@ def test_artifact_digest_binds_lineage(spark):
     met.check_lineage(d, met.artifact_digest(df.orderBy(F.desc("transaction_id"))))   # order-free
     with pytest.raises(ValueError):
         met.check_lineage(d, met.artifact_digest(df.filter("transaction_id > 0")))
-
-
-def test_model_shape_check():
-    from ledgerlark.operators.features import Vocab
-    from ledgerlark.operators.model import LogisticModel
-    from ledgerlark.operators.queue import check_model_shape
-    vocab = Vocab({"payment_currency": ["Euro"], "receiving_currency": ["Euro"], "payment_format": ["ACH"]})
-    n = len(vocab.feature_names())
-    good = LogisticModel([0.0] * 11, [1.0] * 11, vocab, [0.0] * n, 0.0)
-    check_model_shape(good)
-    with pytest.raises(ValueError):
-        check_model_shape(LogisticModel([0.0] * 11, [1.0] * 11, vocab, [0.0] * (n - 1), 0.0))
