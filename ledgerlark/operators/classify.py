@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import contract
+from ..session import written
 from .scale import assign_ids
 
 
@@ -46,21 +47,25 @@ def parse_corrections(lines: DataFrame, text_col: str = "raw_text") -> DataFrame
 
 def classify(parsed: DataFrame, accepted_hashes: DataFrame | None = None,
              order_cols: tuple[str, ...] = ("file_id", "source_row_number")) -> DataFrame:
-    """A10: validation_status and final reason codes for one incoming batch."""
+    """A10: validation_status and final reason codes for one incoming batch.
+
+    The parse is written once; the first occurrences come from its narrow columns. ``accepted_hashes``: hashes
+    that were accepted before (see ``hashindex.seen``).
+    """
+    return classify_parsed(written(parsed, "parsed"), accepted_hashes, order_cols)
+
+
+def classify_parsed(parsed: DataFrame, accepted_hashes: DataFrame | None = None,
+                    order_cols: tuple[str, ...] = ("file_id", "source_row_number")) -> DataFrame:
+    """A10 over a parse that is stored already: it is read twice."""
     valid = F.size("reason_codes") == 0
-    # No filter on the derived validity and a null-safe join key: neither a pushed
-    # predicate nor an inferred IS NOT NULL gets inlined into the parse projections.
-    first = (parsed.groupBy("record_hash")
-             .agg(F.min(F.when(valid, F.struct(*order_cols))).alias("_first"))
-             .withColumnRenamed("record_hash", "_hash"))
+    first = (parsed.filter(valid).groupBy("record_hash").agg(F.min(F.struct(*order_cols)).alias("_first")))
     if accepted_hashes is not None:
-        seen = (accepted_hashes.select(F.col("record_hash").alias("_hash")).distinct()
-                .withColumn("_seen", F.lit(True)))
-        first = first.join(seen, first["_hash"].eqNullSafe(seen["_hash"]), "left") \
-            .select(first["_hash"], "_first", "_seen")
+        seen = accepted_hashes.select("record_hash").distinct().withColumn("_seen", F.lit(True))
+        first = first.join(seen, "record_hash", "left")
     else:
         first = first.withColumn("_seen", F.lit(False))
-    j = parsed.join(first, parsed["record_hash"].eqNullSafe(first["_hash"]), "left").drop("_hash")
+    j = parsed.join(first, "record_hash", "left").select(*parsed.columns, "_first", "_seen")
     is_first = F.coalesce(F.struct(*order_cols) == F.col("_first"), F.lit(False))
     status = (F.when(~valid, F.lit(C.REJECTED))
               .when(is_first & ~F.coalesce(F.col("_seen"), F.lit(False)), F.lit(C.ACCEPTED))
@@ -88,12 +93,6 @@ def manifest_counts(raw: DataFrame) -> DataFrame:
         F.count_if(s == C.DUPLICATE).alias("duplicate_candidates"))
 
 
-def counts_balance(counts: DataFrame) -> DataFrame:
-    """A12 gate input: files whose three parts do not add up to the total."""
-    return counts.filter(F.col("total_rows") !=
-                         F.col("accepted_rows") + F.col("rejected_rows") + F.col("duplicate_candidates"))
-
-
 def with_raw_ids(classified: DataFrame, start_after: int = 0) -> DataFrame:
     """raw_record_id ascending in (file, row) order after ``start_after``."""
     return assign_ids(classified, ["file_id", "source_row_number"], "raw_record_id", start_after)

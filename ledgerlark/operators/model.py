@@ -9,7 +9,6 @@ vector and its accumulators only. Objective: class-balanced mean log loss + l2/2
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..session import ensure_checkpoint_dir
+from ..session import written
 from . import features as feat
 from .scale import assign_ids
 
@@ -75,10 +74,8 @@ class LogisticModel:
             raise ValueError("training data needs both classes")
         balance = (counts["negative_weight"], counts["positive_weight"])
         bounds = chunk_bounds(f, cfg.chunk_rows)
-        path = f"{ensure_checkpoint_dir(spark)}/design-{uuid.uuid4().hex}"
         rows = feat.design(train, stats, vocab, sizes).select("transaction_id", "z", "slots", F.col(label).cast("double").alias("y"))
-        rows.repartitionByRange("transaction_id").sortWithinPartitions("transaction_id").write.parquet(path)
-        rows = spark.read.parquet(path)
+        rows = written(rows.repartitionByRange("transaction_id").sortWithinPartitions("transaction_id"), "design")
 
         width = len(C.NUMERIC_FEATURES) + sum(n + 1 for n in sizes.values())
         w, squares = np.zeros(width), np.full(width, cfg.accumulator_init)

@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import contract
 from ..operators import classify as cls
+from ..operators import hashindex
 from ..operators import promotion as pro
 from ..operators import reconcile as rec
 from ..operators import risk
 from ..operators.scale import assign_ids
+from ..session import written
 from ..sources import lines as src
 from ..sources.store import Store
 
@@ -134,22 +136,18 @@ class Pipeline:
         if skipped:
             return skipped
         try:
-            lines = src.scan_lines(self.spark, [path])
-            header = lines.filter(F.col("line_number") == 1)
-            bad = src.header_status(header).filter(F.col("error").isNotNull()).collect()
-            if not header.limit(1).collect():
+            error = src.header_status(src.first_line(self.spark, path)).collect()
+            if not error:
                 raise ValueError("empty_file")
-            if bad:
-                raise ValueError(bad[0]["error"])
-            data = lines.filter(F.col("line_number") >= 2).select(
+            if error[0]["error"] is not None:
+                raise ValueError(error[0]["error"])
+            data = src.scan_lines(self.spark, [path]).filter(F.col("line_number") >= 2).select(
                 F.lit(file_id).cast("long").alias("file_id"),
                 F.col("line_number").alias("source_row_number"), "raw_text")
-            raw = self.raw()
-            accepted = None
-            if raw is not None:
-                accepted = raw.filter((F.col("validation_status") == C.ACCEPTED)
-                                      & (F.col("file_id") != file_id)).select("record_hash")
-            classified = cls.classify(cls.parse_lines(data), accepted)
+            parsed = written(cls.parse_lines(data), "parsed")
+            n_lines = parsed.count()
+            valid = parsed.filter(F.size("reason_codes") == 0)
+            classified = cls.classify_parsed(parsed, self._accepted(valid, file_id))
             start = self._max_raw_id(file_id)
             # Line numbers of one file are already dense and ordered, so the raw ID is an
             # offset of the line number (the general distributed numbering is not needed here).
@@ -162,9 +160,11 @@ class Pipeline:
             with_ids = with_ids.repartitionByRange(parts, "raw_record_id").sortWithinPartitions("raw_record_id")
             self.store.overwrite_partitions("raw", with_ids, ["file_id"])
             self._assert_unchanged(path, sha, size)
-            written = self.store.read("raw").filter(F.col("file_id") == file_id)
-            counts = cls.manifest_counts(written).collect()
-            n_lines = data.count()
+            loaded = self.store.read("raw").filter(F.col("file_id") == file_id)
+            counts = cls.manifest_counts(loaded).collect()
+            # Rows of a load that fails later stay in the index, but count only once their file is completed. A
+            # second attempt may add them again: a hash it no longer accepts is accepted in another file.
+            self.store.append("accepted_index", hashindex.index_rows(loaded), ["prefix"])
             c = counts[0].asDict() if counts else {"total_rows": 0, "accepted_rows": 0, "rejected_rows": 0,
                                                    "duplicate_candidates": 0}
             if c["total_rows"] != n_lines:
@@ -181,6 +181,14 @@ class Pipeline:
                                    "status": "failed", "error": str(exc)[:2000]}, MANIFEST_SCHEMA)
             raise
 
+    def _accepted(self, valid: DataFrame, file_id: int) -> DataFrame | None:
+        """A10: hashes of ``valid`` rows that completed files have accepted, from the touched parts of the index."""
+        if not self.store.exists("accepted_index"):
+            return None
+        done = self.manifest().filter((F.col("status") == "completed") & (F.col("file_id") != file_id)).select("file_id")
+        index = self.store.read("accepted_index", hashindex.SCHEMA).join(done, "file_id", "left_semi")
+        return hashindex.seen(index, valid)
+
     def _max_raw_id(self, exclude_file: int) -> int:
         raw = self.store.read("raw")
         if raw is None:
@@ -194,17 +202,14 @@ class Pipeline:
         if skipped:
             return skipped
         try:
-            lines = src.scan_lines(self.spark, [path])
-            first = lines.filter(F.col("line_number") == 1).collect()
-            if not first:
+            error = src.header_status(src.first_line(self.spark, path), (C.CORRECTION_TARGET_HEADER, *C.HEADERS)).collect()
+            if not error:
                 raise ValueError("empty_correction_file")
-            head = lines.filter(F.col("line_number") == 1)
-            expected = F.array(*[F.lit(h) for h in (C.CORRECTION_TARGET_HEADER, *C.HEADERS)])
-            good = contract.is_strict_csv(F.col("raw_text")) & (contract.split_fields(F.col("raw_text")) == expected)
-            if not head.filter(good).count():
-                raise ValueError("correction_header_mismatch")
+            if error[0]["error"] is not None:
+                raise ValueError(f"correction_{error[0]['error']}")
+            lines = src.scan_lines(self.spark, [path])
             rows = lines.filter(F.col("line_number") >= 2)
-            parsed = cls.parse_corrections(rows.select("line_number", "raw_text"))
+            parsed = written(cls.parse_corrections(rows.select("line_number", "raw_text")), "corrections")
             bad = parsed.filter(F.col("error").isNotNull()).select("line_number", F.col("error").alias("e")) \
                 .orderBy("line_number").limit(1).collect()
             if bad:
@@ -225,7 +230,7 @@ class Pipeline:
             self.store.overwrite_partitions("corrections", with_ids, ["correction_file_id"])
             self._assert_unchanged(path, sha, size)
             n = self.store.read("corrections").filter(F.col("correction_file_id") == file_id).count()
-            if n != rows.count():
+            if n != parsed.count():
                 raise RuntimeError("correction_count_mismatch")
             self._log("correction_manifest", {"file_id": file_id, "path": path, "sha256": sha, "byte_size": size,
                                               "status": "completed", "total_rows": n, "accepted_rows": n,

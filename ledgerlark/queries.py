@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import config as C
 from .operators import risk
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, scratch_path, written
 from .sources import adapter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,8 @@ def q_profile_amounts(spark, sf_dir):
 
 # --- A: contract, classification, quarantine, manifest counts, raw IDs -------------
 from .operators import classify as cls  # noqa: E402
+from .operators import hashindex  # noqa: E402
+from .sources import lines as src  # noqa: E402
 
 
 def classified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +152,55 @@ def q_raw_ids(spark, sf_dir):
     return cls.with_raw_ids(lines)
 
 
+def rendered_files(spark, sf_dir) -> list[str]:
+    """The CSV lines as files, one per file_id, each with its header (file 2: one column short); their paths."""
+    lines = adapter.csv_lines(events(spark, sf_dir))
+    short = F.lit(",".join(C.HEADERS[:-1]))
+    head = lines.select("file_id").distinct().select("file_id", F.lit(0).cast("long").alias("source_row_number"), F.when(
+        F.col("file_id") == 2, short).otherwise(F.lit(adapter.header_line())).alias("raw_text"))
+    path = scratch_path(spark, "rendered")
+    (lines.unionByName(head).repartition("file_id").sortWithinPartitions("file_id", "source_row_number")
+     .select("file_id", "raw_text").write.partitionBy("file_id").text(path))
+    return src.discover(spark, f"{path}/*", "part-*")
+
+
+def _file_of(path: str = "path"):
+    return F.regexp_extract(path, "file_id=([0-9]+)", 1).cast("long").alias("file_id")
+
+
+@register("ingest_fingerprints")
+def q_fingerprints(spark, sf_dir):
+    """A3/A4: every file digested as a stream, as a file above the cell limit is."""
+    return src.fingerprint(spark, rendered_files(spark, sf_dir), cell_limit=0).select(_file_of(), "sha256", "byte_size")
+
+
+@register("ingest_lines")
+def q_lines(spark, sf_dir):
+    return src.scan_lines(spark, rendered_files(spark, sf_dir)).select(_file_of(), "line_number", "raw_text")
+
+
+@register("ingest_headers")
+def q_headers(spark, sf_dir):
+    lines = src.scan_lines(spark, rendered_files(spark, sf_dir)).filter("line_number = 1")
+    return src.header_status(lines).select(_file_of(), "error")
+
+
+@register("ingest_second_load")
+def q_second_load(spark, sf_dir):
+    """A10 across files: file 1 is loaded, then the others with every tenth line of file 1 again."""
+    parsed = written(cls.parse_lines(adapter.csv_lines(events(spark, sf_dir))), "parsed")
+    index = hashindex.index_rows(cls.classify_parsed(parsed.filter("file_id = 1")))
+    path = scratch_path(spark, "accepted_index")
+    index.write.partitionBy("prefix").parquet(path)
+    again = parsed.filter("file_id = 1 and source_row_number % 10 = 0").withColumn("file_id", F.lit(2)) \
+        .withColumn("source_row_number", F.col("source_row_number") + 1_000_000_000)
+    second = parsed.filter("file_id <> 1").unionByName(again)
+    seen = hashindex.seen(spark.read.schema(hashindex.SCHEMA).parquet(path),
+                          second.filter(F.size("reason_codes") == 0))
+    return cls.classify_parsed(second, seen).select(
+        "file_id", "source_row_number", "validation_status", F.array_join("reason_codes", ",").alias("reason_codes"))
+
+
 # --- F: features, scoring, metrics ---------------------------------------------------
 from pyspark.sql.types import DoubleType  # noqa: E402
 
@@ -782,3 +833,6 @@ def q_correction_errors(spark, sf_dir):
     lines = c.select("correction_id", F.when(r == 4, F.concat(F.lit('"'), text)).otherwise(text).alias("raw_text"))
     return cls.parse_corrections(lines).select("correction_id", "target_raw_record_id", "error",
                                                F.col("payload.payment_format").alias("payment_format"))
+
+
+from . import queries_state  # noqa: E402, F401  (registers the queries of the stateful parts)

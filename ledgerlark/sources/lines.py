@@ -7,42 +7,111 @@ per file, and every line gets offset + position inside its split.
 
 from __future__ import annotations
 
+import codecs
+import hashlib
+import re
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import written
 
 BOM = "﻿"
 
 
 def discover(spark: SparkSession, directory: str, pattern: str = "*Trans.csv") -> list[str]:
-    """A3: files matching a glob in a directory, sorted by path (listing only, no content read)."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-               .load(directory).select("path").orderBy("path"))
-    return [r["path"] for r in listing.collect()]
+    """A3: files matching a glob in a directory, sorted by path, empty ones too (listing only, no content read)."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+    return sorted(map(_as_read, listing.inputFiles()))
+
+
+def _as_read(uri: str) -> str:
+    """A listed URI as readers give the path of a row."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
+
 
+CELL_LIMIT = 64 << 20  # files up to this size are digested in one cell, larger ones as a stream
 
-def fingerprint(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """A4: SHA-256 and byte size per file, one file per row (content stays on executors).
 
-    binaryFile holds a file in one cell, so files above 2 GB need a streaming digest.
+def fingerprint(spark: SparkSession, paths: list[str], cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """A4: SHA-256 and byte size per file, one file per row; content stays on executors.
+
+    The sizes come from the listing. A file above ``cell_limit`` is digested as a stream (``streamed_digest``).
     """
+    schema = "path string, sha256 string, byte_size long"
     if not paths:
-        return spark.createDataFrame([], "path string, sha256 string, byte_size long")
-    return (spark.read.format("binaryFile").load(paths)
-            .select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size")))
+        return spark.createDataFrame([], schema)
+    files = spark.read.format("binaryFile").load(paths)
+    sizes = {r["path"]: r["length"] for r in files.select("path", "length").collect()}  # listing only: a number per file
+    out = files.filter(F.col("length") <= cell_limit).select(
+        "path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size"))
+    large = [p for p, n in sizes.items() if n > cell_limit]
+    empty = [(p, hashlib.sha256().hexdigest(), 0) for p in map(_as_read, files.inputFiles()) if p not in sizes]  # no reader returns them
+    if large:
+        out = out.unionByName(streamed_digest(spark, large))
+    return out.unionByName(spark.createDataFrame(empty, schema)) if empty else out
+
+
+def streamed_digest(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """SHA-256 and byte size per file in constant memory, one path per task, over any file system Spark reads.
+
+    The pieces between line feeds are sorted by their place (the sort spills to disk) and fed in order to an
+    incremental digest. The reader drops a byte order mark at the start and a line feed at the end, so
+    two digests run, with and without the mark, and the file's size tells which bytes were there.
+    """
+    raw = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("byte_size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"),
+        F.col("value").cast("binary").alias("piece"))
+
+    def run(batches):
+        path = size = plain = marked = None
+        total = 0
+
+        def out():
+            for digest, extra in ((plain, 0), (marked, 3)):
+                if total + extra == size:
+                    digest.update(b"\n")
+                if total + extra - size in (0, 1):
+                    return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([digest.hexdigest()]), pa.array([size], pa.int64())],
+                                                      names=["path", "sha256", "byte_size"])
+            raise ValueError(f"{path}: {size} bytes listed, lines of {total} bytes read")
+
+        for batch in batches:
+            pieces = batch.column("piece").to_pylist()
+            for i, (p, n) in enumerate(zip(batch.column("path").to_pylist(), batch.column("byte_size").to_pylist())):
+                if p != path:
+                    if path is not None:
+                        yield out()
+                    path, size, total = p, n, 0
+                    plain, marked = hashlib.sha256(), hashlib.sha256(codecs.BOM_UTF8)
+                elif total:
+                    plain.update(b"\n")
+                    marked.update(b"\n")
+                plain.update(pieces[i])
+                marked.update(pieces[i])
+                total += len(pieces[i]) + 1
+        if path is not None:
+            yield out()
+
+    ordered = raw.repartition(len(paths), "path").sortWithinPartitions("path", "block", "place")
+    return ordered.mapInArrow(run, "path string, sha256 string, byte_size long")
 
 
 def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """A1: every physical line of every file with its 1-based line number and raw text
-    (line terminators removed, a leading UTF-8 BOM dropped from line 1)."""
+    (line terminators removed, a leading UTF-8 BOM dropped from line 1). The files are read once: the lines are
+    written to the shared folder with their places, and numbered from there."""
     if not paths:
         return spark.createDataFrame([], "path string, line_number long, raw_text string")
-    raw = (spark.read.text(paths)
-           .select(F.col("_metadata.file_path").alias("path"),
-                   F.col("_metadata.file_block_start").alias("block_start"),
-                   F.monotonically_increasing_id().alias("_mono"), F.col("value").alias("raw_text")))
+    raw = written(spark.read.text(paths)
+                  .select(F.col("_metadata.file_path").alias("path"),
+                          F.col("_metadata.file_block_start").alias("block_start"),
+                          F.monotonically_increasing_id().alias("_mono"), F.col("value").alias("raw_text")), "lines")
     splits = raw.groupBy("path", "block_start").agg(F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("path", "block_start", "_first",
@@ -53,14 +122,20 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return j.select("path", line_no.alias("line_number"), text.alias("raw_text"))
 
 
-def header_status(lines: DataFrame) -> DataFrame:
-    """A2: per file, None when line 1 is exactly the 11-column header, else the failure text."""
+def first_line(spark: SparkSession, path: str) -> DataFrame:
+    """Line 1 of a file: (path, raw_text), no row for an empty file. Stops after the first row of the first block."""
+    return (spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0).limit(1)
+            .select(F.lit(path).alias("path"), F.regexp_replace("value", f"^{BOM}", "").alias("raw_text")))
+
+
+def header_status(first: DataFrame, expected: tuple[str, ...] = C.HEADERS) -> DataFrame:
+    """A2: per file, null when its first line is exactly the header, else what was expected and found."""
     from ..functions.contract import is_strict_csv, split_fields
-    first = lines.filter(F.col("line_number") == 1)
-    expected = F.array(*[F.lit(h) for h in C.HEADERS])
-    ok = is_strict_csv(F.col("raw_text")) & (split_fields(F.col("raw_text")) == expected)
-    return first.select("path", F.when(ok, F.lit(None).cast("string")).otherwise(
-        F.lit("header_mismatch")).alias("error"))
+    line = F.col("raw_text")
+    want = F.array(*[F.lit(h) for h in expected])
+    found = F.when(is_strict_csv(line), split_fields(line))
+    text = F.concat(F.lit("header_mismatch: expected "), F.to_json(want), F.lit("; got "), F.coalesce(F.to_json(found), line))
+    return first.select("path", F.when(found == want, F.lit(None).cast("string")).otherwise(text).alias("error"))
 
 
 MODEL_SCHEMA = T.StructType([

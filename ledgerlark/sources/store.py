@@ -37,7 +37,8 @@ class Store:
     def read(self, table: str, schema: str | None = None) -> DataFrame | None:
         if not self.exists(table):
             return self.spark.createDataFrame([], schema) if schema else None
-        return self.spark.read.parquet(self.path(table))
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(self.path(table))
 
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         w = df.write.mode("append")

@@ -2,8 +2,8 @@
 
 A Structured Streaming file source tracks which files were already seen (in its
 checkpoint, which must be on the shared file system). Each micro-batch carries
-the lines of new files; ``foreachBatch`` takes the distinct file paths (one row
-per file) and runs the batch plans on them. The plans are idempotent by file
+the paths of new files, one row per file, from the listing alone; ``foreachBatch``
+runs the batch plans on them. The plans are idempotent by file
 SHA-256 and by raw/correction ID, so a batch replayed after a failure is safe.
 
 No watermark is set on purpose: late rows must load (they are counted as late by
@@ -14,7 +14,6 @@ row ever loaded, not only those inside a watermark.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import Pipeline
@@ -38,10 +37,11 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, store_root: str,
                          pattern: str = "*Trans.csv", available_now: bool = True,
                          max_files_per_trigger: int | None = None, publish: bool = True) -> StreamingQuery:
     """Start the landing stream; with ``available_now`` it processes what is there and stops."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", pattern)
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(landing_dir).select(F.col("_metadata.file_path").alias("path"))
+    files = reader.load(landing_dir).select("path")  # the content column is not read
     pipeline = Pipeline(spark, store_root)
     writer = (files.writeStream.foreachBatch(landing_batch(pipeline, publish))
               .option("checkpointLocation", checkpoint))
