@@ -124,39 +124,6 @@ def currency_diff(fact: DataFrame, mart: DataFrame, days: DataFrame | None = Non
                     (F.coalesce("core_paid", z) - F.coalesce("mart_paid", z)).cast("decimal(38,6)").alias("amount_delta"))
 
 
-def affected_days(new_staged: DataFrame, new_corrections: DataFrame, fact_before: DataFrame,
-                  all_corrections: DataFrame) -> DataFrame:
-    """C4: new staged dates, corrected new dates, original dates of corrected rows and dates of
-    all earlier corrections of those rows (distinct)."""
-    d1 = new_staged.select(F.to_date("event_time").alias("event_date"))
-    d2 = new_corrections.select(F.to_date("event_time").alias("event_date"))
-    targets = new_corrections.select(F.col("target_raw_record_id").alias("source_raw_record_id")).distinct()
-    d3 = fact_before.join(targets, "source_raw_record_id", "left_semi").select(F.to_date("event_time").alias("event_date"))
-    d4 = all_corrections.join(targets.withColumnRenamed("source_raw_record_id", "target_raw_record_id"),
-                              "target_raw_record_id", "left_semi").select(F.to_date("event_time").alias("event_date"))
-    return d1.unionByName(d2).unionByName(d3).unionByName(d4).distinct()
-
-
-def merged_bounds(runs: DataFrame, lo: str, hi: str) -> list[tuple[int, int]]:
-    """C4/C5 helper: collapse run intervals (few rows) into disjoint (lo, hi] bounds on the driver,
-    so the ID interval join becomes a range filter instead of a nested-loop join."""
-    rows = sorted((r[lo], r[hi]) for r in runs.select(lo, hi).collect() if r[hi] > r[lo])
-    out: list[tuple[int, int]] = []
-    for a, b in rows:
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
-
-
-def in_bounds(col: str, bounds: Sequence[tuple[int, int]]):
-    cond = F.lit(False)
-    for a, b in bounds:
-        cond = cond | ((F.col(col) > a) & (F.col(col) <= b))
-    return cond
-
-
 # --- views ---------------------------------------------------------------------------
 
 def daily_metrics(mart: DataFrame, banks: DataFrame) -> DataFrame:

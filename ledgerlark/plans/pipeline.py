@@ -7,23 +7,26 @@ dimension and fact rows are insert-if-absent by key, cursors advance only after
 all writes, and a publication becomes visible only when its pointer is renamed
 into place (§7.4 of the survey).
 
-Published tables are partitioned by event date. A publication writes only the
-affected days under its own run folder; the pointer records, for every day,
-which run holds it, so a publish never rewrites untouched history.
+Published tables are partitioned by publication and event date. A publication writes the
+affected days under its own number, and a Parquet index says which publication holds each day
+and file, so untouched history is neither rewritten nor read. The fact is partitioned by the date of
+the original; corrections are merged on read, by day, and can be compacted to the latest per row.
 """
 
 from __future__ import annotations
 
-import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import config as C
 from ..functions import contract
 from ..operators import classify as cls
 from ..operators import hashindex
+from ..operators import health as hl
+from ..operators import intervals as iv
 from ..operators import promotion as pro
 from ..operators import reconcile as rec
 from ..operators import risk
@@ -46,6 +49,17 @@ PUBLISHED = "published"
 BANK_SCHEMA = "bank_key long, bank_code string"
 ACCOUNT_SCHEMA = "account_key long, bank_key long, account_code string"
 RECONCILIATIONS = ("row_reconciliation", "amount_reconciliation")
+# The fact is partitioned by the date its original was paid on; corrections carry the place of the row they change.
+FACT_SCHEMA = ("source_raw_record_id long, source_file_id long, event_time timestamp_ntz, from_account_key long, to_account_key long, "
+               "amount_received decimal(24,6), receiving_currency string, amount_paid decimal(24,6), payment_currency string, "
+               "payment_format string, is_laundering boolean, current_correction_id long, source_date date")
+FACT_CORRECTION_SCHEMA = ("correction_id long, target_raw_record_id long, event_time timestamp_ntz, from_account_key long, "
+                          "to_account_key long, amount_received decimal(24,6), receiving_currency string, amount_paid decimal(24,6), "
+                          "payment_currency string, payment_format string, is_laundering boolean, source_file_id long, source_date date")
+INDEX_SCHEMA = "kind string, key string, v long"
+LATEST = "latest_corrections"
+SNAPSHOT_KEYS = {"signal": ["transaction_key"], "mart": ["event_date", "from_bank", "payment_currency", "payment_format"],
+                 "row_reconciliation": ["file_id"], "amount_reconciliation": ["file_id", "payment_currency"], "index": ["kind", "key"]}
 
 
 def _seq() -> int:
@@ -243,25 +257,63 @@ class Pipeline:
             raise
 
     # --- B: promote ---------------------------------------------------------------------
-    def fact_current(self) -> DataFrame | None:
-        """Current fact: immutable originals with the latest applied correction per row."""
-        base = self.store.read("fact")
+    def _fact(self) -> DataFrame | None:
+        return self.store.read("fact", FACT_SCHEMA) if self.store.exists("fact") else None
+
+    def _latest_corrections(self) -> DataFrame | None:
+        """The latest applied correction per row: the compacted ones, and those applied since."""
+        if not self.store.exists("fact_corrections"):
+            return None
+        deltas = self.store.read("fact_corrections", FACT_CORRECTION_SCHEMA)
+        v = self.store.current_version(LATEST)
+        if v is not None:
+            deltas = deltas.filter(F.col("correction_id") > self.store.read_pointer(LATEST, v)["through"])
+            deltas = deltas.unionByName(self.store.read_version(LATEST, "latest", v, FACT_CORRECTION_SCHEMA))
+        return pro.latest_correction(deltas)
+
+    def compact_corrections(self) -> int | None:
+        """Write the latest correction per row as a version, so that reads fold only later ones; its last ID."""
+        latest = self._latest_corrections()
+        if latest is None:
+            return None
+        n = self.store.next_version(LATEST)
+        self.store.write_version_table(LATEST, "latest", n, latest)
+        through = self.store.read_version(LATEST, "latest", n, FACT_CORRECTION_SCHEMA).agg(F.max("correction_id")).first()[0] or 0
+        self.store.commit_version(LATEST, n, {"through": through})
+        return through
+
+    def fact_current(self, days: list | None = None) -> DataFrame | None:
+        """Current fact: immutable originals with the latest applied correction per row.
+
+        With ``days``, the rows whose current date is among them: reads the originals of those days and of the days that
+        a correction moved rows from, as partition filters; a list of dates is as long as a calendar.
+        """
+        base, latest = self._fact(), self._latest_corrections()
         if base is None:
             return None
-        fc = self.store.read("fact_corrections")
-        if fc is None:
-            return base
-        return pro.apply_corrections(base, pro.latest_correction(fc))
+        if days is not None:
+            of = lambda col, values: F.col(col).isin([F.lit(str(d)).cast("date") for d in values])
+            moved = [] if latest is None else [r[0] for r in latest.filter(F.to_date("event_time").isin(
+                [F.lit(str(d)).cast("date") for d in days])).select("source_date").distinct().collect()]
+            read = sorted({str(d) for d in [*days, *moved]})
+            base = base.filter(of("source_date", read))
+            latest = None if latest is None else latest.filter(of("source_date", read))
+        out = base if latest is None else pro.apply_corrections(base, latest.drop("source_file_id", "source_date"))
+        return out if days is None else out.filter(F.to_date("event_time").isin([F.lit(str(d)).cast("date") for d in days]))
 
     def promote(self, mode: str = "incremental", raw_limit: int | None = None,
-                correction_limit: int | None = None, backfill: tuple[int, int] | None = None) -> dict:
-        """Promote one window of accepted raw rows and corrections (None: all that is pending)."""
+                correction_limit: int | None = None, backfill: tuple[int, int] | None = None,
+                correction_backfill: tuple[int, int] | None = None) -> dict:
+        """Promote one window of accepted raw rows and corrections (None: all that is pending).
+
+        A backfill takes ID ranges (after, through] of rows, of corrections, or of both.
+        """
         if any(limit is not None and limit <= 0 for limit in (raw_limit, correction_limit)):
             raise ValueError("limits must be positive")
         if mode not in ("incremental", "backfill"):
             raise ValueError("mode must be incremental or backfill")
-        if mode == "incremental" and backfill is not None:
-            raise ValueError("explicit range is only allowed in backfill mode")
+        if mode == "incremental" and (backfill is not None or correction_backfill is not None):
+            raise ValueError("ranges need backfill mode")
         st = self.state()
         bounds = {"raw_after": None, "raw_through": None, "correction_after": None, "correction_through": None}
         try:
@@ -269,17 +321,18 @@ class Pipeline:
             if raw is None:
                 return {"status": "skipped"}
             if mode == "backfill":
-                if backfill is None:
+                if backfill is None and correction_backfill is None:
                     raise ValueError("backfill needs a range")
-                pro.check_backfill(backfill[0], backfill[1], self._max("raw", "raw_record_id"))
-                raw_after, raw_through = backfill
-                corr_after = corr_through = 0
+                raw_after, raw_through = backfill or (0, 0)
+                corr_after, corr_through = correction_backfill or (0, 0)
+                pro.check_backfill(raw_after, raw_through, self._max("raw", "raw_record_id"))
+                pro.check_backfill(corr_after, corr_through, self._max("corrections", "correction_id"))
             else:
                 w = pro.raw_window(raw, st["last_raw_record_id"], raw_limit).collect()[0]
                 raw_after, raw_through = w["raw_after"], w["raw_through"]
                 corr_after, corr_through = st["last_correction_id"], st["last_correction_id"]
                 corr_raw = self.corrections()
-                fact = self.store.read("fact")
+                fact = self._fact()
                 if corr_raw is not None:
                     fact_ids = fact if fact is not None else self.spark.createDataFrame(
                         [], "source_raw_record_id long")
@@ -295,8 +348,8 @@ class Pipeline:
             # Idempotency joins only need existing rows inside the window's ID range.
             in_win = lambda df, col: None if df is None else df.filter(
                 pro.in_range(col, raw_after, raw_through))
-            had = lambda table, col: 0 if (df := in_win(self.store.read(table), col)) is None else df.count()
-            had_staged, had_fact = had("staging", "raw_record_id"), had("fact", "source_raw_record_id")
+            had = lambda table, col: 0 if (df := in_win(table, col)) is None else df.count()
+            had_staged, had_fact = had(staged_all, "raw_record_id"), had(self._fact(), "source_raw_record_id")
             new_staged = pro.stage(window, in_win(staged_all, "raw_record_id"))
             self.store.append("staging", new_staged)
             staged_all = self.store.read("staging")
@@ -304,12 +357,19 @@ class Pipeline:
             n_acc = window.filter(F.col("validation_status") == C.ACCEPTED).count()
             n_stg = staged_win.count()
             if n_acc != n_stg:                                                            # B7
-                raise RuntimeError(f"raw->staging count mismatch: {n_acc} != {n_stg}")
+                raise RuntimeError(f"{n_acc} accepted rows, {n_stg} staged rows")
             corr_win = None
             if corr_through > corr_after:
-                cr = self.corrections().filter(
-                    pro.in_range("correction_id", corr_after, corr_through))
-                corr_win = pro.stage_corrections(cr)
+                in_corr = pro.in_range("correction_id", corr_after, corr_through)
+                events = self.corrections()
+                events = None if events is None else events.filter(in_corr)
+                if events is None or events.isEmpty():
+                    raise RuntimeError("no completed correction in the range")
+                had_corr = self.store.read("staging_corrections")
+                self.store.append("staging_corrections", pro.stage_corrections(events, None if had_corr is None else had_corr.filter(in_corr)))  # B6
+                corr_win = self.store.read("staging_corrections").filter(in_corr)
+                if corr_win.count() != events.count():                                     # B7
+                    raise RuntimeError("some corrections were not staged")
             banks = self.store.read("bank_dim")
             new_banks = pro.upsert_banks(banks, staged_win, corr_win)
             self.store.append("bank_dim", new_banks)
@@ -318,27 +378,31 @@ class Pipeline:
             new_accounts = pro.upsert_accounts(accounts, banks, staged_win, corr_win)
             self.store.append("account_dim", new_accounts)
             accounts = self.store.read("account_dim")
-            fact = self.store.read("fact")
-            self.store.append("fact", pro.insert_fact(staged_win, banks, accounts,
-                                                      in_win(fact, "source_raw_record_id")))
-            fact = self.store.read("fact")
+            new_fact = pro.insert_fact(staged_win, banks, accounts, in_win(self._fact(), "source_raw_record_id"))
+            self.store.append("fact", new_fact.withColumn("source_date", F.to_date("event_time")), ["source_date"])
+            fact = self._fact()
             n_fact = fact.filter(pro.in_range("source_raw_record_id", raw_after, raw_through)).count()
             if n_fact != n_stg:                                                           # B11
-                raise RuntimeError(f"staging->fact count mismatch: {n_stg} != {n_fact}")
+                raise RuntimeError(f"{n_stg} staged rows, {n_fact} fact rows")
             applied = 0
             if corr_win is not None:
-                orphans = pro.orphan_corrections(corr_win, fact).count()
+                place = fact.select(F.col("source_raw_record_id").alias("target_raw_record_id"), "source_file_id", "source_date")
+                keyed = written(pro.with_account_keys(corr_win, banks, accounts)
+                                .select("correction_id", "target_raw_record_id", *pro.FACT_VALUE_COLS)
+                                .join(place, "target_raw_record_id", "left"), "corrections")
+                orphans = keyed.filter("source_date is null").count()
                 if orphans:                                                               # B12
                     raise RuntimeError(f"{orphans} corrections have no fact row")
-                keyed = pro.with_account_keys(corr_win, banks, accounts).select(
-                    "correction_id", "target_raw_record_id", *pro.FACT_VALUE_COLS)
-                prior = self.store.read("fact_corrections")
-                if prior is not None:
-                    keyed = keyed.join(prior.filter(pro.in_range("correction_id", corr_after, corr_through))
-                                       .select("correction_id"), "correction_id", "left_anti")
-                current = self.fact_current()
-                applied = pro.corrected_count(current, pro.latest_correction(keyed)).collect()[0][0]
-                self.store.append("fact_corrections", keyed)
+                if self.store.exists("fact_corrections"):
+                    prior = self.store.read("fact_corrections", FACT_CORRECTION_SCHEMA)
+                    keyed = keyed.join(prior.filter(in_corr).select("correction_id"), "correction_id", "left_anti")
+                latest = self._latest_corrections()
+                news = pro.latest_correction(keyed)
+                if latest is not None:
+                    older = latest.select("target_raw_record_id", F.col("correction_id").alias("_had"))
+                    news = news.join(older, "target_raw_record_id", "left").filter("_had is null or _had < correction_id")
+                applied = news.count()
+                self.store.append("fact_corrections", keyed.select(*self.store.read("fact_corrections", FACT_CORRECTION_SCHEMA).columns))
             wm = st["max_event_time"]
             late = 0
             if mode == "incremental" and wm is not None:                                  # B15
@@ -373,41 +437,35 @@ class Pipeline:
     def _publications(self) -> DataFrame:
         return self.store.read("publication_log", PUB_SCHEMA)
 
-    def _published(self, what: str) -> dict[str, int]:
-        v = self.store.current_version(PUBLISHED)
-        return {} if v is None else self.store.read_pointer(PUBLISHED, v).get(what, {})
-
-    def published_days(self) -> dict[str, int]:
-        return self._published("days")
+    def published_index(self) -> DataFrame:
+        """(kind, key, v): the publication that last wrote each day and each reconciled file."""
+        now = self.store.current_version(PUBLISHED)
+        if now is None:
+            return self.spark.createDataFrame([], INDEX_SCHEMA)
+        index = self.spark.read.schema(INDEX_SCHEMA).parquet(self.store.path(PUBLISHED, "index"))
+        return index.filter(F.col("v") <= now).groupBy("kind", "key").agg(F.max("v").alias("v"))
 
     def read_published(self, table: str) -> DataFrame | None:
-        """Current published table: each day (reconciliations: each file) from the run that last wrote it."""
-        by_file = table in RECONCILIATIONS
-        days = self._published("files") if by_file else self.published_days()
-        if not days:
+        """Current published table: each day (reconciliations: each file) from the publication that last wrote it.
+
+        One scan of all versions, joined to the index on its partition columns.
+        """
+        now = self.store.current_version(PUBLISHED)
+        if now is None:
             return None
-        by_run: dict[int, list[str]] = {}
-        for d, run in days.items():
-            by_run.setdefault(run, []).append(d)
-        parts = []
-        for run, ds in sorted(by_run.items()):
-            base = self.store.version_path(PUBLISHED, table, run)
-            own = F.col("file_id").isin([int(d) for d in ds]) if by_file else \
-                F.col("event_date").isin([F.lit(d).cast("date") for d in ds])
-            parts.append(self.spark.read.parquet(base).filter(own))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        kind, key, kept = ("file", "file_id", "long") if table in RECONCILIATIONS else ("day", "event_date", "date")
+        mine = self.published_index().filter(F.col("kind") == kind).select(F.col("key").cast(kept).alias(key), "v")
+        schema = StructType.fromJson(self.store.read_pointer(PUBLISHED, now)["schemas"][table])
+        return self.store.read_versions(PUBLISHED, table, schema).filter(F.col("v") <= now).join(mine, [key, "v"], "left_semi").select(*schema.names)
 
     def _fact_rows(self, fact: DataFrame) -> DataFrame:
         from ..queries import fact_with_codes
         return fact_with_codes(fact, self.store.read("bank_dim", BANK_SCHEMA), self.store.read("account_dim", ACCOUNT_SCHEMA))
 
-    def _stored(self, table: str, pub_id: int, df: DataFrame) -> DataFrame:
-        """Write a reconciliation under the publication and check the written rows."""
-        self.store.write_version_table(PUBLISHED, table, pub_id, df)
-        return self.spark.read.schema(df.schema).parquet(self.store.version_path(PUBLISHED, table, pub_id))
+    def _stored(self, table: str, pub_id: int, df: DataFrame, by: list[str] | None = None) -> DataFrame:
+        """Write a published table under the publication and read the written rows back."""
+        self.store.write_version_table(PUBLISHED, table, pub_id, df, by)
+        return self.store.read_version(PUBLISHED, table, pub_id, df.schema)
 
     def _unpublished(self) -> tuple[dict | None, DataFrame, DataFrame]:
         """(last publication, promotion runs since it, files completed since it)."""
@@ -418,102 +476,89 @@ class Pipeline:
         files = self.manifest().filter((F.col("status") == "completed") & (F.col("seq") > since))
         return prev, runs, files
 
+    def _unready(self, raw: DataFrame | None, manifest: DataFrame, st: dict) -> DataFrame:
+        none = self.spark.createDataFrame([], "raw_record_id long, validation_status string, correction_id long")
+        corr = self.corrections()
+        return hl.unready(none if raw is None else raw, none if corr is None else corr, manifest, self.manifest("correction_manifest"),
+                          st["last_raw_record_id"], st["last_correction_id"])
+
+    def _reconciled(self, pub_id: int, manifest: DataFrame, raw: DataFrame, staging: DataFrame, base: DataFrame,
+                    files: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """C14-C16 of ``files``, stored. A file's rows have consecutive IDs, so staging, fact and corrections are read
+        between the first and last ID of the files only (file and row group statistics skip the rest)."""
+        ends = files.agg(F.min("file_id"), F.max("file_id")).first()
+        of_files = raw.filter(F.col("file_id").between(*ends)) if ends[0] is not None else raw.limit(0)
+        of_files = of_files.join(files, "file_id", "left_semi")
+        lo, hi = of_files.agg(F.min("raw_record_id"), F.max("raw_record_id")).first()
+        near = lambda df, c: df.limit(0) if lo is None else df.filter(F.col(c).between(lo, hi))
+        staged, core, latest = near(staging, "raw_record_id"), near(base, "source_raw_record_id"), self._latest_corrections()
+        rows_r = self._stored("row_reconciliation", pub_id, rec.row_reconciliation(manifest, of_files, staged, core, files))
+        latest = self.spark.createDataFrame([], FACT_CORRECTION_SCHEMA) if latest is None else near(latest, "target_raw_record_id")
+        current = pro.apply_corrections(core, latest.drop("source_file_id", "source_date"))
+        paid = of_files.filter(F.col("validation_status") == C.ACCEPTED).select(
+            "file_id", F.col("payload.payment_currency").alias("payment_currency"), contract.amount_value(F.col("payload.amount_paid")).alias("amount_paid"))
+        return rows_r, self._stored("amount_reconciliation", pub_id, rec.amount_reconciliation(paid, staged, latest, current, files))
+
     def publish(self) -> dict:
         """Refresh affected days, run every gate on the written data, then commit."""
         st = self.state()
-        raw, corr = self.raw(), self.corrections()
-        pending_raw = 0 if raw is None else raw.filter(
-            (F.col("validation_status") == C.ACCEPTED)
-            & (F.col("raw_record_id") > st["last_raw_record_id"])).limit(1).count()
-        pending_corr = 0 if corr is None else corr.filter(
-            F.col("correction_id") > st["last_correction_id"]).limit(1).count()
-        if pending_raw or pending_corr:                                                   # C1
-            raise RuntimeError("promotion pending: promote before publishing")
+        raw = self.raw()
         manifest = self.manifest()
-        for m in (manifest, self.manifest("correction_manifest")):
-            if m.filter(F.col("status") == "started").limit(1).count():                   # C2
-                raise RuntimeError("a file is still loading")
+        unready = self._unready(raw, manifest, st).collect()                              # C1, C2
+        if unready:
+            raise RuntimeError("not ready to publish: " + "; ".join(f"{r['n']} {r['gate']}" for r in unready))
         prev, runs, new_files = self._unpublished()
         last_file = self._max("manifest", "file_id")
-        if raw is None or (not runs.limit(1).count() and not new_files.limit(1).count()):
+        if raw is None or (runs.isEmpty() and new_files.isEmpty()):
             return {"status": "skipped", "publication_id": prev["publication_id"] if prev else None}  # C3
         pub_id = self.store.next_version(PUBLISHED)
         try:
-            none = raw.limit(0)
             staging = self.store.read("staging")
-            staging = pro.stage(none) if staging is None else staging
+            staging = pro.stage(raw.limit(0)) if staging is None else staging
+            base = self._fact()
+            base = self.spark.createDataFrame([], FACT_SCHEMA) if base is None else base
+            all_corr = self.store.read("fact_corrections", FACT_CORRECTION_SCHEMA)
             # Rows that any run since the last publication promoted, backfills included.
-            raw_bounds = rec.merged_bounds(runs, "raw_after", "raw_through")
-            corr_bounds = rec.merged_bounds(runs, "correction_after", "correction_through")
-            new_staged = staging.filter(rec.in_bounds("raw_record_id", raw_bounds))
-            fc = self.store.read("fact_corrections")
-            base = self.store.read("fact")
-            if base is None:
-                base = pro.insert_fact(pro.stage(none), self.spark.createDataFrame([], BANK_SCHEMA),
-                                       self.spark.createDataFrame([], ACCOUNT_SCHEMA))
-            fact = self.fact_current()
+            new_staged = iv.covered(staging, "raw_record_id", iv.merged(runs, "raw_after", "raw_through"))
+            new_corr = iv.covered(all_corr, "correction_id", iv.merged(runs, "correction_after", "correction_through"))
+            # Corrections carry the date and file of the row they change, so the fact is not searched for them.
+            originals = new_corr.select(F.col("target_raw_record_id").alias("source_raw_record_id"), "source_file_id",
+                                        F.col("source_date").cast("timestamp_ntz").alias("event_time"))
+            days = written(iv.affected_days(new_staged, new_corr, originals, all_corr), "days")           # C4
+            files = written(iv.affected_files(new_files, new_staged, new_corr, originals), "files")       # C5
+            day_list = sorted(r[0] for r in days.collect())  # a calendar's length, for partition filters
+            fact = self.fact_current(day_list)
             fact = base if fact is None else fact
-            if fc is not None:
-                new_corr = fc.filter(rec.in_bounds("correction_id", corr_bounds))
-                all_corr = fc
-            else:
-                new_corr = all_corr = self.spark.createDataFrame([], "correction_id long, target_raw_record_id long, "
-                                                                 "event_time timestamp_ntz")
-            days = rec.affected_days(new_staged, new_corr, base, all_corr)                # C4
-            day_list = [str(r[0]) for r in days.collect() if r[0] is not None]
-            targets = new_corr.select(F.col("target_raw_record_id").alias("source_raw_record_id"))
-            files = (new_files.select("file_id")
-                     .unionByName(new_staged.select(F.col("source_file_id").alias("file_id")))
-                     .unionByName(base.join(targets, "source_raw_record_id", "left_semi")
-                                  .select(F.col("source_file_id").alias("file_id")))
-                     .distinct())                                                         # C5
-            file_list = [r[0] for r in files.collect()]
-            files = self.spark.createDataFrame([(f,) for f in file_list], "file_id long")
-            on_days = F.to_date("event_time").isin([F.lit(d).cast("date") for d in day_list])
-            signal = risk.risk_signal(self._fact_rows(fact.filter(on_days)), self.risk_cfg)
-            self.store.write_version_table(PUBLISHED, "signal", pub_id, signal, ["event_date"])
-            w_signal = self.spark.read.schema(signal.schema).parquet(self.store.version_path(PUBLISHED, "signal", pub_id))
+            w_signal = self._stored("signal", pub_id, risk.risk_signal(self._fact_rows(fact), self.risk_cfg), ["event_date"])
             # The mart is built from the written signal: no second pass over the rules.
-            mart = risk.daily_mart(w_signal, self.risk_cfg)
-            self.store.write_version_table(PUBLISHED, "mart", pub_id, mart, ["event_date"])
-            w_mart = self.spark.read.schema(mart.schema).parquet(self.store.version_path(PUBLISHED, "mart", pub_id))
-            raw_acc = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
-                "file_id", F.col("payload.payment_currency").alias("payment_currency"),
-                contract.amount_value(F.col("payload.amount_paid")).alias("amount_paid"))
-            latest = pro.latest_correction(fc) if fc is not None else None
-            rows_r = rec.row_reconciliation(manifest, raw, staging, base, files)           # C14
-            rows_r = self._stored("row_reconciliation", pub_id, rows_r)
-            if latest is not None:
-                amounts = rec.amount_reconciliation(raw_acc, staging, latest, fact, files)  # C15/C16
-            else:
-                empty = self.spark.createDataFrame([], "target_raw_record_id long, payment_currency string, "
-                                                   "amount_paid decimal(24,6)")
-                amounts = rec.amount_reconciliation(raw_acc, staging, empty, fact, files)
-            amounts = self._stored("amount_reconciliation", pub_id, amounts)
+            w_mart = self._stored("mart", pub_id, risk.daily_mart(w_signal, self.risk_cfg), ["event_date"])
+            rows_r, amounts = self._reconciled(pub_id, manifest, raw, staging, base, files)
             quality = rec.quality_gate(manifest, files, self.policy.max_rejected_fraction)
             failures = [f"{r['gate']} ({r['n']} in all, first file {r['file_id']})" for r in
                         rec.gate_failures(rows_r, amounts, quality).groupBy("gate")
                         .agg(F.count(F.lit(1)).alias("n"), F.min("file_id").alias("file_id")).orderBy("gate").collect()]  # C17
-            core_rows = fact.filter(on_days).count()
+            core_rows = fact.count()
             sig_rows = w_signal.count()
             if core_rows != sig_rows:                                                      # C18
                 failures.append(f"risk coverage: {core_rows} core rows, {sig_rows} signal rows")
             mart_rows = w_mart.agg(F.coalesce(F.sum("transaction_count"), F.lit(0))).collect()[0][0]
             if mart_rows != sig_rows:                                                      # C19
                 failures.append(f"mart count: {mart_rows} != {sig_rows}")
-            diff = rec.currency_diff(fact.filter(on_days), w_mart)
+            diff = rec.currency_diff(fact, w_mart)
             bad_cur = diff.filter(F.col("amount_delta") != 0).agg(
                 F.count(F.lit(1)).alias("n"), F.min("payment_currency").alias("c")).collect()[0]         # C20
             if bad_cur["n"]:
                 failures.append(f"mart amount differs for {bad_cur['n']} currencies, first {bad_cur['c']}")
             if failures:
                 raise RuntimeError("; ".join(failures))
-            merged = {**self.published_days(), **{d: pub_id for d in day_list}}
-            merged_files = {**self._published("files"), **{str(f): pub_id for f in file_list}}
-            self.store.commit_version(PUBLISHED, pub_id, {"days": merged, "files": merged_files})  # C22
+            index = days.select(F.lit("day").alias("kind"), F.col("event_date").cast("string").alias("key")).unionByName(
+                files.select(F.lit("file").alias("kind"), F.col("file_id").cast("string").alias("key")))
+            self.store.write_version_table(PUBLISHED, "index", pub_id, index)
+            schemas = {"signal": w_signal, "mart": w_mart, "row_reconciliation": rows_r, "amount_reconciliation": amounts}
+            self.store.commit_version(PUBLISHED, pub_id, {"schemas": {k: d.schema.jsonValue() for k, d in schemas.items()}})  # C22
             out = {"publication_id": pub_id, "raw_cursor": st["last_raw_record_id"],
                    "correction_cursor": st["last_correction_id"], "last_file_id": last_file,
-                   "affected_days": len(day_list), "affected_files": len(file_list),
+                   "affected_days": len(day_list), "affected_files": files.count(),
                    "signal_rows": sig_rows, "mart_rows": w_mart.count(), "status": "published"}
             self._log("publication_log", out, PUB_SCHEMA)                                  # C21
             return out
@@ -523,56 +568,28 @@ class Pipeline:
             raise
 
     # --- D: health ------------------------------------------------------------------------
-    def health(self) -> dict:
-        """Operational counters and one status by fixed precedence."""
-        m = self.manifest()
-        agg = m.agg(F.count(F.lit(1)).alias("files"),
-                    F.count_if(F.col("status") == "failed").alias("failed_files"),
-                    F.count_if(F.col("status") == "started").alias("loading_files"),
-                    F.coalesce(F.sum("total_rows"), F.lit(0)).alias("total_rows"),
-                    F.coalesce(F.sum("accepted_rows"), F.lit(0)).alias("accepted_rows"),
-                    F.coalesce(F.sum("rejected_rows"), F.lit(0)).alias("rejected_rows"),
-                    F.coalesce(F.sum("duplicate_candidates"), F.lit(0)).alias("duplicate_candidates")
-                    ).collect()[0].asDict()
-        cm = self.manifest("correction_manifest").agg(
-            F.count(F.lit(1)).alias("files"), F.count_if(F.col("status") == "failed").alias("failed"),
-            F.count_if(F.col("status") == "started").alias("loading")).collect()[0]
-        agg |= {"correction_files": cm["files"], "failed_correction_files": cm["failed"], "loading_correction_files": cm["loading"]}
-        st = self.state()
-        raw, corr = self.raw(), self.corrections()
-        agg["pending_raw"] = 0 if raw is None else raw.filter(
-            (F.col("validation_status") == C.ACCEPTED)
-            & (F.col("raw_record_id") > st["last_raw_record_id"])).count()
-        agg["pending_corrections"] = 0 if corr is None else corr.filter(
-            F.col("correction_id") > st["last_correction_id"]).count()
-        runs, pubs = self._runs(), self._publications()
-        last = lambda log, status: log.filter(F.col("status") == status).agg(
-            F.coalesce(F.max("seq"), F.lit(0))).collect()[0][0]
-        published = last(pubs, "published")
-        mart = self.read_published("mart")
-        agg["published_rows"] = 0 if mart is None else mart.agg(
-            F.coalesce(F.sum("transaction_count"), F.lit(0))).collect()[0][0]
-        agg["publication_id"] = self.store.current_version(PUBLISHED)
-        prev, new_runs, new_files = self._unpublished()
-        stale = bool(new_runs.limit(1).count() or new_files.limit(1).count())
-        if agg["failed_files"] or cm["failed"]:
-            status = "FAILED FILES"
-        elif agg["loading_files"] or cm["loading"]:
-            status = "LOADING"
-        elif last(pubs, "failed") > published:
-            status = "PUBLICATION FAILED"
-        elif last(runs, "failed") > max(last(runs, "promoted"), published):
-            status = "PROMOTION FAILED"
-        elif agg["pending_raw"] or agg["pending_corrections"]:
-            status = "AWAITING PROMOTION"
-        elif stale:
-            status = "AWAITING PUBLICATION"
-        elif not agg["publication_id"]:
-            status = "NO DATA" if not agg["files"] else "NO PUBLICATION"
-        else:
-            status = "PUBLISHED"
-        agg["status"] = status
-        return agg
+    def _pending(self) -> DataFrame:
+        st, raw, corr = self.state(), self.raw(), self.corrections()
+        none = self.spark.createDataFrame([], "raw_record_id long, validation_status string, correction_id long")
+        rows = (none if raw is None else raw).agg(F.count_if((F.col("validation_status") == C.ACCEPTED)
+                                                             & (F.col("raw_record_id") > st["last_raw_record_id"])).alias("pending_source_rows"))
+        events = (none if corr is None else corr).agg(F.count_if(F.col("correction_id") > st["last_correction_id"]).alias("pending_corrections"))
+        return rows.crossJoin(events)  # one row each
+
+    def health(self) -> DataFrame:
+        """One row of counters, times and the status, over the event logs."""
+        mart, recon = self.read_published("mart"), self.read_published("row_reconciliation")
+        none = self.spark.createDataFrame([], "transaction_count long, is_balanced boolean")
+        published = (none if mart is None else mart).agg(F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("published_rows")).crossJoin(
+            (none if recon is None else recon).agg(F.count_if(~F.coalesce("is_balanced", F.lit(False))).alias("imbalanced_files")))
+        logs = hl.events([], files=self.store.read("manifest", MANIFEST_SCHEMA), corrections=self.store.read("correction_manifest", MANIFEST_SCHEMA),
+                         runs=self._runs(), publications=self._publications())
+        return hl.health(logs, self._pending(), published, _seq())
+
+    def snapshot(self) -> dict[str, DataFrame]:
+        """Every published table and the current publication, to be compared with another (``snapshot.compare``)."""
+        out = {t: self.read_published(t) for t in SNAPSHOT_KEYS if t != "index"}
+        return {**{t: d for t, d in out.items() if d is not None}, "index": self.published_index()}
 
     def _caught_up(self) -> bool:
         """The last publication covers every completed file and every promotion run."""
@@ -581,46 +598,26 @@ class Pipeline:
 
     def verify_run(self, min_source_rows: int = 1) -> DataFrame:
         """D3: full-run verification as (check_name, passed) rows; the run passes if all pass."""
-        m = self.manifest().agg(
-            F.coalesce(F.sum("total_rows"), F.lit(0)).alias("source_rows"),
-            F.coalesce(F.sum("accepted_rows"), F.lit(0)).alias("accepted"),
-            F.coalesce(F.sum("rejected_rows"), F.lit(0)).alias("rejected"),
-            F.coalesce(F.sum("duplicate_candidates"), F.lit(0)).alias("duplicates"),
-            F.count_if(F.col("status") != "completed").alias("incomplete")).collect()[0]
-        raw, staging, fact = self.raw(), self.store.read("staging"), self.fact_current()
-        n = lambda df: 0 if df is None else df.count()
-        signal, mart = self.read_published("signal"), self.read_published("mart")
-        mart_rows = 0 if mart is None else mart.agg(F.coalesce(F.sum("transaction_count"), F.lit(0))).collect()[0][0]
         files = self.manifest().filter(F.col("status") == "completed")
-        unbalanced = amount_bad = 0
-        if raw is not None and staging is not None and fact is not None:
-            base = self.store.read("fact")
-            unbalanced = rec.row_reconciliation(files, raw, staging, base, files) \
-                .filter(~F.coalesce("is_balanced", F.lit(False))).count()
-            fc = self.store.read("fact_corrections")
-            latest = pro.latest_correction(fc) if fc is not None else self.spark.createDataFrame(
-                [], "target_raw_record_id long, payment_currency string, amount_paid decimal(24,6)")
-            raw_acc = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
-                "file_id", F.col("payload.payment_currency").alias("payment_currency"),
-                contract.amount_value(F.col("payload.amount_paid")).alias("amount_paid"))
-            amount_bad = rec.amount_reconciliation(raw_acc, staging, latest, fact, files).filter(
-                (F.col("raw_staging_delta") != 0) | (F.col("effective_core_delta") != 0)).count()
-        st = self.state()
-        pending = 0 if raw is None else raw.filter((F.col("validation_status") == C.ACCEPTED)
-                                                   & (F.col("raw_record_id") > st["last_raw_record_id"])).count()
-        n_core = n(fact)
-        checks = [
-            ("minimum_source_rows", m["source_rows"] >= min_source_rows),
-            ("all_files_completed", m["incomplete"] == 0),
-            ("manifest_arithmetic", m["source_rows"] == m["accepted"] + m["rejected"] + m["duplicates"]),
-            ("manifest_to_raw", m["source_rows"] == n(raw)),
-            ("accepted_to_staging", m["accepted"] == n(staging)),
-            ("staging_to_core", n(staging) == n_core),
-            ("core_to_risk", n_core == n(signal)),
-            ("core_to_mart", n_core == mart_rows),
-            ("row_reconciliation", unbalanced == 0),
-            ("amount_reconciliation", amount_bad == 0),
-            ("no_pending_accepted_rows", pending == 0),
-            ("publication_caught_up", self._caught_up()),
-        ]
-        return self.spark.createDataFrame([(k, bool(v)) for k, v in checks], "check_name string, passed boolean")
+        total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+        counts = self.manifest().agg(total("total_rows", "source_rows"), total("accepted_rows", "accepted"), total("rejected_rows", "rejected"),
+                                     total("duplicate_candidates", "duplicates"), F.count_if(F.col("status") != "completed").alias("incomplete_files"))
+        raw, staging, base, fact = self.raw(), self.store.read("staging"), self._fact(), self.fact_current()
+        signal, mart = self.read_published("signal"), self.read_published("mart")
+        none = self.spark.createDataFrame([], "transaction_count long")
+        for name, df in (("raw_rows", raw), ("staged_rows", staging), ("core_rows", fact), ("signal_rows", signal)):
+            counts = counts.crossJoin((none if df is None else df).agg(F.count(F.lit(1)).alias(name)))  # one row each
+        counts = counts.crossJoin((none if mart is None else mart).agg(total("transaction_count", "mart_rows")))
+        uneven = different = none.agg(F.count(F.lit(1)))
+        if raw is not None and staging is not None and base is not None:
+            latest = self._latest_corrections()
+            latest = self.spark.createDataFrame([], FACT_CORRECTION_SCHEMA) if latest is None else latest
+            uneven = rec.row_reconciliation(files, raw, staging, base, files).agg(F.count_if(~F.coalesce("is_balanced", F.lit(False))))
+            paid = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
+                "file_id", F.col("payload.payment_currency").alias("payment_currency"), contract.amount_value(F.col("payload.amount_paid")).alias("amount_paid"))
+            different = rec.amount_reconciliation(paid, staging, latest, fact, files).agg(
+                F.count_if((F.col("raw_staging_delta") != 0) | (F.col("effective_core_delta") != 0)))
+        counts = (counts.crossJoin(uneven.toDF("unbalanced_files")).crossJoin(different.toDF("amount_differences"))
+                  .crossJoin(self._pending().select(F.col("pending_source_rows").alias("pending_rows")))
+                  .withColumn("caught_up", F.lit(self._caught_up())))
+        return hl.verification(counts, min_source_rows)

@@ -2,7 +2,7 @@
 
 Layout under ``root`` (any Hadoop file system path):
   <table>/                      append-only tables (manifest, raw, runs, logs)
-  <table>/v=<n>/                immutable snapshot versions (fact, published marts)
+  <name>/<table>/v=<n>/         immutable versions of a table; all versions read as one, partitioned by v
   _pointers/<name>.<n>          one empty marker per committed version
 
 A version becomes visible only when its marker is created, by renaming a finished
@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 class Store:
@@ -82,7 +83,7 @@ class Store:
         return 1 if v is None else v + 1
 
     def version_path(self, name: str, table: str, version: int) -> str:
-        return self.path(name, f"v={version}", table)
+        return self.path(name, table, f"v={version}")
 
     def write_version_table(self, name: str, table: str, version: int, df: DataFrame,
                             partition_by: list[str] | None = None) -> None:
@@ -117,11 +118,9 @@ class Store:
         reader.close()
         return json.loads("\n".join(text) or "{}")
 
-    def read_version(self, name: str, table: str, version: int | None = None) -> DataFrame | None:
-        v = self.current_version(name) if version is None else version
-        if v is None:
-            return None
-        p = self.version_path(name, table, v)
-        if not self._fs.exists(self._hadoop_path(p)):
-            return None
-        return self.spark.read.parquet(p)
+    def read_version(self, name: str, table: str, version: int, schema: str | StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.version_path(name, table, version))
+
+    def read_versions(self, name: str, table: str, schema: StructType) -> DataFrame:
+        """All versions of a table as one scan, with the partition column ``v``."""
+        return self.spark.read.schema(StructType([*schema.fields, StructField("v", LongType())])).parquet(self.path(name, table))

@@ -35,7 +35,7 @@ def test_recovery_scenario(spark, tmp_path):
     assert r1["status"] == "completed" and r1["accepted_rows"] == 60 and r1["total_rows"] == 60
     # Replay: the same content is skipped under the same file ID (A5).
     assert p.ingest_file(f1) == {"file_id": r1["file_id"], "status": "skipped"}
-    assert p.health()["status"] == "AWAITING PROMOTION"
+    assert p.health().first()["status"] == "AWAITING PROMOTION"
     with pytest.raises(RuntimeError):
         p.publish()                                        # C1: promotion pending
     runs = p.catch_up(raw_limit=25)
@@ -44,7 +44,7 @@ def test_recovery_scenario(spark, tmp_path):
     pub = p.publish()
     assert pub["status"] == "published" and pub["signal_rows"] == 60
     assert p.publish()["status"] == "skipped"              # C3
-    assert p.health()["status"] == "PUBLISHED"
+    assert p.health().first()["status"] == "PUBLISHED"
 
     # Second file: 5 new rows, one invalid row and one exact duplicate of file 1.
     bad = rows(1, 201)[0].rsplit(",", 1)[0] + ",2"
@@ -80,7 +80,7 @@ def test_recovery_scenario(spark, tmp_path):
     after = p.read_published("signal")
     assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
     assert len(before_rows) == 60
-    assert p.health()["status"] == "FAILED FILES"  # the refused correction file outranks the refused publication
+    assert p.health().first()["status"] == "FAILED FILES"  # the refused correction file outranks the refused publication
     recon = {r["file_id"]: r["is_balanced"] for r in p.read_published("row_reconciliation").collect()}
     assert recon and all(recon.values())
 
@@ -92,7 +92,7 @@ def test_recovery_scenario(spark, tmp_path):
     assert sig.count() == 65
     mart = ok.read_published("mart")
     assert mart.agg({"transaction_count": "sum"}).collect()[0][0] == 65
-    assert ok.health()["status"] == "FAILED FILES" and ok.health()["failed_correction_files"] == 1
+    assert ok.health().first()["status"] == "FAILED FILES" and ok.health().first()["failed_correction_files"] == 1
     assert ok.read_published("amount_reconciliation").filter("effective_core_delta <> 0 or raw_staging_delta <> 0").count() == 0
     # D3: every full-run check passes after the repair.
     checks = {r["check_name"]: r["passed"] for r in ok.verify_run(min_source_rows=60).collect()}
@@ -106,12 +106,12 @@ def test_header_mismatch_fails_file(spark, tmp_path):
         p.ingest_file(f)
     m = p.manifest().collect()
     assert m[0]["status"] == "failed"
-    assert p.health()["status"] == "FAILED FILES"
+    assert p.health().first()["status"] == "FAILED FILES"
 
 
 def test_backfill_range_checks(spark, tmp_path):
     p = Pipeline(spark, str(tmp_path / "store"))
-    assert p.health()["status"] == "NO DATA"
+    assert p.health().first()["status"] == "NO DATA"
     p.ingest_file(write(tmp_path / "y_Trans.csv", [HEADER, *rows(10)]))
     with pytest.raises(ValueError):
         p.promote(mode="incremental", backfill=(0, 5))
@@ -124,7 +124,7 @@ def test_backfill_range_checks(spark, tmp_path):
     # Backfill does not move the incremental cursor; the next incremental run is idempotent.
     r2 = p.promote()
     assert r2["staged_rows"] == r2["fact_rows"] == 6 and p.fact_current().count() == 10
-    assert p.health()["status"] == "AWAITING PUBLICATION"
+    assert p.health().first()["status"] == "AWAITING PUBLICATION"
 
 
 def test_failed_load_is_never_read(spark, tmp_path, monkeypatch):
@@ -135,7 +135,7 @@ def test_failed_load_is_never_read(spark, tmp_path, monkeypatch):
         p.ingest_file(f)
     monkeypatch.undo()
     assert p.promote()["status"] == "skipped" and p.publish()["status"] == "skipped"
-    assert p.health()["status"] == "FAILED FILES"
+    assert p.health().first()["status"] == "FAILED FILES"
     # the same rows in another file are no duplicates of the failed load, and the failed file can be loaded again
     assert p.ingest_file(write(tmp_path / "w_Trans.csv", [HEADER, *rows(4)]))["accepted_rows"] == 4
     assert p.ingest_file(f)["duplicate_candidates"] == 4
@@ -161,9 +161,42 @@ def test_publish_on_unusual_stores(spark, tmp_path):
     # a file of duplicates only
     p.ingest_file(write(tmp_path / "c_Trans.csv", [HEADER, *rows(3), ""]))
     p.catch_up()
-    assert p.health()["status"] == "AWAITING PUBLICATION"
+    assert p.health().first()["status"] == "AWAITING PUBLICATION"
     assert p.publish()["affected_days"] == 0 and p.read_published("signal").count() == 3
-    assert p.health()["status"] == "PUBLISHED" and p.read_published("row_reconciliation").count() == 3
+    assert p.health().first()["status"] == "PUBLISHED" and p.read_published("row_reconciliation").count() == 3
     # a backfill leads to a publication
     p.promote(mode="backfill", backfill=(2, 5))
     assert p.publish()["affected_days"] >= 1
+
+
+def test_publications_merge_on_read(spark, tmp_path):
+    """Partitioned fact, correction deltas and their compaction, index of publications, snapshots, correction backfill."""
+    from ledgerlark.operators import snapshot
+    from ledgerlark.plans.pipeline import SNAPSHOT_KEYS
+    p = Pipeline(spark, str(tmp_path / "store"))
+    p.ingest_file(write(tmp_path / "a_Trans.csv", [HEADER, *rows(6, day=1), *rows(6, 50, day=2), *rows(6, 80, day=3)]))
+    p.catch_up()
+    p.publish()
+    first = {t: d.checkpoint(eager=True) for t, d in p.snapshot().items()}
+    header = ",".join((C.CORRECTION_TARGET_HEADER, *C.HEADERS))
+    moved = rows(1)[0].replace("2022/09/01 00:00", "2022/09/03 00:00")   # row 1 moves to another day
+    p.ingest_corrections(write(tmp_path / "c1.csv", [header, f"1,{moved}"]))
+    p.catch_up()
+    plan = p.fact_current([dt.date(2022, 9, 3)])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [source_date" in plan and "2022-09-02" not in plan
+    assert p.fact_current([dt.date(2022, 9, 3)]).count() == 7 and p.fact_current([dt.date(2022, 9, 1)]).count() == 5
+    before = sorted(map(tuple, p.fact_current().collect()), key=str)
+    assert p.compact_corrections() == 1 and sorted(map(tuple, p.fact_current().collect()), key=str) == before
+    pub = p.publish()
+    assert (pub["affected_days"], pub["affected_files"], pub["publication_id"]) == (2, 1, 2)
+    index = {(r["kind"], r["key"]): r["v"] for r in p.published_index().collect()}
+    assert index == {("day", "2022-09-01"): 2, ("day", "2022-09-02"): 1, ("day", "2022-09-03"): 2, ("file", "1"): 2}
+    signal = p.read_published("signal")
+    assert signal.count() == 18 and str(signal._jdf.queryExecution().optimizedPlan()).count("Relation [") == 2  # the table and its index
+    second = p.snapshot()
+    changed = {r["table_name"]: r["is_equal"] for r in snapshot.compare(first, second, SNAPSHOT_KEYS).collect()}
+    assert changed["signal"] is False and changed["index"] is False and changed["row_reconciliation"] is True
+    with pytest.raises(ValueError):
+        p.promote(mode="backfill", correction_backfill=(0, 9))
+    again = p.promote(mode="backfill", correction_backfill=(0, 1))
+    assert again["corrections_applied"] == 0 and p.fact_current().count() == 18
