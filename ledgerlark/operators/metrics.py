@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .scale import grouped_cumsum
+from .snapshot import row_hash
 
 
 def check_metric_input(df: DataFrame, score: str = "review_score", label: str = "is_laundering") -> None:
@@ -243,14 +244,31 @@ def binding_checks(features: DataFrame, scores: DataFrame, train_end: str, valid
 
 
 def artifact_digest(df: DataFrame) -> DataFrame:
-    """order-free content digest (row count and a decimal sum of 64-bit row hashes),
-    carried with metrics so that scores and features can be bound to what was evaluated."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").alias("digest"))
-
-
-def check_lineage(expected: dict, actual: DataFrame) -> None:
-    """raise when an artifact no longer matches the digest recorded with its metrics."""
-    row = actual.collect()[0]
-    if row["rows"] != expected["rows"] or str(row["digest"]) != str(expected["digest"]):
-        raise ValueError("artifact does not match the digest bound to the metrics")
+    """order-free content digest of a table: its row count and two sums of 64-bit row hashes (nulls count)."""
+    h = lambda salt: F.coalesce(F.sum(row_hash(df.columns, salt)), F.lit(0)).cast("decimal(38,0)").cast("string")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.concat(h(1), F.lit(":"), h(2)).alias("digest"))
+
+
+def bound_evaluation(scores: DataFrame, features: DataFrame, by: Sequence[str] = (), ks: Sequence[int] = C.RANKING_KS) -> DataFrame:
+    """the metric rows with the digests of the score and feature tables that they were computed from."""
+    of = lambda df, name: artifact_digest(df).select(F.col("rows").alias(f"{name}_rows"), F.col("digest").alias(f"{name}_digest"))
+    return evaluate(scores, by, ks).crossJoin(of(scores, "scores")).crossJoin(of(features, "features"))  # one row each
+
+
+def lineage(metrics: DataFrame, scores: DataFrame, features: DataFrame) -> DataFrame:
+    """(artifact, rows, matches) of the tables at hand against what the metric rows are bound to."""
+    out = None
+    for name, df in (("scores", scores), ("features", features)):
+        bound = metrics.select(F.col(f"{name}_rows").alias("_rows"), F.col(f"{name}_digest").alias("_digest")).distinct()
+        one = artifact_digest(df).crossJoin(bound.agg(F.count(F.lit(1)).alias("_n"), F.first("_rows").alias("_rows"), F.first("_digest").alias("_digest")))
+        row = one.select(F.lit(name).alias("artifact"), "rows", ((F.col("_n") == 1) & F.col("rows").eqNullSafe(F.col("_rows"))
+                                                                 & F.col("digest").eqNullSafe(F.col("_digest"))).alias("matches"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def check_lineage(metrics: DataFrame, scores: DataFrame, features: DataFrame) -> None:
+    """raise when a table is not the one that the metric rows are bound to."""
+    bad = [r["artifact"] for r in lineage(metrics, scores, features).filter("not matches").collect()]
+    if bad:
+        raise ValueError(f"{' and '.join(bad)} differ from what the metrics are bound to")

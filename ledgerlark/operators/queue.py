@@ -17,6 +17,7 @@ from .model import LogisticModel
 TIME_GROUPS = {"hour_sin": "Time of day", "hour_cos": "Time of day",
                "weekday_sin": "Day of week", "weekday_cos": "Day of week"}
 # -----------------------------------------------------------------------------------------
+EFFECT = "decimal(18,9)"  # scale of an effect, so that engines agree on order and ties
 
 
 def review_queue(scores: DataFrame, n: int = 10_000, split: str = "test") -> DataFrame:
@@ -95,8 +96,9 @@ def explain(cases: DataFrame, model: LogisticModel, k: int = 3) -> DataFrame:
     # sum the two members of each time group
     names = F.array_distinct(F.transform(F.col("_g"), lambda s: s["name"]))
     summed = F.transform(names, lambda nm: F.struct(nm.alias("name"), F.aggregate(
-        F.filter(F.col("_g"), lambda s: s["name"] == nm), F.lit(0.0), lambda acc, s: acc + s["value"]).alias("value")))
+        F.filter(F.col("_g"), lambda s: s["name"] == nm), F.lit(0.0), lambda acc, s: acc + s["value"]).cast(EFFECT).alias("value")))
     positive = F.filter(summed, lambda s: s["value"] > 0)
+    # ties by design order: the sort is stable, and effects are compared at a fixed scale
     ordered = F.array_sort(positive, lambda a, b: F.when(a["value"] > b["value"], -1)
                            .when(a["value"] < b["value"], 1).otherwise(0))
     top = F.slice(ordered, 1, k)
@@ -105,7 +107,7 @@ def explain(cases: DataFrame, model: LogisticModel, k: int = 3) -> DataFrame:
     for i in range(1, k + 1):
         item = F.get(F.col("_top"), i - 1)
         cols += [F.when(item.isNotNull(), reason_text(item["name"])).otherwise(F.lit("")).alias(f"model_reason_{i}"),
-                 F.coalesce(item["value"], F.lit(0.0)).alias(f"reason_{i}_effect")]
+                 F.coalesce(item["value"], F.lit(0).cast(EFFECT)).cast("double").alias(f"reason_{i}_effect")]
     ratio = F.when(F.col("prior_average_amount") > 0, F.col("feature_amount_paid") / F.col("prior_average_amount"))
     spike = F.coalesce((F.col("prior_transaction_count") >= 5) & (ratio >= 10), F.lit(False))
     return (out.select(*[c for c in cases.columns if c != "amount_paid"],
@@ -133,7 +135,7 @@ def reconstruction_gate(explained: DataFrame, tolerance: float = 1e-5) -> None:
     """Raise when contributions do not reconstruct the saved scores."""
     gap = explained.agg(F.max("score_reconstruction_gap")).collect()[0][0]
     if gap is not None and gap > tolerance:
-        raise ValueError(f"Explanations do not reconstruct saved scores; max difference {gap:.6g}")
+        raise ValueError(f"effects and bias give other scores than the saved ones, by up to {gap:.6g}")
 
 
 def case_export(explained: DataFrame) -> DataFrame:
@@ -153,7 +155,7 @@ def check_ranks(cases: DataFrame, expected: int | None = None) -> None:
                   F.count_distinct("review_rank").alias("d"), F.count(F.lit(1)).alias("n")).collect()[0]
     n = expected if expected is not None else r["n"]
     if r["n"] != n or r["lo"] != 1 or r["hi"] != n or r["d"] != n:
-        raise ValueError(f"Expected exactly {n} consecutively ranked cases")
+        raise ValueError(f"ranks are not 1 to {n}, each once")
 
 
 def filter_cases(cases: DataFrame, rank_max: int | None = None, date: str | None = None,

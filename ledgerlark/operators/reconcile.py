@@ -158,6 +158,16 @@ def check_not_null(df: DataFrame, col: str, name: str) -> DataFrame:
     return df.agg(F.count_if(F.col(col).isNull()).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
 
 
+def check_accepted(df: DataFrame, col: str, values: Sequence, name: str) -> DataFrame:
+    """Rows whose non-null value is not among ``values``."""
+    return df.agg(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(values))).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
+
+
+def check_holds(df: DataFrame, condition, name: str) -> DataFrame:
+    """Rows for which ``condition`` is false or null."""
+    return df.agg(F.count_if(~F.coalesce(condition, F.lit(False))).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
+
+
 def check_fk(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str, name: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
     c = child.filter(F.col(child_col).isNotNull()).select(F.col(child_col).alias("_k"))
@@ -167,9 +177,8 @@ def check_fk(child: DataFrame, child_col: str, parent: DataFrame, parent_col: st
 
 def check_counts_equal(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
     """One failure when two scalar counts differ."""
-    return a.crossJoin(b).select(F.lit(name).alias("check_name"),
-                                 F.when(F.col(a.columns[0]) != F.col(b.columns[0]), 1).otherwise(0).cast("long")
-                                 .alias("failures"))
+    differ = F.when(~F.col("_a").eqNullSafe(F.col("_b")), 1).otherwise(0).cast("long")
+    return a.toDF("_a").crossJoin(b.toDF("_b")).select(F.lit(name).alias("check_name"), differ.alias("failures"))
 
 
 def evaluation_diff(evaluation: DataFrame, signal: DataFrame, alert_score: int = 2) -> DataFrame:

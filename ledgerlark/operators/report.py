@@ -52,32 +52,25 @@ def quality_rollup(row_recon: DataFrame, amount_recon: DataFrame) -> DataFrame:
     return r.crossJoin(a)
 
 
-def snapshot_json(mart: DataFrame, publication_id: int | None) -> DataFrame:
-    """H5: one JSON document row (dates ISO, amounts as exact text); refuse when unpublished."""
+def snapshot_document(mart: DataFrame, signal: DataFrame, row_recon: DataFrame, amount_recon: DataFrame, publication_id: int | None,
+                      daily_rows: int = 5000, alerts: int = 200) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """H5: (header, parts) of the snapshot of a publication, for ``documents.write_document``.
+
+    The header is one row: publication, totals, limits and quality counts. Dates are ISO text, amounts exact text.
+    """
     if publication_id is None:
         raise ValueError("nothing is published")
-    rows = mart.select(F.struct(F.col("event_date").cast("string").alias("event_date"), "from_bank",
-                                "payment_currency", "payment_format", "transaction_count",
-                                F.col("paid_amount").cast("string").alias("paid_amount"),
-                                "labelled_laundering_count", "risk_alert_count").alias("r"))
-    return rows.agg(F.to_json(F.struct(F.lit(publication_id).alias("publication_id"),
-                                       F.sort_array(F.collect_list("r")).alias("daily"))).alias("document"))
-
-
-def fact_daily(mart: DataFrame) -> DataFrame:
-    """H6: re-grain the daily mart to date x currency x format."""
-    return mart.groupBy("event_date", "payment_currency", "payment_format").agg(
-        F.sum("transaction_count").cast("long").alias("transaction_count"),
-        F.sum("risk_alert_count").cast("long").alias("risk_alert_count"),
-        F.sum("labelled_laundering_count").cast("long").alias("labelled_laundering_count"))
-
-
-def rule_hits(signal: DataFrame) -> DataFrame:
-    """H7: rule hits per date x currency x format."""
-    return signal.groupBy("event_date", "payment_currency", "payment_format").agg(
-        F.count_if("high_amount_for_currency_day").alias("amount_hits"),
-        F.count_if("high_hourly_velocity").alias("velocity_hits"),
-        F.count_if("repeated_counterparty").alias("counterparty_hits"))
+    plain = lambda c: F.regexp_replace(F.regexp_replace(F.col(c).cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "").alias(c)
+    daily = daily_export(mart, daily_rows).select(
+        F.col("event_date").cast("string").alias("event_date"), "from_bank", "payment_currency", "payment_format", "transaction_count",
+        plain("paid_amount"), "labelled_laundering_count", "risk_alert_count")
+    top = alert_export(signal, alerts)
+    top = top.select(*[plain(c) if c == "amount_paid" else F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c) if c == "event_time" else F.col(c)
+                       for c in top.columns])
+    header = totals(mart).crossJoin(quality_rollup(row_recon, amount_recon)).select(
+        F.lit("pipeline_export").alias("kind"), F.lit(publication_id).cast("long").alias("publication_id"), "*",
+        F.lit(daily_rows).alias("daily_rows_limit"), F.lit(alerts).alias("risk_alerts_limit"))
+    return header, {"daily": daily, "alerts": top}
 
 
 def daily_with_hits(signal: DataFrame, alert_score: int = 2) -> DataFrame:
@@ -233,14 +226,16 @@ def alert_quality(evaluation: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                     F.try_divide(F.col("labelled_alerts").cast("double"), F.nullif("labels", F.lit(0))).alias("label_recall"))
 
 
-def captions(daily: DataFrame, sample_rows: int, publication_id: int | None) -> DataFrame:
-    """Sample size note, publication text and selected-period text."""
-    r = daily.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"))
-    pub = F.lit(f"Publication {publication_id}" if publication_id is not None else "Not published")
-    return r.select(F.format_string("Sample of %d alert rows (up to 3 per date and currency)", F.lit(sample_rows))
-                    .alias("sample_note"), pub.alias("publication_text"),
-                    F.when(F.col("lo").isNull(), F.lit("No dates selected")).otherwise(F.concat(
-                        F.date_format("lo", "d MMM yyyy"), F.lit(" to "), F.date_format("hi", "d MMM yyyy")))
+def captions(daily: DataFrame, sample_rows: int, publication_id: int | None, published_at: str | None = None) -> DataFrame:
+    """The sample size beside the full alert workload, the publication with its time (UTC), the selected period."""
+    r = daily.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"),
+                  F.coalesce(F.sum("risk_alert_count"), F.lit(0)).cast("long").alias("alerts"))
+    pub = F.lit(None if publication_id is None else f"Publication {publication_id} | {published_at or ''} | static verified snapshot")
+    day = lambda c: F.date_format(c, "dd MMM yyyy")
+    return r.select(F.concat(F.lit("Illustrative sample: "), F.format_number(F.lit(sample_rows), 0),
+                             F.lit(" rows in the current context. Full alert workload is "), F.format_number("alerts", 0), F.lit("."))
+                    .alias("sample_note"), F.coalesce(pub.cast("string"), F.lit("Not published")).alias("publication_text"),
+                    F.when(F.col("lo").isNull(), F.lit("No dates selected")).otherwise(F.concat(day("lo"), F.lit(" to "), day("hi")))
                     .alias("period_text"))
 
 

@@ -19,7 +19,7 @@ def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _row_hash(columns: Sequence[str], salt: int) -> Column:
+def row_hash(columns: Sequence[str], salt: int) -> Column:
     """Over all columns by name; nulls count at their place."""
     return F.xxhash64(F.lit(salt), *[x for c in sorted(columns) for x in (F.col(c).isNull(), F.col(c))]).cast("decimal(38,0)")
 
@@ -27,7 +27,7 @@ def _row_hash(columns: Sequence[str], salt: int) -> Column:
 def digest(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
     """(bucket, rows, sum_1, sum_2): at most ``buckets`` rows."""
     return (df.groupBy(_bucket(keys, buckets).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_hash(df.columns, 1)).alias("sum_1"), F.sum(_row_hash(df.columns, 2)).alias("sum_2")))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(row_hash(df.columns, 1)).alias("sum_1"), F.sum(row_hash(df.columns, 2)).alias("sum_2")))
 
 
 def changed_buckets(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -639,18 +639,6 @@ def q_review_queue(spark, sf_dir):
                        "is_laundering", "amount_spike_rule"))
 
 
-@register("case_explanations")
-def q_case_explanations(spark, sf_dir):
-    t = mtx(spark, sf_dir)
-    f = feature_frame(spark, sf_dir)
-    model = LogisticModel.fixed(f.filter(F.col("data_split") == "train"))
-    cases = qu.queue_cases(qu.review_queue(model.score(f), 1_500), t, f)
-    e = qu.explain(cases, model)
-    return r9(e.select("review_rank", "transaction_id", "model_reason_1", "reason_1_effect", "model_reason_2",
-                       "reason_2_effect", "model_reason_3", "reason_3_effect", "amount_spike_rule", "rule_reason",
-                       "score_reconstruction_gap"))
-
-
 @register("case_filter")
 def q_case_filter(spark, sf_dir):
     c = qu.filter_cases(cases_frame(spark, sf_dir), rank_max=1000, currency="Euro", search="a3")
@@ -810,7 +798,7 @@ def q_report_selection(spark, sf_dir):
 @register("report_captions")
 def q_report_captions(spark, sf_dir):
     sig, mart = published(spark, sf_dir)
-    return rp.captions(mart, rp.alert_sample(sig).count(), 1)
+    return rp.captions(mart, rp.alert_sample(sig).count(), 1, "2024-02-01 00:00:00")
 
 
 @register("correction_errors")
@@ -835,4 +823,4 @@ def q_correction_errors(spark, sf_dir):
                                                F.col("payload.payment_format").alias("payment_format"))
 
 
-from . import queries_state  # noqa: E402, F401  (registers the queries of the stateful parts)
+from . import queries_checks, queries_state  # noqa: E402, F401  (they register further queries)

@@ -185,8 +185,26 @@ def test_generator_and_csv_round_trip(spark):
 
 
 def test_artifact_digest_binds_lineage(spark):
-    df = spark.createDataFrame([(i, float(i) / 3) for i in range(100)], "transaction_id long, review_score double")
-    d = met.artifact_digest(df).collect()[0].asDict()
-    met.check_lineage(d, met.artifact_digest(df.orderBy(F.desc("transaction_id"))))   # order-free
-    with pytest.raises(ValueError):
-        met.check_lineage(d, met.artifact_digest(df.filter("transaction_id > 0")))
+    scores = spark.createDataFrame([(i, float(i) / 3, i % 2) for i in range(100)], "transaction_id long, review_score double, is_laundering int")
+    features = spark.createDataFrame([(i, None if i % 3 else "x", None) for i in range(100)], "transaction_id long, a string, b string")
+    metrics = met.bound_evaluation(scores, features, ks=(5,))
+    met.check_lineage(metrics, scores.orderBy(F.desc("transaction_id")).repartition(7), features)   # order-free
+    swapped = features.select("transaction_id", F.col("b").alias("a"), F.col("a").alias("b"))
+    for bad in ((scores.filter("transaction_id > 0"), features), (scores.unionByName(scores.limit(1)), features), (scores, swapped)):
+        with pytest.raises(ValueError, match="differ"):
+            met.check_lineage(metrics, *bad)
+
+
+def test_document_is_whole_or_absent(spark, tmp_path):
+    from ledgerlark.sources import documents
+    rows = spark.createDataFrame([(i, "é\n" if i % 2 else None) for i in range(50)], "n long, t string").repartition(4)
+    head = spark.createDataFrame([(7, None)], "id long, note string")
+    path = str(tmp_path / "doc")
+    with pytest.raises(Exception):
+        documents.write_document(path, head, {"a": rows, "b": rows.select(F.raise_error(F.lit("stop")).alias("x"))})
+    assert not (tmp_path / "doc").exists()
+    documents.write_document(path, head, {"a": rows})
+    assert sorted(map(str, documents.read_document(spark, path, "a", rows.schema).collect())) == sorted(map(str, rows.collect()))
+    assert documents.read_document(spark, path, "header", head.schema).collect() == head.collect()
+    with pytest.raises(FileExistsError):
+        documents.write_document(path, head, {"a": rows})

@@ -192,7 +192,7 @@ def test_publications_merge_on_read(spark, tmp_path):
     index = {(r["kind"], r["key"]): r["v"] for r in p.published_index().collect()}
     assert index == {("day", "2022-09-01"): 2, ("day", "2022-09-02"): 1, ("day", "2022-09-03"): 2, ("file", "1"): 2}
     signal = p.read_published("signal")
-    assert signal.count() == 18 and str(signal._jdf.queryExecution().optimizedPlan()).count("Relation [") == 2  # the table and its index
+    assert signal.count() == 18 and str(signal._jdf.queryExecution().analyzed()).count("Relation [") == 2  # the table and its index
     second = p.snapshot()
     changed = {r["table_name"]: r["is_equal"] for r in snapshot.compare(first, second, SNAPSHOT_KEYS).collect()}
     assert changed["signal"] is False and changed["index"] is False and changed["row_reconciliation"] is True
