@@ -6,6 +6,8 @@ fingerprint run inside whole-stage codegen, no Python per row.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +69,15 @@ def parse_timestamp(text: Column) -> tuple[Column, Column]:
     return valid, value
 
 
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of any script as 0-9 (a table by rule: every code point of category Nd)."""
+    other = [chr(i) for i in range(0x80, 0x20000) if unicodedata.category(chr(i)) == "Nd"]
+    plain = "".join(str(unicodedata.digit(c)) for c in other)
+    return F.when(text.rlike(r"\p{Nd}") & text.rlike(r"[^\x00-\x7f]"), F.translate(text, "".join(other), plain)).otherwise(text)
+
+
 def amount_text(text: Column) -> Column:
-    return F.replace(strip(text), F.lit("_"), F.lit(""))
+    return ascii_digits(F.replace(strip(text), F.lit("_"), F.lit("")))
 
 
 def written_exponent(text: Column) -> Column:
@@ -122,8 +131,8 @@ def parse_frame(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
     f = lambda i: F.col(f"_f{i}")
     ts_text = F.regexp_replace(f(0), r"\s+", " ")
     s4 = s3.withColumn("_ts", ts_text) \
-        .withColumn("_a5", F.replace(f(5), F.lit("_"), F.lit(""))) \
-        .withColumn("_a7", F.replace(f(7), F.lit("_"), F.lit("")))
+        .withColumn("_a5", ascii_digits(F.replace(f(5), F.lit("_"), F.lit("")))) \
+        .withColumn("_a7", ascii_digits(F.replace(f(7), F.lit("_"), F.lit(""))))
     ts_ok = F.lit(False)
     for gate, fmt in TIMESTAMP_FORMATS:
         ts_ok = ts_ok | (F.col("_ts").rlike(gate) & F.try_to_timestamp(F.col("_ts"), F.lit(fmt)).isNotNull())

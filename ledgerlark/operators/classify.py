@@ -76,6 +76,12 @@ def classify_parsed(parsed: DataFrame, accepted_hashes: DataFrame | None = None,
              .drop("_first", "_seen"))
 
 
+def missing_targets(corrections: DataFrame, raw: DataFrame) -> DataFrame:
+    """Corrections whose target_raw_record_id is not an accepted row of ``raw``."""
+    accepted = raw.filter(F.col("validation_status") == C.ACCEPTED).select(F.col("raw_record_id").alias("target_raw_record_id"))
+    return corrections.join(accepted, "target_raw_record_id", "left_anti")
+
+
 def quarantine(raw: DataFrame) -> DataFrame:
     """Every non-accepted row with reasons and raw text."""
     cols = [c for c in ("raw_record_id", "file_id", "source_row_number", "reason_codes", "raw_text")

@@ -135,22 +135,39 @@ def usd_spikes(t: DataFrame, n: int = 10, min_prior: int = 10, currency: str = U
 # --- Profiling -------------------------------------------------------------------
 
 def column_overview(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Per column: missing, missing %, distinct non-null values (one aggregate pass).
+    """Per column: missing, missing %, distinct non-null values.
 
-    ``exact=False`` uses HyperLogLog sketches, which avoid the per-column expand of
-    several exact distinct counts on very wide or very large inputs.
+    Exact distinct counts come from one pre-aggregate of (column, value) pairs, combined map-side; ``exact=False``
+    uses HyperLogLog sketches (relative error 5 %) in one pass without a shuffle of values.
     """
-    aggs = []
-    for i, c in enumerate(df.columns):
-        distinct = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"m{i}"), distinct.alias(f"d{i}")]
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"),
-                     F.col(f"m{i}").alias("missing_values"), F.col(f"d{i}").alias("unique_values"))
-            for i, c in enumerate(df.columns)]
-    long = wide.select("_rows", F.explode(F.array(*rows)).alias("r")).select("_rows", "r.*")
-    pct = F.round(F.col("missing_values").cast("decimal(38,6)") * 100 / F.col("_rows"), 2).cast("decimal(10,2)")
-    return long.select("position", "column_name", "missing_values", pct.alias("missing_pct"), "unique_values")
+    n = df.agg(F.count(F.lit(1)).alias("_rows"))
+    if exact:
+        pairs = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
+                                    for i, c in enumerate(df.columns)]))
+        values = df.select(pairs.alias("p")).select("p.*").groupBy("position", "column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
+        long = values.groupBy("position", "column_name").agg(
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("_n"))), F.lit(0)).alias("missing_values"), F.count("v").alias("unique_values"))
+        spine = df.sparkSession.createDataFrame([(i + 1, c) for i, c in enumerate(df.columns)], "position int, column_name string")
+        long = spine.join(long, ["position", "column_name"], "left").select(
+            "position", "column_name", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("missing_values", "unique_values")])
+    else:
+        aggs = [x for i, c in enumerate(df.columns) for x in (F.count_if(F.col(c).isNull()).alias(f"m{i}"), F.approx_count_distinct(c).alias(f"d{i}"))]
+        rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), F.col(f"m{i}").alias("missing_values"),
+                         F.col(f"d{i}").alias("unique_values")) for i, c in enumerate(df.columns)]
+        long = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    pct = F.round(F.try_divide(F.col("missing_values").cast("decimal(38,6)") * 100, F.col("_rows")), 2).cast("decimal(10,2)")
+    return long.crossJoin(n).select("position", "column_name", "missing_values", pct.alias("missing_pct"), "unique_values")
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """Position, name and type of every column (schema only)."""
+    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
+def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows of smallest key (a partial top-n per task)."""
+    return df.orderBy(key).limit(n)
 
 
 _NORMALISE = re.compile(r"[^a-z0-9]+")

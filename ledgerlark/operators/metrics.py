@@ -210,6 +210,27 @@ def compare_runs(a: DataFrame, b: DataFrame, key: str, value_cols: Sequence[str]
     return j.agg(F.count(F.lit(1)).alias("rows"), *aggs)
 
 
+def unequal_columns(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """per column that may not differ between paired rows, how many do; rows that one side lacks count everywhere."""
+    pairs = a.select(key, *[F.col(c).alias(f"_a_{c}") for c in cols], F.lit(1).alias("_in_a")).join(
+        b.select(key, *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(1).alias("_in_b")), key, "full")
+    alone = F.col("_in_a").isNull() | F.col("_in_b").isNull()
+    one = pairs.agg(*[F.count_if(alone | ~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}"))).alias(c) for c in cols])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("unequal_rows")) for c in cols])).alias("r")).select("r.*")
+
+
+def score_delta(a: DataFrame, b: DataFrame, score: str = "review_score", key: str = "transaction_id") -> DataFrame:
+    """paired score differences of two runs: rows, changed rows, largest and mean absolute difference."""
+    d = a.select(key, F.col(score).alias("_a")).join(b.select(key, F.col(score).alias("_b")), key).select(F.abs(F.col("_a") - F.col("_b")).alias("_d"))
+    return d.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_d") > 1e-9).alias("changed"), F.max("_d").alias("largest"), F.avg("_d").alias("mean"))
+
+
+def score_export(scores: DataFrame, evaluation_only: bool = False) -> DataFrame:
+    """the columns of the score table, of all rows or of the evaluation splits only."""
+    some = scores.filter(F.col("data_split") != "train") if evaluation_only else scores
+    return some.select("transaction_id", "review_score", "data_split", "model_version")
+
+
 def queue_overlap(a: DataFrame, b: DataFrame, ks: Sequence[int] = C.RANKING_KS, score: str = "review_score",
                   key: str = "transaction_id") -> DataFrame:
     """shared IDs and Jaccard c / (2k - c) of the two top-k queues for each k."""

@@ -42,6 +42,13 @@ def queue_cases(queue: DataFrame, transactions: DataFrame, features: DataFrame)
                                             "transaction_id")
 
 
+def with_spikes(cases: DataFrame) -> DataFrame:
+    """Cases with amount_to_earlier_average and the spike rule: ten times the average of five earlier payments or more."""
+    ratio = F.when(F.col("prior_average_amount") > 0, F.col("feature_amount_paid") / F.col("prior_average_amount"))
+    spike = F.coalesce((F.col("prior_transaction_count") >= 5) & (ratio >= 10), F.lit(False))
+    return cases.withColumn("amount_to_earlier_average", ratio).withColumn("amount_spike_rule", spike)
+
+
 def display_amount(x: Column) -> Column:
     """Thousands separators, trailing zeros stripped, no rounding: the digits come from the exact decimal."""
     text = x.cast("decimal(38,18)").cast("string")
@@ -108,11 +115,8 @@ def explain(cases: DataFrame, model: LogisticModel, k: int = 3) -> DataFrame:
         item = F.get(F.col("_top"), i - 1)
         cols += [F.when(item.isNotNull(), reason_text(item["name"])).otherwise(F.lit("")).alias(f"model_reason_{i}"),
                  F.coalesce(item["value"], F.lit(0).cast(EFFECT)).cast("double").alias(f"reason_{i}_effect")]
-    ratio = F.when(F.col("prior_average_amount") > 0, F.col("feature_amount_paid") / F.col("prior_average_amount"))
-    spike = F.coalesce((F.col("prior_transaction_count") >= 5) & (ratio >= 10), F.lit(False))
-    return (out.select(*[c for c in cases.columns if c != "amount_paid"],
-                       F.col("amount_paid_case").alias("amount_paid"), "score_reconstruction_gap", *cols,
-                       ratio.alias("amount_to_earlier_average"), spike.alias("amount_spike_rule"))
+    return (with_spikes(out.select(*[c for c in cases.columns if c != "amount_paid"],
+                                   F.col("amount_paid_case").alias("amount_paid"), "score_reconstruction_gap", *cols))
             .withColumn("rule_reason", F.when(F.col("amount_spike_rule"), F.lit(C.SPIKE_REASON)).otherwise(F.lit(""))))
 
 

@@ -147,6 +147,32 @@ def check_export(daily: DataFrame, ctrl: DataFrame) -> DataFrame:
     )).alias("c")).select("c.*")
 
 
+def check_files(row_recon: DataFrame, ctrl: DataFrame) -> DataFrame:
+    """The published rows of all files add up to the published transactions."""
+    total = row_recon.agg(F.coalesce(F.sum("core_count"), F.lit(0)).alias("_files"))
+    return total.crossJoin(ctrl).select(F.lit("files_equal_transactions").alias("check_name"), F.col("_files").eqNullSafe(F.col("published_transactions")).alias("passed"))
+
+
+def check_sample(sample: DataFrame, mart: DataFrame) -> DataFrame:
+    """The sample has no more rows than there are alerts, and no row twice."""
+    n = sample.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct("reference").alias("_d"))
+    a = mart.agg(F.coalesce(F.sum("risk_alert_count"), F.lit(0)).alias("_a"))
+    return n.crossJoin(a).select(F.lit("sample_within_alerts").alias("check_name"), ((F.col("_n") <= F.col("_a")) & (F.col("_n") == F.col("_d"))).alias("passed"))
+
+
+def check_identifiers(df: DataFrame) -> DataFrame:
+    """No column of an export is named after an identifier."""
+    return df.limit(1).agg(F.lit(not identifier_columns(df)).alias("passed")).select(F.lit("no_identifier_columns").alias("check_name"), "passed")
+
+
+def file_measures(row_recon: DataFrame) -> DataFrame:
+    """Files, and their source, accepted, rejected, duplicate and published rows."""
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    return row_recon.agg(F.count(F.lit(1)).alias("files"), total("manifest_total", "source_rows"), total("manifest_accepted", "accepted_rows"),
+                         total("manifest_rejected", "rejected_rows"), total("manifest_duplicate_candidates", "duplicate_candidates"),
+                         total("core_count", "published_rows"))
+
+
 def calendar(daily: DataFrame) -> DataFrame:
     """Continuous calendar from the first to the last date."""
     r = daily.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"))

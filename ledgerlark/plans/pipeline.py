@@ -231,9 +231,7 @@ class Pipeline:
             raw = self.raw()
             if raw is None:
                 raise ValueError("no transaction file is loaded yet")
-            accepted = raw.filter(F.col("validation_status") == C.ACCEPTED).select(
-                F.col("raw_record_id").alias("target_raw_record_id"))
-            missing = parsed.join(accepted, "target_raw_record_id", "left_anti").orderBy("line_number").limit(1).collect()  # A16
+            missing = cls.missing_targets(parsed, raw).orderBy("line_number").limit(1).collect()  # A16
             if missing:
                 raise ValueError(f"correction target {missing[0]['target_raw_record_id']} is not an accepted row")
             start = self._max("corrections", "correction_id")

@@ -801,9 +801,8 @@ def q_report_captions(spark, sf_dir):
     return rp.captions(mart, rp.alert_sample(sig).count(), 1, "2024-02-01 00:00:00")
 
 
-@register("correction_errors")
-def q_correction_errors(spark, sf_dir):
-    """Correction lines rendered from the events, with a fault by ID: error and parsed target of each."""
+def correction_lines(spark, sf_dir) -> DataFrame:
+    """Correction lines rendered from the events, with a fault by ID."""
     c = adapter.corrections(events(spark, sf_dir))
     r = F.col("correction_id") % 9
     cents = lambda x: F.col(x).cast("decimal(18,2)").cast("string")
@@ -818,9 +817,14 @@ def q_correction_errors(spark, sf_dir):
     ]
     label = F.col("is_laundering").cast("int").cast("string")
     text = F.concat_ws(",", *fields, F.when(~r.isin(2, 3), label))
-    lines = c.select("correction_id", F.when(r == 4, F.concat(F.lit('"'), text)).otherwise(text).alias("raw_text"))
-    return cls.parse_corrections(lines).select("correction_id", "target_raw_record_id", "error",
+    return c.select("correction_id", F.when(r == 4, F.concat(F.lit('"'), text)).otherwise(text).alias("raw_text"))
+
+
+@register("correction_errors")
+def q_correction_errors(spark, sf_dir):
+    """Error and parsed target of each correction line."""
+    return cls.parse_corrections(correction_lines(spark, sf_dir)).select("correction_id", "target_raw_record_id", "error",
                                                F.col("payload.payment_format").alias("payment_format"))
 
 
-from . import queries_checks, queries_state  # noqa: E402, F401  (they register further queries)
+from . import queries_checks, queries_more, queries_state  # noqa: E402, F401  (they register further queries)

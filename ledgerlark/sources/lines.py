@@ -148,14 +148,38 @@ MODEL_SCHEMA = T.StructType([
 ])
 
 
-def load_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Positional modelling CSV load with a fixed schema and source-order IDs."""
+def plan_loads(found: DataFrame, manifest: DataFrame) -> DataFrame:
+    """A5: what to do with each file found (path, sha256): skip a content that is completed, load a failed or unfinished one
+    again under its file_id, load a new one; of several files with one content the first path is loaded.
+
+    ``manifest``: the latest row per file (file_id, sha256, status). New files have a null file_id.
+    """
+    known = manifest.groupBy("sha256").agg(F.min(F.struct((F.col("status") != "completed").alias("open"), "file_id")).alias("_m"))
+    first = found.groupBy("sha256").agg(F.min("path").alias("_first"))
+    j = found.join(first, "sha256").join(known, "sha256", "left")
+    action = (F.when(F.col("_m").isNotNull() & ~F.col("_m.open"), "skip").when(F.col("path") != F.col("_first"), "same content")
+              .when(F.col("_m").isNotNull(), "load again").otherwise("load"))
+    return j.select("path", "sha256", action.alias("action"), F.col("_m.file_id").alias("file_id"))
+
+
+def load_transactions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Positional modelling CSV load with a fixed schema and source-order IDs: (rows, refused rows).
+
+    Amounts are read as text and tested first (F26): a row with an amount that decimal(38,12) cannot hold exactly is
+    refused with its texts, never rounded; IDs count all rows. Timestamps as the contract takes them.
+    """
+    from ..functions.contract import capacity_ok, parse_timestamp
     from ..operators.scale import assign_ids
-    df = (spark.read.schema(MODEL_SCHEMA).option("header", True).option("timestampNTZFormat", "yyyy/MM/dd HH:mm")
-          .option("mode", "FAILFAST").csv(path)
-          .withColumn("_file", F.col("_metadata.file_path"))
-          .withColumn("_pos", F.monotonically_increasing_id()))
-    return assign_ids(df, ["_file", "_pos"], "transaction_id").drop("_file", "_pos")
+    amounts = ("amount_received", "amount_paid")
+    text = T.StructType([T.StructField(f.name, T.StringType() if f.name in (*amounts, "transaction_time") else f.dataType) for f in MODEL_SCHEMA.fields])
+    df = (spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(path)
+          .withColumn("_file", F.col("_metadata.file_path")).withColumn("_pos", F.monotonically_increasing_id()))
+    rows = assign_ids(df, ["_file", "_pos"], "transaction_id").drop("_file", "_pos")
+    rows = rows.withColumn("transaction_time", parse_timestamp(F.col("transaction_time"))[1])
+    fits = capacity_ok(F.col(amounts[0])) & capacity_ok(F.col(amounts[1]))
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in amounts else F.col(f.name) for f in MODEL_SCHEMA.fields]
+    refused = rows.filter(~fits).withColumnsRenamed({a: f"{a}_text" for a in amounts})
+    return rows.filter(fits).select("transaction_id", *typed), refused
 
 
 def generate(spark: SparkSession, n: int, per_day: int = 10_000, accounts: int = 1_000,
