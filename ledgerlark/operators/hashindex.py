@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SCHEMA = "record_hash string, file_id long, prefix string"
-PREFIX_DIGITS = 2  # 256 folders
+PREFIX_DIGITS = 1  # 16 folders; more digits for a longer history
 FILTER_WORDS = 1 << 17  # 8 million bits, 2 MB with their numbers
 
 
@@ -21,8 +21,9 @@ def prefix(record_hash: str | Column = "record_hash") -> Column:
 
 
 def index_rows(raw: DataFrame) -> DataFrame:
-    """(record_hash, file_id, prefix) of the accepted rows of ``raw``."""
-    return raw.filter("validation_status = 'accepted'").select("record_hash", "file_id", prefix().alias("prefix"))
+    """(record_hash, file_id, prefix) of the accepted rows of ``raw``, dealt so that a load writes few files a folder."""
+    rows = raw.filter("validation_status = 'accepted'").select("record_hash", "file_id", prefix().alias("prefix"))
+    return rows.repartition("prefix", F.substring("record_hash", 1, PREFIX_DIGITS + 1)).sortWithinPartitions("prefix", "record_hash")
 
 
 def touched(incoming: DataFrame) -> list[str]:

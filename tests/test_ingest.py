@@ -60,7 +60,7 @@ def test_a_small_load_reads_only_its_prefixes(spark, tmp_path):
     index = spark.read.schema(hashindex.SCHEMA).parquet(str(tmp_path / "index"))
     one = hashes(spark, ["7"])
     plan = hashindex.seen(index, one)._jdf.queryExecution().executedPlan().toString()
-    assert hashindex.touched(one) == [hashlib.sha256(b"7").hexdigest()[:2]]
+    assert hashindex.touched(one) == [hashlib.sha256(b"7").hexdigest()[:hashindex.PREFIX_DIGITS]]
     assert "PartitionFilters: [" in plan and f"= {hashindex.touched(one)[0]})" in plan
 
 
