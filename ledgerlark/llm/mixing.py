@@ -96,7 +96,7 @@ def chosen(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
     ``taken`` is the part of its tokens within the leaf's prefix; it is less than ``tokens`` for the
     document at the cut only.
     """
-    slim = leaves_of(documents)
+    slim = common.pinned(leaves_of(documents))  # words are counted once
     rows = slim.join(budgets(slim, plan).withColumnRenamed("leaf_tokens", "__all"), list(TREE))
     full = F.floor(F.col("budget") / F.col("__all")).cast("int")
     rows = rows.withColumn("__full", full).withColumn("__rest", F.col("budget") - F.col("__full") * F.col("__all"))
