@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from . import common
 
 SEED = 42
+VARIANTS = 1 << 20  # that a task emits
 
 
 def fingerprint_text(text: str | None, shingle: int = 3) -> int:
@@ -83,7 +84,9 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
         variants = F.array(F.col("fp"), *flips)
     else:
         variants = ball(F.col("fp"), half)
-    met = (prints.select("fp", F.explode(variants).alias("variant")).groupBy("variant")
+    # dealt by what comes out: a fingerprint has 65 variants at half radius 1, and AQE would join the few MB that go in
+    tasks = max(1, math.ceil(prints.count() * sum(math.comb(64, i) for i in range(half + 1)) / VARIANTS))
+    met = (prints.repartition(tasks, "fp").select("fp", F.explode(variants).alias("variant")).groupBy("variant")
            .agg(F.collect_set("fp").alias("near")).filter(F.size("near") > 1))
     if radius % 2 == 0:
         pairs = met.select(F.array_min("near").alias("u"), F.explode("near").alias("v"))
