@@ -26,6 +26,8 @@ their names, are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,9 +37,10 @@ from pyspark.sql import functions as F
 from . import common, vectors
 
 LEAF, FAN, SAMPLE, SMALL = 1024, 32, 512, 48
+SALTS = 16
 GROUP = ["label", "dim"]
-POINT = "label int, dim int, node string, pid long, h1 long, h2 long, n long, vec array<float>"
-BLOCK = "label int, dim int, node string, pids binary, h1 binary, h2 binary, ns binary, vecs binary"
+POINT = "label string, dim int, node string, pid long, h1 long, h2 long, n long, vec array<double>"
+BLOCK = "label string, dim int, node string, pids binary, h1 binary, h2 binary, ns binary, vecs binary"
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -49,8 +52,8 @@ def classes(rows: DataFrame) -> DataFrame:
 def hashed(embeddings: DataFrame) -> DataFrame:
     """vec_id, label, dim, h1, h2, vec; the hashes are null for rows that link with nothing."""
     ok = vectors.usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    vec = F.transform("embedding", lambda x: x.cast("float") + F.lit(0.0).cast("float"))  # one zero only
-    return (embeddings.select("vec_id", F.col("label").cast("int").alias("label"), F.size("embedding").alias("dim"),
+    vec = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))  # one zero only
+    return (embeddings.select("vec_id", F.col("label").cast("string").alias("label"), F.size("embedding").alias("dim"),
                               F.when(ok, vec).alias("vec"))
             .withColumn("h1", F.when(F.col("vec").isNotNull(), F.xxhash64("label", "vec")))
             .withColumn("h2", F.when(F.col("vec").isNotNull(), F.xxhash64(F.lit("second"), "vec", "label"))))
@@ -61,16 +64,26 @@ def packed(points: DataFrame, sizes: DataFrame) -> DataFrame:
     def pack(table: pa.Table) -> pa.Table:
         one = lambda c, kind: table.column(c).to_numpy().astype(kind).tobytes()
         vec = table.column("vec").combine_chunks()
-        flat = np.asarray(vec.flatten(), "<f4")
+        flat = np.asarray(vec.flatten(), "<f8")
         first = {c: table.column(c)[0].as_py() for c in (*GROUP, "node")}
         return pa.Table.from_pylist([first | {"pids": one("pid", "<i8"), "h1": one("h1", "<i8"), "h2": one("h2", "<i8"),
                                               "ns": one("n", "<i8"), "vecs": flat.tobytes()}],
-                                    schema=pa.schema([("label", pa.int32()), ("dim", pa.int32()), ("node", pa.string()),
+                                    schema=pa.schema([("label", pa.string()), ("dim", pa.int32()), ("node", pa.string()),
                                                       *((c, pa.binary()) for c in ("pids", "h1", "h2", "ns", "vecs"))]))
 
+    # A node may hold most of all vectors: its count is joined on a salt as well, and its parts are dealt on their own.
+    salted = sizes.select(*GROUP, "node", "__size", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("__salt"))
     parts = F.ceil(F.col("__size") / LEAF)
-    dealt = points.join(sizes, [*GROUP, "node"]).withColumn("__part", F.pmod("h2", parts)).drop("__size")
-    return dealt.groupBy(*GROUP, "node", "__part").applyInArrow(pack, BLOCK)
+    dealt = points.withColumn("__salt", F.pmod("h1", F.lit(SALTS))).join(salted, [*GROUP, "node", "__salt"])
+    dealt = dealt.withColumn("__part", F.pmod("h2", parts)).drop("__size", "__salt")
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, *GROUP, "node", "__part").groupBy(*GROUP, "node", "__part").applyInArrow(pack, BLOCK)
+
+
+def _splits():
+    """A node is split while it is large, unless it is the only child of its parent: its vectors have one direction (as far
+    as the centers tell), and it is a leaf of several blocks."""
+    return (F.col("__size") > LEAF) & ~F.col("__only")
 
 
 def nets(blocks: DataFrame, sizes: DataFrame, level: int) -> DataFrame:
@@ -82,7 +95,7 @@ def nets(blocks: DataFrame, sizes: DataFrame, level: int) -> DataFrame:
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         dim = int(pdf["dim"].iloc[0])
-        x = np.concatenate([vectors.matrix(v, dim)[:int(t)] for v, t in zip(pdf["vecs"], pdf["take"])])
+        x = vectors.scaled(np.concatenate([vectors.matrix(v, dim, "<f8")[:int(t)] for v, t in zip(pdf["vecs"], pdf["take"])]))
         x = x / np.linalg.norm(x, axis=1)[:, None]
         x = x[np.lexsort(x.T)]
         r, at = radius, np.array([0])
@@ -92,12 +105,12 @@ def nets(blocks: DataFrame, sizes: DataFrame, level: int) -> DataFrame:
         return pd.DataFrame({"label": pdf["label"].iloc[:1], "dim": [dim], "node": pdf["node"].iloc[:1],
                              "centers": [x[at].astype("<f8").tobytes()]})
 
-    large = sizes.filter(F.col("__size") > LEAF)
+    large = sizes.filter(_splits())
     share = F.least(F.lit(1.0), F.lit(64.0) * LEAF / F.col("__size"))  # of the blocks
     some = blocks.join(large, [*GROUP, "node"]).filter(F.pmod(F.xxhash64("h1"), F.lit(1 << 20)) <= share * (1 << 20))
     some = some.withColumn("take", F.greatest(F.lit(8), F.ceil(F.lit(float(SAMPLE)) * LEAF / F.col("__size"))).cast("int"))
     return some.select(*GROUP, "node", "vecs", "take").groupBy(*GROUP, "node").applyInPandas(
-        pick, "label int, dim int, node string, centers binary")
+        pick, "label string, dim int, node string, centers binary")
 
 
 def assigned(blocks: DataFrame, centers: DataFrame) -> DataFrame:
@@ -105,15 +118,15 @@ def assigned(blocks: DataFrame, centers: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
-                raw = np.frombuffer(row["vecs"], "<f4").reshape(-1, row["dim"])
-                x = raw.astype(np.float64)
+                raw = vectors.matrix(row["vecs"], row["dim"], "<f8")
+                x = vectors.scaled(raw)
                 c = vectors.matrix(row["centers"], row["dim"], "<f8")
                 at, dist = vectors.nearest(x / np.linalg.norm(x, axis=1)[:, None], c)
                 n, one = len(x), lambda k: pa.array(np.frombuffer(row[k], "<i8"))  # noqa: B023
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["label"]] * n, pa.int32()), pa.array([row["dim"]] * n, pa.int32()),
+                    pa.array([row["label"]] * n, pa.string()), pa.array([row["dim"]] * n, pa.int32()),
                     pa.array([f"{row['node']}.{i:02d}" for i in at.tolist()]), one("pids"), one("h1"), one("h2"), one("ns"),
-                    pa.array(list(raw), pa.list_(pa.float32())), pa.array(dist), pa.array([row["node"]] * n)],
+                    pa.array(list(raw), pa.list_(pa.float64())), pa.array(dist), pa.array([row["node"]] * n)],
                     names=["label", "dim", "node", "pid", "h1", "h2", "n", "vec", "dist", "parent"])
 
     return blocks.join(centers, [*GROUP, "node"]).mapInArrow(run, f"{POINT}, dist double, parent string")
@@ -126,21 +139,20 @@ def _center_rows(centers: DataFrame) -> DataFrame:
                 c = vectors.matrix(row["centers"], row["dim"], "<f8")
                 yield pa.RecordBatch.from_pylist(
                     [{"label": row["label"], "dim": row["dim"], "node": f"{row['node']}.{i:02d}", "center": v} for i, v in enumerate(c.tolist())],
-                    schema=pa.schema([("label", pa.int32()), ("dim", pa.int32()), ("node", pa.string()), ("center", pa.list_(pa.float64()))]))
+                    schema=pa.schema([("label", pa.string()), ("dim", pa.int32()), ("node", pa.string()), ("center", pa.list_(pa.float64()))]))
 
-    return centers.mapInArrow(run, "label int, dim int, node string, center array<double>")
+    return centers.mapInArrow(run, "label string, dim int, node string, center array<double>")
 
 
-def leaf_pairs(points: DataFrame, reach: float, max_rounds: int = 24) -> tuple[DataFrame, DataFrame]:
+def leaf_pairs(points: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
     """(leaf blocks, pairs (label, dim, a, b) of leaves that the bound leaves, a <= b)."""
     points = points.withColumn("node", F.lit("0")).select(*[f.split()[0] for f in POINT.split(", ")])
-    count = lambda p: common.pinned(p.groupBy(*GROUP, "node").agg(F.count("*").alias("__size")))
-    sizes = count(points)
+    sizes = common.pinned(points.groupBy(*GROUP, "node").agg(F.count("*").alias("__size")).withColumn("__only", F.lit(False)))
     blocks = common.pinned(packed(points, sizes))
     pairs = sizes.select(*GROUP, F.col("node").alias("a"), F.col("node").alias("b"))
     known = None  # centers and radii of the current nodes
-    for level in range(1, max_rounds + 1):
-        if not sizes.filter(F.col("__size") > LEAF).take(1):
+    for level in itertools.count(1):  # every split node loses a child or becomes final
+        if not sizes.filter(_splits()).take(1):
             break
         centers = common.pinned(nets(blocks, sizes, level))
         moved = common.pinned(assigned(blocks, centers))
@@ -163,12 +175,12 @@ def leaf_pairs(points: DataFrame, reach: float, max_rounds: int = 24) -> tuple[D
         pairs = common.pinned(met.filter(near & ((F.col("a") != F.col("b")) | (F.col("a_node") <= F.col("b_node"))))
                               .select(*GROUP, F.col("a_node").alias("a"), F.col("b_node").alias("b")))
         fresh = moved.drop("dist", "parent")
-        new_sizes = count(fresh)
-        blocks = common.pinned(packed(fresh, new_sizes).unionByName(stay))
-        sizes = new_sizes.unionByName(old)
-        # a node that one child took whole cannot be split by distance: equal directions
-        if not new_sizes.join(sizes.limit(0), [*GROUP, "node"], "left_anti").take(1):
-            break
+        born = moved.groupBy(*GROUP, "node", "parent").agg(F.count("*").alias("__size"))
+        before = sizes.select(*GROUP, F.col("node").alias("parent"), F.col("__size").alias("__all"))
+        born = born.join(before, [*GROUP, "parent"]).select(*GROUP, "node", "__size", (F.col("__size") == F.col("__all")).alias("__only"))
+        born = common.pinned(born)
+        blocks = common.pinned(packed(fresh, born).unionByName(stay))
+        sizes = common.pinned(born.unionByName(old))
     return blocks, pairs
 
 
@@ -221,8 +233,8 @@ def linked(blocks: DataFrame, pairs: DataFrame, cosine: float, reach: float) ->
 
     def join(one, two):
         ints = lambda r, c: np.frombuffer(r[c], "<i8")
-        xa = vectors.matrix(one["vecs"], one["dim"])
-        xb = None if two is None else vectors.matrix(two["vecs"], one["dim"])
+        xa = vectors.scaled(vectors.matrix(one["vecs"], one["dim"], "<f8"))
+        xb = None if two is None else vectors.scaled(vectors.matrix(two["vecs"], one["dim"], "<f8"))
         both = [one] if two is None else [one, two]
         pid, h1, h2, ns = (np.concatenate([ints(r, c) for r in both]) for c in ("pids", "h1", "h2", "ns"))
         off = 0 if two is None else len(xa)

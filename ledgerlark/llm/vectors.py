@@ -19,6 +19,13 @@ def matrix(blob: bytes, dim: int, kind: str = "<f4") -> np.ndarray:
     return np.frombuffer(blob, kind).reshape(-1, dim).astype(np.float64)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two that brings their largest component near 1: cosines stay the same, and neither
+    squares of very large nor of very small components leave the range of doubles."""
+    top = np.abs(x).max(axis=1, initial=0)
+    return np.ldexp(x, -np.frexp(top)[1][:, None])
+
+
 def farthest_first(x: np.ndarray, most: int, radius: float) -> np.ndarray:
     """A net: rows of ``x`` picked farthest first until all lie within ``radius`` or ``most`` are picked."""
     picked, near = [0], np.full(len(x), np.inf)

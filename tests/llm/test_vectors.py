@@ -129,3 +129,20 @@ def test_dealt_batches_are_bounded(monkeypatch):
         got = [*postings.deal(own, [batch, batch.slice(0, 0)], postings.Plan(), ask)]
         assert len(want) == 1 and max(b.num_rows * 4 for b in got) <= 4096
         assert pa.Table.from_batches(got).equals(pa.Table.from_batches(want))
+
+
+def test_cover_tree_of_one_direction(spark):
+    """More scaled copies of one vector than a leaf holds, at the real LEAF: they cannot be split by distance."""
+    rnd = np.random.default_rng(2)
+    v = rnd.normal(size=8)
+    n = covertree.LEAF + 76
+    rows = [(i, (v * (1 + i / 7)).tolist(), "a") for i in range(n)] + [(n + i, rnd.normal(size=8).tolist(), "b") for i in range(50)]
+    got = {r.vec_id: r for r in covertree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"), 0.98).collect()}
+    assert all(got[i].n_links == n - 1 and got[i].component_id == 0 and got[i].kept == (i == 0) for i in range(n))
+
+
+def test_cover_tree_keeps_doubles(spark):
+    """Finite doubles beyond the range of float, and ones that differ by less than a float can tell."""
+    rows = [(1, [1e300, 1e300], 5), (2, [1e299, 1e299], 5), (3, [1.0, 0.0], 5), (4, [1.0, 1e-12], 5), (5, [0.0, -1.0], 5)]
+    got = [tuple(r) for r in covertree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long"), 0.98).orderBy("vec_id").collect()]
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True)]
