@@ -176,10 +176,16 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 def sample(documents: DataFrame, max_rows: int, max_langs: int, seed: int) -> DataFrame:
     """(doc_id, lang, text) of at most ``max_rows`` documents, as many of each language as there are."""
     known = documents.filter("doc_id is not null and lang is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    langs = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(min(max_langs, max_rows)).collect()]
-    each = max_rows // max(1, len(langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
-    some = known.filter(F.col("lang").isin(langs)).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= each)
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(min(max_langs, max_rows)).collect()}
+    each = max_rows // max(1, len(counts))
+    place = F.xxhash64("doc_id", F.lit(seed))
+    # A hash range that holds about four times the wanted rows of a language, so that no task ranks all of a common one.
+    share = F.lit(-1.0)
+    for lang, n in counts.items():
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 4 * each / n))).otherwise(share)
+    near = known.filter(F.pmod(place, F.lit(1 << 30)) <= share * float(1 << 30))
+    order = Window.partitionBy("lang").orderBy(F.pmod(place, F.lit(1 << 30)), "doc_id")
+    some = near.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= each)
     rows = (documents.select("doc_id", common.text_or_empty().alias("text"))
             .join(F.broadcast(some.select("doc_id", "lang")), "doc_id"))  # at most max_rows pairs
     one = F.min(F.struct(F.xxhash64("text", F.lit(seed)).alias("h"), "text")).alias("one")
