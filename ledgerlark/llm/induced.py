@@ -19,6 +19,7 @@ about 80 bytes per position in all, whatever ``MEMORY`` says. A text must fit in
 
 from __future__ import annotations
 
+import bisect
 import os
 import tempfile
 
@@ -47,8 +48,28 @@ class Spool:
         return np.fromfile(self.file, np.int64, 2 * n).reshape(2, n)
 
 
+class Passed:
+    """Least common prefixes of the blocks passed so far: a stack that only rises answers the least one since any of them."""
+
+    def __init__(self):
+        self.now, self.at, self.least = 0, [], []
+
+    def put(self, least: int) -> None:
+        while self.least and self.least[-1] >= least:
+            self.at.pop()
+            self.least.pop()
+        self.at.append(self.now)
+        self.least.append(least)
+        self.now += 1
+
+    def since(self, block: int, most: int) -> int:
+        """The least value of the blocks from number ``block`` on; ``most`` if there are none."""
+        i = bisect.bisect_left(self.at, block)
+        return self.least[i] if i < len(self.at) else most
+
+
 class Queue:
-    """First in, first out, for one character. ``low`` is the least common prefix passed since its last entry."""
+    """First in, first out, for one character."""
 
     def __init__(self, spool: Spool):
         self.spool, self.blocks, self.any = spool, [], False
@@ -185,7 +206,7 @@ def sort(text: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 def _induce(text, rises, run, seeds, seed_lcp, most):
     chars = np.unique(text)
     spool = Spool()
-    low = {}  # per queue: least common prefix passed since its last entry
+    passed, tail = Passed(), {}  # per queue: the next block's number and the least prefix after its last entry in this one
     first = np.searchsorted(text[seeds], chars, "left")
     last = np.searchsorted(text[seeds], chars, "right")
     seed_at = {c: (int(i), int(j)) for c, i, j in zip(chars.tolist(), first, last)}
@@ -197,7 +218,6 @@ def _induce(text, rises, run, seeds, seed_lcp, most):
         ok = (before >= 0) & (rises[before] == want)
         ok &= text[before] != 0
         char = text[before]
-        least = int(lcp.min())
         at = np.flatnonzero(ok)
         if len(at):
             by = at[np.argsort(char[at], kind="stable")]
@@ -206,13 +226,14 @@ def _induce(text, rises, run, seeds, seed_lcp, most):
                 c, own = int(char[by[i]]), by[i:j]
                 # the least value after the previous source, up to this one
                 mins = np.minimum.reduceat(lcp[:own[-1] + 1], np.append(0, own[:-1] + 1))
-                mins[0] = min(low.get(c, most), mins[0]) if queues[c].any else -1
+                if queues[c].any:
+                    after, least = tail[c]
+                    mins[0] = min(least, passed.since(after, most), mins[0])
+                else:
+                    mins[0] = -1
                 queues[c].put(np.stack([before[own], np.minimum(mins + 1, most)]))
-                low[c] = int(lcp[own[-1] + 1:].min(initial=most))
-        seen = {int(x) for x in np.unique(char[at])} if len(at) else set()
-        for c in queues:
-            if c not in seen and queues[c].any:
-                low[c] = min(low.get(c, most), least)
+                tail[c] = passed.now + 1, int(lcp[own[-1] + 1:].min(initial=most))
+        passed.put(int(lcp.min()))
 
     done = {}
     for c in chars.tolist():  # L, left to right
@@ -231,7 +252,8 @@ def _induce(text, rises, run, seeds, seed_lcp, most):
             if done[c].shape[1]:
                 lcp[0] = min(most, int(min(run[done[c][0][-1]], run[pos[0]])))
             append(left, pos, lcp, False)
-    right, low = {c: Queue(spool) for c in chars.tolist()}, {}
+    right = {c: Queue(spool) for c in chars.tolist()}
+    passed, tail = Passed(), {}
     out = []
     for c in chars[::-1].tolist():  # S, right to left
         parts, boundary = [], True

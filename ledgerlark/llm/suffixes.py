@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import common, induced
 
-BATCH, SLICE, GRAM, SHARD, HOT = 4 << 20, 1 << 20, 16, 16 << 20, 1 << 12
+BATCH, SLICE, GRAM, SHARD, HOT = 4 << 20, 1 << 17, 16, 16 << 20, 1 << 12
 LATE = np.iinfo(np.int64).max  # stands for a null ID
 BITS = np.uint64((1 << 48) - 1)  # of a minimizer, where only its identity matters; a clash costs time only
 FLAG = np.uint64(63)  # the bit of a hit that says hot
@@ -109,23 +109,23 @@ def runs(x: np.ndarray, bounds: np.ndarray, least: int) -> Iterator[tuple[np.nda
         if len(part) < least:
             break
         m = _least(_grams(part), least - GRAM + 1)
-        at = np.arange(a, a + len(m))
-        doc = np.searchsorted(bounds, at, "right") - 1
-        inside = at + least <= bounds[doc + 1]
-        new = np.append(True, (m[1:] != m[:-1]) | (doc[1:] != doc[:-1]))
-        # a run ends with its document's last window or where the minimizer changes
-        new |= np.append(False, inside[1:] != inside[:-1])
+        new = np.append(True, m[1:] != m[:-1])
+        # a run ends where the minimizer changes, with its document, and with its document's last window
+        for edge in (bounds, bounds[1:] - least + 1):
+            near = edge[np.searchsorted(edge, a, "left"):np.searchsorted(edge, a + len(m), "left")] - a
+            new[near] = True
         first = np.flatnonzero(new)
         size = np.diff(np.append(first, len(m)))
-        ok = inside[first]
-        first, size = first[ok], size[ok]
+        doc = np.searchsorted(bounds, a + first, "right") - 1
+        ok = a + first + least <= bounds[doc + 1]
+        first, size, doc = first[ok], size[ok], doc[ok]
         # a gram that comes again and again makes a long run: it is cut where one minimizer alone would end
         most = least - GRAM + 1
         times = -(-size // most)
         step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         first = np.repeat(first, times) + step * most
         size = np.minimum(np.repeat(size, times) - step * most, most)
-        yield m[first], doc[first], at[first], size + least - 1
+        yield m[first], np.repeat(doc, times), a + first, size + least - 1
 
 
 def _whole(x, bounds, least):
@@ -185,6 +185,11 @@ def shared_minimizers(batches: DataFrame, least: int, shards: int, hot: int = HO
     return sent.groupBy("shard").applyInArrow(meet, "batch long, hits binary")
 
 
+def padded(least: int) -> int:
+    """Columns of a grid of strings of windows of ``least`` bytes: whole words of eight."""
+    return -(-(2 * least - GRAM) // 8) * 8
+
+
 class Strings:
     """Strings with their minimizer, the order of their document's ID, and their places (batch, document, byte)."""
 
@@ -198,11 +203,15 @@ class Strings:
 
     def keys(self) -> np.ndarray:
         """A hash of each string."""
-        key = self.size.astype(np.uint64)
-        for a in range(self.grid.shape[1]):
-            key = key * np.uint64(0xBF58476D1CE4E5B9) + (self.grid[:, a].astype(np.uint64) + np.uint64(1)) * self.WORDS[a]
+        key, words = self.size.astype(np.uint64), self.words()
+        for a in range(words.shape[1]):
+            key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words[:, a] * self.WORDS[a]
         return key ^ (key >> np.uint64(29))
 
+    def words(self) -> np.ndarray:
+        """The padded bytes of each string, eight at a time."""
+        return np.ascontiguousarray(self.grid).view(np.uint64)
+
     def windows(self, least: int) -> Iterator[Strings]:
         """Each window as a string of its own whose minimizer is a hash of it, chunk by chunk."""
         for a in range(0, len(self.size), 1 << 13):
@@ -218,8 +227,9 @@ class Strings:
 
     def folded(self) -> tuple[Strings, np.ndarray, np.ndarray]:
         """(strings ordered so that equal ones follow one another, group number, least order of each group)."""
-        own = self.take(np.lexsort((self.order, self.keys())))
-        new = np.append(True, (own.size[1:] != own.size[:-1]) | (own.grid[1:] != own.grid[:-1]).any(axis=1))[:len(own.size)]
+        own = self.take(np.argsort(self.keys(), kind="stable"))
+        words = own.words()
+        new = np.append(True, (own.size[1:] != own.size[:-1]) | (words[1:] != words[:-1]).any(axis=1))[:len(own.size)]
         group = np.cumsum(new) - 1
         return own, group, np.minimum.reduceat(own.order, np.flatnonzero(new)) if len(group) else own.order
 
@@ -264,7 +274,7 @@ def _spans(batch, doc, at, size) -> pa.RecordBatch:
 
 def candidates(batches: DataFrame, hits: DataFrame, least: int, shards: int) -> DataFrame:
     """(kind, key, batch, blob): 0, spans of a batch that are settled within it; 1, strings of a shard."""
-    wide = 2 * least - GRAM
+    wide = padded(least)
 
     def emit(it):
         for b in it:
@@ -358,7 +368,7 @@ def all_spans(found: DataFrame, least: int) -> DataFrame:
 
     Both kinds go through one exchange, so the strings are moved once and written nowhere else.
     """
-    wide = 2 * least - GRAM
+    wide = padded(least)
 
     def run(table: pa.Table) -> pa.Table:
         if table.column("kind")[0].as_py() == 0:

@@ -177,7 +177,7 @@ def test_no_minimizer_brings_a_shard_many_strings(spark):
     def most(limit):
         hits = suffixes.shared_minimizers(batches, least, 8, limit)
         sent = suffixes.candidates(batches, hits, least, 8).filter("kind = 1").collect()
-        return max(Counter(m for r in sent for m in suffixes.Strings.unpack(bytes(r.blob), 0, 2 * least - 16).minimizer.tolist()).values())
+        return max(Counter(m for r in sent for m in suffixes.Strings.unpack(bytes(r.blob), 0, suffixes.padded(least)).minimizer.tolist()).values())
 
     assert most(1 << 14) > 100  # at the edges
     assert most(hot) <= hot
