@@ -34,6 +34,7 @@ DIMS = 1 << 18
 MEMO = 1 << 18
 SHIFT = 20  # two slots are kept as one number
 GRADES = 3
+FEW = 30  # words below which the share of distinct ones says nothing: such texts have the feature "short"
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def _slot(name: str) -> int:
 
 def _shape(word: str) -> str:
     out = []
-    for c in word[:24]:
+    for c in word:
         k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != k:
             out.append(k)
@@ -59,7 +60,7 @@ def _shape(word: str) -> str:
 
 def word_slots(word: str) -> int:
     """Features of a word: its bare lower-case form and its letter shape (two slots in one number)."""
-    bare = word.strip("".join(c for c in {*word[:8], *word[-8:]} if not c.isalnum())).lower()
+    bare = word.strip("".join(c for c in {*word} if not c.isalnum())).lower()
     return _slot("w:" + bare) << SHIFT | _slot("s:" + _shape(word))
 
 
@@ -70,7 +71,7 @@ def page_slots(words: list[str], distinct: int, lines: list[str]) -> list[int]:
         return [_slot("p:empty")]
     long = sum(map(len, words)) / n
     again = sum(map(operator.eq, words, words[1:])) / n
-    return [_slot(f"p:distinct:{int(10 * distinct / n) if n >= 30 else 'short'}"), _slot(f"p:long:{min(int(long), 20)}"),
+    return [_slot(f"p:distinct:{int(10 * distinct / n) if n >= FEW else 'short'}"), _slot(f"p:long:{min(int(long), 20)}"),
             _slot(f"p:again:{int(10 * again)}"), _slot(f"p:size:{int(math.log2(n))}"), _slot(f"p:lines:{int(8 * len({*lines}) / len(lines))}")]
 
 
@@ -98,6 +99,25 @@ def text_slots(text: str | None, memo: dict) -> np.ndarray:
     return np.unique(np.concatenate([pairs >> SHIFT, pairs & (1 << SHIFT) - 1, page])).astype(np.int32)
 
 
+def slopes(w: np.ndarray, theta: np.ndarray, row: np.ndarray, idx: np.ndarray, grades: np.ndarray, n_grades: int,
+           l2: float) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives of the penalised mean loss by the weights and by ``theta`` (first cut, then log gaps).
+
+    Document ``row[i]`` has the feature ``idx[i]``.
+    """
+    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    score = np.bincount(row, w[idx], len(grades))
+    cut = theta[0] + np.concatenate([[0], np.cumsum(np.exp(theta[1:]))])
+    edge = np.concatenate([[-np.inf], cut, [np.inf]])
+    hi, lo = sig(edge[grades + 1] - score), sig(edge[grades] - score)
+    p = np.maximum(hi - lo, 1e-12)
+    fh, fl = hi * (1 - hi) / p, lo * (1 - lo) / p  # d log p / d edges
+    gs = (fh - fl) / len(grades)  # d loss / d score
+    gcut = np.array([(np.where(grades == k + 1, fl, 0) - np.where(grades == k, fh, 0)).mean() for k in range(n_grades - 1)])
+    gtheta = np.concatenate([[gcut.sum()], [np.exp(theta[j]) * gcut[j:].sum() for j in range(1, len(theta))]])
+    return np.bincount(idx, gs[row], len(w)) + l2 * w, gtheta
+
+
 class OrdinalModel:
     """score = sum of the weights of a text's features; thresholds ascend."""
 
@@ -120,21 +140,11 @@ class OrdinalModel:
         share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / len(grades), 1e-3, 1 - 1e-3)
         cuts = np.log(share / (1 - share))
         theta = np.concatenate([cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-2))])  # first cut, then log gaps
-        w, sig = np.zeros(len(used)), lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        w = np.zeros(len(used))
         m = [np.zeros_like(w), np.zeros_like(theta)]
         v = [np.zeros_like(w), np.zeros_like(theta)]
         for t in range(1, steps + 1):
-            score = np.bincount(row, w[idx], len(slots))
-            cut = theta[0] + np.concatenate([[0], np.cumsum(np.exp(theta[1:]))])
-            edge = np.concatenate([[-np.inf], cut, [np.inf]])
-            hi, lo = sig(edge[grades + 1] - score), sig(edge[grades] - score)
-            p = np.maximum(hi - lo, 1e-12)
-            fh, fl = hi * (1 - hi) / p, lo * (1 - lo) / p  # d log p / d edges
-            gs = (fh - fl) / len(grades)  # d loss / d score
-            gcut = np.array([(np.where(grades == k + 1, fl, 0) - np.where(grades == k, fh, 0)).mean()
-                             for k in range(n_grades - 1)])
-            gtheta = np.concatenate([[gcut.sum()], [np.exp(theta[j]) * gcut[j:].sum() for j in range(1, len(theta))]])
-            gw = np.bincount(idx, gs[row], len(used)) + l2 * w
+            gw, gtheta = slopes(w, theta, row, idx, grades, n_grades, l2)
             for x, g, a, b in ((w, gw, m[0], v[0]), (theta, gtheta, m[1], v[1])):
                 a *= 0.9
                 a += 0.1 * g

@@ -84,3 +84,59 @@ def test_odd_rows(spark, odd, none):
     assert quality.fit(none, labels) is None
     assert quality.classify(odd, None).filter("selected and p_good = 1 and expected_grade is null").count() == odd.count()
     assert quality.select(odd, None).count() == odd.count()
+
+
+def plain_score(model, text):
+    """Weights summed feature by feature, from the features' definition."""
+    import math
+    import re
+    import zlib
+    slot = lambda name: zlib.crc32(name.encode()) % quality.DIMS
+    words, found = text.split(), set()
+    for w in words:
+        kinds = ["A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in w]
+        found.add(slot("s:" + "".join(k for i, k in enumerate(kinds) if not i or k != kinds[i - 1])))
+        found.add(slot("w:" + re.sub(r"^[\W_]+|[\W_]+$", "", w).lower()))
+    n, lines = len(words), text.split("\n")
+    if not n:
+        found.add(slot("p:empty"))
+    else:
+        found |= {slot(f"p:distinct:{int(10 * len(set(words)) / n) if n >= quality.FEW else 'short'}"), slot(f"p:long:{min(int(sum(map(len, words)) / n), 20)}"),
+                  slot(f"p:again:{int(10 * sum(a == b for a, b in zip(words, words[1:])) / n)}"), slot(f"p:size:{int(math.log2(n))}"),
+                  slot(f"p:lines:{int(8 * len(set(lines)) / len(lines))}")}
+    score = sum(float(model.weights[i]) for i in found)
+    return [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+
+
+def test_scores_against_plain_python(spark):
+    ship(spark)
+    docs, labels = spark.read.parquet(f"{SF01}/documents.parquet").limit(150), spark.read.parquet(f"{SF01}/labels.parquet")
+    more = spark.createDataFrame([(-1, "x" * 40 + " " + "-" * 12 + "word" + "!" * 20 + " A1b2"), (-2, ""), (-3, "_under_ 'quoted' " * 5)], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(more)
+    model = quality.fit(spark.read.parquet(f"{SF01}/documents.parquet"), labels, max_rows=300)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in quality.classify(docs, model).collect():
+        tails = plain_score(model, texts[r.doc_id])
+        assert abs(r.expected_grade - sum(tails)) < 1e-6 and abs(r.p_good - tails[-1]) < 1e-6
+
+
+def test_gradient_by_finite_differences():
+    """One step of the fit goes along the derivative of the penalised likelihood, as differences of it say."""
+    rnd = np.random.default_rng(4)
+    grades = rnd.integers(0, 3, 120)
+    slots = [np.unique(rnd.integers(0, 12, 5)) for _ in grades]
+
+    def loss(w, theta, l2=3e-4):
+        score = np.array([w[s].sum() for s in slots])
+        edge = np.concatenate([[-np.inf], theta[0] + np.concatenate([[0], np.cumsum(np.exp(theta[1:]))]), [np.inf]])
+        cdf = lambda z: 1 / (1 + np.exp(-z))
+        return -np.log(cdf(edge[grades + 1] - score) - cdf(edge[grades] - score)).mean() + l2 / 2 * (w @ w)
+
+    w, theta = rnd.normal(size=12) / 3, np.array([-0.4, 0.2])
+    gw, gtheta = quality.slopes(w, theta, np.repeat(np.arange(120), [len(s) for s in slots]), np.concatenate(slots), grades, 3, 3e-4)
+    for k in range(12):
+        d = np.eye(12)[k] * 1e-5
+        assert abs((loss(w + d, theta) - loss(w - d, theta)) / 2e-5 - gw[k]) < 1e-7
+    for k in range(2):
+        d = np.eye(2)[k] * 1e-5
+        assert abs((loss(w, theta + d) - loss(w, theta - d)) / 2e-5 - gtheta[k]) < 1e-7
