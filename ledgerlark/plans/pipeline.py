@@ -535,18 +535,17 @@ class Pipeline:
             failures = [f"{r['gate']} ({r['n']} in all, first file {r['file_id']})" for r in
                         rec.gate_failures(rows_r, amounts, quality).groupBy("gate")
                         .agg(F.count(F.lit(1)).alias("n"), F.min("file_id").alias("file_id")).orderBy("gate").collect()]  # C17
-            core_rows = fact.count()
+            # C18-C20 from one comparison per currency: core, signal and mart rows, and the paid totals.
+            sums = rec.currency_diff(fact, w_mart).agg(
+                F.coalesce(F.sum("core_rows"), F.lit(0)).alias("core"), F.coalesce(F.sum("mart_rows"), F.lit(0)).alias("mart"),
+                F.count_if(F.col("amount_delta") != 0).alias("n"), F.min(F.when(F.col("amount_delta") != 0, F.col("payment_currency"))).alias("c")).first()
             sig_rows = w_signal.count()
-            if core_rows != sig_rows:                                                      # C18
-                failures.append(f"risk coverage: {core_rows} core rows, {sig_rows} signal rows")
-            mart_rows = w_mart.agg(F.coalesce(F.sum("transaction_count"), F.lit(0))).collect()[0][0]
-            if mart_rows != sig_rows:                                                      # C19
-                failures.append(f"mart count: {mart_rows} != {sig_rows}")
-            diff = rec.currency_diff(fact, w_mart)
-            bad_cur = diff.filter(F.col("amount_delta") != 0).agg(
-                F.count(F.lit(1)).alias("n"), F.min("payment_currency").alias("c")).collect()[0]         # C20
-            if bad_cur["n"]:
-                failures.append(f"mart amount differs for {bad_cur['n']} currencies, first {bad_cur['c']}")
+            if sums["core"] != sig_rows:                                                   # C18
+                failures.append(f"risk coverage: {sums['core']} core rows, {sig_rows} signal rows")
+            if sums["mart"] != sig_rows:                                                   # C19
+                failures.append(f"mart count: {sums['mart']} != {sig_rows}")
+            if sums["n"]:                                                                  # C20
+                failures.append(f"mart amount differs for {sums['n']} currencies, first {sums['c']}")
             if failures:
                 raise RuntimeError("; ".join(failures))
             index = days.select(F.lit("day").alias("kind"), F.col("event_date").cast("string").alias("key")).unionByName(

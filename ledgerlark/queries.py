@@ -152,12 +152,12 @@ def q_raw_ids(spark, sf_dir):
     return cls.with_raw_ids(lines)
 
 
-def rendered_files(spark, sf_dir) -> list[str]:
-    """The CSV lines as files, one per file_id, each with its header (file 2: one column short); their paths."""
+def rendered_files(spark, sf_dir, short_header: int | None = 2) -> list[str]:
+    """The CSV lines as files, one per file_id, each with its header (one of them a column short); their paths."""
     lines = adapter.csv_lines(events(spark, sf_dir))
     short = F.lit(",".join(C.HEADERS[:-1]))
     head = lines.select("file_id").distinct().select("file_id", F.lit(0).cast("long").alias("source_row_number"), F.when(
-        F.col("file_id") == 2, short).otherwise(F.lit(adapter.header_line())).alias("raw_text"))
+        F.col("file_id") == F.lit(short_header), short).otherwise(F.lit(adapter.header_line())).alias("raw_text"))
     path = scratch_path(spark, "rendered")
     (lines.unionByName(head).repartition("file_id").sortWithinPartitions("file_id", "source_row_number")
      .select("file_id", "raw_text").write.partitionBy("file_id").text(path))

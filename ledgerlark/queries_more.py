@@ -175,3 +175,36 @@ def q_schema(spark, sf_dir):
 @register("profile_first_rows")
 def q_first_rows(spark, sf_dir):
     return explore.first_rows(Q.mtx(spark, sf_dir), "transaction_id", 25).select("transaction_id", "amount_paid", "payment_format")
+
+
+# --- the stateful pipeline from files to publication ------------------------------------------------------------
+
+
+@register("pipeline_state")
+def q_pipeline_state(spark, sf_dir):
+    """The rendered files loaded one after another (the first one twice), promoted in windows and published: control rows,
+    cursors, late rows, gates, the published mart by day and the status, as text."""
+    from . import config as C
+    from .plans.pipeline import Pipeline
+    p = Pipeline(spark, scratch_path(spark, "store"), policy=C.QualityPolicy(max_rejected_fraction=1.0))
+    paths = Q.rendered_files(spark, sf_dir, short_header=None)
+    outcomes = [p.ingest_file(path) for path in [*paths, paths[0]]]
+    loaded = p.raw().filter("validation_status = 'accepted'").count()
+    runs = p.catch_up(raw_limit=max(1, -(-loaded // 2)))
+    published = p.publish()
+    again = p.publish()
+    rows = [("load", str(i), f"{o['file_id']} {o['status']}") for i, o in enumerate(outcomes)]
+    rows += [("run", str(i), r["status"] if r["status"] == "skipped" else f"{r['run_id']} {r['staged_rows']} {r['fact_rows']} {r['last_raw_record_id']}")
+             for i, r in enumerate(runs)]
+    rows += [("publication", str(published["publication_id"]), " ".join(str(published[k]) for k in ("affected_days", "affected_files", "signal_rows", "mart_rows"))),
+             ("publication", "again", again["status"])]
+    text = lambda *cols: F.concat_ws(" ", *[F.col(c).cast("string") for c in cols]).alias("value")
+    counts = p.manifest().select(F.lit("manifest").alias("section"), F.col("file_id").cast("string").alias("key"),
+                                 text("total_rows", "accepted_rows", "rejected_rows", "duplicate_candidates"))
+    days = p.read_published("mart").groupBy("event_date").agg(F.sum("transaction_count").alias("n"), F.sum("paid_amount").cast("decimal(38,6)").alias("paid"),
+                                                              F.sum("risk_alert_count").alias("alerts"))
+    days = days.select(F.lit("mart").alias("section"), F.col("event_date").cast("string").alias("key"), text("n", "paid", "alerts"))
+    health = p.health().select(F.lit("health").alias("section"), F.col("status").alias("key"),
+                               text("files", "total_rows", "accepted_rows", "published_rows", "imbalanced_files", "pending_source_rows", "publication_id"))
+    checks = p.verify_run().select(F.lit("verify").alias("section"), F.col("check_name").alias("key"), F.col("passed").cast("string").alias("value"))
+    return union([spark.createDataFrame(rows, "section string, key string, value string"), counts, days, health, checks])

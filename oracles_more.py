@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from oracles import CONTROL, FEAT, FEAT_B, FINE, HP, ING, MODEL, MTX, SCORED, STATS, TXN, VOCAB, W, second, with_ctes
+from oracles import CONTROL, FEAT, FEAT_B, FINE, HP, ING, MODEL, MTX, SCORED, SIGNAL, STATS, TXN, VOCAB, W, second, with_ctes
 from oracles import SQL as BASE
 from oracles_checks import EXPLAINED
+from oracles_state import _CHECKS
 
 SQL: dict[str, str] = {}
 
@@ -71,3 +72,24 @@ SELECT * FROM (VALUES (1, 'transaction_id', 'bigint'), (2, 'transaction_time', '
   (9, 'amount_paid', 'decimal(38,12)'), (10, 'payment_currency', 'string'), (11, 'payment_format', 'string'), (12, 'is_laundering', 'smallint'),
   (NULL, 'amount', 'amount_paid'), (NULL, 'label', 'is_laundering'), (NULL, 'bank', 'from_bank'), (NULL, 'none', NULL)) t(position, column_name, data_type)"""
 SQL["profile_first_rows"] = with_ctes(TXN, MTX) + "SELECT transaction_id, amount_paid, payment_format FROM mtx ORDER BY transaction_id LIMIT 25"
+
+SQL["pipeline_state"] = ING + RAW + """, acc AS (
+  SELECT raw_record_id, file_id, strptime(v[1], '%Y/%m/%d %H:%M') AS event_time, v[2] AS from_bank, v[3] AS from_account, v[4] AS to_bank, v[5] AS to_account,
+    v[8]::DECIMAL(24,6) AS amount_paid, v[9] AS payment_currency, v[10] AS payment_format, v[11]::INT AS is_laundering
+  FROM (SELECT *, string_split(raw_text, ',') AS v FROM numbered WHERE validation_status = 'accepted')),""" + SIGNAL.replace("FROM txn t", "FROM acc t") + """,
+n AS (SELECT count(*) AS accepted, (count(*) + 1) // 2 AS half, max(raw_record_id) AS last FROM acc),
+mid AS (SELECT raw_record_id AS m FROM acc, n QUALIFY row_number() OVER (ORDER BY raw_record_id) = any_value(half) OVER ()),
+per_file AS (SELECT file_id, count(*) AS t, count(*) FILTER (WHERE validation_status = 'accepted') AS a, count(*) FILTER (WHERE validation_status = 'rejected') AS r,
+  count(*) FILTER (WHERE validation_status = 'duplicate_candidate') AS d FROM numbered GROUP BY file_id)
+SELECT 'load' AS section, (file_id - 1)::VARCHAR AS key, file_id || ' completed' AS value FROM per_file
+UNION ALL SELECT 'load', count(*)::VARCHAR, '1 skipped' FROM per_file
+UNION ALL SELECT 'run', '0', '1 ' || half || ' ' || half || ' ' || m FROM n, mid
+UNION ALL SELECT 'run', '1', '2 ' || (accepted - half) || ' ' || (accepted - half) || ' ' || last FROM n
+UNION ALL SELECT 'run', '2', 'skipped'
+UNION ALL SELECT 'publication', '1', count(DISTINCT event_date) || ' ' || (SELECT count(*) FROM per_file) || ' ' || count(*) || ' ' ||
+  count(DISTINCT (event_date, from_bank, payment_currency, payment_format)) FROM signal
+UNION ALL SELECT 'publication', 'again', 'skipped'
+UNION ALL SELECT 'manifest', file_id::VARCHAR, concat_ws(' ', t, a, r, d) FROM per_file
+UNION ALL SELECT 'mart', event_date::VARCHAR, concat_ws(' ', count(*), sum(amount_paid)::DECIMAL(38,6), count(*) FILTER (WHERE risk_score > 1)) FROM signal GROUP BY event_date
+UNION ALL SELECT 'health', 'PUBLISHED', concat_ws(' ', count(*), sum(t), sum(a), sum(a), 0, 0, 1) FROM per_file
+UNION ALL SELECT 'verify', unnest([""" + ", ".join(f"'{c}'" for c in _CHECKS) + """]), 'true'"""
