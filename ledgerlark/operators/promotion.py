@@ -174,19 +174,6 @@ def apply_corrections(fact: DataFrame, latest_keyed: DataFrame) -> DataFrame:
     return j.select(*out)
 
 
-def corrected_count(fact: DataFrame, latest_keyed: DataFrame) -> DataFrame:
-    """Number of fact rows a batch of corrections would change (newer than current)."""
-    lk = latest_keyed.select(F.col("target_raw_record_id").alias("source_raw_record_id"), F.col("correction_id").alias("_cid"))
-    j = fact.join(lk, "source_raw_record_id")
-    return j.agg(F.count_if(F.col("current_correction_id").isNull()
-                            | (F.col("current_correction_id") < F.col("_cid"))).alias("corrected_transactions"))
-
-
-def late_rows(staged_batch: DataFrame, watermark: Column) -> DataFrame:
-    """Rows of a batch older than the event-time watermark before it (NULL -> 0)."""
-    return staged_batch.agg(F.count_if(F.col("event_time") < watermark).alias("late_arriving_rows"))
-
-
 def late_rows_by_batch(staged: DataFrame, batch_size: int) -> DataFrame:
     """B15 for a sequence of ID-ordered batches: late rows per batch against the running
     max event time of all earlier batches (a running maximum over range slices)."""

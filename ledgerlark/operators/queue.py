@@ -135,11 +135,14 @@ def check_model_shape(model: LogisticModel) -> None:
         raise ValueError("category slots do not match the sorted values of their column")
 
 
-def reconstruction_gate(explained: DataFrame, tolerance: float = 1e-5) -> None:
-    """Raise when contributions do not reconstruct the saved scores."""
-    gap = explained.agg(F.max("score_reconstruction_gap")).collect()[0][0]
-    if gap is not None and gap > tolerance:
-        raise ValueError(f"effects and bias give other scores than the saved ones, by up to {gap:.6g}")
+def check_cases(explained: DataFrame, tolerance: float = 1e-5) -> None:
+    """Raise unless effects and bias give back the saved scores, and ranks are 1 to n, each once."""
+    r = explained.agg(F.max("score_reconstruction_gap").alias("gap"), F.min("review_rank").alias("lo"), F.max("review_rank").alias("hi"),
+                      F.count_distinct("review_rank").alias("d"), F.count(F.lit(1)).alias("n")).first()
+    if r["n"] and r["gap"] is not None and r["gap"] > tolerance:
+        raise ValueError(f"effects and bias give other scores than the saved ones, by up to {r['gap']:.6g}")
+    if r["n"] and (r["lo"] != 1 or r["hi"] != r["n"] or r["d"] != r["n"]):
+        raise ValueError(f"ranks are not 1 to {r['n']}, each once")
 
 
 def case_export(explained: DataFrame) -> DataFrame:
@@ -153,15 +156,6 @@ def case_export(explained: DataFrame) -> DataFrame:
         reasons.alias("model_reasons"), "rule_reason")
 
 
-def check_ranks(cases: DataFrame, expected: int | None = None) -> None:
-    """G10 gate: ranks are exactly 1..n."""
-    r = cases.agg(F.min("review_rank").alias("lo"), F.max("review_rank").alias("hi"),
-                  F.count_distinct("review_rank").alias("d"), F.count(F.lit(1)).alias("n")).collect()[0]
-    n = expected if expected is not None else r["n"]
-    if r["n"] != n or r["lo"] != 1 or r["hi"] != n or r["d"] != n:
-        raise ValueError(f"ranks are not 1 to {n}, each once")
-
-
 def filter_cases(cases: DataFrame, rank_max: int | None = None, date: str | None = None,
                  currency: str | None = None, fmt: str | None = None, spike: bool = False,
                  search: str | None = None) -> DataFrame:

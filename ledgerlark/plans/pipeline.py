@@ -16,6 +16,7 @@ the original; corrections are merged on read, by day, and can be compacted to th
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from ..operators import health as hl
 from ..operators import intervals as iv
 from ..operators import promotion as pro
 from ..operators import reconcile as rec
-from ..operators import risk
+from ..operators import risk, snapshot
 from ..operators.scale import assign_ids
 from ..session import written
 from ..sources import lines as src
@@ -588,6 +589,21 @@ class Pipeline:
         out = {t: self.read_published(t) for t in SNAPSHOT_KEYS if t != "index"}
         return {**{t: d for t, d in out.items() if d is not None}, "index": self.published_index()}
 
+    def _digests(self) -> DataFrame:
+        parts = [snapshot.digest(df, SNAPSHOT_KEYS[t]).withColumn("table_name", F.lit(t)) for t, df in sorted(self.snapshot().items())]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    def save_snapshot(self, name: str) -> None:
+        """Keep the digests of what is published under a name; a name that exists is refused."""
+        self.store.write_once(f"snapshots/{name}", self._digests())
+
+    def changed_since(self, name: str) -> DataFrame:
+        """(table_name) of published tables whose rows are not those of a saved snapshot."""
+        keys = ["table_name", "bucket"]
+        mark = lambda d, side: d.select(*keys, F.struct("rows", "sum_1", "sum_2").alias(side))
+        both = mark(self.store.read(f"snapshots/{name}"), "_then").join(mark(self._digests(), "_now"), keys, "full")
+        return both.filter(~F.col("_then").eqNullSafe(F.col("_now"))).select("table_name").distinct()
+
     def _caught_up(self) -> bool:
         """The last publication covers every completed file and every promotion run."""
         prev, runs, files = self._unpublished()

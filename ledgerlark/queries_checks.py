@@ -40,7 +40,8 @@ def explained(spark, sf_dir) -> DataFrame:
     f = written(feat.with_split(feat.features(t), Q.TRAIN_END, Q.VALIDATION_END), "features")
     model = LogisticModel.fixed(f.filter(F.col("data_split") == "train"))
     cases = qu.queue_cases(qu.review_queue(model.score(f), 1_500), t, f)
-    e = qu.explain(cases, model)
+    e = written(qu.explain(cases, model), "explained")
+    qu.check_cases(e)
     # An average's text shows its last binary digit, on which engines differ: the amount is left out of the comparison.
     return e.select("*", *[F.regexp_replace(f"model_reason_{i}", "^(Earlier average payment: ).* ", "$1").alias(f"reason_{i}") for i in (1, 2, 3)])
 

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import queries as Q
-from .functions import contract
 from .operators import classify as cls
 from .operators import explore
 from .operators import features as feat
 from .operators import metrics as met
 from .operators import promotion as pro
 from .operators import queue as qu
-from .operators import reconcile as rec
 from .operators import report as rp
 from .operators.model import LogisticModel
 from .queries import r9, register

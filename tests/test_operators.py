@@ -1,6 +1,5 @@
 """Operators on small fixtures against brute-force Python (the reference's test model)."""
 
-import math
 import random
 
 import pytest
@@ -208,3 +207,21 @@ def test_document_is_whole_or_absent(spark, tmp_path):
     assert documents.read_document(spark, path, "header", head.schema).collect() == head.collect()
     with pytest.raises(FileExistsError):
         documents.write_document(path, head, {"a": rows})
+
+
+def test_star_keeps_quality_apart_from_dates():
+    from ledgerlark.operators import star
+    named = lambda *names: [star.Relation(n, None, "", None, "") for n in names]
+    assert star.separated(named("daily.date", "quality.file", "reconciliation.currency"))
+    assert not star.separated(named("quality.date")) and not star.separated(named("daily.rule"))
+
+
+def test_case_gates(spark):
+    from ledgerlark.operators import queue as qu
+    c = spark.createDataFrame([(1, 0.0), (2, 1e-7), (3, 0.0)], "review_rank int, score_reconstruction_gap double")
+    qu.check_cases(c)
+    qu.check_cases(c.limit(0))
+    for bad in (c.filter("review_rank <> 2"), c.unionByName(c.limit(1)), c.selectExpr("review_rank + 1 as review_rank", "score_reconstruction_gap"),
+                c.selectExpr("review_rank", "score_reconstruction_gap + 2e-5 as score_reconstruction_gap")):
+        with pytest.raises(ValueError):
+            qu.check_cases(bad)

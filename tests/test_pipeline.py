@@ -178,6 +178,10 @@ def test_publications_merge_on_read(spark, tmp_path):
     p.catch_up()
     p.publish()
     first = {t: d.checkpoint(eager=True) for t, d in p.snapshot().items()}
+    p.save_snapshot("before")
+    assert p.changed_since("before").count() == 0
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        p.save_snapshot("before")
     header = ",".join((C.CORRECTION_TARGET_HEADER, *C.HEADERS))
     moved = rows(1)[0].replace("2022/09/01 00:00", "2022/09/03 00:00")   # row 1 moves to another day
     p.ingest_corrections(write(tmp_path / "c1.csv", [header, f"1,{moved}"]))
@@ -195,6 +199,7 @@ def test_publications_merge_on_read(spark, tmp_path):
     assert signal.count() == 18 and str(signal._jdf.queryExecution().analyzed()).count("Relation [") == 2  # the table and its index
     second = p.snapshot()
     changed = {r["table_name"]: r["is_equal"] for r in snapshot.compare(first, second, SNAPSHOT_KEYS).collect()}
+    assert sorted(r[0] for r in p.changed_since("before").collect()) == sorted(t for t, same in changed.items() if not same)
     assert changed["signal"] is False and changed["index"] is False and changed["row_reconciliation"] is True
     with pytest.raises(ValueError):
         p.promote(mode="backfill", correction_backfill=(0, 9))
