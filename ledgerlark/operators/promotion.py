@@ -1,14 +1,14 @@
 """Promotion set operators: raw -> staging -> bank/account dims -> fact, corrections.
 
-Everything is a set operation on DataFrames. Windows over IDs use TakeOrdered
-(``orderBy.limit``) on the candidate IDs only; latest-correction is a partial
+Everything is a set operation on DataFrames. Windows over IDs count candidates per ID bin
+and order only the bin at the cut; latest-correction is a partial
 ``max_by`` aggregate per target (no sort, skew-safe); dimension keys are dense
 numbers after the current maximum, assigned with the distributed ID helper.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -20,14 +20,30 @@ FACT_VALUE_COLS = ("event_time", "from_account_key", "to_account_key", "amount_r
                    "amount_paid", "payment_currency", "payment_format", "is_laundering")
 
 
+ID_BIN = 1 << 20
+
+
+def last_of_first(ids: DataFrame, col: str, limit: int | None, bin_size: int = ID_BIN) -> DataFrame:
+    """One row ``last``: the largest of the ``limit`` smallest IDs (unique), null if there are none.
+
+    IDs are counted per bin, so that only the bin at the cut, of at most ``bin_size`` IDs, is put in order.
+    """
+    if limit is None:
+        return ids.agg(F.max(col).alias("last"))
+    binned = ids.select(F.col(col).alias("_id"), F.floor(F.col(col) / F.lit(bin_size)).alias("_bin"))
+    upto = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per bin
+    bins = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", F.sum("_n").over(upto))
+    cut = bins.filter(F.col("_upto") - F.col("_n") < limit).agg(
+        F.max_by(F.struct("_bin", (F.lit(limit) - F.col("_upto") + F.col("_n")).alias("_rest")), "_bin").alias("_c")).select("_c.*")
+    inside = binned.join(F.broadcast(cut), "_bin").withColumn("_k", F.row_number().over(Window.orderBy("_id")))
+    return inside.filter(F.col("_k") <= F.col("_rest")).agg(F.max("_id").alias("last"))
+
+
 def raw_window(raw: DataFrame, after: int, limit: int | None) -> DataFrame:
     """B1: (raw_after, raw_through): the next ``limit`` accepted IDs above the cursor."""
-    cand = raw.filter((F.col("validation_status") == C.ACCEPTED) & (F.col("raw_record_id") > after)) \
-        .select("raw_record_id")
-    if limit is not None:
-        cand = cand.orderBy("raw_record_id").limit(limit)
-    return cand.agg(F.lit(after).cast("long").alias("raw_after"),
-                    F.coalesce(F.max("raw_record_id"), F.lit(after)).cast("long").alias("raw_through"))
+    cand = raw.filter((F.col("validation_status") == C.ACCEPTED) & (F.col("raw_record_id") > after))
+    return last_of_first(cand, "raw_record_id", limit).select(
+        F.lit(after).cast("long").alias("raw_after"), F.coalesce("last", F.lit(after)).cast("long").alias("raw_through"))
 
 
 def correction_window(corrections: DataFrame, fact: DataFrame, after: int, raw_through: Column | int,
@@ -40,12 +56,10 @@ def correction_window(corrections: DataFrame, fact: DataFrame, after: int, raw_t
                .join(fact.select(F.col("source_raw_record_id").alias("target_raw_record_id")),
                      "target_raw_record_id", "left_anti")
                .agg(F.min("correction_id").alias("first_blocked")))
-    cand = pending.crossJoin(blocked).filter(
-        F.col("first_blocked").isNull() | (F.col("correction_id") < F.col("first_blocked"))).select("correction_id")
-    if limit is not None:
-        cand = cand.orderBy("correction_id").limit(limit)
-    return cand.agg(F.lit(after).cast("long").alias("correction_after"),
-                    F.coalesce(F.max("correction_id"), F.lit(after)).cast("long").alias("correction_through"))
+    cand = pending.crossJoin(F.broadcast(blocked)).filter(
+        F.col("first_blocked").isNull() | (F.col("correction_id") < F.col("first_blocked")))
+    return last_of_first(cand, "correction_id", limit).select(
+        F.lit(after).cast("long").alias("correction_after"), F.coalesce("last", F.lit(after)).cast("long").alias("correction_through"))
 
 
 def in_range(col: str, lo: int, hi: int) -> Column:

@@ -225,3 +225,16 @@ def test_case_gates(spark):
                 c.selectExpr("review_rank", "score_reconstruction_gap + 2e-5 as score_reconstruction_gap")):
         with pytest.raises(ValueError):
             qu.check_cases(bad)
+
+
+def test_id_windows_by_bins(spark):
+    from ledgerlark.operators import promotion as pro
+    ids = sorted(random.Random(2).sample(range(1, 5000), 400))
+    df = spark.createDataFrame([(i,) for i in ids], "raw_record_id long").repartition(5)
+    for limit in (1, 7, 250, 399, 400, 1000, None):
+        for size in (10, 64, 1 << 20):
+            assert pro.last_of_first(df, "raw_record_id", limit, size).first()[0] == ids[min(limit or 400, 400) - 1]
+    assert pro.last_of_first(df.limit(0), "raw_record_id", 5).first()[0] is None
+    raw = df.withColumn("validation_status", F.when(F.col("raw_record_id") % 2 == 0, C.ACCEPTED).otherwise(C.REJECTED))
+    even = [i for i in ids if i % 2 == 0 and i > 100]
+    assert tuple(pro.raw_window(raw, 100, 10).first()) == (100, even[9]) and tuple(pro.raw_window(raw, 9999, 10).first()) == (9999, 9999)
