@@ -146,3 +146,24 @@ def test_cover_tree_keeps_doubles(spark):
     rows = [(1, [1e300, 1e300], 5), (2, [1e299, 1e299], 5), (3, [1.0, 0.0], 5), (4, [1.0, 1e-12], 5), (5, [0.0, -1.0], 5)]
     got = [tuple(r) for r in covertree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long"), 0.98).orderBy("vec_id").collect()]
     assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True)]
+
+
+def test_nearest_recall_at_production_settings(spark):
+    """The registered search over the whole table, against brute force; repeated vectors tie and go by ID."""
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding")
+    rows = table.unionByName(table.filter("vec_id < 40").selectExpr("vec_id + 100000 as vec_id", "embedding"))
+    x = {r.vec_id: np.array(r.embedding, np.float64) for r in rows.collect()}
+    ids = np.array(sorted(x))
+    all_of = np.stack([x[i] for i in ids])
+    got = {}
+    for r in postings.nearest(rows, F.pmod("vec_id", F.lit(20)) == 0, k=20).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert {*got} == {i for i in x if i % 20 == 0}
+    hit = 0
+    for i, mine in got.items():
+        score = all_of @ x[i]
+        order = [j for j in np.lexsort((ids, -score)) if ids[j] != i][:20]
+        mine = sorted(mine)
+        assert mine == sorted(mine, key=lambda m: (-m[2], m[1])) and len(mine) == 20
+        hit += len({int(ids[j]) for j in order} & {m[1] for m in mine})
+    assert hit / (20 * len(got)) >= 0.9
