@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import common, induced
 
-BATCH, SLICE, GRAM, SHARD, HOT = 4 << 20, 1 << 17, 16, 16 << 20, 1 << 12
+BATCH, SLICE, GRAM, SHARD, HOT = 4 << 20, 1 << 17, 16, 6 << 20, 1 << 12
 LATE = np.iinfo(np.int64).max  # stands for a null ID
 BITS = np.uint64((1 << 48) - 1)  # of a minimizer, where only its identity matters; a clash costs time only
 FLAG = np.uint64(63)  # the bit of a hit that says hot
@@ -318,9 +318,8 @@ def candidates(batches: DataFrame, hits: DataFrame, least: int, shards: int) ->
     return batches.join(found.hint("merge"), "batch").mapInArrow(emit, "kind int, key long, batch long, blob binary")
 
 
-def repeated(shard: Strings, least: int) -> tuple[np.ndarray, ...]:
-    """(batch, document, first byte, size) of what goes, from the strings of one shard."""
-    own, group, low = shard.folded()
+def repeated(own: Strings, group: np.ndarray, low: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(batch, document, first byte, size) of what goes, from the folded strings of one shard."""
     late = own.order > low[group]
     gone = own.take(late)
     out = [(gone.batch, gone.doc, gone.at, gone.size)]
@@ -373,9 +372,17 @@ def all_spans(found: DataFrame, least: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         if table.column("kind")[0].as_py() == 0:
             return table.select(["kind", "key", "blob"])
-        parts = [Strings.unpack(blob, batch, wide) for blob, batch in zip(table.column("blob").to_pylist(), table.column("batch").to_pylist())]
-        shard = Strings(*(np.concatenate([getattr(p, c) for p in parts]) for c in ("minimizer", "order", "batch", "doc", "at", "size", "grid")))
-        return pa.Table.from_batches([_spans(*repeated(shard, least))])
+        blobs, numbers = table.column("blob"), table.column("batch").to_pylist()
+        parts = [Strings.unpack(blobs[i].as_buffer(), batch, wide) for i, batch in enumerate(numbers)]
+        columns = []
+        for c in ("minimizer", "order", "batch", "doc", "at", "size", "grid"):  # a column of the parts goes as it is joined
+            columns.append(np.concatenate([getattr(p, c) for p in parts]))
+            for p in parts:
+                setattr(p, c, None)
+        folded = Strings(*columns)
+        del parts, columns
+        folded = folded.folded()
+        return pa.Table.from_batches([_spans(*repeated(*folded, least))])
 
     return found.groupBy("kind", "key").applyInArrow(run, "kind int, key long, blob binary")
 
