@@ -12,6 +12,7 @@ import hashlib
 import re
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,55 +52,52 @@ def fingerprint(spark: SparkSession, paths: list[str], cell_limit: int = CELL_LI
         "path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size"))
     large = [p for p, n in sizes.items() if n > cell_limit]
     empty = [(p, hashlib.sha256().hexdigest(), 0) for p in map(_as_read, files.inputFiles()) if p not in sizes]  # no reader returns them
-    if large:
-        out = out.unionByName(streamed_digest(spark, large))
+    for p in large:  # beside the scan of the small files a task each; a union of single partitions alone would be one task
+        out = out.unionByName(streamed_digest(spark, p))
     return out.unionByName(spark.createDataFrame(empty, schema)) if empty else out
 
 
-def streamed_digest(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SHA-256 and byte size per file in constant memory, one path per task, over any file system Spark reads.
+def streamed_digest(spark: SparkSession, path: str) -> DataFrame:
+    """SHA-256 and byte size of a file in constant memory, in one task, over any file system Spark reads.
 
-    The pieces between line feeds are sorted by their place (the sort spills to disk) and fed in order to an
-    incremental digest. The reader drops a byte order mark at the start and a line feed at the end, so
-    two digests run, with and without the mark, and the file's size tells which bytes were there.
+    The splits are read one after the other, and the pieces between line feeds are fed to an incremental digest
+    as they come: nothing is shuffled, sorted or held. Splits that come in another order than their places are
+    refused. The reader drops a byte order mark at the start and a line feed at the end, so two digests run, with
+    and without the mark, and the file's size tells which bytes were there.
     """
-    raw = spark.read.option("lineSep", "\n").text(paths).select(
+    raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("byte_size"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"),
-        F.col("value").cast("binary").alias("piece"))
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("piece"))
 
     def run(batches):
-        path = size = plain = marked = None
-        total = 0
-
-        def out():
-            for digest, extra in ((plain, 0), (marked, 3)):
-                if total + extra == size:
-                    digest.update(b"\n")
-                if total + extra - size in (0, 1):
-                    return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([digest.hexdigest()]), pa.array([size], pa.int64())],
-                                                      names=["path", "sha256", "byte_size"])
-            raise ValueError(f"{path}: {size} bytes listed, lines of {total} bytes read")
-
+        path = size = None
+        plain, marked = hashlib.sha256(), hashlib.sha256(codecs.BOM_UTF8)
+        total = last = 0
         for batch in batches:
-            pieces = batch.column("piece").to_pylist()
-            for i, (p, n) in enumerate(zip(batch.column("path").to_pylist(), batch.column("byte_size").to_pylist())):
-                if p != path:
-                    if path is not None:
-                        yield out()
-                    path, size, total = p, n, 0
-                    plain, marked = hashlib.sha256(), hashlib.sha256(codecs.BOM_UTF8)
-                elif total:
-                    plain.update(b"\n")
-                    marked.update(b"\n")
-                plain.update(pieces[i])
-                marked.update(pieces[i])
-                total += len(pieces[i]) + 1
-        if path is not None:
-            yield out()
-
-    ordered = raw.repartition(len(paths), "path").sortWithinPartitions("path", "block", "place")
-    return ordered.mapInArrow(run, "path string, sha256 string, byte_size long")
+            if not batch.num_rows:
+                continue
+            if path is None:
+                path, size = batch.column("path")[0].as_py(), batch.column("byte_size")[0].as_py()
+            blocks = np.append(last, batch.column("block").to_numpy())
+            if (blocks[1:] < blocks[:-1]).any():
+                raise ValueError(f"{path}: splits read out of order")
+            last = blocks[-1]
+            some = (b"\n" if total else b"") + b"\n".join(batch.column("piece").to_pylist())
+            plain.update(some)
+            marked.update(some)
+            total += len(some) + (not total)  # a line feed per piece, the last one's too
+        if path is None:
+            return
+        for digest, extra in ((plain, 0), (marked, 3)):
+            if total + extra == size:
+                digest.update(b"\n")
+            if total + extra - size in (0, 1):
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([digest.hexdigest()]), pa.array([size], pa.int64())],
+                                                 names=["path", "sha256", "byte_size"])
+                return
+        raise ValueError(f"{path}: {size} bytes listed, lines of {total} bytes read")
+
+    return raw.coalesce(1).mapInArrow(run, "path string, sha256 string, byte_size long")
 
 
 def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -27,6 +27,25 @@ def test_digests(spark, tmp_path, limit, split):
     assert got == want
 
 
+def test_streamed_digests_hold_nothing(spark, tmp_path):
+    """No sort and no shuffle of the lines, a task per file, every split in its place."""
+    want = {}
+    for name in ("a", "b", "c"):
+        content = b"".join(b"%s,%d\n" % (name.encode(), i) * (1 + i % 3) for i in range(40_000))
+        (tmp_path / f"{name}_Trans.csv").write_bytes(content)
+        want[name] = (hashlib.sha256(content).hexdigest(), len(content))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        got = src.fingerprint(spark, src.discover(spark, str(tmp_path)), cell_limit=0)
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "Exchange" not in plan
+        assert got.rdd.getNumPartitions() > len(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r["path"].rsplit("/", 1)[1][0]: (r["sha256"], r["byte_size"]) for r in rows} == want
+
+
 def test_first_line_and_header(spark, tmp_path):
     f = tmp_path / "a_Trans.csv"
     for content, header in ((b"\xef\xbb\xbfx,y\n1,2\n", None), (b"x,z\n", 'header_mismatch: expected ["x","y"]; got ["x","z"]'),
