@@ -9,7 +9,8 @@ strings are never moved.
 A shard is suffix-sorted in memory by induced sorting (``induced``): queues of suffix tuples, the waiting ones on
 disk, recursion on the names of the pieces between S* suffixes, common prefixes carried along. Neighbours
 that share ``least`` bytes form the groups of equal windows; a window goes if its document is not the
-smallest of its group.
+smallest of its group. Strings of different minimizers share no window, so they are sorted about ``SORT`` bytes
+at a time: the memory of a sort does not grow with its shard.
 
 Hot passages. A string that several documents of one batch hold is folded there: later documents
 lose it at once, and one entry goes on. A shard folds again before it sorts. At the edges of a shared
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 from . import common, induced
 
 BATCH, SLICE, GRAM, SHARD, HOT = 4 << 20, 1 << 17, 16, 6 << 20, 1 << 12
+SORT = 1 << 20  # bytes of strings sorted at once; those of one minimizer, at most ``HOT``, stay together
 LATE = np.iinfo(np.int64).max  # stands for a null ID
 BITS = np.uint64((1 << 48) - 1)  # of a minimizer, where only its identity matters; a clash costs time only
 FLAG = np.uint64(63)  # the bit of a hit that says hot
@@ -318,6 +320,39 @@ def candidates(batches: DataFrame, hits: DataFrame, least: int, shards: int) ->
     return batches.join(found.hint("merge"), "batch").mapInArrow(emit, "kind int, key long, batch long, blob binary")
 
 
+def _bounded(rows: np.ndarray, kind: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """``rows``, ordered by ``kind``, in parts of about ``SORT`` bytes that never cut a kind."""
+    first = np.flatnonzero(np.append(True, kind[1:] != kind[:-1]))
+    part = np.cumsum(np.add.reduceat(size + 1, first)) // SORT
+    cuts = first[np.flatnonzero(np.append(True, part[1:] != part[:-1]))]
+    yield from np.split(rows, cuts[1:])
+
+
+def late_runs(text: np.ndarray, size: np.ndarray, rank: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(string, first, stop of each maximal run of windows that a string of smaller rank also has, number of strings)."""
+    n = len(size)
+    inside = np.arange(text.shape[1] + 1)[None] <= size[:, None]
+    flat = np.zeros(inside.shape, np.int16)
+    flat[:, :-1] = text
+    flat[:, :-1] += 1
+    flat[np.arange(n), size] = 0
+    source = np.repeat(np.arange(n, dtype=np.int32), size + 1)
+    begins = np.cumsum(size + 1) - size - 1
+    order, lcp = induced.sort(flat[inside], least)
+    del flat, inside
+    source = source[order]
+    at = order - begins[source]
+    del order
+    new = lcp < least
+    same, low = np.cumsum(new, dtype=np.int32) - 1, np.minimum.reduceat(rank[source], np.flatnonzero(new))
+    drop = (rank[source] > low[same]) & (at + least <= size[source])
+    mask = np.zeros((n, text.shape[1] - least + 3), bool)  # a free column on either side
+    mask[source[drop], at[drop] + 1] = True
+    step = np.diff(mask.astype(np.int8), axis=1)
+    row, start = np.nonzero(step == 1)
+    return row, start, np.nonzero(step == -1)[1], n
+
+
 def repeated(own: Strings, group: np.ndarray, low: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """(batch, document, first byte, size) of what goes, from the folded strings of one shard."""
     late = own.order > low[group]
@@ -330,25 +365,10 @@ def repeated(own: Strings, group: np.ndarray, low: np.ndarray, least: int) -> tu
     _, kind, count = np.unique(one.minimizer, return_inverse=True, return_counts=True)
     sift = np.flatnonzero(count[kind] > 1)  # a single string of a minimizer shares nothing with others
     if len(sift):
-        text, size = one.grid[sift], one.size[sift]
-        flat = np.zeros((len(sift), text.shape[1] + 1), np.int16)
-        flat[:, :-1] = text.astype(np.int16) + 1
-        inside = np.arange(text.shape[1] + 1)[None] <= size[:, None]
-        flat[np.arange(len(sift)), size] = 0
-        source = np.repeat(np.arange(len(sift)), size + 1)
-        begins = np.cumsum(size + 1) - size - 1
-        order, lcp = induced.sort(flat[inside], least)
-        at = order - begins[source[order]]
-        same = np.cumsum(lcp < least) - 1
-        cuts = np.flatnonzero(lcp < least)
-        rank = one.order[sift][source[order]]
-        least_of = np.minimum.reduceat(rank, cuts)
-        drop = (rank > least_of[same]) & (at + least <= size[source[order]])
-        mask = np.zeros((len(sift), text.shape[1] - least + 3), bool)  # a free column on either side
-        mask[source[order][drop], at[drop] + 1] = True
-        step = np.diff(mask.astype(np.int8), axis=1)
-        row, start = np.nonzero(step == 1)
-        stop = np.nonzero(step == -1)[1]
+        sift = sift[np.argsort(kind[sift], kind="stable")]
+        parts = [late_runs(one.grid[rows], one.size[rows], one.order[rows], least) for rows in _bounded(sift, kind[sift], one.size[sift])]
+        row, start, stop = (np.concatenate(c) for c in zip(*((r + n, a, z) for (r, a, z, _), n in zip(
+            parts, np.cumsum([0, *(p[3] for p in parts)])))))
         # every place of a string with such runs
         runs_of = np.bincount(row, minlength=len(sift))
         back = np.full(len(one.size), -1)
