@@ -22,6 +22,7 @@ ordered by text hash. An empty table gives empty files. Other columns, whatever
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -62,8 +63,9 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         if not w:
             continue
         rows = np.flatnonzero(width == w)
-        flat = np.packbits((diff[rows][:, :, None] >> np.arange(w, dtype=np.uint32) & 1).astype(np.uint8).reshape(len(rows), -1),
-                           axis=1, bitorder="little")
+        some = diff[rows].astype("<u2" if w <= 16 else "<u4")
+        bits = np.unpackbits(some.view(np.uint8).reshape(len(rows), BLOCK, some.itemsize), axis=2, count=int(w), bitorder="little")
+        flat = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
         for r, line in zip(rows.tolist(), flat):
             packed[r] = line.tobytes()
     out, at, starts = [], 0, np.empty(blocks, np.int64)
@@ -91,9 +93,13 @@ def unpack(payload: bytes, starts: np.ndarray) -> np.ndarray:
         if not w:
             continue
         rows = np.flatnonzero(width == w)
-        part = raw[starts[rows][:, None] + HEAD.itemsize + np.arange(BLOCK * w // 8)]
-        bits = np.unpackbits(part, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        grid[rows] = (bits.astype(np.uint32) << np.arange(w, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+        part = np.zeros((len(rows), BLOCK * w // 8 + 4), np.uint8)  # a last value's bytes may be sought past the end
+        part[:, :-4] = raw[starts[rows][:, None] + HEAD.itemsize + np.arange(BLOCK * w // 8)]
+        bit = np.arange(BLOCK) * w
+        values = np.zeros((len(rows), BLOCK), np.uint32 if w <= 25 else np.uint64)
+        for k in range((w + 14) // 8):  # the bytes that a value may reach into
+            values |= part[:, bit // 8 + k].astype(values.dtype) << values.dtype.type(8 * k)
+        grid[rows] = values >> (bit % 8).astype(values.dtype) & values.dtype.type((1 << int(w)) - 1)
     for b in np.flatnonzero(head["patches"]).tolist():
         k = int(head["patches"][b])
         at = int(starts[b] + HEAD.itemsize + BLOCK * width[b] // 8)
@@ -105,6 +111,8 @@ def unpack(payload: bytes, starts: np.ndarray) -> np.ndarray:
 
 #: The parts of a tokenizers file that ``WordEncoder`` can run word by word itself; others go through the library.
 PLAIN_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+#: A split pattern that takes a run of letters as one piece.
+LETTERS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 PLAIN_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
@@ -132,20 +140,30 @@ class WordEncoder:
         if ((plan.get("normalizer") or {}).get("normalizers") == PLAIN_NORMALIZER and len(cuts) == 2 and cuts[1] == PLAIN_BYTES
                 and cuts[0].get("type") == "Split" and cuts[0].get("behavior") == "Removed" and cuts[0].get("invert")):
             self.cut = regex.compile(cuts[0]["pattern"]["Regex"]).findall
+        self.whole = self.cut is not None and cuts[0]["pattern"]["Regex"] == LETTERS
         self.letters = dict(enumerate(byte_letters()))
-        self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
-        self.starts = {a[0] for a in self.added}
-        self.pieces = Memo(lambda p: self._ids(p.encode().decode("latin-1").translate(self.letters)), 1 << 20)
+        added = [re.escape(t.content) for t in self.tool.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)).search if added else lambda word: None
+        self.numbers = [i.to_bytes(4, "little") for i in range(1 + max(self.tool.get_vocab().values(), default=0))]
+        self.pieces = Memo(self._piece, 1 << 20)
         self.words = Memo(self._word)
 
     def _ids(self, piece: str) -> bytes:
-        return b"".join(t.id.to_bytes(4, "little") for t in self.tool.model.tokenize(piece))
+        numbers = self.numbers
+        return b"".join([numbers[t.id] for t in self.tool.model.tokenize(piece)])
+
+    def _piece(self, piece: str) -> bytes:
+        plain = piece.isascii() and piece.isprintable()  # its bytes stand for themselves (no word has a space)
+        return self._ids(piece if plain else piece.encode().decode("latin-1").translate(self.letters))
 
     def _word(self, word: str) -> bytes:
-        if not self.starts.isdisjoint(word) and any(a in word for a in self.added):
+        if self.added(word):
             return np.array(self.tool.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if self.cut and max(word) < "\u0300":
-            return b"".join(map(self.pieces.__getitem__, self.cut(word.lower())))
+        if self.cut and (word.isascii() or max(word) < "\u0300"):
+            low = word.lower()
+            if self.whole and low.isalpha():
+                return self.pieces[low]
+            return b"".join(map(self.pieces.__getitem__, self.cut(low)))
         cut = self.tool.pre_tokenizer.pre_tokenize_str(self.tool.normalizer.normalize_str(word))
         return b"".join([self._ids(p) for p, _ in cut])
 

@@ -187,6 +187,38 @@ def test_no_minimizer_brings_a_shard_many_strings(spark):
         assert got(suffixes.digests(suffixes.remove(docs, least, limit))) == want
 
 
+def test_a_shard_is_sorted_in_bounded_parts(monkeypatch):
+    """Sorts of about SORT bytes whatever the shard holds, one minimizer's strings always in one of them."""
+    rnd, least, n = np.random.default_rng(5), 50, 600
+    grid = np.zeros((n, suffixes.padded(least)), np.uint8)
+    size = rnd.integers(50, 84, n)
+    base = rnd.integers(97, 123, (60, grid.shape[1]), dtype=np.uint8)
+    owner = rnd.integers(0, 60, n)
+    for i in range(n):
+        grid[i, :size[i]] = base[owner[i], :size[i]]
+        grid[i, rnd.integers(0, size[i])] = 65 + i % 26
+    own = suffixes.Strings(owner.astype(np.uint64), rnd.integers(0, 300, n), np.zeros(n, np.int64), np.arange(n), np.zeros(n, np.int64), size, grid)
+    sort, seen = suffixes.induced.sort, []
+    monkeypatch.setattr(suffixes.induced, "sort", lambda text, depth: seen.append(len(text)) or sort(text, depth))
+
+    def spans(most):
+        monkeypatch.setattr(suffixes, "SORT", most)
+        seen.clear()
+        return sorted(zip(*(c.tolist() for c in suffixes.repeated(*own.folded(), least))))
+
+    first = {}
+    for i in range(n):
+        for a in range(size[i] - least + 1):
+            key = grid[i, a:a + least].tobytes()
+            first[key] = min(first.get(key, 1 << 30), own.order[i])
+    want = {(i, a + k) for i in range(n) for a in range(size[i] - least + 1)
+            if own.order[i] > first[grid[i, a:a + least].tobytes()] for k in range(least)}
+    for most in (1 << 30, 4000, 1):
+        assert {(d, at + k) for _, d, at, long in spans(most) for k in range(long)} == want and want
+    assert spans(1 << 30) == spans(4000)
+    assert len(seen) > 5 and max(seen) <= 4000 + max(np.bincount(owner, size + 1))
+
+
 def test_induced_sorting_against_brute_force():
     import random
     from ledgerlark.llm import induced
@@ -263,6 +295,25 @@ def test_added_tokens_in_words():
         assert np.frombuffer(own.encode(t), "<u4").tolist() == tool.encode(t, add_special_tokens=False).ids
 
 
+def test_words_of_letters_need_no_split():
+    from tokenizers import Tokenizer
+    tool = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    own = tokenfiles.WordEncoder(tokenizer_path("word_bpe_49k.json"))
+    letters = "".join(c for c in map(chr, range(0x300)) if c.isalpha() and c.lower().isalpha())
+    own.cut = lambda word: pytest.fail(f"split {word!r}")
+    for t in ("Plain words OF letters", *(letters[i:i + 7] for i in range(0, len(letters), 7))):
+        assert np.frombuffer(own.encode(t), "<u4").tolist() == tool.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("width", [*range(1, 33)])
+def test_blocks_of_any_width(width):
+    ids = np.random.default_rng(width).integers(0, 1 << width, 700, dtype=np.uint64).astype(np.uint32)
+    ids[::256] = 0
+    payload, starts = tokenfiles.pack(ids)
+    assert np.frombuffer(payload, tokenfiles.HEAD, 1)["width"][0] in (width, width - 1)
+    assert tokenfiles.unpack(payload, starts).tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("kind", ["flat", "steps", "spikes", "one", "none"])
 def test_blocks_round_trip(kind):
     rnd = np.random.default_rng(3)
