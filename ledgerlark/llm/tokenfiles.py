@@ -11,9 +11,11 @@ rows of a Parquet folder in ascending document order, so any file system that Sp
 do and a lost task is simply written again. A segment knows how many ids come before it in its part,
 ``index`` each part's first id number; so every segment's and block's start in the whole sequence follows.
 
-The encoder is the tokenizers library's. Its normalizer and splitter work word by word where white
-space is dropped, so words are looked up in a table that each worker keeps, and only new ones are
-encoded.
+The encoder is the tokenizers library's model. Latin-1 texts are lower-cased and cut into pieces as a
+byte array, a slice of a few MB at a time; the distinct pieces are looked up in a table that each worker
+keeps, and the model encodes the new ones in one call. Words with other characters (and all words of a
+file with another splitter) are looked up and encoded one by one, by the library's own normalizer and
+splitter where those do more than lower-case.
 
 Edge cases. Null and empty texts are the end id alone. Null IDs come first; repeated IDs and rows are
 ordered by text hash. An empty table gives empty files. Other columns, whatever their names, are ignored.
@@ -35,6 +37,8 @@ from . import common
 from .bpe import Memo
 
 BLOCK, PERCENT, SEGMENT = 256, 90, 1 << 16
+#: Bytes of texts encoded at a time; pieces in a worker's table, and the longest of them.
+SLICE, MOST, LONGEST = 2 << 20, 1 << 20, 64
 HEAD = np.dtype([("low", "<u4"), ("n", "<u2"), ("width", "u1"), ("patches", "<u2")])
 SCHEMA = ("part int, before long, n_ids long, doc_ids array<long>, counts array<long>, "
           "block_starts array<int>, payload binary")
@@ -50,9 +54,9 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     grid = grid.reshape(blocks, BLOCK)
     low = grid.min(axis=1)
     diff = grid - low[:, None]
-    bits = np.ceil(np.log2(diff.astype(np.float64) + 1)).astype(np.uint8)
-    width = np.partition(bits, BLOCK * PERCENT // 100, axis=1)[:, BLOCK * PERCENT // 100]
-    patched = bits > width[:, None]
+    fits = np.partition(diff, BLOCK * PERCENT // 100, axis=1)[:, BLOCK * PERCENT // 100]
+    width = np.ceil(np.log2(fits.astype(np.float64) + 1)).astype(np.uint8)
+    patched = diff > ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
     patched.reshape(-1)[n:] = False
     head = np.zeros(blocks, HEAD)
     head["low"], head["n"], head["width"], head["patches"] = low, BLOCK, width, patched.sum(axis=1)
@@ -113,6 +117,14 @@ def unpack(payload: bytes, starts: np.ndarray) -> np.ndarray:
 PLAIN_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 #: A split pattern that takes a run of letters as one piece.
 LETTERS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+SPACE, LETTER, NUMBER, OTHER = range(4)
+#: Kind of each Latin-1 character in that pattern, and its lower case.
+KINDS = bytes(SPACE if c.isspace() else LETTER if c.isalpha() else NUMBER if c.isnumeric() else OTHER for c in map(chr, range(256)))
+LOWER = bytes(ord(chr(b).lower()) for b in range(256))
+#: White space to Python, but not to the library; control characters that a word number is written with.
+SEPARATORS, MARKS = "\x1c\x1d\x1e\x1f", bytes(b for b in range(0x80, 0xa0) if b != 0x85)
+#: A character that is no Latin-1 white space; one that keeps a word from being cut as Latin-1.
+INSIDE, ODD = r"[^ \t-\r\x85\xa0]", r"[\x1c-\x1f\x80-\x84\x86-\x9f\u0100-\U0010ffff]"
 PLAIN_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
@@ -123,16 +135,41 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
+def cut_latin(raw: bytes) -> tuple[np.ndarray, pa.Array]:
+    """Where the pieces of a Latin-1 text begin by the pattern ``LETTERS``, and their lower-cased bytes."""
+    text, kind = (np.frombuffer(raw.translate(t), np.uint8) for t in (LOWER, KINDS))
+    shown = kind != SPACE
+    first = np.diff(kind, prepend=kind[:1]) != 0
+    first[:1] = True
+    first |= kind == NUMBER
+    first &= shown
+    at = np.flatnonzero(text[:-1] == ord("'"))
+    at = at[first[at] & (kind[at + 1] == LETTER)]  # an apostrophe alone before letters
+    one, two = text[at + 1], np.append(text, np.zeros(1, np.uint8))[at + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    first[at[short | long] + 1] = False
+    rest = np.concatenate([at[short] + 2, at[long] + 3])
+    rest = rest[rest < len(kind)]
+    first[rest[kind[rest] == LETTER]] = True
+    starts = np.flatnonzero(first)
+    body = text[shown]
+    ends = np.append((np.cumsum(shown, dtype=np.int32) - 1)[starts], len(body)).astype(np.int32)
+    return starts, pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(body)])
+
+
 class WordEncoder:
     """Texts -> ids of a tokenizers file whose splitter drops white space (little-endian 32-bit bytes).
 
-    Words below U+0300 need no composition, so lower-casing and the file's own split pattern are all
-    that its normalizer and splitter do to them; the model is always the library's.
+    A slice is cut as Latin-1; a word that is not, or holds an added token, stands there as its number in
+    control characters. Words below U+0300 need no composition, so lower-casing and the file's own split
+    pattern are all that its normalizer and splitter do to them; the model is always the library's.
     """
 
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tool = Tokenizer.from_file(path)
         plan = json.loads(self.tool.to_str())
         cuts = (plan.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -141,12 +178,21 @@ class WordEncoder:
                 and cuts[0].get("type") == "Split" and cuts[0].get("behavior") == "Removed" and cuts[0].get("invert")):
             self.cut = regex.compile(cuts[0]["pattern"]["Regex"]).findall
         self.whole = self.cut is not None and cuts[0]["pattern"]["Regex"] == LETTERS
-        self.letters = dict(enumerate(byte_letters()))
+        self.letters = dict(enumerate(byte_letters())) | {ord(" "): " "}  # no piece has a space; it stands between pieces
         added = [re.escape(t.content) for t in self.tool.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added)).search if added else lambda word: None
         self.numbers = [i.to_bytes(4, "little") for i in range(1 + max(self.tool.get_vocab().values(), default=0))]
         self.pieces = Memo(self._piece, 1 << 20)
         self.words = Memo(self._word)
+        self.table: dict[bytes, bytes] = {}
+        odd = "|".join([ODD, *added])
+        self.odd = re.compile(f"(?<!{INSIDE}){INSIDE}*?(?:{odd}){INSIDE}*").sub
+        self.bulk, self.ends = Tokenizer(self.tool.model), None
+        self.bulk.pre_tokenizer = WhitespaceSplit()
+        suffix, vocabulary = plan["model"].get("end_of_word_suffix"), self.tool.get_vocab()
+        if suffix:  # letters and signs never share a piece, so no piece has such a suffix inside
+            self.ends = np.zeros(len(self.numbers), bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _ids(self, piece: str) -> bytes:
         numbers = self.numbers
@@ -167,11 +213,74 @@ class WordEncoder:
         cut = self.tool.pre_tokenizer.pre_tokenize_str(self.tool.normalizer.normalize_str(word))
         return b"".join([self._ids(p) for p, _ in cut])
 
-    def encode(self, text: str | None) -> bytes:
-        if text and any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python, but not to the library
+    def _latin(self, text: str, odd: dict[str, int]) -> bytes:
+        """The text as Latin-1, its odd words as their numbers in ``odd``."""
+        def mark(found):
+            return "".join(chr(0x90 + int(digit, 16)) for digit in f"{odd.setdefault(found[0], len(odd)):x}")
+
+        if not self.added(text) and not any(c in text for c in SEPARATORS):
+            try:
+                raw = text.encode("latin-1")
+            except UnicodeEncodeError:
+                raw = MARKS
+            if text.isascii() or len(raw.translate(None, MARKS)) == len(raw):
+                return raw
+        return self.odd(mark, text).encode("latin-1")
+
+    def _new(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces, from the model in one call."""
+        if pieces and self.ends is not None:
+            line = b" ".join(pieces).decode("latin-1").encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.bulk.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(cuts) == len(pieces):  # else some byte has no token
+                raw = ids.tobytes()
+                return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
+        return [self._piece(p.decode("latin-1")) for p in pieces]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        if not self.whole:
+            return [self._words(t) for t in texts]
+        if len(texts) == 1 and len(texts[0] or "") > SLICE:  # a long text is a slice of its own; cut at spaces
+            text, ends = texts[0], [0]
+            while 0 <= (end := text.find(" ", ends[-1] + SLICE)):
+                ends.append(end)
+            return [b"".join([self._slice([text[i:j]])[0] for i, j in zip(ends, [*ends[1:], len(text)])])]
+        return self._slice(texts)
+
+    def _slice(self, texts: list[str | None]) -> list[bytes]:
+        odd: dict[str, int] = {}
+        lines = [self._latin(t or "", odd) for t in texts]
+        starts, cut = cut_latin(b"\n".join(lines))
+        cut = cut.dictionary_encode()
+        pieces = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = [*map(self.table.get, pieces)]
+        lacking = [i for i, ids in enumerate(known) if ids is None]
+        odd_words, marks = [*odd], {*MARKS}
+        for i in [i for i in lacking if pieces[i][0] in marks]:
+            known[i] = self.words[odd_words[int("".join(f"{b - 0x90:x}" for b in pieces[i]), 16)]]
+        lacking = [i for i in lacking if known[i] is None]
+        new = dict(zip([pieces[i] for i in lacking], self._new([pieces[i] for i in lacking])))
+        for i in lacking:
+            known[i] = new[pieces[i]]
+        if len(self.table) + len(new) > MOST:  # emptied when full, which costs time only
+            self.table.clear()
+        self.table.update((p, ids) for p, ids in new.items() if len(p) <= LONGEST)
+        sizes, which = np.array([*map(len, known)], np.int64) // 4, cut.indices.to_numpy()
+        counts = sizes[which]
+        ends = np.append(0, np.cumsum(counts))
+        ids = np.frombuffer(b"".join(known), "<u4")[np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], counts) + np.arange(ends[-1])]
+        bounds = ends[np.searchsorted(starts, np.cumsum([0, *(len(line) + 1 for line in lines)]))].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(bounds, bounds[1:])]
+
+    def _words(self, text: str | None) -> bytes:
+        if text and any(c in text for c in SEPARATORS):
             return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.words.__getitem__, (text or "").split()))
 
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
+
 
 def _encoder(path: str) -> WordEncoder:
     return common.kept(f"words:{path}", lambda: WordEncoder(path))
@@ -192,9 +301,9 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iter
             ("counts", pa.list_(pa.int64())), ("block_starts", pa.list_(pa.int32())), ("payload", pa.binary())]))
 
     encoder = _encoder(path)
-    for b in common.small_slices(batches, "text"):
-        for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            ids = encoder.encode(text) + end
+    for b in common.small_slices(batches, "text", SLICE):
+        for doc, ids in zip(b.column("doc_id").to_pylist(), encoder.encode_all(b.column("text").to_pylist())):
+            ids += end
             docs.append(doc)
             counts.append(len(ids) // 4)
             held.append(ids)

@@ -305,6 +305,54 @@ def test_words_of_letters_need_no_split():
         assert np.frombuffer(own.encode(t), "<u4").tolist() == tool.encode(t, add_special_tokens=False).ids
 
 
+def test_new_words_of_a_slice_go_to_the_model_in_one_call():
+    from tokenizers import Tokenizer
+    tool = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    own = tokenfiles.WordEncoder(tokenizer_path("word_bpe_49k.json"))
+    texts = [" ".join(f"{a}{b}{c}'s, Ünï{c}{a}{b}!" for c in "aeiou") for a in "bdfgk" for b in "lmnpr"]
+    want = [tool.encode(t, add_special_tokens=False).ids for t in texts]
+    calls, bulk = [], getattr(own, "bulk", None)
+
+    class Counted:
+        def encode_batch_fast(self, lines, **kw):
+            calls.append(len(lines))
+            return bulk.encode_batch_fast(lines, **kw)
+
+    own.tool, own.bulk = None, Counted()  # no call piece by piece
+    assert [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts[:1]] == want[:1] and calls == [1]
+    for _ in range(2):  # the second time all are known
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(texts)] == want and calls == [1, 1]
+
+
+def test_texts_of_odd_characters_against_the_library(monkeypatch):
+    import random
+
+    from tokenizers import Tokenizer
+    tool = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    own = tokenfiles.WordEncoder(tokenizer_path("word_bpe_49k.json"))
+    ids = lambda t: tool.encode(t or "", add_special_tokens=False).ids
+    rnd = random.Random(5)
+    low = [chr(c) for c in range(0x300)]
+    texts = [f"{c}a{c}'{c}s{c}1{c}{c}" for c in low] + [f"{c}’ {c}x" for c in low]
+    marks = ["'", "'", " ", "s", "t", "re", "VE", "m", "ll", "D", "l", "r", "x", "É", "5", "½", "!", "\n", "\x85", "\xa0", "\x90", "\x1c", "\u2003",
+             "’", "ſ", "İ", "́", "漢", "ő", "\U0001f600", "<|endoftext|>", "<|"]
+    texts += ["".join(rnd.choices(marks, k=rnd.randrange(30))) for _ in range(3000)] + ["", None, " ", "'", "'s", "x'", "it'll", "a'ld", "''s", ",'s"]
+    for step in (1, 100, len(texts)):
+        got = [x for i in range(0, len(texts), step) for x in own.encode_all(texts[i:i + step])]
+        wrong = [t for t, x in zip(texts, got) if np.frombuffer(x, "<u4").tolist() != ids(t)]
+        assert not wrong, wrong[:5]
+    long = " ".join(t for t in texts if t)
+    monkeypatch.setattr(tokenfiles, "SLICE", 50)
+    monkeypatch.setattr(tokenfiles, "MOST", 100)
+    monkeypatch.setattr(tokenfiles, "LONGEST", 3)
+    own.table.clear()
+    assert np.frombuffer(own.encode(long), "<u4").tolist() == ids(long)
+    assert len(own.table) <= 100 and max(map(len, own.table)) <= 3
+    own.ends = None  # a file without a mark at a word's end
+    own.table.clear()
+    assert np.frombuffer(own.encode(long), "<u4").tolist() == ids(long)
+
+
 @pytest.mark.parametrize("width", [*range(1, 33)])
 def test_blocks_of_any_width(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 700, dtype=np.uint64).astype(np.uint32)
