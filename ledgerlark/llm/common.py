@@ -64,6 +64,26 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """As ``pinned``; the shuffle files that made it go at once, not when the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return pinned(df.select("*"))  # the setting is read when a frame is made
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
+def freed(*frames: DataFrame) -> None:
+    """Delete the files of checkpoints (of ``pinned`` or ``settled``) that nothing reads any more."""
+    for df in frames:
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -124,7 +144,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star rounds. A round takes the smallest neighbour per node by a
     partial aggregate and joins it back on a side with one row per node, so a node of very high
     degree is summed map-side and its rows can be split. Each round is pinned by a reliable
-    checkpoint; nothing but a row count and a checksum reaches the driver.
+    checkpoint, and the files of the round before are deleted; nothing but a row count and a checksum reaches the driver.
     """
     both = lambda e: e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
@@ -142,10 +162,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         return tuple(r)
 
-    e = pinned(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).filter("u <> v").distinct())
+    e = settled(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).filter("u <> v").distinct())
     seen = mark(e)
     for _ in range(max_rounds if seen[0] else 0):
-        e = pinned(star(star(e, True), False))
+        last, e = e, settled(star(star(e, True), False))
+        freed(last)
         now = mark(e)
         if now == seen:
             break

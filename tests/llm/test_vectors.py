@@ -1,11 +1,14 @@
 """Operators on vectors against brute force."""
 
+import threading
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import covertree, postings
+from ledgerlark.llm import common, covertree, postings
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, n long, root long, score double"
 
@@ -167,3 +170,87 @@ def test_nearest_recall_at_production_settings(spark):
         assert mine == sorted(mine, key=lambda m: (-m[2], m[1])) and len(mine) == 20
         hit += len({int(ids[j]) for j in order} & {m[1] for m in mine})
     assert hit / (20 * len(got)) >= 0.9
+
+
+def files_of(spark):
+    """Shuffle and checkpoint files of the session with their sizes."""
+    dirs = [*spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString(), spark.sparkContext.getCheckpointDir().removeprefix("file:")]
+    found = {}
+    for path in (p for d in dirs for p in Path(d).rglob("*")):
+        try:
+            found[str(path)] = path.stat().st_size if path.is_file() else 0
+        except OSError:
+            pass  # deleted meanwhile
+    return found
+
+
+def test_settled_and_freed_leave_no_files(spark):
+    before = files_of(spark)
+    df = spark.range(20_000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key, None)
+    got = common.settled(df)
+    assert spark.conf.get(key, None) == setting
+    new = {f for f in files_of(spark) if f not in before}
+    assert not [f for f in new if "shuffle" in f] and [f for f in new if "part-" in f]
+    assert sorted(r.n for r in got.collect()) == sorted([2857] * 6 + [2858])
+    common.freed(got)
+    assert not [f for f in files_of(spark) if f not in before and "part-" in f]
+
+
+def test_cover_tree_without_structure_stays_small_on_disk(spark, monkeypatch):
+    """Nothing can be pruned, all leaves of a label meet: shuffle files and checkpoints together stay below the budget of 4 times
+    the table (about 390 bytes a row as Parquet), at any time."""
+    monkeypatch.setattr(covertree, "LEAF", 128)
+    monkeypatch.setattr(covertree, "ROUND", 1 << 20, raising=False)
+    rnd = np.random.default_rng(7)
+    n = 5_000
+    x = rnd.normal(size=(n, 64)).astype("f4")
+    x[1::1000] = x[0::1000] * 1.5
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(2)
+    table.write.parquet(path := common.scratch(spark, "table"))
+    before, most, over, limit = files_of(spark), [0], threading.Event(), 4 * 390 * n
+
+    def watch():
+        while not over.wait(0.05):
+            most[0] = max(most[0], sum(size for f, size in files_of(spark).items() if f not in before))
+            if most[0] > limit:
+                spark.sparkContext.cancelAllJobs()
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        got = covertree.near_duplicates(spark.read.parquet(path), 0.98).collect()
+    finally:
+        over.set()
+        watcher.join()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got if r.n_links} == {i + k: (1, i) for i in range(0, n, 1000) for k in (0, 1)}
+    assert most[0] <= limit
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_cover_tree_in_many_bundles_and_rounds(spark, monkeypatch, kind):
+    """Bundles of a few blocks, dealt in several rounds; a cluster that spans bundles, and chains of links."""
+    monkeypatch.setattr(covertree, "LEAF", 24)
+    monkeypatch.setattr(covertree, "BUNDLE", 20 * 60)
+    monkeypatch.setattr(covertree, "ROUND", 1)
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(900, 20))
+    x[:300] = x[0] + 0.1 * rnd.normal(size=(300, 20))
+    for i in range(301, 340):
+        x[i] = x[i - 1] + 0.6 * rnd.normal(size=20) / np.sqrt(20) * np.linalg.norm(x[i - 1]) / 4
+    x = x.astype("f4").astype(float)
+    ids = rnd.permutation(900) * 2
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    link = (unit @ unit.T >= 0.98) & ~np.eye(900, dtype=bool)
+    low = ids.copy()
+    for _ in range(900):
+        new = np.array([min(low[i], *low[link[i]]) if link[i].any() else low[i] for i in range(900)])
+        if (new == low).all():
+            break
+        low = new
+    df = spark.createDataFrame([(int(i), v.tolist(), 4) for i, v in zip(ids, x)], f"vec_id long, embedding array<{kind}>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in covertree.near_duplicates(df, 0.98).collect()}
+    assert link[:300, :300].sum() > 10_000 and link[300:340, 300:340].sum() > 20
+    assert got == {int(i): (int(c), int(k), bool(k == i)) for i, c, k in zip(ids, link.sum(axis=1), low)}
